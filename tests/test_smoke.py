@@ -1,0 +1,26 @@
+import numpy as np
+from pyspark.sql import functions as F
+
+from vectrove.operators import kmeans as km
+from vectrove.operators.neighbours import assign_clusters
+
+
+def test_stale_assignment(vectors):
+    df = vectors([[0], [2], [3]])
+    result = km.kmeans(df, 2, max_iter=1, init=np.array([[0.0], [2.0]]))
+    rows = {r["row_id"]: r["cluster"] for r in result.assignments.collect()}
+    assert rows == {0: 0, 1: 1, 2: 1}
+    assert [r["centroid"] for r in result.centroids.orderBy("cluster").collect()] == [[0.0], [2.5]]
+
+
+def test_freezing(vectors):
+    df = vectors([[0], [2], [10]])
+    result = km.kmeans_freezing(df, np.array([[0.0], [10.0]]), max_iter=1, freeze=5.0, min_delta=0.0)
+    assert [r["centroid"] for r in result.centroids.orderBy("cluster").collect()] == [[2 / 3], [10.0]]
+    rows = [(r["row_id"], r["cluster"], r["error"], r["frozen"]) for r in result.assignments.orderBy("row_id").collect()]
+    assert rows == [(0, 0, 0.0, True), (1, 0, 4.0, True), (2, 1, 0.0, True)]
+
+
+def test_assign_uses_one_udf(vectors):
+    df = assign_clusters(vectors([[0], [1]]), np.array([[-1.0], [1.0]]))
+    assert df._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
