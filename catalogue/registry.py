@@ -29,7 +29,8 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 def rounded(value: Column | str, decimals: int = 6) -> Column:
     """Rounded for comparison, without a negative zero."""
-    return F.round(F.col(value) if isinstance(value, str) else value, decimals) + F.lit(0.0)
+    column = F.col(value) if isinstance(value, str) else value
+    return F.round(column.cast("double"), decimals) + F.lit(0.0)
 
 
 def r(expression: str, decimals: int = 6) -> str:

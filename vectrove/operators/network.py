@@ -259,7 +259,7 @@ def batch_gradient(network: Network, rows: DataFrame):
         ]
         upper = parts[9:]
     pairs = [{"kernel": upper[i] / n, "bias": upper[i + 1] / n} for i in range(0, len(upper), 2)]
-    return gradients + pairs[::-1], moments, parts[0][0] / n, parts[0][1] / n, int(n)
+    return gradients + pairs[::-1], moments, float(parts[0][0] / n), float(parts[0][1] / n), int(n)
 
 
 # -- operators ----------------------------------------------------------------------------
