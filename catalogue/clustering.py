@@ -54,7 +54,7 @@ def sq_distances(spark, sf):
 )
 def assign(spark, sf):
     rows = fx.vectors(spark, sf)
-    found = assign_clusters(rows, as_matrix(drawn_seeds(rows, 8, "assign"), "cluster", "features"))
+    found = assign_clusters(rows, as_matrix(drawn_seeds(rows, 8, "assign"), "cluster", "features", bounded=True))
     return found.select("row_id", "cluster", rounded("error").alias("error"))
 
 

@@ -32,7 +32,7 @@ _SCORES_SQL = (
 
 def _assigned(spark, sf):
     rows = fx.vectors(spark, sf)
-    return assign_clusters(rows, as_matrix(drawn_seeds(rows, K, "score"), "cluster", "features"))
+    return assign_clusters(rows, as_matrix(drawn_seeds(rows, K, "score"), "cluster", "features", bounded=True))
 
 
 def _predicted(spark, sf):

@@ -58,7 +58,7 @@ def zip_labels(spark, sf):
 )
 def write_counts(spark, sf):
     rows = fx.vectors(spark, sf)
-    assigned = assign_clusters(rows, as_matrix(drawn_seeds(rows, 4, "write"), "cluster", "features"))
+    assigned = assign_clusters(rows, as_matrix(drawn_seeds(rows, 4, "write"), "cluster", "features", bounded=True))
     return raw.write_assignments(assigned, scratch(spark, "assignments"))
 
 
@@ -69,7 +69,7 @@ def write_counts(spark, sf):
 def written_assignments(spark, sf):
     """What lies in the file after the write, read back by position."""
     rows = fx.vectors(spark, sf)
-    assigned = assign_clusters(rows, as_matrix(drawn_seeds(rows, 4, "write"), "cluster", "features"))
+    assigned = assign_clusters(rows, as_matrix(drawn_seeds(rows, 4, "write"), "cluster", "features", bounded=True))
     path = scratch(spark, "assignments")
     raw.write_assignments(assigned, path)
     return raw.read_labels(spark, path).withColumnRenamed("label", "cluster")

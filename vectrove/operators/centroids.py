@@ -5,8 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import _parse_datatype_string
 
 # Largest point set that is broadcast: 32M float64 numbers (256 MiB). Larger sets go through
 # the partitioned join in operators/neighbours.py.
@@ -21,13 +24,19 @@ def point_numbers(points: DataFrame, vector: str) -> int:
     return int(held or 0)
 
 
-def as_matrix(points, order: str = "cluster", vector: str = "centroid") -> np.ndarray:
-    """A point set as an ``m x d`` array, in ``order``; a NULL vector becomes a NaN row."""
+def as_matrix(points, order: str = "cluster", vector: str = "centroid", bounded: bool = False) -> np.ndarray:
+    """A point set as an ``m x d`` array, in ``order``; a NULL vector becomes a NaN row.
+
+    The set is counted before it is collected, unless ``bounded`` says that a parameter
+    (number of clusters or candidates) already limits it.
+    """
     if isinstance(points, DataFrame):
-        held = point_numbers(points, vector)
-        if held > BROADCAST_NUMBERS:
-            raise ValueError(f"{held} numbers are too many for a broadcast point set")
-        points = [row[0] for row in points.orderBy(order).select(vector).collect()]
+        if not bounded:
+            held = point_numbers(points, vector)
+            if held > BROADCAST_NUMBERS:
+                raise ValueError(f"{held} numbers are too many for a broadcast point set")
+        rows = points.select(order, vector).collect()
+        points = [row[1] for row in sorted(rows, key=lambda row: row[0])]
     if isinstance(points, np.ndarray):
         return np.atleast_2d(points.astype(np.float64))
     width = max((len(p) for p in points if p is not None), default=0)
@@ -37,10 +46,17 @@ def as_matrix(points, order: str = "cluster", vector: str = "centroid") -> np.nd
     return np.vstack(rows) if rows else np.empty((0, 0))
 
 
+def local_frame(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
+    """A small table as a local relation (through Arrow), which later jobs read for free."""
+    target = to_arrow_schema(_parse_datatype_string(schema))
+    columns = list(zip(*rows)) if rows else [[] for _ in target]
+    arrays = [pa.array(values, field.type) for values, field in zip(columns, target)]
+    return spark.createDataFrame(pa.Table.from_arrays(arrays, schema=target))
+
+
 def centroid_frame(spark: SparkSession, means: np.ndarray | Sequence) -> DataFrame:
     """``cluster, centroid``; the mean of an empty cluster is NULL."""
     rows = [
-        (i, None if np.isnan(m).all() else [float(v) for v in m])
-        for i, m in enumerate(np.asarray(means, dtype=np.float64))
+        (i, None if np.isnan(m).all() else m.tolist()) for i, m in enumerate(np.asarray(means, dtype=np.float64))
     ]
-    return spark.createDataFrame(rows, CENTROID_SCHEMA)
+    return local_frame(spark, rows, CENTROID_SCHEMA)

@@ -27,14 +27,14 @@ def number_candidates(candidates: DataFrame, key: str = "row_id", features: str
 
 def pairwise_distances(candidates: DataFrame) -> DataFrame:
     """``i, j, distance`` for every ordered pair of numbered candidates."""
-    points = as_matrix(candidates, "cand", "features")
+    points = as_matrix(candidates, "cand", "features", bounded=True)
     measured = point_distances(candidates, points)
     return measured.select(F.col("cand").alias("i"), F.posexplode("distances").alias("j", "distance"))
 
 
 def mean_distance_to_sample(candidates: DataFrame, sample: DataFrame) -> DataFrame:
     """``cand, mean_distance``: mean distance to all sample rows (a candidate's own 0 counts)."""
-    measured = point_distances(sample.select("features"), as_matrix(candidates, "cand", "features"))
+    measured = point_distances(sample.select("features"), as_matrix(candidates, "cand", "features", bounded=True))
     return (
         measured.select(F.posexplode("distances").alias("cand", "distance"))
         .groupBy("cand")

@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vectrove.operators.centroids import local_frame
+
 TERNARY = (-1, 0, 1)
 
 
@@ -81,7 +83,7 @@ def class_scores(
         )
     )
     if labels is not None:
-        wanted = df.sparkSession.createDataFrame([(int(v),) for v in labels], "class int")
+        wanted = local_frame(df.sparkSession, [(int(v),) for v in labels], "class int")
         per_class = wanted.join(F.broadcast(per_class), "class", "left").na.fill(0)
 
     def share(part: str, whole: str):
@@ -131,7 +133,7 @@ def confusion_matrix(
     wide = counts.groupBy("a").agg(
         *[F.sum(F.when(F.col("b") == v, F.col("n")).otherwise(0)).alias(_column(v)) for v in labels]
     )
-    rows = df.sparkSession.createDataFrame([(v,) for v in labels], "truth int")
+    rows = local_frame(df.sparkSession, [(v,) for v in labels], "truth int")
     return rows.join(F.broadcast(wide), F.col("truth") == F.col("a"), "left").drop("a").na.fill(0)
 
 

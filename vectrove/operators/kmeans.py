@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from vectrove.functions import kernels
 from vectrove.functions.vectors import matrix
-from vectrove.operators.centroids import as_matrix, centroid_frame
+from vectrove.operators.centroids import as_matrix, centroid_frame, local_frame
 from vectrove.operators.neighbours import assign_clusters
 from vectrove.operators.seeding import seed_many, seed_matrix, seed_two
 
@@ -55,30 +55,27 @@ def _initial(df, k, init, seed, row_id, features) -> np.ndarray:
     return means
 
 
-def partial_sums(vectors: DataFrame, width: int, fold: Callable) -> DataFrame:
-    """Run ``fold(x) -> (cluster of each row, rows that enter the means, error sum by cluster)``
-    over the batches of a task and emit one partial per cluster and feature."""
+def _sizes_frame(spark, sizes) -> DataFrame:
+    return local_frame(spark, [(i, int(n)) for i, n in enumerate(sizes)], "cluster int, n bigint")
+
+
+def partial_sums(vectors: DataFrame, groups: int, width: int, fold: Callable) -> DataFrame:
+    """Run ``fold(x, sums)`` over the batches of a task; emit one partial per group and feature."""
 
     def run(batches):
-        held: dict[int, list] = {}
+        sums = kernels.ClusterSums(groups, width)
         for batch in batches:
             x = matrix(batch.column(0), width)
-            if not len(x):
-                continue
-            for ids, counts, errors, sums in fold(x):
-                for i, cluster in enumerate(ids.tolist()):
-                    entry = held.setdefault(cluster, [0, 0.0, np.zeros(width)])
-                    entry[0] += int(counts[i])
-                    entry[1] += float(errors[i])
-                    entry[2] += sums[i]
-        for cluster, (n, error, total) in held.items():
+            if len(x):
+                fold(x, sums)
+        for group in np.flatnonzero(sums.sizes):
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(np.full(width, cluster, dtype=np.int32)),
+                    pa.array(np.full(width, group, dtype=np.int32)),
                     pa.array(np.arange(width, dtype=np.int32)),
-                    pa.array(np.full(width, n, dtype=np.int64)),
-                    pa.array(np.full(width, error)),
-                    pa.array(total),
+                    pa.array(np.full(width, sums.sizes[group])),
+                    pa.array(np.full(width, sums.errors[group])),
+                    pa.array(sums.totals[group]),
                 ],
                 ["cluster", "feature", "n", "error", "total"],
             )
@@ -108,14 +105,11 @@ def lloyd_pass(vectors: DataFrame, means: np.ndarray, metric: str = "euclidean")
     shared = vectors.sparkSession.sparkContext.broadcast(means)
     rooted = metric == "euclidean"
 
-    def fold(x):
-        cluster, error = kernels.nearest(x, shared.value, rooted)
-        ids, counts, sums = kernels.sums_by(cluster, x)
-        errors = np.bincount(cluster, weights=error, minlength=ids.max() + 1)[ids]
-        yield ids, counts, errors, sums
+    def fold(x, sums):
+        kernels.assign_and_sum(x, shared.value, rooted, sums)
 
     try:
-        return _gather(partial_sums(vectors, means.shape[1], fold), *means.shape)
+        return _gather(partial_sums(vectors, *means.shape, fold), *means.shape)
     finally:
         shared.unpersist()
 
@@ -177,11 +171,12 @@ def kmeans(
     At least one pass runs. Seeds come from ``init`` (array, or DataFrame ``cluster,
     centroid|features``), else from :func:`seed_two` / :func:`seed_many`. An empty cluster
     loses its mean and is never chosen again. The input's vectors are cached on memory and
-    disk for the passes; ``cache=False`` rescans them, for inputs beyond the executors' disks.
+    disk for the passes unless ``df`` is cached already; ``cache=False`` rescans them, for inputs beyond the executors' disks.
     """
     spark = df.sparkSession
     means = _initial(df, k, init, seed, row_id, features)
     vectors = df.select(features)
+    cache = cache and not df.is_cached
     if cache:
         vectors = vectors.persist(StorageLevel.MEMORY_AND_DISK)
     history, previous = [], None
@@ -207,8 +202,8 @@ def kmeans(
     return KMeansResult(
         assignments=assign_clusters(df, used, metric, features, row_id),
         centroids=centroid_frame(spark, means),
-        sizes=spark.createDataFrame([(i, int(n)) for i, n in enumerate(sizes)], "cluster int, n long"),
-        history=spark.createDataFrame(history, HISTORY_SCHEMA),
+        sizes=_sizes_frame(spark, sizes),
+        history=local_frame(spark, history, HISTORY_SCHEMA),
         iterations=len(history),
     )
 
@@ -251,6 +246,7 @@ def kmeans_freezing(
     seeds = _initial(df, None, init, None, None, features)
     k, width = seeds.shape
     vectors = df.select(features)
+    cache = cache and not df.is_cached
     if cache:
         vectors = vectors.persist(StorageLevel.MEMORY_AND_DISK)
     settled_n, settled_sum = np.ones(k), seeds.copy()
@@ -260,16 +256,13 @@ def kmeans_freezing(
             started = time.monotonic()
             shared = spark.sparkContext.broadcast(past)
 
-            def fold(x, shared=shared, last=len(past) - 1):
+            def fold(x, sums, shared=shared, last=len(past) - 1):
                 cluster, error, frozen_at = _replay(x, shared.value, freeze)
                 # Even groups: rows that froze in this pass. Odd groups: the others, whose
                 # vectors do not enter the means but whose errors count.
-                group = cluster * 2 + (frozen_at != last)
-                ids, counts, sums = kernels.sums_by(group, x)
-                errors = np.bincount(group, weights=error, minlength=ids.max() + 1)[ids]
-                yield ids, counts, errors, sums
+                sums.add(cluster * 2 + (frozen_at != last), error, x)
 
-            sizes, errors, totals = _gather(partial_sums(vectors, width, fold), 2 * k, width)
+            sizes, errors, totals = _gather(partial_sums(vectors, 2 * k, width, fold), 2 * k, width)
             shared.unpersist()
             rows = int(sizes.sum())
             if rows == 0:
@@ -304,8 +297,8 @@ def kmeans_freezing(
     return KMeansResult(
         assignments=assignments,
         centroids=centroid_frame(spark, past[-1]),
-        sizes=spark.createDataFrame([(i, int(n)) for i, n in enumerate(by_cluster)], "cluster int, n long"),
-        history=spark.createDataFrame(history, HISTORY_SCHEMA),
+        sizes=_sizes_frame(spark, by_cluster),
+        history=local_frame(spark, history, HISTORY_SCHEMA),
         iterations=len(history),
     )
 

@@ -17,6 +17,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -120,23 +121,30 @@ def _side(df: DataFrame, row_id: str, features: str, label: str | None) -> DataF
     return df.select(F.col(row_id).cast("long").alias("row_id"), F.col(features).alias("features"), tag.alias("label"))
 
 
+def _labels(column) -> np.ndarray:
+    return pc.fill_null(column.cast(pa.int64()), int(kernels.NO_LABEL)).to_numpy()
+
+
 def _collect_side(df: DataFrame):
     """A side of checked size as (ids, vectors, labels) arrays for a broadcast."""
     table = df.toArrow().combine_chunks()
-    labels = table.column("label").to_pandas(integer_object_nulls=True).to_numpy(dtype=object)
-    return table.column("row_id").to_numpy(), matrix(table.column("features")), labels
+    return table.column("row_id").to_numpy(), matrix(table.column("features")), _labels(table.column("label"))
 
 
-def _packed(query_ids, row, distance, neighbours, labels) -> pa.RecordBatch:
-    """One record per query that has neighbours; ``row`` ascends."""
-    present, starts = np.unique(row, return_index=True)
-    offsets = np.r_[starts, len(row)].astype(np.int32)
+def _packed(query_ids: np.ndarray, best: kernels.ClosestK) -> pa.RecordBatch:
+    """One record per query that has neighbours."""
+    lengths, distance, ids, labels = best.found()
+    offsets = np.r_[0, np.cumsum(lengths[lengths > 0])].astype(np.int32)
     entries = pa.StructArray.from_arrays(
-        [pa.array(distance), pa.array(neighbours, pa.int64()), pa.array(labels, pa.int32())],
+        [
+            pa.array(distance),
+            pa.array(ids, pa.int64()),
+            pa.array(labels, pa.int64(), mask=labels == kernels.NO_LABEL).cast(pa.int32()),
+        ],
         ["distance", "neighbour", "label"],
     )
     return pa.RecordBatch.from_arrays(
-        [pa.array(query_ids[present], pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), entries)],
+        [pa.array(query_ids[lengths > 0], pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), entries)],
         ["row_id", "neighbours"],
     )
 
@@ -152,10 +160,10 @@ def _scan_queries(train: DataFrame, queries: DataFrame, k: int) -> DataFrame:
         ids, vectors, labels = shared.value
         for batch in batches:
             x = matrix(batch.column("features"))
-            if not len(x) or not len(ids):
-                continue
-            row, pos, square = kernels.closest_k(x, vectors, ids, k)
-            yield _packed(batch.column("row_id").to_numpy(), row, np.sqrt(square), ids[pos], labels[pos])
+            if len(x) and len(ids):
+                best = kernels.ClosestK(x, k)
+                best.add(vectors, ids, labels)
+                yield _packed(batch.column("row_id").to_numpy(), best)
 
     return queries.select("row_id", "features").mapInArrow(search, _PACKED)
 
@@ -166,27 +174,12 @@ def _scan_train(train: DataFrame, queries: DataFrame, k: int) -> DataFrame:
 
     def search(batches):
         query_ids, targets = shared.value
-        held = None
+        best = kernels.ClosestK(targets, k)
         for batch in batches:
             x = matrix(batch.column("features"))
-            if not len(x) or not len(query_ids):
-                continue
-            ids = batch.column("row_id").to_numpy()
-            labels = batch.column("label").to_pandas(integer_object_nulls=True).to_numpy(dtype=object)
-            row, pos, square = kernels.closest_k(targets, x, ids, k)
-            new = (row, square, ids[pos], labels[pos])
-            if held is not None:
-                row, square, near, tags = (np.concatenate(pair) for pair in zip(held, new))
-                order = np.lexsort((near, square, row))
-                row = row[order]
-                starts = np.flatnonzero(np.r_[True, row[1:] != row[:-1]])
-                rank = np.arange(len(row)) - np.repeat(starts, np.diff(np.r_[starts, len(row)]))
-                keep = rank < k
-                new = (row[keep], square[order][keep], near[order][keep], tags[order][keep])
-            held = new
-        if held is not None and len(held[0]):
-            row, square, near, tags = held
-            yield _packed(query_ids, row, np.sqrt(square), near, tags)
+            if len(x) and len(query_ids):
+                best.add(x, batch.column("row_id").to_numpy(), _labels(batch.column("label")))
+        yield _packed(query_ids, best)
 
     return _merge(train.mapInArrow(search, _PACKED), k)
 
@@ -212,16 +205,14 @@ def _grid(train: DataFrame, queries: DataFrame, k: int, block_numbers: int) -> D
     right = queries.select("row_id", "features", block(query_blocks).alias("qb"), every(train_blocks).alias("tb"))
 
     def cell(train_block: pa.Table, query_block: pa.Table) -> pa.Table:
-        ids = train_block.column("row_id").to_numpy()
-        query_ids = query_block.column("row_id").to_numpy()
-        none = np.empty(0, dtype=np.int64)
-        row, pos, square = none, none, np.empty(0)
-        if len(ids) and len(query_ids):
-            row, pos, square = kernels.closest_k(
-                matrix(query_block.column("features")), matrix(train_block.column("features")), ids, k
+        best = kernels.ClosestK(matrix(query_block.column("features")), k)
+        if len(train_block) and len(query_block):
+            best.add(
+                matrix(train_block.column("features")),
+                train_block.column("row_id").to_numpy(),
+                _labels(train_block.column("label")),
             )
-        labels = train_block.column("label").to_pandas(integer_object_nulls=True).to_numpy(dtype=object)
-        return pa.Table.from_batches([_packed(query_ids, row, np.sqrt(square), ids[pos], labels[pos])])
+        return pa.Table.from_batches([_packed(query_block.column("row_id").to_numpy(), best)])
 
     cells = left.groupBy("tb", "qb").cogroup(right.groupBy("tb", "qb")).applyInArrow(cell, _PACKED)
     return _merge(cells, k)

@@ -20,7 +20,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vectrove.functions.vectors import matrix, row_slices
-from vectrove.operators.reduce import CHUNK_SCHEMA, chunks, sum_chunks
+from vectrove.operators.centroids import local_frame
+from vectrove.operators.reduce import CHUNK_SCHEMA, chunks, few_tasks, sum_chunks
 
 # Training set-up of the classifier.
 HIDDEN = (1024, 512, 256, 128, 64)
@@ -204,7 +205,8 @@ def _sum_over(rows: DataFrame, size: int, per_block, width: int, row_elements: i
         if total is not None:
             yield from chunks(total)
 
-    return sum_chunks(rows.mapInArrow(run, CHUNK_SCHEMA), size)
+    rows, tasks = few_tasks(rows)
+    return sum_chunks(rows.mapInArrow(run, CHUNK_SCHEMA), size, tasks)
 
 
 def batch_gradient(network: Network, rows: DataFrame):
@@ -338,14 +340,12 @@ def fit_network(
     if rows == 0:
         raise ValueError("training over an empty table")
     steps = max(1, min(math.ceil(rows / batch_size), max_steps))
-    # A gradient partial is as large as the model, so few large tasks beat many small ones.
     staged = (
         train.select(
             F.col(features).alias("features"),
             F.col(label).cast("double").alias("label"),
             F.pmod(F.xxhash64(F.lit(seed), F.col(row_id)), F.lit(steps)).cast("int").alias("step"),
         )
-        .coalesce(2 * spark.sparkContext.defaultParallelism)
         .sortWithinPartitions("step")
         .persist(StorageLevel.MEMORY_AND_DISK)
     )
@@ -383,7 +383,7 @@ def fit_network(
             history.append((epoch, loss / seen, accuracy / seen, *held_out, time.monotonic() - started))
     finally:
         staged.unpersist()
-    return TrainingResult(network, spark.createDataFrame(history, HISTORY_SCHEMA))
+    return TrainingResult(network, local_frame(spark, history, HISTORY_SCHEMA))
 
 
 def network_frame(spark: SparkSession, network: Network) -> DataFrame:
@@ -393,7 +393,7 @@ def network_frame(spark: SparkSession, network: Network) -> DataFrame:
         for i, layer in enumerate(network.layers)
         for name, p in layer.parameters.items()
     ]
-    return spark.createDataFrame(rows, MODEL_SCHEMA)
+    return local_frame(spark, rows, MODEL_SCHEMA)
 
 
 def save_network(spark: SparkSession, network: Network, path: str) -> None:

@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vectrove.functions.vectors import lists, matrix, row_slices
-from vectrove.operators.reduce import CHUNK_SCHEMA, chunks, sum_chunks
+from vectrove.operators.centroids import local_frame
+from vectrove.operators.reduce import CHUNK_SCHEMA, chunks, few_tasks, sum_chunks
 from vectrove.operators.sample import sample_exact
 from vectrove.operators.stats import feature_partials
 
@@ -62,8 +63,9 @@ def _scatter(vectors: DataFrame, mean: np.ndarray) -> np.ndarray:
         if total is not None:
             yield from chunks(total)
 
+    rows, tasks = few_tasks(vectors)
     try:
-        return sum_chunks(vectors.mapInArrow(run, CHUNK_SCHEMA), width * width).reshape(width, width)
+        return sum_chunks(rows.mapInArrow(run, CHUNK_SCHEMA), width * width, tasks).reshape(width, width)
     finally:
         shared.unpersist()
 
@@ -135,7 +137,7 @@ def pca_frame(spark: SparkSession, model: PCAModel) -> DataFrame:
     rows += [
         (i, model.components[i].tolist(), float(model.variance[i]), float(model.ratio[i])) for i in range(model.k)
     ]
-    return spark.createDataFrame(rows, MODEL_SCHEMA)
+    return local_frame(spark, rows, MODEL_SCHEMA)
 
 
 def save_pca(spark: SparkSession, model: PCAModel, path: str) -> None:

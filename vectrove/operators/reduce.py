@@ -7,6 +7,7 @@ reducer holds one accumulator and not the whole group.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,8 +19,10 @@ from vectrove.functions.vectors import lists
 
 CHUNK = 65_536
 CHUNK_SCHEMA = "chunk int, values array<double>"
-# Partials a first-level reducer takes in.
-_FAN_IN = 256
+# Arrays of one chunk at most may be summed number by number.
+SMALL = 16_384
+# Partials of a chunk that one reducer takes in without an intermediate level.
+FAN_IN = 64
 
 
 def chunks(array: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -47,16 +50,36 @@ def _sum_level(partials: DataFrame, keys: list[str]) -> DataFrame:
     return partials.groupBy(*keys).applyInArrow(add, CHUNK_SCHEMA)
 
 
-def sum_chunks(partials: DataFrame, size: int) -> np.ndarray:
-    """Sum the chunk partials of an array of ``size`` numbers and bring it to the driver.
+def sum_chunks(partials: DataFrame, size: int, tasks: int) -> np.ndarray:
+    """Sum the chunk partials of at most ``tasks`` tasks and bring the array to the driver.
 
     ``size`` is fixed by the model (features squared, parameters), not by the row count.
+    Small arrays are summed number by number in the JVM.
     """
-    salted = partials.withColumn("salt", (F.spark_partition_id() / _FAN_IN).cast("int"))
-    total = _sum_level(_sum_level(salted, ["chunk", "salt"]), ["chunk"])
     out = np.zeros(size)
-    table = total.toArrow()
+    if size <= SMALL:
+        numbers = partials.select(
+            F.posexplode("values").alias("at", "value"),
+        )
+        table = numbers.groupBy("at").agg(F.sum("value").alias("value")).toArrow()
+        out[table.column("at").to_numpy()] = table.column("value").to_numpy()
+        return out
+    keys = ["chunk"]
+    if tasks > FAN_IN:
+        fan_in = max(FAN_IN, math.isqrt(tasks))
+        salted = partials.withColumn("salt", (F.spark_partition_id() / fan_in).cast("int"))
+        partials = _sum_level(salted, ["chunk", "salt"])
+    table = _sum_level(partials, keys).toArrow()
     for chunk, values in zip(table.column("chunk").to_pylist(), table.column("values")):
         part = values.values.to_numpy(zero_copy_only=False)
         out[chunk * CHUNK : chunk * CHUNK + len(part)] = part
     return out
+
+
+def few_tasks(df: DataFrame) -> tuple[DataFrame, int]:
+    """The input on at most two tasks per core, without a shuffle, and that number.
+
+    For folds whose partial is as large as a model: fewer tasks emit fewer partials.
+    """
+    tasks = 2 * df.sparkSession.sparkContext.defaultParallelism
+    return df.coalesce(tasks), tasks

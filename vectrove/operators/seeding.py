@@ -117,7 +117,7 @@ def seed_many(
     measured = None
     try:
         first = sample_exact(table, 1, f"{seed}:first").first()
-        points = as_matrix(drawn.candidates, "cand", "features")
+        points = as_matrix(drawn.candidates, "cand", "features", bounded=True)
         with_first = point_distances(drawn.sample, np.asarray([first["features"]]), name="to_first")
         measured = (
             point_distances(with_first, points).select(F.col("to_first")[0].alias("closest"), "distances").persist()
@@ -169,4 +169,4 @@ def _materialise(seeds: DataFrame) -> DataFrame:
 
 def seed_matrix(seeds: DataFrame) -> np.ndarray:
     """Seed rows as a ``k x d`` array."""
-    return as_matrix(seeds, "cluster", "features")
+    return as_matrix(seeds, "cluster", "features", bounded=True)

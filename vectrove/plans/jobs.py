@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import time
 from collections.abc import Sequence
+from math import log10
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vectrove.operators import evaluate
+from vectrove.operators.centroids import local_frame
 from vectrove.operators.kmeans import KMeansResult, kmeans
 from vectrove.operators.neighbours import knn_classify
 from vectrove.operators.pca import fit_pca, transform_pca
@@ -24,16 +26,19 @@ def prepare_dataset(df: DataFrame, path: str, proportion: float = 0.1, seed: int
     write_dataset(training, validation, path, raw)
 
 
-def shaped_by_deviation(df: DataFrame, m: int, weights: bool = True) -> DataFrame:
-    """The table masked to its ``m`` most deviating features, scaled by max-abs, weighted by rank."""
-    mask = top_features_by_sd(df, m).orderBy("rank").collect()
-    from math import log10
+def deviation_mask(df: DataFrame, m: int) -> list:
+    """The mask table of :func:`top_features_by_sd` as rows in rank order (``m`` of them)."""
+    return sorted(top_features_by_sd(df, m).collect(), key=lambda row: row["rank"])
+
 
+def shaped_by_deviation(df: DataFrame, m: int, weights: bool = True, mask: list | None = None) -> DataFrame:
+    """The table masked to its ``m`` most deviating features, scaled by max-abs, weighted by rank."""
+    chosen = (deviation_mask(df, m) if mask is None else mask)[:m]
     return shape_features(
         df,
-        [row["feature"] for row in mask],
-        [row["scale"] for row in mask],
-        [log10(len(mask) / row["rank"]) for row in mask] if weights else None,
+        [row["feature"] for row in chosen],
+        [row["scale"] for row in chosen],
+        [log10(len(chosen) / row["rank"]) for row in chosen] if weights else None,
     )
 
 
@@ -52,7 +57,7 @@ def kmeans_trials(
         score = evaluate.trial_scores(result.assignments, k).first()
         rows.append((trial, score["balance"], *[score[f"purity_{c}"] for c in range(k)], time.monotonic() - started))
     columns = ["trial int", "balance double", *[f"purity_{c} double" for c in range(k)], "seconds double"]
-    return df.sparkSession.createDataFrame(rows, ", ".join(columns))
+    return local_frame(df.sparkSession, rows, ", ".join(columns))
 
 
 def repeat_trials(df: DataFrame, trials: int = 1, k: int = 2, **options) -> DataFrame:
@@ -68,8 +73,10 @@ def mask_size_report(
     ``inits(shaped, size)`` may fix the seeds of a mask size.
     """
     report = None
+    # The mask of a smaller size is the head of the largest one: one statistics scan for all.
+    mask = deviation_mask(df, max(sizes))
     for size in sizes:
-        shaped = shaped_by_deviation(df, size)
+        shaped = shaped_by_deviation(df, size, mask=mask)
         fixed = None if inits is None else [inits(shaped, size)] * trials
         scores = repeat_trials(shaped, trials, k, inits=fixed, **options)
         purities = [F.col(f"purity_{c}") for c in range(k)]

@@ -12,8 +12,12 @@ _shipped: set[str] = set()
 
 
 def attach(spark: SparkSession) -> SparkSession:
-    """Make this package importable in Python workers (the same as ``--py-files``)."""
+    """Make this package importable in Python workers (the same as ``--py-files``).
+
+    Workers get one BLAS thread unless told otherwise: tasks already fill the cores.
+    """
     context = spark.sparkContext
+    context.environment.setdefault("OMP_NUM_THREADS", "1")
     if context.applicationId not in _shipped:
         root = Path(__file__).resolve().parent
         archive = Path(tempfile.mkdtemp(prefix="vectrove-")) / "vectrove.zip"

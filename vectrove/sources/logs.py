@@ -55,4 +55,7 @@ def log_metrics_long(metrics: DataFrame, epoch: str = "epoch") -> DataFrame:
 
 def pivot_metrics(long: DataFrame) -> DataFrame:
     """One row per epoch, one column per metric."""
-    return long.groupBy("epoch").pivot("metric", sorted(PLOTTED)).agg(F.first("value"))
+    columns = [
+        F.first(F.when(F.col("metric") == name, F.col("value")), ignorenulls=True).alias(name) for name in sorted(PLOTTED)
+    ]
+    return long.groupBy("epoch").agg(*columns)
