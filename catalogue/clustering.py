@@ -267,12 +267,26 @@ def iteration_history(spark, sf):
     return found.select("iteration", rounded("mean_error").alias("mean_error"), rounded("delta").alias("delta"))
 
 
-@query("kmeans_converged")
+MAX_PASSES, SETTLED = 20, 1e-3
+_SETTLING = " UNION ALL ".join(
+    f"SELECT {t - 1} AS iteration, avg(error) AS mean_error FROM a{t}" for t in range(1, MAX_PASSES + 1)
+)
+
+
+@query(
+    "kmeans_converged",
+    f"WITH {_DRAW_SQL}, b AS (SELECT i, j FROM pp ORDER BY potential, i, j LIMIT 1), "
+    "c0 AS MATERIALIZED (SELECT CASE WHEN k.cand = b.i THEN 0 ELSE 1 END AS cluster, k.features AS centroid "
+    f"FROM k, b WHERE k.cand IN (b.i, b.j)), {kit.lloyd('v', 'l', MAX_PASSES)}, h AS ({_SETTLING}), "
+    "g AS (SELECT *, abs(mean_error - lag(mean_error) OVER (ORDER BY iteration)) AS delta FROM h) "
+    f"SELECT iteration, {r('mean_error')} AS mean_error, {r('delta')} AS delta FROM g WHERE iteration <= "
+    f"coalesce((SELECT min(iteration) FROM g WHERE delta <= {SETTLED}), {MAX_PASSES})",
+)
 def kmeans_converged(spark, sf):
     """Data-driven seeds, passes until the mean error settles."""
     rows = fx.vectors(spark, sf)
     init = seeding.seed_two(rows, SAMPLE, CANDIDATES, TOLERANCE, SEED)
-    result = km.kmeans(rows, 2, init=init, min_delta=1e-4)
+    result = km.kmeans(rows, 2, max_iter=MAX_PASSES, init=init, min_delta=SETTLED)
     return result.history.select("iteration", rounded("mean_error").alias("mean_error"), rounded("delta").alias("delta"))
 
 

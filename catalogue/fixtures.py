@@ -14,7 +14,7 @@ _LABELS = {"ternary": "label % 3 - 1", "binary": "label % 2", "ten": "label"}
 
 def vectors(spark: SparkSession, sf: str, labels: str = "ternary") -> DataFrame:
     """``row_id, features, label`` from the embeddings (label -1/0/1, 0/1 or 0..9)."""
-    rows = read_vectors(spark, f"{sf}/embeddings.parquet", "vec_id", "embedding", "label")
+    rows = read_vectors(spark, f"{sf}/embeddings.parquet", "vec_id", "embedding", "label", "float")
     return rows.withColumn("label", F.expr(_LABELS[labels]).cast("int"))
 
 

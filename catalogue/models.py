@@ -44,22 +44,46 @@ def pca_lineitem(spark, sf):
     return pca.pca_frame(spark, model).agg(rounded(F.sum("variance") / 1e6, 4).alias("total_variance"))
 
 
-@query("pca_project_2d")
+@query(
+    "pca_project_2d",
+    f"WITH {fx.vectors_sql()}, {kit.principal('l', 2)} SELECT row_id, {r('sc1.x')} AS pc1, {r('sc2.x')} AS pc2, label "
+    "FROM sc1 JOIN sc2 USING (row_id) JOIN v USING (row_id)",
+)
 def pca_project_2d(spark, sf):
     rows = fx.vectors(spark, sf)
     found = pca.project_2d(rows, pca.fit_pca(rows, k=2, sample=None))
     return found.select("row_id", rounded("pc1").alias("pc1"), rounded("pc2").alias("pc2"), "label")
 
 
-@query("pca_saved")
+@query(
+    "pca_saved",
+    f"WITH {fx.vectors_sql()}, {kit.principal('l', 2)}, w AS (SELECT sum(x) AS trace FROM q1_0 WHERE i = j) "
+    f"SELECT 0 AS component, {r('value')} AS variance, {r('value / trace')} AS ratio FROM lam1, w UNION ALL "
+    f"SELECT 1, {r('value')}, {r('value / trace')} FROM lam2, w",
+)
 def pca_saved(spark, sf):
+    """Variances of a model after writing and reading its table."""
     rows = fx.vectors(spark, sf)
     path = scratch(spark, "pca")
-    pca.save_pca(spark, pca.fit_pca(rows, k=5, sample=None), path)
-    frame = pca.pca_frame(spark, pca.load_pca(spark, path))
+    pca.save_pca(spark, pca.fit_pca(rows, k=2, sample=None), path)
+    frame = pca.pca_frame(spark, pca.load_pca(spark, path)).filter("component >= 0")
     return frame.select("component", rounded("variance").alias("variance"), rounded("ratio").alias("ratio"))
 
 
+@query(
+    "pca_sampled",
+    f"WITH {fx.ORDERS_SQL}, s AS MATERIALIZED ({kit.drawn('v', '1000', '4')}), "
+    "l1 AS (SELECT row_id, generate_subscripts(features, 1) - 1 AS feature, unnest(features) AS x FROM s), "
+    f"{kit.principal('l1', 1)}, p AS (SELECT l.row_id, sum((l.x - mean) * e1.x) AS x FROM l JOIN mu USING (feature) "
+    f"JOIN e1 USING (feature) GROUP BY l.row_id) SELECT row_id, {r('x', 3)} AS pc1 FROM p",
+)
+def pca_sampled(spark, sf):
+    """Fitted on an exact sample, applied to every row."""
+    rows = fx.orders(spark, sf)
+    scores = pca.transform_pca(rows, pca.fit_pca(rows, k=1, sample=1000, seed=4))
+    return scores.select("row_id", rounded(F.col("features")[0], 3).alias("pc1"))
+
+
 # -- nearest neighbours -------------------------------------------------------------------
 
 _KNN_SQL = (
@@ -115,6 +139,36 @@ def pca_knn_scores(spark, sf):
     return found.select(*[rounded(c).alias(c) for c in ("precision_macro", "recall_macro", "f1_macro")])
 
 
+_KNN_2D_SQL = (
+    f"{fx.vectors_sql('binary')}, s AS MATERIALIZED ({kit.split('v', 0.1, 'knn')}), "
+    "l1 AS (SELECT l.* FROM l JOIN s USING (row_id) WHERE NOT held), "
+    f"{kit.principal('l1', 2)}, "
+    "z AS MATERIALIZED (SELECT l.row_id, [sum((l.x - mean) * e1.x), sum((l.x - mean) * e2.x)] AS features FROM l "
+    "JOIN mu USING (feature) JOIN e1 USING (feature) JOIN e2 USING (feature) GROUP BY l.row_id), "
+    "n AS (SELECT q.row_id, t.row_id AS neighbour, s.label, row_number() OVER (PARTITION BY q.row_id ORDER BY "
+    "list_distance(q.features, t.features), t.row_id) AS rank FROM z q JOIN s sq ON sq.row_id = q.row_id AND sq.held, "
+    "z t JOIN s ON s.row_id = t.row_id AND NOT s.held QUALIFY rank <= 5), "
+    "b AS (SELECT row_id, label, count(*) AS n FROM n GROUP BY ALL), "
+    "w AS (SELECT row_id, label AS predicted, row_number() OVER (PARTITION BY row_id ORDER BY n DESC, label) AS place FROM b), "
+    "p AS (SELECT v.label, w.predicted FROM w JOIN v USING (row_id) WHERE place = 1), "
+    "pc AS (SELECT class, "
+    "coalesce((SELECT avg(CAST(label = class AS INTEGER)) FROM p WHERE predicted = class), 0) AS prec, "
+    "coalesce((SELECT avg(CAST(predicted = class AS INTEGER)) FROM p WHERE label = class), 0) AS rec "
+    "FROM (SELECT unnest([0, 1]) AS class)), "
+    "pf AS (SELECT *, CASE WHEN prec + rec > 0 THEN 2 * prec * rec / (prec + rec) ELSE 0 END AS f FROM pc)"
+)
+
+
+@query(
+    "pca_knn_2d",
+    f"WITH {_KNN_2D_SQL} SELECT {r('avg(prec)')} AS precision_macro, {r('avg(rec)')} AS recall_macro, {r('avg(f)')} AS f1_macro FROM pf",
+)
+def pca_knn_2d(spark, sf):
+    training, validation = _sets(spark, sf)
+    found = jobs.classifier_scores(jobs.pca_knn(training, validation, components=2, sample=None))
+    return found.select(*[rounded(c).alias(c) for c in ("precision_macro", "recall_macro", "f1_macro")])
+
+
 # -- network ------------------------------------------------------------------------------
 
 HIDDEN_UNITS = 8

@@ -65,3 +65,41 @@ def contingency(assignment: str, labels: str, name: str, k: int) -> str:
 
 BALANCE = "min(n0 + n1) / nullif(CAST(max(n0 + n1) AS DOUBLE), 0)"
 PURITY = "1 - least(n0, n1) / nullif(CAST(greatest(n0, n1) AS DOUBLE), 0)"
+
+
+def principal(long: str, k: int, squarings: int = 14) -> str:
+    """``e1 .. e<k>(feature, x)`` and ``lam1 .. (value)``: leading eigenvectors of the covariance.
+
+    Repeated squaring of the covariance (scaled by its trace) leaves the leading vector; the
+    next one comes from the matrix with that component taken out. The largest loading is
+    made positive.
+    """
+    parts = [
+        f"mu AS MATERIALIZED (SELECT feature, avg(x) AS mean FROM {long} GROUP BY feature)",
+        f"ctr AS MATERIALIZED (SELECT row_id, feature, x - mean AS x FROM {long} JOIN mu USING (feature))",
+        "q1_0 AS MATERIALIZED (SELECT a.feature AS i, b.feature AS j, sum(a.x * b.x) / (count(*) - 1) AS x "
+        "FROM ctr a JOIN ctr b USING (row_id) GROUP BY a.feature, b.feature)",
+    ]
+    for c in range(1, k + 1):
+        for step in range(1, squarings + 1):
+            old = f"q{c}_{step - 1}"
+            parts.append(
+                f"q{c}_{step} AS MATERIALIZED (SELECT a.i, b.j, sum(a.x * b.x) / any_value(t.trace) / any_value(t.trace) AS x "
+                f"FROM {old} a JOIN {old} b ON a.j = b.i, (SELECT sum(x) AS trace FROM {old} WHERE i = j) t GROUP BY a.i, b.j)"
+            )
+        last = f"q{c}_{squarings}"
+        parts += [
+            # The column of the largest diagonal entry is the best-conditioned copy of the vector.
+            f"d{c} AS (SELECT i AS feature, x FROM {last} WHERE j = (SELECT j FROM {last} WHERE i = j ORDER BY x DESC, i LIMIT 1))",
+            f"e{c} AS MATERIALIZED (SELECT feature, x / sqrt((SELECT sum(x * x) FROM d{c})) * "
+            f"(SELECT sign(x) FROM d{c} ORDER BY abs(x) DESC, feature LIMIT 1) AS x FROM d{c})",
+            f"lam{c} AS MATERIALIZED (SELECT sum(q.x * a.x * b.x) AS value FROM q{c}_0 q JOIN e{c} a ON a.feature = q.i "
+            f"JOIN e{c} b ON b.feature = q.j)",
+            f"q{c + 1}_0 AS MATERIALIZED (SELECT q.i, q.j, q.x - (SELECT value FROM lam{c}) * a.x * b.x AS x "
+            f"FROM q{c}_0 q JOIN e{c} a ON a.feature = q.i JOIN e{c} b ON b.feature = q.j)",
+        ]
+    for c in range(1, k + 1):
+        parts.append(
+            f"sc{c} AS MATERIALIZED (SELECT row_id, sum(ctr.x * e{c}.x) AS x FROM ctr JOIN e{c} USING (feature) GROUP BY row_id)"
+        )
+    return ", ".join(parts)

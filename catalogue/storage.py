@@ -51,6 +51,15 @@ def zip_labels(spark, sf):
     return raw.zip_labels(x, y).select("row_id", "label", rounded(F.col("features")[0]).alias("first"))
 
 
+@query("read_labelled", f"WITH {fx.vectors_sql()} SELECT row_id, label, {r('features[1]')} AS first FROM v")
+def read_labelled(spark, sf):
+    """Features and labels aligned by position during the scan."""
+    rows = fx.vectors(spark, sf)
+    y = _written(spark, sf, "y", rows.withColumn("features", F.array(F.col("label").cast("float"))))
+    found = raw.read_labelled(spark, _written(spark, sf, "x", rows), y, 64, partition_bytes=SPAN_BYTES)
+    return found.select("row_id", "label", rounded(F.col("features")[0]).alias("first"))
+
+
 @query(
     "write_counts",
     f"WITH {fx.vectors_sql()}, {kit.seeds('v', 4, 'write')}, {kit.assigned('v', 'c0', 'a')} "
@@ -103,7 +112,7 @@ def write_raw_dataset(spark, sf):
     path = scratch(spark, "dataset")
     jobs.prepare_dataset(fx.vectors(spark, sf), path, 0.1, "data", raw=True)
     parts = [
-        raw.zip_labels(raw.read_matrix(spark, f"{path}/X{name}", 64), raw.read_labels(spark, f"{path}/Y{name}")).select(
+        raw.read_labelled(spark, f"{path}/X{name}", f"{path}/Y{name}", 64).select(
             F.lit(name).alias("name"), "row_id", "label", rounded(F.col("features")[63]).alias("last")
         )
         for name in ("training", "validation")
@@ -119,7 +128,8 @@ def write_raw_dataset(spark, sf):
 )
 def write_masked(spark, sf):
     path = scratch(spark, "masked")
-    tables.write_masked(fx.vectors(spark, sf), MASK, path, raw=True)
+    source = raw.read_matrix(spark, _written(spark, sf, "wide"), 64, partition_bytes=SPAN_BYTES)
+    tables.write_masked(source, MASK, path, raw=True, ordered=True)
     return long(raw.read_matrix(spark, path, len(MASK)), "row_id")
 
 

@@ -60,3 +60,19 @@ def centroid_frame(spark: SparkSession, means: np.ndarray | Sequence) -> DataFra
         (i, None if np.isnan(m).all() else m.tolist()) for i, m in enumerate(np.asarray(means, dtype=np.float64))
     ]
     return local_frame(spark, rows, CENTROID_SCHEMA)
+
+
+# Rows of a lookup table that may be collected and broadcast.
+LOOKUP_ROWS = 1_000_000
+
+
+def lookup(table: DataFrame) -> DataFrame:
+    """A lookup side for a join: broadcast from a local relation if its rows are few, else as it is.
+
+    The table is computed once, here. Spark's own estimate for an aggregate is the size of
+    its input, so without this the large side of the join would be shuffled by a skewed key.
+    """
+    rows = table.limit(LOOKUP_ROWS + 1).toArrow()
+    if rows.num_rows > LOOKUP_ROWS:
+        return table
+    return F.broadcast(table.sparkSession.createDataFrame(rows))

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vectrove.operators.centroids import local_frame
+from vectrove.operators.centroids import local_frame, lookup
 
 TERNARY = (-1, 0, 1)
 
@@ -39,7 +39,8 @@ def majority_label(
     if k is None:
         return voted
     ids = assigned.sparkSession.range(k).select(F.col("id").cast("int").alias("cluster"))
-    return ids.join(F.broadcast(voted), "cluster", "left").select(
+    known = voted.filter(F.col("cluster").between(0, k - 1))  # at most k rows
+    return ids.join(F.broadcast(known), "cluster", "left").select(
         "cluster", F.coalesce("majority", F.lit(min(labels))).alias("majority")
     )
 
@@ -47,10 +48,11 @@ def majority_label(
 def relabel(assigned: DataFrame, majority: DataFrame, cluster: str = "cluster") -> DataFrame:
     """Add ``predicted``: the majority label of the row's cluster (cluster itself if unmapped).
 
-    The lookup has one row per cluster; Spark broadcasts it when it is small enough.
+    The lookup has one row per cluster and is broadcast, so rows stay where they are however
+    uneven the clusters.
     """
-    lookup = majority.select(F.col("cluster").alias(cluster), F.col("majority").alias("predicted"))
-    return assigned.join(lookup, cluster, "left").withColumn(
+    names = lookup(majority.select(F.col("cluster").alias(cluster), F.col("majority").alias("predicted")))
+    return assigned.join(names, cluster, "left").withColumn(
         "predicted", F.coalesce("predicted", F.col(cluster).cast("int"))
     )
 
@@ -84,7 +86,8 @@ def class_scores(
     )
     if labels is not None:
         wanted = local_frame(df.sparkSession, [(int(v),) for v in labels], "class int")
-        per_class = wanted.join(F.broadcast(per_class), "class", "left").na.fill(0)
+        known = per_class.filter(F.col("class").isin(list(labels)))  # at most one row per label
+        per_class = wanted.join(F.broadcast(known), "class", "left").na.fill(0)
 
     def share(part: str, whole: str):
         return F.when(F.col(whole) > 0, F.col(part) / F.col(whole)).otherwise(0.0)
@@ -129,7 +132,7 @@ def confusion_matrix(
 ) -> DataFrame:
     """``truth, p_<label>...``: rows are truth, columns prediction, every label present."""
     labels = [int(v) for v in labels]
-    counts = _pairs(df, truth, predicted)
+    counts = _pairs(df.filter(F.col(truth).isin(labels)), truth, predicted)
     wide = counts.groupBy("a").agg(
         *[F.sum(F.when(F.col("b") == v, F.col("n")).otherwise(0)).alias(_column(v)) for v in labels]
     )
@@ -154,7 +157,8 @@ def contingency(assigned: DataFrame, k: int | None = None, cluster: str = "clust
     if k is None:
         return counts
     ids = assigned.sparkSession.range(k).select(F.col("id").cast("int").alias("cluster"))
-    return ids.join(F.broadcast(counts), "cluster", "left").na.fill(0)
+    known = counts.filter(F.col("cluster").between(0, k - 1))  # at most k rows
+    return ids.join(F.broadcast(known), "cluster", "left").na.fill(0)
 
 
 def balance_score(table: DataFrame) -> DataFrame:

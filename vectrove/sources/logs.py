@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from vectrove.operators.centroids import lookup
+
 # What marks a progress line, and the layout of its metrics.
 PROGRESS = "===="
 LEFTOVER = "==="
@@ -31,7 +33,7 @@ def read_training_log(spark: SparkSession, path: str) -> DataFrame:
 
     Lines are numbered without sorting them or moving them to one task: a line's number is
     its place inside its file split plus the lines of the splits before it, and only the
-    per-split counts are put in order.
+    per-split counts (one row per file split) are put in order.
     """
     lines = spark.read.text(path).select(
         F.col("value").alias("line"),
@@ -42,7 +44,7 @@ def read_training_log(spark: SparkSession, path: str) -> DataFrame:
     splits = parsed.groupBy("file", "start").agg(F.count(F.lit(1)).alias("n"), F.min("at").alias("first"))
     before = Window.orderBy("file", "start").rowsBetween(Window.unboundedPreceding, -1)
     offsets = splits.select("file", "start", "first", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
-    return parsed.join(offsets, ["file", "start"]).select(
+    return parsed.join(lookup(offsets), ["file", "start"]).select(
         (F.col("offset") + F.col("at") - F.col("first")).alias("epoch"), *NAMES
     )
 

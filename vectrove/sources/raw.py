@@ -38,12 +38,13 @@ _SUFFIX = ".f32"
 
 @dataclass
 class Span(InputPartition):
-    """Consecutive rows of one file."""
+    """Consecutive rows of one file, and the pieces of the label files that belong to them."""
 
     path: str
     offset: int
     rows: int
     first_row: int
+    labels: tuple[tuple[str, int, int], ...] = ()  # (file, byte offset, floats)
 
 
 def _files(path: str) -> list[tuple[str, int]]:
@@ -88,22 +89,58 @@ def plan_spans(path: str, dim: int, n_rows: int | None, partition_bytes: int = P
     return spans
 
 
+def plan_labelled(
+    path: str, labels: str, dim: int, n_rows: int | None = None, partition_bytes: int = PARTITION_BYTES
+) -> list[Span]:
+    """Row ranges of a matrix, each with its range of the label vector; lengths must match."""
+    spans = plan_spans(path, dim, n_rows, partition_bytes)
+    pieces = plan_spans(labels, 1, n_rows, partition_bytes=1 << 62)
+    x_rows, y_rows = sum(s.rows for s in spans), sum(p.rows for p in pieces)
+    if x_rows != y_rows:
+        raise ValueError(f"{path} has {x_rows} rows, {labels} has {y_rows}")
+    at = 0
+    for span in spans:
+        last, found = span.first_row + span.rows, []
+        while pieces[at].first_row + pieces[at].rows <= span.first_row:
+            at += 1
+        for piece in pieces[at:]:
+            if piece.first_row >= last:
+                break
+            start = max(span.first_row, piece.first_row)
+            stop = min(last, piece.first_row + piece.rows)
+            found.append((piece.path, (start - piece.first_row) * FLOAT.itemsize, stop - start))
+        span.labels = tuple(found)
+    return spans
+
+
 class RawMatrixReader(DataSourceReader):
     def __init__(self, options):
         self.path = options["path"]
         self.dim = int(options["dim"])
         self.n_rows = int(options["n_rows"]) if options.get("n_rows") else None
         self.partition_bytes = int(options.get("partition_bytes", PARTITION_BYTES))
+        self.labels = options.get("labels")
 
     def partitions(self) -> list[Span]:
+        if self.labels:
+            return plan_labelled(self.path, self.labels, self.dim, self.n_rows, self.partition_bytes)
         return plan_spans(self.path, self.dim, self.n_rows, self.partition_bytes)
 
+    def _label_values(self, span: Span) -> np.ndarray:
+        files, _ = locate(self.labels)
+        parts = []
+        for path, offset, count in span.labels:
+            with files.open_input_file(path) as source:
+                parts.append(np.frombuffer(source.read_at(count * FLOAT.itemsize, offset), dtype=FLOAT))
+        return np.concatenate(parts).astype(np.int32)
+
     def read(self, partition: Span) -> Iterator[pa.RecordBatch]:
         if partition is None:  # an empty matrix has no span
             return
         files, _ = locate(self.path)
         row_bytes = self.dim * FLOAT.itemsize
         per_batch = max(1, BATCH_BYTES // row_bytes)
+        labels = self._label_values(partition) if self.labels else None
         with files.open_input_file(partition.path) as source:
             for done in range(0, partition.rows, per_batch):
                 rows = min(per_batch, partition.rows - done)
@@ -113,19 +150,23 @@ class RawMatrixReader(DataSourceReader):
                 values = np.frombuffer(data, dtype=FLOAT)
                 offsets = np.arange(rows + 1, dtype=np.int32) * self.dim
                 first = partition.first_row + done
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.arange(first, first + rows, dtype=np.int64)),
-                        pa.ListArray.from_arrays(pa.array(offsets), pa.array(values)),
-                    ],
-                    ["row_id", "features"],
-                )
+                columns = [
+                    pa.array(np.arange(first, first + rows, dtype=np.int64)),
+                    pa.ListArray.from_arrays(pa.array(offsets), pa.array(values)),
+                ]
+                names = ["row_id", "features"]
+                if labels is not None:
+                    columns.append(pa.array(labels[done : done + rows]))
+                    names.append("label")
+                yield pa.RecordBatch.from_arrays(columns, names)
 
 
 @dataclass
 class Part(WriterCommitMessage):
     temporary: str
     final: str
+    first: int | None
+    last: int | None
 
 
 class RawMatrixWriter(DataSourceArrowWriter):
@@ -142,24 +183,35 @@ class RawMatrixWriter(DataSourceArrowWriter):
         files.create_dir(inner, recursive=True)
         part = TaskContext.get().partitionId()
         temporary = f"{inner}/_attempt-{uuid.uuid4().hex}"
+        first = last = None
         with files.open_output_stream(temporary) as sink:
             for batch in iterator:
-                if len(batch):
-                    values = matrix(batch.column(batch.schema.get_field_index("features")))
-                    sink.write(np.ascontiguousarray(values, dtype=FLOAT).tobytes())
-        return Part(temporary, f"{inner}/part-{part:010d}{_SUFFIX}")
+                if not len(batch):
+                    continue
+                ids = batch.column(batch.schema.get_field_index("row_id")).to_numpy()
+                if (np.diff(ids) < 0).any() or (last is not None and ids[0] < last):
+                    raise ValueError("rows of a raw matrix must arrive in row_id order")
+                first, last = (int(ids[0]) if first is None else first), int(ids[-1])
+                values = matrix(batch.column(batch.schema.get_field_index("features")))
+                sink.write(np.ascontiguousarray(values, dtype=FLOAT).tobytes())
+        return Part(temporary, f"{inner}/part-{part:010d}{_SUFFIX}", first, last)
 
     def commit(self, messages: list[Part | None]) -> None:
         files, _ = locate(self.path)
+        parts = sorted((m for m in messages if m is not None), key=lambda m: m.final)
+        filled = [m for m in parts if m.first is not None]
+        if any(a.last > b.first for a, b in zip(filled, filled[1:])):
+            self.abort(messages)
+            raise ValueError("partitions of a raw matrix must follow row_id order")
         old = _files(self.path)
         if old and not self.overwrite:
+            self.abort(messages)
             raise FileExistsError(f"{self.path} already holds parts")
         for name, _size in old:
             if name.endswith(_SUFFIX):
                 files.delete_file(name)
-        for message in messages:
-            if message is not None:
-                files.move(message.temporary, message.final)
+        for part in parts:
+            files.move(part.temporary, part.final)
 
     def abort(self, messages: list[Part | None]) -> None:
         files, _ = locate(self.path)
@@ -174,7 +226,7 @@ class RawMatrixSource(DataSource):
         return FORMAT
 
     def schema(self) -> str:
-        return "row_id bigint, features array<float>"
+        return "row_id bigint, features array<float>" + (", label int" if self.options.get("labels") else "")
 
     def reader(self, schema: StructType) -> RawMatrixReader:
         return RawMatrixReader(self.options)
@@ -195,13 +247,37 @@ def read_matrix(
     return reader.load(path)
 
 
+def read_labelled(
+    spark: SparkSession,
+    path: str,
+    labels: str,
+    dim: int,
+    n_rows: int | None = None,
+    partition_bytes: int = PARTITION_BYTES,
+) -> DataFrame:
+    """``row_id, features, label`` of a matrix and its label vector, aligned while scanning.
+
+    A task reads the labels of its own row range, so aligning costs no join and no shuffle.
+    Different lengths are an error.
+    """
+    plan_labelled(path, labels, dim, n_rows)
+    spark.dataSource.register(RawMatrixSource)
+    reader = spark.read.format(FORMAT).option("dim", dim).option("partition_bytes", partition_bytes)
+    if n_rows is not None:
+        reader = reader.option("n_rows", n_rows)
+    return reader.option("labels", labels).load(path)
+
+
 def read_labels(spark: SparkSession, path: str, n_rows: int | None = None) -> DataFrame:
     """``row_id, label``: a label vector (one float per row)."""
     return read_matrix(spark, path, 1, n_rows).select("row_id", F.get("features", F.lit(0)).cast("int").alias("label"))
 
 
 def zip_labels(x: DataFrame, y: DataFrame, row_id: str = "row_id", check: bool = True) -> DataFrame:
-    """Align features and labels by ``row_id``. With ``check``, unequal row sets are an error."""
+    """Align two tables by ``row_id``. With ``check``, unequal row sets are an error.
+
+    For raw files :func:`read_labelled` does the same without a shuffle.
+    """
     if check:
         rows = (
             x.select(F.col(row_id), F.lit(1).alias("x"))
@@ -214,17 +290,19 @@ def zip_labels(x: DataFrame, y: DataFrame, row_id: str = "row_id", check: bool =
     return x.join(y, row_id)
 
 
-def write_matrix(df: DataFrame, path: str, features: str = "features", row_id: str = "row_id") -> None:
-    """Write vectors as float32 in ``row_id`` order, one part per range of rows."""
+def write_matrix(
+    df: DataFrame, path: str, features: str = "features", row_id: str = "row_id", ordered: bool = False
+) -> None:
+    """Write vectors as float32 in ``row_id`` order, one part per range of rows.
+
+    ``ordered`` says that the partitions already follow ``row_id`` (a raw matrix with only
+    row-wise operators on top) and saves the shuffle; the order is verified either way.
+    """
     df.sparkSession.dataSource.register(RawMatrixSource)
-    (
-        df.select(F.col(row_id).alias("row_id"), F.col(features).cast("array<float>").alias("features"))
-        .repartitionByRange("row_id")
-        .sortWithinPartitions("row_id")
-        .write.format(FORMAT)
-        .mode("overwrite")
-        .save(path)
-    )
+    rows = df.select(F.col(row_id).alias("row_id"), F.col(features).cast("array<float>").alias("features"))
+    if not ordered:
+        rows = rows.repartitionByRange("row_id").sortWithinPartitions("row_id")
+    rows.write.format(FORMAT).mode("overwrite").save(path)
 
 
 def write_assignments(assigned: DataFrame, path: str, cluster: str = "cluster", row_id: str = "row_id") -> DataFrame:

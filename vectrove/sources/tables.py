@@ -37,12 +37,12 @@ def read_dataset(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     return spark.read.parquet(f"{path}/training"), spark.read.parquet(f"{path}/validation")
 
 
-def write_masked(df: DataFrame, mask, path: str, raw: bool = False) -> None:
+def write_masked(df: DataFrame, mask, path: str, raw: bool = False, ordered: bool = False) -> None:
     """Write the table with its features projected to a mask."""
     from vectrove.operators.shape import mask_features
 
     narrow = mask_features(df, mask)
     if raw:
-        write_matrix(narrow, path)
+        write_matrix(narrow, path, ordered=ordered)
     else:
         narrow.write.mode("overwrite").parquet(path)
