@@ -54,6 +54,11 @@ def local_frame(spark: SparkSession, rows: Sequence[tuple], schema: str) -> Data
     return spark.createDataFrame(pa.Table.from_arrays(arrays, schema=target))
 
 
+def held(table: DataFrame) -> DataFrame:
+    """A parameter-sized table computed once and kept as a local relation."""
+    return table.sparkSession.createDataFrame(table.toArrow())
+
+
 def centroid_frame(spark: SparkSession, means: np.ndarray | Sequence) -> DataFrame:
     """``cluster, centroid``; the mean of an empty cluster is NULL."""
     rows = [

@@ -175,15 +175,26 @@ def purity_score(table: DataFrame) -> DataFrame:
     return table.select("cluster", (1.0 - F.least("n0", "n1") / F.when(most > 0, most)).alias("purity"))
 
 
-def trial_scores(assigned: DataFrame, k: int = 2) -> DataFrame:
-    """One row: ``balance`` and ``purity_0 .. purity_<k-1>`` of an assigned table."""
-    table = contingency(assigned, k)
-    rows = F.col("n0") + F.col("n1")
-    most = F.greatest("n0", "n1")
-    purity = 1.0 - F.least("n0", "n1") / F.when(most > 0, most)
-    return table.agg(
-        (F.min(rows) / F.when(F.max(rows) > 0, F.max(rows))).alias("balance"),
-        *[F.max(F.when(F.col("cluster") == c, purity)).alias(f"purity_{c}") for c in range(k)],
+def trial_scores(assigned: DataFrame, k: int = 2, cluster: str = "cluster", label: str = "label") -> DataFrame:
+    """One row: ``balance`` and ``purity_0 .. purity_<k-1>`` of an assigned table, in one aggregate."""
+
+    def count(c: int, value: int):
+        return F.count(F.when((F.col(cluster) == c) & (F.col(label) == value), 1))
+
+    names = [(f"n0_{c}", f"n1_{c}") for c in range(k)]
+    counts = assigned.filter(F.col(label) >= 0).agg(
+        *[count(c, value).alias(names[c][value]) for c in range(k) for value in (0, 1)]
+    )
+    rows = F.array(*[F.col(a) + F.col(b) for a, b in names])
+    most = F.array_max(rows)
+
+    def purity(a: str, b: str):
+        larger = F.greatest(a, b)
+        return 1.0 - F.least(a, b) / F.when(larger > 0, larger)
+
+    return counts.select(
+        (F.array_min(rows) / F.when(most > 0, most)).alias("balance"),
+        *[purity(a, b).alias(f"purity_{c}") for c, (a, b) in enumerate(names)],
     )
 
 

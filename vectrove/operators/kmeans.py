@@ -23,6 +23,7 @@ from vectrove.functions import kernels
 from vectrove.functions.vectors import matrix
 from vectrove.operators.centroids import as_matrix, centroid_frame, local_frame
 from vectrove.operators.neighbours import assign_clusters
+from vectrove.operators.reduce import spread
 from vectrove.operators.seeding import seed_many, seed_matrix, seed_two
 
 HISTORY_SCHEMA = "iteration int, mean_error double, delta double, seconds double"
@@ -178,7 +179,7 @@ def kmeans(
     vectors = df.select(features)
     cache = cache and not df.is_cached
     if cache:
-        vectors = vectors.persist(StorageLevel.MEMORY_AND_DISK)
+        vectors = spread(vectors).persist(StorageLevel.MEMORY_AND_DISK)
     history, previous = [], None
     try:
         for iteration in range(max(1, max_iter)):
@@ -248,7 +249,7 @@ def kmeans_freezing(
     vectors = df.select(features)
     cache = cache and not df.is_cached
     if cache:
-        vectors = vectors.persist(StorageLevel.MEMORY_AND_DISK)
+        vectors = spread(vectors).persist(StorageLevel.MEMORY_AND_DISK)
     settled_n, settled_sum = np.ones(k), seeds.copy()
     past, history, previous = [seeds], [], None
     try:

@@ -76,6 +76,25 @@ def sum_chunks(partials: DataFrame, size: int, tasks: int) -> np.ndarray:
     return out
 
 
+# Rows a task should have before moving some elsewhere pays.
+SPREAD_ROWS = 50_000
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """The input over all cores when it sits in fewer partitions (few files, one row group).
+
+    For inputs that are cached and passed over many times. Tables of many files stay as they
+    are: no shuffle.
+    """
+    parallel = df.sparkSession.sparkContext.defaultParallelism
+    row = (
+        df.select(F.spark_partition_id().alias("p")).groupBy("p").agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.count(F.lit(1)).alias("busy"), F.max("n").alias("most")).first()
+    )
+    crowded = row["busy"] * 2 <= parallel and (row["most"] or 0) > SPREAD_ROWS
+    return df.repartition(parallel) if crowded else df
+
+
 def few_tasks(df: DataFrame) -> tuple[DataFrame, int]:
     """The input on at most two tasks per core, without a shuffle, and that number.
 

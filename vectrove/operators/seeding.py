@@ -12,7 +12,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vectrove.operators.centroids import as_matrix
+from vectrove.operators.centroids import as_matrix, held
 from vectrove.operators.distance import (
     mean_distance_to_sample,
     number_candidates,
@@ -20,7 +20,7 @@ from vectrove.operators.distance import (
     similar_pairs,
 )
 from vectrove.operators.neighbours import nearest_point, point_distances
-from vectrove.operators.sample import sample_candidates, sample_exact
+from vectrove.operators.sample import draw_key, sample_exact
 
 SAMPLE_ROWS = 1000
 CANDIDATE_ROWS = 48
@@ -28,13 +28,12 @@ CANDIDATE_ROWS = 48
 
 @dataclass
 class Draw:
-    """A cached sample and its numbered candidates."""
+    """A cached sample, and its numbered candidates as a local relation."""
 
     sample: DataFrame
     candidates: DataFrame
 
     def release(self) -> None:
-        self.candidates.unpersist()
         self.sample.unpersist()
 
 
@@ -47,15 +46,18 @@ def draw(
     features: str = "features",
 ) -> Draw:
     """Sample the table, then the candidates out of the sample."""
+    if candidate_rows > sample_rows:
+        raise ValueError(f"cannot draw {candidate_rows} candidates out of {sample_rows} rows")
     table = df.select(F.col(row_id).alias("row_id"), F.col(features).alias("features"))
     sample = sample_exact(table, sample_rows, seed).persist()
-    candidates = number_candidates(sample_candidates(sample, candidate_rows, seed)).persist()
-    return Draw(sample, candidates)
+    # The sample has a parameter's number of rows: a plain top-n draws from it in one job.
+    drawn = sample.orderBy(draw_key(f"{seed}:candidates"), "row_id").limit(candidate_rows)
+    return Draw(sample, held(number_candidates(held(drawn))))
 
 
 def pair_potentials(candidates: DataFrame, sample: DataFrame, tolerance: float = 0.05) -> DataFrame:
     """``i, j, potential`` of every similar pair: ``|d(i, j) - (mean_i + mean_j) / 2|``."""
-    pairs = similar_pairs(mean_distance_to_sample(candidates, sample), tolerance)
+    pairs = similar_pairs(held(mean_distance_to_sample(candidates, sample)), tolerance)
     apart = pairwise_distances(candidates)
     middle = (F.col("mean_i") + F.col("mean_j")) / 2
     return pairs.join(apart, ["i", "j"]).select("i", "j", F.abs(F.col("distance") - middle).alias("potential"))
@@ -87,7 +89,7 @@ def seed_two(
         pair = best_pair(drawn.candidates, drawn.sample, tolerance).collect()
         if not pair:
             raise ValueError("no two candidates have similar mean distances")
-        return _materialise(_rows(drawn.candidates, [pair[0]["i"], pair[0]["j"]]))
+        return held(_rows(drawn.candidates, [pair[0]["i"], pair[0]["j"]]))
     finally:
         drawn.release()
 
@@ -149,7 +151,7 @@ def seed_many(
         if not chosen:
             return opening
         rest = _rows(drawn.candidates, chosen).withColumn("cluster", F.col("cluster") + 1)
-        return _materialise(opening.unionByName(rest))
+        return held(opening.unionByName(rest))
     finally:
         if measured is not None:
             measured.unpersist()
@@ -162,11 +164,6 @@ def _seed_schema(table: DataFrame) -> str:
     )
 
 
-def _materialise(seeds: DataFrame) -> DataFrame:
-    """``k`` rows held as a local relation, so later passes do not repeat the draw."""
-    return seeds.sparkSession.createDataFrame(seeds.orderBy("cluster").collect(), seeds.schema)
-
-
 def seed_matrix(seeds: DataFrame) -> np.ndarray:
     """Seed rows as a ``k x d`` array."""
     return as_matrix(seeds, "cluster", "features", bounded=True)

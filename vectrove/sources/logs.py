@@ -11,7 +11,9 @@ from vectrove.operators.centroids import lookup
 PROGRESS = "===="
 LEFTOVER = "==="
 NAMES = ("loss", "accuracy", "val_loss", "val_accuracy")
-PATTERN = r"^.*loss: ([^ ]*) - accuracy: ([^ ]*) - val_loss: ([^ ]*) - val_accuracy: ([^ ]*)"
+PATTERN = r"^.*loss: ([^ ]*) - accuracy: ([^ ]*) - val_loss: ([^ ]*) - val_accuracy: ([^ ]*)(.*)$"
+# Starts what the pattern produced, so that an unmatched line cannot pass for it.
+MARK = "\u0001"
 PLOTTED = {"loss": "loss", "accuracy": "accuracy", "eval_accuracy": "val_accuracy"}
 
 
@@ -21,11 +23,15 @@ def parse_training_log(lines: DataFrame, line: str = "line", keep: tuple[str, ..
     A progress line whose metrics are missing or not numbers is dropped.
     """
     text = F.col(line)
-    # A bar left over once the metrics are cut out marks a line where extraction failed.
-    leftover = F.regexp_replace(text, PATTERN, "")
-    extracted = lines.filter(text.contains(PROGRESS) & ~leftover.contains(LEFTOVER))
-    values = [F.regexp_extract(text, PATTERN, i + 1).try_cast("double").alias(n) for i, n in enumerate(NAMES)]
-    return extracted.select(*[F.col(c) for c in keep], *values).na.drop(subset=list(NAMES))
+    cut = F.split(F.regexp_replace(text, PATTERN, f"{MARK} $1 $2 $3 $4 $5"), " ", 6)
+    # The generator keeps Catalyst from repeating the regular expression for every use below.
+    parts = lines.filter(text.contains(PROGRESS)).select(
+        *[F.col(c) for c in keep], F.explode(F.array(cut)).alias("parts")
+    )
+    # A bar left over behind the metrics marks a line where extraction failed.
+    matched = parts.filter((F.get("parts", F.lit(0)) == MARK) & ~F.get("parts", F.lit(5)).contains(LEFTOVER))
+    values = [F.get("parts", F.lit(i + 1)).try_cast("double").alias(name) for i, name in enumerate(NAMES)]
+    return matched.select(*[F.col(c) for c in keep], *values).na.drop(subset=list(NAMES))
 
 
 def read_training_log(spark: SparkSession, path: str) -> DataFrame:
