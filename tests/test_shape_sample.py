@@ -141,3 +141,13 @@ def test_split_extremes(thousand, p):
     assert (training.count(), validation.count()) == (int(1000 * (1 - p)), int(1000 * p))
     with pytest.raises(ValueError):
         sample.train_validation_split(thousand, 1.5)
+
+
+def test_ids_from_elsewhere(thousand):
+    ids_only = thousand.select("row_id")
+    assert ids(sample.sample_exact(thousand, 33, 4, ids=ids_only)) == ids(sample.sample_exact(thousand, 33, 4))
+    assert ids(sample.train_validation_split(thousand, 0.2, 4, ids=ids_only)[1]) == ids(
+        sample.train_validation_split(thousand, 0.2, 4)[1]
+    )
+    assert ids(sample.sample_up_to(thousand, 5000, 1)) == list(range(1000))
+    assert ids(sample.sample_up_to(thousand, 12, 1)) == ids(sample.sample_exact(thousand, 12, 1))

@@ -41,12 +41,10 @@ class KMeansResult:
     iterations: int
 
 
-def _initial(df, k, init, seed, row_id, features) -> np.ndarray:
+def _initial(df, k, init, seed, row_id, features, ids=None) -> np.ndarray:
     if init is None:
-        choose = seed_two(df, seed=seed, row_id=row_id, features=features) if k == 2 else seed_many(
-            df, k, seed=seed, row_id=row_id, features=features
-        )
-        return seed_matrix(choose)
+        options = {"seed": seed, "row_id": row_id, "features": features, "ids": ids}
+        return seed_matrix(seed_two(df, **options) if k == 2 else seed_many(df, k, **options))
     if isinstance(init, DataFrame):
         vector = "centroid" if "centroid" in init.columns else "features"
         init = as_matrix(init, "cluster", vector)
@@ -166,16 +164,17 @@ def kmeans(
     cache: bool = True,
     features: str = "features",
     row_id: str = "row_id",
+    ids: DataFrame | None = None,
 ) -> KMeansResult:
     """Cluster until the mean error moves by at most ``min_delta`` or ``max_iter`` passes ran.
 
     At least one pass runs. Seeds come from ``init`` (array, or DataFrame ``cluster,
-    centroid|features``), else from :func:`seed_two` / :func:`seed_many`. An empty cluster
+    centroid|features``), else from :func:`seed_two` / :func:`seed_many` (``ids`` as there). An empty cluster
     loses its mean and is never chosen again. The input's vectors are cached on memory and
     disk for the passes unless ``df`` is cached already; ``cache=False`` rescans them, for inputs beyond the executors' disks.
     """
     spark = df.sparkSession
-    means = _initial(df, k, init, seed, row_id, features)
+    means = _initial(df, k, init, seed, row_id, features, ids)
     vectors = df.select(features)
     cache = cache and not df.is_cached
     if cache:

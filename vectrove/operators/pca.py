@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from vectrove.functions.vectors import lists, matrix, row_slices
 from vectrove.operators.centroids import local_frame
 from vectrove.operators.reduce import CHUNK_SCHEMA, chunks, few_tasks, sum_chunks
-from vectrove.operators.sample import sample_exact
+from vectrove.operators.sample import sample_up_to
 from vectrove.operators.stats import feature_partials
 
 # Covariance is formed and decomposed as one matrix; this bounds it to 800 MB.
@@ -77,11 +77,15 @@ def fit_pca(
     seed: int | str = 0,
     features: str = "features",
     row_id: str = "row_id",
+    ids: DataFrame | None = None,
 ) -> PCAModel:
-    """Fit on an exact sample of ``sample`` rows (all rows when ``None`` or the table is smaller)."""
+    """Fit on an exact sample of ``sample`` rows (all rows when ``None`` or the table is smaller).
+
+    ``ids`` as in :func:`vectrove.operators.sample.sample_exact`.
+    """
     fitted = df
-    if sample is not None and df.select(row_id).limit(sample + 1).count() > sample:
-        fitted = sample_exact(df, sample, seed, row_id)
+    if sample is not None:
+        fitted = sample_up_to(df, sample, seed, row_id, ids)
     vectors = fitted.select(features)
     if sample is not None:
         vectors = vectors.persist(StorageLevel.MEMORY_AND_DISK)

@@ -74,9 +74,23 @@ def find_cut(df: DataFrame, seed: int | str, size, row_id: str = "row_id") -> Cu
     return Cut(last["key"], last["id"])
 
 
-def sample_exact(df: DataFrame, n: int, seed: int | str, row_id: str = "row_id") -> DataFrame:
-    """Exactly ``n`` distinct rows, uniform over seeds; raises when the table is smaller."""
-    cut = find_cut(df, seed, n, row_id)
+def sample_exact(
+    df: DataFrame, n: int, seed: int | str, row_id: str = "row_id", ids: DataFrame | None = None
+) -> DataFrame:
+    """Exactly ``n`` distinct rows, uniform over seeds; raises when the table is smaller.
+
+    ``ids`` may hold the same row ids where they are cheaper to scan: Parquet reads the id
+    column alone, but a raw matrix is read whole, and its label vector is not.
+    """
+    cut = find_cut(df if ids is None else ids, seed, n, row_id)
+    return df.filter(cut.inside(draw_key(seed, row_id), F.col(row_id)))
+
+
+def sample_up_to(
+    df: DataFrame, n: int, seed: int | str, row_id: str = "row_id", ids: DataFrame | None = None
+) -> DataFrame:
+    """:func:`sample_exact`, or every row of a table that has fewer than ``n``."""
+    cut = find_cut(df if ids is None else ids, seed, lambda total: min(n, total), row_id)
     return df.filter(cut.inside(draw_key(seed, row_id), F.col(row_id)))
 
 
@@ -102,15 +116,20 @@ def random_block(df: DataFrame, n: int, seed: int | str, row_id: str = "row_id")
 
 
 def train_validation_split(
-    df: DataFrame, proportion: float = 0.1, seed: int | str = 0, row_id: str = "row_id"
+    df: DataFrame,
+    proportion: float = 0.1,
+    seed: int | str = 0,
+    row_id: str = "row_id",
+    ids: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """(training, validation): validation holds exactly ``int(N * proportion)`` rows.
 
-    Both sides are filters over ``df``; together they hold every row once.
+    Both sides are filters over ``df``; together they hold every row once. ``ids`` as in
+    :func:`sample_exact`.
     """
     if not 0.0 <= proportion <= 1.0:
         raise ValueError("proportion must lie in [0, 1]")
-    cut = find_cut(df, seed, lambda total: int(total * proportion), row_id)
+    cut = find_cut(df if ids is None else ids, seed, lambda total: int(total * proportion), row_id)
     drawn = cut.inside(draw_key(seed, row_id), F.col(row_id))
     return df.filter(~drawn), df.filter(drawn)
 

@@ -1,7 +1,8 @@
 """Data-driven k-means seeds, chosen among a few candidates judged on a sample.
 
 Sample and candidates are parameter-sized (defaults 1000 and 48 rows) whatever the table
-holds; drawing them costs id-only scans (operators/sample.py) and one filtered scan.
+holds; drawing them costs id-only scans (operators/sample.py) and one filtered scan. ``ids``
+may hold the row ids where they are cheaper to scan than in the table.
 """
 
 from __future__ import annotations
@@ -44,12 +45,13 @@ def draw(
     seed: int | str = 0,
     row_id: str = "row_id",
     features: str = "features",
+    ids: DataFrame | None = None,
 ) -> Draw:
     """Sample the table, then the candidates out of the sample."""
     if candidate_rows > sample_rows:
         raise ValueError(f"cannot draw {candidate_rows} candidates out of {sample_rows} rows")
     table = df.select(F.col(row_id).alias("row_id"), F.col(features).alias("features"))
-    sample = sample_exact(table, sample_rows, seed).persist()
+    sample = sample_exact(table, sample_rows, seed, ids=ids).persist()
     # The sample has a parameter's number of rows: a plain top-n draws from it in one job.
     drawn = sample.orderBy(draw_key(f"{seed}:candidates"), "row_id").limit(candidate_rows)
     return Draw(sample, held(number_candidates(held(drawn))))
@@ -82,9 +84,10 @@ def seed_two(
     seed: int | str = 0,
     row_id: str = "row_id",
     features: str = "features",
+    ids: DataFrame | None = None,
 ) -> DataFrame:
     """Two seeds ``cluster, row_id, features``; raises when no pair is similar."""
-    drawn = draw(df, sample_rows, candidate_rows, seed, row_id, features)
+    drawn = draw(df, sample_rows, candidate_rows, seed, row_id, features, ids)
     try:
         pair = best_pair(drawn.candidates, drawn.sample, tolerance).collect()
         if not pair:
@@ -108,6 +111,7 @@ def seed_many(
     seed: int | str = 0,
     row_id: str = "row_id",
     features: str = "features",
+    ids: DataFrame | None = None,
 ) -> DataFrame:
     """``k`` seeds: a drawn row, then per step the candidate of (lower) median potential.
 
@@ -115,10 +119,10 @@ def seed_many(
     Distances of the sample to all candidates are measured once; a step sums 48 columns.
     """
     table = df.select(F.col(row_id).alias("row_id"), F.col(features).alias("features"))
-    drawn = draw(table, sample_rows, candidate_rows, seed)
+    drawn = draw(table, sample_rows, candidate_rows, seed, ids=ids)
     measured = None
     try:
-        first = sample_exact(table, 1, f"{seed}:first").first()
+        first = sample_exact(table, 1, f"{seed}:first", ids=ids).first()
         points = as_matrix(drawn.candidates, "cand", "features", bounded=True)
         with_first = point_distances(drawn.sample, np.asarray([first["features"]]), name="to_first")
         measured = (

@@ -197,7 +197,7 @@ class RawMatrixWriter(DataSourceArrowWriter):
         return Part(temporary, f"{inner}/part-{part:010d}{_SUFFIX}", first, last)
 
     def commit(self, messages: list[Part | None]) -> None:
-        files, _ = locate(self.path)
+        files, inner = locate(self.path)
         parts = sorted((m for m in messages if m is not None), key=lambda m: m.final)
         filled = [m for m in parts if m.first is not None]
         if any(a.last > b.first for a, b in zip(filled, filled[1:])):
@@ -212,6 +212,10 @@ class RawMatrixWriter(DataSourceArrowWriter):
                 files.delete_file(name)
         for part in parts:
             files.move(part.temporary, part.final)
+        # What failed or repeated attempts of tasks have left.
+        for entry in files.get_file_info(fs.FileSelector(inner)):
+            if entry.base_name.startswith("_attempt-"):
+                files.delete_file(entry.path)
 
     def abort(self, messages: list[Part | None]) -> None:
         files, _ = locate(self.path)
