@@ -96,6 +96,21 @@ def test_partitioning_does_not_matter(vectors):
     np.testing.assert_allclose(centroids_of(runs[0]), centroids_of(runs[1]), rtol=1e-10)
 
 
+def test_crowded_input_is_spread_once(spark, monkeypatch):
+    from vectrove.operators import reduce as red
+
+    monkeypatch.setattr(red, "SPREAD_ROWS", 10)
+    crowded = spark.range(400).coalesce(1).selectExpr("array(cast(id as double)) AS features")
+    kept = red.cached(crowded)
+    sizes = [r["count"] for r in kept.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) == spark.sparkContext.defaultParallelism and sum(sizes) == 400
+    assert not crowded.is_cached
+    kept.unpersist()
+    wide = red.cached(spark.range(0, 400, 1, 8).selectExpr("array(cast(id as double)) AS features"))
+    assert "Exchange" not in plan(wide)
+    wide.unpersist()
+
+
 def test_hot_cluster(vectors):
     """Two thirds of all rows are copies of one vector."""
     x = np.vstack([np.tile([1.0, 2.0], (400, 1)), random_rows(200, 2, seed=5) + 8])

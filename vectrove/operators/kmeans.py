@@ -15,7 +15,6 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,7 +22,7 @@ from vectrove.functions import kernels
 from vectrove.functions.vectors import matrix
 from vectrove.operators.centroids import as_matrix, centroid_frame, local_frame
 from vectrove.operators.neighbours import assign_clusters
-from vectrove.operators.reduce import spread
+from vectrove.operators.reduce import cached, is_held
 from vectrove.operators.seeding import seed_many, seed_matrix, seed_two
 
 HISTORY_SCHEMA = "iteration int, mean_error double, delta double, seconds double"
@@ -176,9 +175,9 @@ def kmeans(
     spark = df.sparkSession
     means = _initial(df, k, init, seed, row_id, features, ids)
     vectors = df.select(features)
-    cache = cache and not df.is_cached
+    cache = cache and not (is_held(df) or is_held(vectors))
     if cache:
-        vectors = spread(vectors).persist(StorageLevel.MEMORY_AND_DISK)
+        vectors = cached(vectors)
     history, previous = [], None
     try:
         for iteration in range(max(1, max_iter)):
@@ -246,9 +245,9 @@ def kmeans_freezing(
     seeds = _initial(df, None, init, None, None, features)
     k, width = seeds.shape
     vectors = df.select(features)
-    cache = cache and not df.is_cached
+    cache = cache and not (is_held(df) or is_held(vectors))
     if cache:
-        vectors = spread(vectors).persist(StorageLevel.MEMORY_AND_DISK)
+        vectors = cached(vectors)
     settled_n, settled_sum = np.ones(k), seeds.copy()
     past, history, previous = [seeds], [], None
     try:

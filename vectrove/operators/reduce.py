@@ -12,6 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -80,19 +81,30 @@ def sum_chunks(partials: DataFrame, size: int, tasks: int) -> np.ndarray:
 SPREAD_ROWS = 50_000
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """The input over all cores when it sits in fewer partitions (few files, one row group).
+def is_held(df: DataFrame) -> bool:
+    """Whether the caller has cached this table already."""
+    level = df.storageLevel
+    return level.useMemory or level.useDisk
 
-    For inputs that are cached and passed over many times. Tables of many files stay as they
-    are: no shuffle.
+
+def cached(df: DataFrame) -> DataFrame:
+    """The input on memory and disk for repeated passes; the caller unpersists it.
+
+    A table that sits in a few crowded partitions (few files, one row group) is spread over
+    the cores once. One of many files stays where it is: no shuffle.
     """
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
     parallel = df.sparkSession.sparkContext.defaultParallelism
     row = (
-        df.select(F.spark_partition_id().alias("p")).groupBy("p").agg(F.count(F.lit(1)).alias("n"))
+        kept.select(F.spark_partition_id().alias("p")).groupBy("p").agg(F.count(F.lit(1)).alias("n"))
         .agg(F.count(F.lit(1)).alias("busy"), F.max("n").alias("most")).first()
     )
-    crowded = row["busy"] * 2 <= parallel and (row["most"] or 0) > SPREAD_ROWS
-    return df.repartition(parallel) if crowded else df
+    if row["busy"] * 2 > parallel or (row["most"] or 0) <= SPREAD_ROWS:
+        return kept
+    even = kept.repartition(parallel).persist(StorageLevel.MEMORY_AND_DISK)
+    even.count()
+    kept.unpersist()
+    return even
 
 
 def few_tasks(df: DataFrame) -> tuple[DataFrame, int]:
