@@ -24,3 +24,28 @@ def op7_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     from vectrove.llm.tokens import count_tokens
 
     return count_tokens(table(spark, sf, "documents"))
+
+
+@query
+def op5_sentencepiece(spark: SparkSession, sf: str) -> DataFrame:
+    from vectrove.llm.pieces import piece_tokens
+
+    return piece_tokens(table(spark, sf, "documents"))
+
+
+@query
+def op2_token_records(spark: SparkSession, sf: str) -> DataFrame:
+    from vectrove.llm.common import scratch
+    from vectrove.llm.records import read_token_records, record_index, write_token_records
+
+    root = scratch(spark, "records")
+    write_token_records(table(spark, sf, "documents"), root)
+    rows = read_token_records(record_index(spark, root), root, with_ids=False)
+    return rows.select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+@query
+def op9_packing(spark: SparkSession, sf: str) -> DataFrame:
+    from vectrove.llm.packing import pack_documents
+
+    return pack_documents(table(spark, sf, "documents"))

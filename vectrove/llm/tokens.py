@@ -52,33 +52,7 @@ class Merges:
         keep = np.append(True, np.diff(keys[order]) != 0)  # the first rank of a pair counts
         order = order[keep]
         self.keys, self.ranks, self.merged = keys[order], order.astype(np.int64), merged[order]
-        # A perfect table of the pairs of single bytes and a hash table for all others.
-        bits = 18
-        self.shift = np.uint64(64 - bits)
-        self.table = np.full((1 << bits, 4), -1, np.int32)
-        self.deep = 4
-        fill = np.zeros(1 << bits, np.int32)
-        for at, slot in enumerate(self._slot(self.keys).tolist()):
-            if fill[slot] < self.deep:
-                self.table[slot, fill[slot]] = at
-            fill[slot] += 1
-        self.full = bool((fill > self.deep).any())
-
-    def _slot(self, keys: np.ndarray) -> np.ndarray:
-        return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
-
-    def find(self, keys: np.ndarray) -> np.ndarray:
-        """Index of each pair in the merge table, -1 for none."""
-        if self.full:
-            at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-            return np.where(self.keys[at] == keys, at, -1)
-        rows = self.table[self._slot(keys)]
-        found = np.full(len(keys), -1, np.int64)
-        for place in range(self.deep):
-            at = rows[:, place]
-            hit = (at >= 0) & (self.keys[at] == keys)
-            found[hit] = at[hit]
-        return found
+        self.find = units.PairTable(self.keys).find
 
 
 def merged_lengths(pre_tokens: list[bytes], merges: Merges) -> np.ndarray:

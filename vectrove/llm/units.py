@@ -159,6 +159,40 @@ class Joinable:
         return start
 
 
+class PairTable:
+    """Index of integer keys: :meth:`find` gives the place of each key, -1 for none."""
+
+    BITS, DEEP = 18, 4
+
+    def __init__(self, keys: np.ndarray):
+        self.keys = keys
+        slots = self._slot(keys)
+        order = np.argsort(slots, kind="stable")
+        ranked = slots[order]
+        depth = np.arange(len(keys)) - np.searchsorted(ranked, ranked)
+        self.deep = int(depth.max(initial=0)) + 1
+        self.table = np.full((self.deep, 1 << self.BITS), -1, np.int32)
+        self.table[depth, ranked] = order
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.BITS)).astype(np.int64)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        slots = self._slot(keys)
+        found = np.full(len(keys), -1, np.int64)
+        todo = np.arange(len(keys))
+        for level in self.table:
+            at = level[slots]
+            filled = at >= 0
+            hit = filled & (self.keys[at] == keys)
+            found[todo[hit]] = at[hit]
+            go = filled & ~hit
+            if not go.any():
+                break
+            todo, slots, keys = todo[go], slots[go], keys[go]
+        return found
+
+
 class Memo:
     """Values of units, by hash, kept in a worker between batches.
 
@@ -169,65 +203,68 @@ class Memo:
     def __init__(self, compute: Callable[[list[str]], list], limit: int = 1_500_000):
         self.compute, self.limit, self.known = compute, limit, {}
 
-    def values(self, keys: np.ndarray, unit_of: Callable[[int], str]) -> list:
+    def fill(self, parts: list[Chunk]) -> list[list]:
+        """The values of each chunk's units; all new ones of the batch are computed at once."""
         known = self.known
-        names = keys.tolist()
-        out = [known.get(k) for k in names]
-        new = [i for i, v in enumerate(out) if v is None]
+        new: dict[int, str] = {}
+        for part in parts:
+            for i, k in enumerate(part.keys):
+                if k not in known and k not in new:
+                    new[k] = part.unit(i)
         if new:
             if len(known) + len(new) > self.limit:
                 known.clear()
-            for i, value in zip(new, self.compute([unit_of(i) for i in new]), strict=True):
-                out[i] = known[names[i]] = value
-        return out
-
-
-def cut_texts(
-    texts: Sequence[str], starts_of: Callable[[np.ndarray, str, np.ndarray], np.ndarray]
-) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray, Callable[[int], str]]]:
-    """Chunk by chunk: first and end text, number of units per text, the unit of each place
-    (an index into the different ones), their hashes, and a way to get one as a string."""
-    for a, b in chunks(texts):
-        text = "".join(texts[a:b])
-        lengths = np.array([len(t) for t in texts[a:b]], np.int64)
-        if not text:
-            yield a, b, np.zeros(b - a, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64), str
-            continue
-        ends = np.cumsum(lengths)
-        cuts = (ends - lengths)[lengths > 0]
-        codes = code_points(text)
-        starts = np.flatnonzero(starts_of(codes, text, cuts))
-        places, keys = pd.factorize(hashes(codes, starts))
-        firsts = np.empty(len(keys), np.int64)
-        firsts[places[::-1]] = np.arange(len(places) - 1, -1, -1)
-        bounds = np.append(starts, len(codes))
-        per_text = np.diff(np.searchsorted(starts, np.concatenate([[0], ends])))
-
-        def unit_of(i: int, text=text, firsts=firsts, bounds=bounds) -> str:
-            at = firsts[i]
-            return text[bounds[at] : bounds[at + 1]]
-
-        yield a, b, per_text, places, keys, unit_of
+                new = {k: part.unit(i) for part in parts for i, k in enumerate(part.keys)}
+            known.update(zip(new, self.compute(list(new.values())), strict=True))
+        return [list(map(known.__getitem__, part.keys)) for part in parts]
+
+
+class Chunk:
+    """Some texts cut into units: ``places`` has the unit of each place, an index into ``keys``."""
+
+    def __init__(self, texts: Sequence[str], starts_of: Callable[[np.ndarray, str, np.ndarray], np.ndarray]):
+        self.text = "".join(texts)
+        lengths = np.array([len(t) for t in texts], np.int64)
+        self.per_text, self.places, self.keys = np.zeros(len(texts), np.int64), np.zeros(0, np.int64), []
+        if self.text:
+            ends = np.cumsum(lengths)
+            codes = code_points(self.text)
+            starts = np.flatnonzero(starts_of(codes, self.text, (ends - lengths)[lengths > 0]))
+            self.places, keys = pd.factorize(hashes(codes, starts))
+            self.keys = keys.tolist()
+            self.firsts = np.empty(len(keys), np.int64)
+            self.firsts[self.places[::-1]] = np.arange(len(self.places) - 1, -1, -1)
+            bounds = np.append(starts, len(codes))
+            self.span = np.stack([bounds[self.firsts], bounds[self.firsts + 1]], 1).tolist()
+            self.per_text = np.diff(np.searchsorted(starts, np.concatenate([[0], ends])))
+
+    def unit(self, i: int) -> str:
+        a, b = self.span[i]
+        return self.text[a:b]
+
+
+def cut_texts(texts: Sequence[str], starts_of) -> list[Chunk]:
+    return [Chunk(texts[a:b], starts_of) for a, b in chunks(texts)]
 
 
 def counted(texts: Sequence[str], starts_of, memo: Memo) -> np.ndarray:
     """Sum of the memo's values over the units of each text."""
-    out = np.zeros(len(texts), np.int64)
-    for a, b, per_text, places, keys, unit_of in cut_texts(texts, starts_of):
-        if len(places):
-            each = np.array(memo.values(keys, unit_of), np.int64)[places]
-            total = np.concatenate([[0], np.cumsum(each)])
-            ends = np.cumsum(per_text)
-            out[a:b] = total[ends] - total[ends - per_text]
-    return out
+    out = [np.zeros(0, np.int64)]
+    parts = cut_texts(texts, starts_of)
+    for part, values in zip(parts, memo.fill(parts), strict=True):
+        each = np.array(values, np.int64)[part.places]
+        total = np.concatenate([[0], np.cumsum(each)])
+        ends = np.cumsum(part.per_text)
+        out.append(total[ends] - total[ends - part.per_text])
+    return np.concatenate(out)
 
 
 def joined(texts: Sequence[str], starts_of, memo: Memo) -> Iterator[bytes]:
     """The memo's values (bytes) of the units of each text, in order, as one string of bytes."""
-    for _, _, per_text, places, keys, unit_of in cut_texts(texts, starts_of):
-        each = memo.values(keys, unit_of) if len(places) else []
-        order = places.tolist()
+    parts = cut_texts(texts, starts_of)
+    for part, each in zip(parts, memo.fill(parts), strict=True):
+        order = part.places.tolist()
         at = 0
-        for n in per_text.tolist():
+        for n in part.per_text.tolist():
             yield b"".join(map(each.__getitem__, order[at : at + n]))
             at += n
