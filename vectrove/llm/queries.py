@@ -49,3 +49,11 @@ def op9_packing(spark: SparkSession, sf: str) -> DataFrame:
     from vectrove.llm.packing import pack_documents
 
     return pack_documents(table(spark, sf, "documents"))
+
+
+@query
+def op8_quality(spark: SparkSession, sf: str) -> DataFrame:
+    from vectrove.llm.quality import fit_quality, score_quality
+
+    docs = table(spark, sf, "documents")
+    return score_quality(docs, fit_quality(docs, table(spark, sf, "labels")))

@@ -50,12 +50,17 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _tables["power"], _tables["inverse"]
 
 
-def hashes(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each run of ``values`` between consecutive ``starts``."""
+def hashes(values: np.ndarray, starts: np.ndarray, skip: np.ndarray | None = None) -> np.ndarray:
+    """A 64-bit hash of each run of ``values`` between consecutive ``starts``.
+
+    ``skip`` marks values at the end of a run that don't count.
+    """
     power, inverse = _powers(len(values))
     terms = values.astype(np.uint64)
     terms += np.uint64(0x51ED)
     terms *= power[: len(values)]
+    if skip is not None:
+        terms[skip] = 0
     sums = np.add.reduceat(terms, starts)
     sums *= inverse[starts]
     return mixed(sums)
