@@ -15,6 +15,8 @@ import pandas as pd
 
 #: Characters handled at a time; a longer text makes a longer chunk of its own.
 CHUNK = 500_000
+#: Chunks whose new units are worked out together.
+TOGETHER = 12
 _P = 0x9E3779B97F4A7C55  # odd, so it has an inverse modulo 2**64
 SPACE, LETTER, NUMBER, OTHER = 0, 1, 2, 3
 
@@ -205,7 +207,7 @@ class Memo:
     so memory is bounded; the results do not depend on it.
     """
 
-    def __init__(self, compute: Callable[[list[str]], list], limit: int = 1_500_000):
+    def __init__(self, compute: Callable[[list[str]], list], limit: int = 800_000):
         self.compute, self.limit, self.known = compute, limit, {}
 
     def fill(self, parts: list[Chunk]) -> list[list]:
@@ -248,15 +250,18 @@ class Chunk:
         return self.text[a:b]
 
 
-def cut_texts(texts: Sequence[str], starts_of) -> list[Chunk]:
-    return [Chunk(texts[a:b], starts_of) for a, b in chunks(texts)]
+def cut_texts(texts: Sequence[str], starts_of, memo: Memo) -> Iterator[tuple[Chunk, list]]:
+    """Chunks of the texts with the values of their units, ``TOGETHER`` chunks at a time."""
+    ranges = list(chunks(texts))
+    for i in range(0, len(ranges), TOGETHER):
+        parts = [Chunk(texts[a:b], starts_of) for a, b in ranges[i : i + TOGETHER]]
+        yield from zip(parts, memo.fill(parts), strict=True)
 
 
 def counted(texts: Sequence[str], starts_of, memo: Memo) -> np.ndarray:
     """Sum of the memo's values over the units of each text."""
     out = [np.zeros(0, np.int64)]
-    parts = cut_texts(texts, starts_of)
-    for part, values in zip(parts, memo.fill(parts), strict=True):
+    for part, values in cut_texts(texts, starts_of, memo):
         each = np.array(values, np.int64)[part.places]
         total = np.concatenate([[0], np.cumsum(each)])
         ends = np.cumsum(part.per_text)
@@ -266,8 +271,7 @@ def counted(texts: Sequence[str], starts_of, memo: Memo) -> np.ndarray:
 
 def joined(texts: Sequence[str], starts_of, memo: Memo) -> Iterator[bytes]:
     """The memo's values (bytes) of the units of each text, in order, as one string of bytes."""
-    parts = cut_texts(texts, starts_of)
-    for part, each in zip(parts, memo.fill(parts), strict=True):
+    for part, each in cut_texts(texts, starts_of, memo):
         order = part.places.tolist()
         at = 0
         for n in part.per_text.tolist():
