@@ -57,3 +57,18 @@ def op8_quality(spark: SparkSession, sf: str) -> DataFrame:
 
     docs = table(spark, sf, "documents")
     return score_quality(docs, fit_quality(docs, table(spark, sf, "labels")))
+
+
+@query
+def op6_nearest(spark: SparkSession, sf: str) -> DataFrame:
+    from vectrove.llm.nearest import build_index, search_index
+
+    vectors = table(spark, sf, "embeddings")
+    return search_index(build_index(vectors), vectors.where("vec_id % 20 = 0"))
+
+
+@query
+def op10_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    from vectrove.llm.neardup import near_duplicates
+
+    return near_duplicates(table(spark, sf, "embeddings"))
