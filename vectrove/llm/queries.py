@@ -72,3 +72,29 @@ def op10_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
     from vectrove.llm.neardup import near_duplicates
 
     return near_duplicates(table(spark, sf, "embeddings"))
+
+
+@query
+def op3_ngram_jaccard(spark: SparkSession, sf: str) -> DataFrame:
+    from vectrove.llm.jaccard import similar_documents
+
+    return similar_documents(table(spark, sf, "documents"))
+
+
+ORACLE["op3_ngram_jaccard"] = r"""
+WITH RECURSIVE words AS MATERIALIZED (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+shingles AS MATERIALIZED (
+    SELECT DISTINCT doc_id, CASE WHEN len(w) < 5 THEN array_to_string(w, ' ') || ' ' ELSE array_to_string(w[i:i + 4], ' ') END AS s
+    FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM words WHERE len(w) > 0)),
+sizes AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+links AS MATERIALIZED (
+    SELECT a.doc_id AS x, b.doc_id AS y FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id
+    GROUP BY a.doc_id, b.doc_id
+    HAVING 100 * count(*) >= 75 * ((SELECT n FROM sizes s WHERE s.doc_id = a.doc_id) + (SELECT n FROM sizes s WHERE s.doc_id = b.doc_id) - count(*))),
+reach(x, y) AS (SELECT x, y FROM links UNION SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x)
+SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, least(d.doc_id, coalesce(m.y, d.doc_id)) AS component_id
+FROM documents d LEFT JOIN sizes s USING (doc_id)
+LEFT JOIN (SELECT x AS doc_id, min(y) AS y FROM reach GROUP BY x) m USING (doc_id)
+"""
