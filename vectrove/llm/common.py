@@ -4,9 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zlib
 from collections.abc import Callable, Iterator
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -69,3 +73,89 @@ def plain_texts(df: DataFrame, id_column: str = "doc_id", text_column: str = "te
     return df.select(
         F.col(id_column).cast("long").alias("doc_id"), F.coalesce(F.col(text_column), F.lit("")).alias("text")
     )
+
+
+def summed_blocks(rows: DataFrame, combine: Callable[[list[np.ndarray]], np.ndarray], kind: str) -> dict[int, np.ndarray]:
+    """Blocks ``block, part, data`` of all tasks combined in two rounds, by number.
+
+    ``data`` is zlib-compressed. Only for arrays of fixed size: they come to the driver.
+    """
+
+    def total(group: pd.DataFrame) -> pd.DataFrame:
+        out = combine([np.frombuffer(zlib.decompress(x), kind) for x in group["data"]])
+        return group[["block", "part"]].head(1).assign(data=[zlib.compress(out.astype(kind).tobytes(), 1)])
+
+    schema = "block int, part int, data binary"
+    rows = rows.groupBy("block", "part").applyInPandas(total, schema).groupBy("block").applyInPandas(total, schema)
+    return {r.block: np.frombuffer(zlib.decompress(r.data), kind) for r in rows.collect()}
+
+
+def block_rows(values: np.ndarray, size: int) -> pa.RecordBatch:
+    """An array of a task as rows for :func:`summed_blocks`."""
+    blocks = [zlib.compress(values[i : i + size].tobytes(), 1) for i in range(0, len(values), size)]
+    part = TaskContext.get().partitionId() % 64
+    return pa.RecordBatch.from_arrays(
+        [pa.array(range(len(blocks)), pa.int32()), pa.array([part] * len(blocks), pa.int32()), pa.array(blocks, pa.binary())],
+        ["block", "part", "data"],
+    )
+
+
+class IdFilter:
+    """A filter of fixed size over the ids of a table, to go ahead of a join with it.
+
+    It never turns away an id of the table; where the table is so large that the filter is
+    full it lets everything through, and the join alone decides.
+    """
+
+    BITS = 1 << 26
+
+    def __init__(self, ids: DataFrame, column: str):
+        spot = self._spot
+
+        def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            bits = np.zeros(IdFilter.BITS, bool)
+            for batch in batches:
+                bits[spot(batch.column(0).to_numpy())] = True
+            yield block_rows(np.packbits(bits), 1 << 19)
+
+        rows = ids.select(F.col(column).cast("long")).dropna().mapInArrow(mark, "block int, part int, data binary")
+        blocks = summed_blocks(rows, np.bitwise_or.reduce, "u1")
+        bits = np.concatenate([blocks[i] for i in sorted(blocks)]) if blocks else np.zeros(self.BITS // 8, np.uint8)
+        self.shared = ids.sparkSession.sparkContext.broadcast(bits)
+
+    @staticmethod
+    def _spot(values: np.ndarray) -> np.ndarray:
+        x = values.astype(np.int64).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        return ((x ^ (x >> np.uint64(32))) % np.uint64(IdFilter.BITS)).astype(np.int64)
+
+    def may_hold(self, values: np.ndarray) -> np.ndarray:
+        at = self._spot(values)
+        return (self.shared.value[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool)
+
+
+def keep_repeated(key: list[str], rest: list[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Of rows sorted by ``key`` and ``rest``, those whose key has two different rests; equal rows once.
+
+    Rows stream through: one row is held at a time, so a key may have any number of them.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, written = None, False
+        for batch in batches:
+            table = pa.Table.from_batches([batch] if held is None else [held, batch])
+            keys = [table.column(c).to_numpy() for c in key]
+            others = [table.column(c).to_numpy() for c in rest]
+            changed = [np.append(True, x[1:] != x[:-1]) for x in keys + others]
+            fresh = np.logical_or.reduce(changed)
+            new_key = np.logical_or.reduce(changed[: len(key)])[fresh]
+            table = table.filter(pa.array(fresh))
+            many = ~new_key | np.append(~new_key[1:], False)
+            out = many.copy()
+            if held is not None and written:
+                out[0] = False
+            if out.any():
+                yield from table.filter(pa.array(out)).combine_chunks().to_batches()
+            written = bool(many[-1]) or (written and len(many) == 1)
+            held = table.slice(table.num_rows - 1).combine_chunks().to_batches()[0]
+
+    return run

@@ -21,21 +21,20 @@ from __future__ import annotations
 
 import hashlib
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vectrove.llm import units
-from vectrove.llm.common import plain_texts, stored, texts_of
+from vectrove.llm.common import IdFilter, keep_repeated, plain_texts, stored, summed_blocks, texts_of
 from vectrove.llm.graph import components
 
-#: Cells of the frequency sketch, and bits of the filter of documents that are fetched.
-CELLS, BITS = 1 << 20, 1 << 26
+#: Cells of the frequency sketch.
+CELLS = 1 << 20
 _CELL_SHIFT, _BLOCK = np.uint64(44), 1 << 14
 _STEP = [np.uint64(pow(0xD6E8FEB86659FD93, i, 1 << 64)) for i in range(64)]
 
@@ -117,51 +116,6 @@ def signatures(shingles: np.ndarray, rank: np.ndarray, percent: int) -> tuple[np
     return np.concatenate(found), np.concatenate(places), np.concatenate(before)
 
 
-def _summed_blocks(rows: DataFrame, combine: Callable[[list[np.ndarray]], np.ndarray], kind: str) -> dict[int, np.ndarray]:
-    """Blocks of all tasks combined in two rounds; what comes back has a fixed size."""
-
-    def total(group: pd.DataFrame) -> pd.DataFrame:
-        out = combine([np.frombuffer(zlib.decompress(x), kind) for x in group["data"]])
-        return group[["block", "part"]].head(1).assign(data=[zlib.compress(out.astype(kind).tobytes(), 1)])
-
-    schema = "block int, part int, data binary"
-    rows = rows.groupBy("block", "part").applyInPandas(total, schema).groupBy("block").applyInPandas(total, schema)
-    return {r.block: np.frombuffer(zlib.decompress(r.data), kind) for r in rows.collect()}
-
-
-def _keep_shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by sig and e, those whose sig another e has; repeated rows once."""
-    held: pa.RecordBatch | None = None
-
-    def kept(table: pa.Table) -> pa.RecordBatch:
-        sig, e = table.column("sig").to_numpy(), table.column("e").to_numpy()
-        fresh = np.append(True, (sig[1:] != sig[:-1]) | (e[1:] != e[:-1]))
-        table = table.filter(pa.array(fresh))
-        sig = sig[fresh]
-        like = np.append(False, sig[1:] == sig[:-1])
-        many = like | np.append(like[1:], False)
-        return table.filter(pa.array(many)).combine_chunks().to_batches()
-
-    for batch in batches:
-        table = pa.Table.from_batches([batch] if held is None else [held, batch])
-        sig = table.column("sig").to_numpy()
-        # Hold back the last sig; of one that has many rows, only as many as tell it is shared.
-        first = int(np.searchsorted(sig, sig[-1]))
-        if first == 0 and len(sig) > 20_000:
-            e = table.column("e").to_numpy()
-            if e[0] != e[-1]:
-                yield from kept(table.slice(0, len(sig) - 1))
-                held = table.slice(max(0, int(np.searchsorted(e, e[-2])) - 1)).combine_chunks().to_batches()[0]
-            else:
-                held = table.slice(len(sig) - 1).combine_chunks().to_batches()[0]
-            continue
-        if first:
-            yield from kept(table.slice(0, first))
-        held = table.slice(first).combine_chunks().to_batches()[0]
-    if held is not None:
-        yield from kept(pa.Table.from_batches([held]))
-
-
 def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs ``a, b`` whose sets link."""
 
@@ -228,7 +182,7 @@ def similar_documents(docs: DataFrame, size: int = 5, percent: int = 75, rounds:
         docs.mapInArrow(survey, "doc_id long, n long, e long, check long, block int, part int, data binary"), "survey"
     )
     ids = seen.where("block is null").select("doc_id", "n", "e", "check")
-    blocks = _summed_blocks(seen.where("block is not null").select("block", "part", "data"), lambda x: np.sum(x, 0), "<i8")
+    blocks = summed_blocks(seen.where("block is not null").select("block", "part", "data"), lambda x: np.sum(x, 0), "<i8")
     counts = np.concatenate([blocks[i] for i in sorted(blocks)]) if blocks else np.zeros(CELLS, np.int64)
     frequent = 4 * counts.mean() + 8
     levels = np.clip(np.floor(np.log2(np.maximum(counts, 1) / frequent)) + 1, 0, 60).astype(np.uint8)
@@ -263,7 +217,7 @@ def similar_documents(docs: DataFrame, size: int = 5, percent: int = 75, rounds:
 
     postings = docs.mapInArrow(index, "sig long, e long, n int, p int, g int")
     shared = stored(
-        postings.repartition("sig").sortWithinPartitions("sig", "e").mapInArrow(_keep_shared, "sig long, e long, n int, p int, g int"),
+        postings.repartition("sig").sortWithinPartitions("sig", "e").mapInArrow(keep_repeated(["sig"], ["e"]), "sig long, e long, n int, p int, g int"),
         "shared",
     )
     # One document for each set, the smallest; its digest's second half tells sets from collisions.
@@ -323,36 +277,15 @@ def _rows(columns: list[list[np.ndarray]]) -> pa.RecordBatch:
 def _fetch(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     """``e, data``: the sets of the documents in ``wanted(e, doc_id)``.
 
-    A filter of ``BITS`` bits goes ahead of the join, so most other documents are not dealt
-    out; where the filter is full they are, and the join alone decides.
+    A filter goes ahead of the join, so most other documents are not dealt out.
     """
 
-    def spot(values: np.ndarray) -> np.ndarray:
-        return (units.mixed(values.astype(np.int64).view(np.uint64)) % np.uint64(BITS)).astype(np.int64)
-
-    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.zeros(BITS, bool)
-        for batch in batches:
-            bits[spot(batch.column("doc_id").to_numpy())] = True
-        packed = np.packbits(bits)
-        size_ = 1 << 19
-        blocks = [zlib.compress(packed[i : i + size_].tobytes(), 1) for i in range(0, len(packed), size_)]
-        part = [TaskContext.get().partitionId() % 64] * len(blocks)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(range(len(blocks)), pa.int32()), pa.array(part, pa.int32()), pa.array(blocks, pa.binary())],
-            ["block", "part", "data"],
-        )
-
-    blocks = _summed_blocks(wanted.mapInArrow(mark, "block int, part int, data binary"), np.bitwise_or.reduce, "u1")
-    bits = np.concatenate([blocks[i] for i in sorted(blocks)]) if blocks else np.zeros(BITS // 8, np.uint8)
-    shared = docs.sparkSession.sparkContext.broadcast(bits)  # of fixed size
+    wanted_ids = IdFilter(wanted, "doc_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = shared.value
         for batch in batches:
             batch = batch.filter(batch.column("doc_id").is_valid())
-            at = spot(batch.column("doc_id").to_numpy())
-            batch = batch.filter(pa.array((bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool)))
+            batch = batch.filter(pa.array(wanted_ids.may_hold(batch.column("doc_id").to_numpy())))
             if batch.num_rows:
                 data, e = [], []
                 for shingles in shingle_sets(texts_of(batch), size):

@@ -98,3 +98,10 @@ SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, least(d.doc_id, coalesce(m.y, d
 FROM documents d LEFT JOIN sizes s USING (doc_id)
 LEFT JOIN (SELECT x AS doc_id, min(y) AS y FROM reach GROUP BY x) m USING (doc_id)
 """
+
+
+@query
+def op4_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    from vectrove.llm.suffixes import remove_repeats
+
+    return remove_repeats(table(spark, sf, "documents"))
