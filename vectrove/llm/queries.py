@@ -105,3 +105,13 @@ def op4_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
     from vectrove.llm.suffixes import remove_repeats
 
     return remove_repeats(table(spark, sf, "documents"))
+
+
+@query
+def op1_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from vectrove.llm.lines import repeated_lines
+
+    found = repeated_lines(table(spark, sf, "documents"))
+    return found.select("doc_id", "n_lines", F.size("removed").alias("n_removed"), F.array_join("removed", ",").alias("removed"))
