@@ -133,28 +133,38 @@ class IdFilter:
         return (self.shared.value[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool)
 
 
-def keep_repeated(key: list[str], rest: list[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def keep_repeated(
+    key: list[str], rest: list[str], first: dict[str, str] | None = None
+) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Of rows sorted by ``key`` and ``rest``, those whose key has two different rests; equal rows once.
 
-    Rows stream through: one row is held at a time, so a key may have any number of them.
+    ``first`` adds columns (new name to column) with what the first row of the key has. Rows
+    stream through: one row is held at a time, so a key may have any number of them.
     """
+    first = first or {}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, written = None, False
+        held, written, lead = None, False, None
         for batch in batches:
             table = pa.Table.from_batches([batch] if held is None else [held, batch])
-            keys = [table.column(c).to_numpy() for c in key]
-            others = [table.column(c).to_numpy() for c in rest]
-            changed = [np.append(True, x[1:] != x[:-1]) for x in keys + others]
+            changed = [np.append(True, x[1:] != x[:-1]) for x in (table.column(c).to_numpy() for c in key + rest)]
             fresh = np.logical_or.reduce(changed)
             new_key = np.logical_or.reduce(changed[: len(key)])[fresh]
             table = table.filter(pa.array(fresh))
             many = ~new_key | np.append(~new_key[1:], False)
             out = many.copy()
-            if held is not None and written:
+            if written:
                 out[0] = False
+            full = table
+            start = np.flatnonzero(new_key)[np.cumsum(new_key) - 1]
+            for name, column in first.items():
+                values = table.column(column).to_numpy()[start]
+                if lead is not None:
+                    values = np.where(start == 0, lead[name], values)
+                full = full.append_column(name, pa.array(values))
+            lead = {name: full.column(name)[-1].as_py() for name in first}
             if out.any():
-                yield from table.filter(pa.array(out)).combine_chunks().to_batches()
+                yield from full.filter(pa.array(out)).combine_chunks().to_batches()
             written = bool(many[-1]) or (written and len(many) == 1)
             held = table.slice(table.num_rows - 1).combine_chunks().to_batches()[0]
 

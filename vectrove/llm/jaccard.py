@@ -11,30 +11,30 @@ follow, and with frequent shingles parted in ``g`` lots by their hash, two share
 in one lot; all pairs within a lot are indexed. ``g`` grows with the size, so a set has few
 pairs, and every posting list of a frequent pair is short.
 
-Candidates are verified on the sets themselves. A posting list is worked off from its
-smallest member first, and only what this leaves in different components is compared pair by
-pair, so a large group of copies costs its size, not its square, and no link between
-components is lost.
+Candidates are verified on the sets themselves, after a bitmap of each set has shown that
+they may differ little enough. A posting list is worked off from its smallest member first,
+and only what this leaves in different components is compared pair by pair, so a large group
+of copies costs its size, not its square, and no link between components is lost.
 """
 
 from __future__ import annotations
 
 import hashlib
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vectrove.llm import units
-from vectrove.llm.common import IdFilter, keep_repeated, plain_texts, stored, summed_blocks, texts_of
+from vectrove.llm.common import IdFilter, block_rows, keep_repeated, plain_texts, stored, summed_blocks, texts_of
 from vectrove.llm.graph import components
 
 #: Cells of the frequency sketch.
 CELLS = 1 << 20
+#: Bits of a set's bitmap.
+MAP = 1024
 _CELL_SHIFT, _BLOCK = np.uint64(44), 1 << 14
 _STEP = [np.uint64(pow(0xD6E8FEB86659FD93, i, 1 << 64)) for i in range(64)]
 
@@ -116,6 +116,12 @@ def signatures(shingles: np.ndarray, rank: np.ndarray, percent: int) -> tuple[np
     return np.concatenate(found), np.concatenate(places), np.concatenate(before)
 
 
+def _bitmap(shingles: np.ndarray) -> np.ndarray:
+    """Which of ``MAP`` classes an odd number of shingles falls in; sets differ in no less than their bitmaps."""
+    odd = np.bincount(((shingles >> np.uint64(20)) % np.uint64(MAP)).astype(np.int64), minlength=MAP) & 1
+    return np.packbits(odd.astype(bool)).view("<i8")
+
+
 def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs ``a, b`` whose sets link."""
 
@@ -136,7 +142,7 @@ def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(one, "a").join(two, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
-def similar_documents(docs: DataFrame, size: int = 5, percent: int = 75, rounds: int = 3) -> DataFrame:
+def similar_documents(docs: DataFrame, size: int = 5, percent: int = 75, rounds: int = 2) -> DataFrame:
     """``doc_id, n_shingles, component_id``: documents linked when 100 * shared >= percent * all shingles.
 
     ``component_id`` is the smallest doc_id that links reach. A null text is empty; texts
@@ -151,12 +157,13 @@ def similar_documents(docs: DataFrame, size: int = 5, percent: int = 75, rounds:
     def survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(CELLS, np.int64)
         for batch in batches:
-            n, e, check, pile, held = [], [], [], [], 0
+            n, e, check, bits, pile, held = [], [], [], [], [], 0
             for shingles in shingle_sets(texts_of(batch), size):
                 n.append(len(shingles))
                 one, two = _digest(shingles)
                 e.append(one)
                 check.append(two)
+                bits.append(_bitmap(shingles))
                 pile.append(shingles)
                 held += len(shingles)
                 if held > 500_000:
@@ -165,23 +172,20 @@ def similar_documents(docs: DataFrame, size: int = 5, percent: int = 75, rounds:
             if pile:
                 counts += np.bincount((np.concatenate(pile) >> _CELL_SHIFT).astype(np.int64), minlength=CELLS)
             none = pa.nulls(len(n))
+            maps = pa.ListArray.from_arrays(np.arange(len(n) + 1, dtype=np.int32) * (MAP // 64), pa.array(np.concatenate(bits)))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(e, pa.int64()), pa.array(check, pa.int64())]
+                [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(e, pa.int64()), pa.array(check, pa.int64()), maps]
                 + [none.cast(t) for t in (pa.int32(), pa.int32(), pa.binary())],
                 names,
             )
-        blocks = [zlib.compress(counts[i : i + _BLOCK].astype("<i8").tobytes(), 1) for i in range(0, CELLS, _BLOCK)]
-        none = pa.nulls(len(blocks), pa.int64())
-        part = [TaskContext.get().partitionId() % 64] * len(blocks)
-        yield pa.RecordBatch.from_arrays(
-            [none] * 4 + [pa.array(range(len(blocks)), pa.int32()), pa.array(part, pa.int32()), pa.array(blocks, pa.binary())], names
-        )
-
-    names = ["doc_id", "n", "e", "check", "block", "part", "data"]
-    seen = stored(
-        docs.mapInArrow(survey, "doc_id long, n long, e long, check long, block int, part int, data binary"), "survey"
-    )
-    ids = seen.where("block is null").select("doc_id", "n", "e", "check")
+        blocks = block_rows(counts, _BLOCK)
+        none = pa.nulls(blocks.num_rows)
+        yield pa.RecordBatch.from_arrays([none.cast(pa.int64())] * 4 + [none.cast(pa.list_(pa.int64()))] + blocks.columns, names)
+
+    names = ["doc_id", "n", "e", "check", "bits", "block", "part", "data"]
+    schema = "doc_id long, n long, e long, check long, bits array<long>, block int, part int, data binary"
+    seen = stored(docs.mapInArrow(survey, schema), "survey")
+    ids = seen.where("block is null")
     blocks = summed_blocks(seen.where("block is not null").select("block", "part", "data"), lambda x: np.sum(x, 0), "<i8")
     counts = np.concatenate([blocks[i] for i in sorted(blocks)]) if blocks else np.zeros(CELLS, np.int64)
     frequent = 4 * counts.mean() + 8
@@ -190,7 +194,7 @@ def similar_documents(docs: DataFrame, size: int = 5, percent: int = 75, rounds:
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         done: set[int] = set()  # copies within a task are indexed once
         for batch in batches:
-            columns: list[list[np.ndarray]] = [[np.zeros(0, np.int64)] for _ in range(5)]
+            columns: list[list[np.ndarray]] = [[] for _ in range(5)]
             rows = 0
             for shingles in shingle_sets(texts_of(batch), size):
                 if len(shingles) < 2:
@@ -202,65 +206,69 @@ def similar_documents(docs: DataFrame, size: int = 5, percent: int = 75, rounds:
                     done.clear()
                 done.add(e)
                 sig, place, before = signatures(shingles, levels[shingles >> _CELL_SHIFT], percent)
-                for column, values in zip(
-                    columns,
-                    (sig.view(np.int64), np.full(len(sig), e), np.full(len(sig), len(shingles)), place, before),
-                    strict=True,
-                ):
-                    column.append(values)
+                values = (sig.view(np.int64), np.full(len(sig), e), np.full(len(sig), len(shingles)), place, before)
+                for column, value in zip(columns, values, strict=True):
+                    column.append(value)
                 rows += len(sig)
                 if rows > 400_000:
                     yield _rows(columns)
-                    columns, rows = [[np.zeros(0, np.int64)] for _ in range(5)], 0
+                    columns, rows = [[] for _ in range(5)], 0
             if rows:
                 yield _rows(columns)
 
-    postings = docs.mapInArrow(index, "sig long, e long, n int, p int, g int")
+    postings = docs.mapInArrow(index, "sig long, e long, n int, p int, g int").repartition("sig").sortWithinPartitions("sig", "e")
+    first = {"e2": "e", "n2": "n", "p2": "p"}  # of each posting list, its smallest member
     shared = stored(
-        postings.repartition("sig").sortWithinPartitions("sig", "e").mapInArrow(keep_repeated(["sig"], ["e"]), "sig long, e long, n int, p int, g int"),
-        "shared",
+        postings.mapInArrow(keep_repeated(["sig"], ["e"], first), "sig long, e long, n int, p int, g int, e2 long, n2 int, p2 int"), "shared"
     )
     # One document for each set, the smallest; its digest's second half tells sets from collisions.
-    reps = ids.where("n > 0").groupBy("e").agg(
-        F.min("doc_id").alias("doc_id"),
-        F.when(F.min("check") != F.max("check"), F.raise_error(F.lit("two sets have one digest"))).alias("clash"),
-    ).where("clash is null")
-    wanted = stored(shared.select("e").distinct().join(reps, "e").where("doc_id is not null").select("e", "doc_id"), "wanted")
-    sets = stored(_fetch(docs, wanted, size), "sets")
-
-    comps = shared.select("e").distinct().select("e", F.col("e").alias("c"))
-    links = tested = None
+    clash = F.when(F.min("check") != F.max("check"), F.raise_error(F.lit("two sets have one digest")))
+    reps = ids.where("n > 0").groupBy("e").agg(F.min("doc_id").alias("doc_id"), clash.alias("clash"), F.first("bits").alias("bits"))
+    wanted = shared.select("e").distinct().join(reps.where("clash is null"), "e").where("doc_id is not null")
+    wanted = stored(wanted.select("e", "doc_id", "bits"), "wanted")
+
+    open_, tested, links, comps = shared, None, None, None
     for turn in range(rounds + 1):
-        labelled = shared.join(comps, "e")
-        mixed_sigs = labelled.groupBy("sig").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("sig")
-        open_ = stored(labelled.join(mixed_sigs, "sig"), "open")
-        b = open_.select("sig", *(F.col(x).alias(x + "2") for x in ("e", "n", "p", "c")))
-        if turn < rounds:  # against the first of each list, one partner for each set
-            rank = F.struct(F.xxhash64("c", F.lit(turn)).alias("r"), F.col("e"))
-            first = open_.groupBy("sig").agg(F.min_by("e", rank).alias("e2"))
-            b = b.join(first, ["sig", "e2"])
-        joined = open_.join(b, "sig").where(F.col("c") != F.col("c2"))
+        if turn and comps is not None:  # lists that hold more than one component
+            labelled = open_.select("sig", "e", "n", "p", "g").join(comps, "e", "left").withColumn("c", F.coalesce("c", "e"))
+            several = labelled.groupBy("sig").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("sig")
+            open_ = stored(labelled.join(several, "sig"), "open")
+        if "c" not in open_.columns:
+            open_ = open_.withColumn("c", F.col("e"))
+        if not turn:  # against the first of each list
+            joined = open_.withColumn("c2", F.col("e2"))
+        elif turn < rounds:  # against the first in another order
+            other = F.struct(F.xxhash64("e", F.lit(turn)).alias("r"), "e", "n", "p", "c")
+            first_of = open_.groupBy("sig").agg(F.min(other).alias("o"))
+            joined = open_.drop("e2", "n2", "p2").join(first_of.select("sig", *(F.col(f"o.{x}").alias(f"{x}2") for x in "enpc")), "sig")
+        else:
+            joined = open_.drop("e2", "n2", "p2").join(open_.select("sig", *(F.col(x).alias(f"{x}2") for x in "enpc")), "sig")
+            joined = joined.where("e < e2")
         small, large = F.least("n", "n2"), F.greatest("n", "n2")
-        reach = F.least(F.col("p"), F.col("p2"), F.col("g")) + F.least(F.col("n") - F.col("p"), F.col("n2") - F.col("p2"))
+        reach = F.least("p", "p2", "g") + F.least(F.col("n") - F.col("p"), F.col("n2") - F.col("p2"))
         fits = (100 * small >= percent * large) & (reach * (100 + percent) >= percent * (F.col("n") + F.col("n2")))
-        pairs = joined.where(fits).select(F.least("e", "e2").alias("a"), F.greatest("e", "e2").alias("b"))
-        pairs = pairs.distinct()
+        pairs = joined.where((F.col("c") != F.col("c2")) & fits)
+        pairs = pairs.select(F.least("e", "e2").alias("a"), F.greatest("e", "e2").alias("b"), (F.col("n") + F.col("n2")).alias("both")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        if turn < rounds:
+        one = wanted.select(F.col("e").alias("a"), F.col("bits").alias("x"))
+        two = wanted.select(F.col("e").alias("b"), F.col("bits").alias("y"))
+        apart = F.aggregate(F.zip_with("x", "y", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+        pairs = pairs.join(one, "a").join(two, "b").where((100 - percent) * F.col("both") >= (100 + percent) * apart).select("a", "b")
+        if turn < rounds:  # one partner for each set is enough for now
             pairs = pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
         pairs = stored(pairs, "pairs")
         if pairs.isEmpty():
-            if turn < rounds:
-                continue
-            break
+            continue
+        nodes = pairs.select(F.col("a").alias("e")).union(pairs.select(F.col("b").alias("e"))).distinct()
+        sets = _fetch(docs, stored(wanted.select("e", "doc_id").join(nodes, "e"), "nodes"), size)
         good = stored(_verify(pairs, sets, percent), "good")
         tested = pairs if tested is None else tested.union(pairs)
         links = good if links is None else links.union(good)
-        found = stored(components(links), "found")
-        comps = comps.select("e").join(found.withColumnRenamed("node", "e"), "e", "left").select("e", F.coalesce("component", "e").alias("c"))
+        comps = stored(components(links), "found").select(F.col("node").alias("e"), F.col("component").alias("c"))
 
-    named = ids.select("doc_id", "n", "e").join(comps, "e", "left").select("doc_id", "n", F.coalesce("c", "e").alias("c"))
+    named = ids.select("doc_id", "n", "e")
+    named = named.withColumn("c", F.col("e")) if comps is None else named.join(comps, "e", "left").withColumn("c", F.coalesce("c", "e"))
     least = named.where("n > 0").groupBy("c").agg(F.min("doc_id").alias("component_id"))
     full = named.where("n > 0").join(least, "c").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
     empty = named.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
