@@ -48,17 +48,26 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Rows whose texts are Python strings at one time.
+SLICE = 2_000
+
+
+def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for i in range(0, batch.num_rows, SLICE):
+            yield batch.slice(i, SLICE)
+
+
 def map_arrow(
     df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str
 ) -> DataFrame:
-    """``fn`` over every Arrow batch; None gives no rows."""
+    """``fn`` over every Arrow batch, ``SLICE`` rows at a time; None gives no rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                out = fn(batch)
-                if out is not None:
-                    yield out
+        for batch in slices(batches):
+            out = fn(batch)
+            if out is not None:
+                yield out
 
     return df.mapInArrow(run, schema)
 

@@ -133,7 +133,7 @@ def near_duplicates(
 
     def hashed(batch: pa.RecordBatch) -> pa.RecordBatch:
         lists, n = batch.column("v"), batch.num_rows
-        lengths = np.diff(np.asarray(lists.offsets))
+        lengths = np.asarray(lists.value_lengths())
         own = np.zeros((n, TABLES, 1 + PROBES), np.int64)
         data = [b""] * n
         for width in np.unique(lengths).tolist():

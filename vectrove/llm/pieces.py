@@ -22,6 +22,8 @@ from vectrove.llm.common import map_arrow, plain_texts, texts_of, tokenizer_file
 
 PIECES = "piece_bpe_32k.model"
 BLANK = "▁"
+#: Chunks of text whose new units share an agenda.
+AGENDA = 14
 
 
 class Vocabulary:
@@ -178,7 +180,7 @@ def encode_texts(texts: list[str], path: str, check: bool = True):
     """Ids of each text without begin and end ids, as little-endian unsigned 32-bit integers."""
     vocab, memo = _loaded(path, check)
     marked = [BLANK + t.replace(" ", BLANK) if t else "" for t in texts]
-    return units.joined(marked, lambda codes, _, cuts: vocab.join.starts(codes, cuts), memo)
+    return units.joined(marked, lambda codes, _, cuts: vocab.join.starts(codes, cuts), memo, AGENDA)
 
 
 def decode_ids(ids: bytes, path: str) -> bytes:

@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from vectrove.llm.common import plain_texts, texts_of, tokenizer_file
+from vectrove.llm.common import plain_texts, slices, texts_of, tokenizer_file
 from vectrove.llm.tokens import BYTE_LEVEL, token_ids
 from vectrove.sources.storage import locate
 
@@ -83,7 +83,7 @@ def write_token_records(
         files.create_dir(place.rpartition("/")[0], recursive=True)
         out = index = None
         offset = n_ids = n_records = 0
-        for batch in batches:
+        for batch in slices(batches):
             if out is None:
                 out, index = files.open_output_stream(place + ".bin"), files.open_output_stream(place + ".idx")
             rows, parts = [], []

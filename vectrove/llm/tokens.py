@@ -162,7 +162,7 @@ def _encoder(path: str) -> tuple[units.Memo, list[str]]:
     library = Tokenizer.from_file(path)
     special = [t.content for t in library.get_added_tokens_decoder().values()]
 
-    def compute(new: list[str]) -> list[bytes]:
+    def some(new: list[str]) -> list[bytes]:
         encoded = library.encode(new, is_pretokenized=True, add_special_tokens=False)
         ids = np.array(encoded.ids, "<u4")
         word = np.array(encoded.word_ids, np.int64)
@@ -173,6 +173,9 @@ def _encoder(path: str) -> tuple[units.Memo, list[str]]:
             at = end
         return out
 
+    def compute(new: list[str]) -> list[bytes]:
+        return [x for i in range(0, len(new), 20_000) for x in some(new[i : i + 20_000])]
+
     return units.Memo(compute), special
 
 

@@ -16,7 +16,7 @@ import pandas as pd
 #: Characters handled at a time; a longer text makes a longer chunk of its own.
 CHUNK = 500_000
 #: Chunks whose new units are worked out together.
-TOGETHER = 12
+TOGETHER = 4
 _P = 0x9E3779B97F4A7C55  # odd, so it has an inverse modulo 2**64
 SPACE, LETTER, NUMBER, OTHER = 0, 1, 2, 3
 
@@ -207,7 +207,7 @@ class Memo:
     so memory is bounded; the results do not depend on it.
     """
 
-    def __init__(self, compute: Callable[[list[str]], list], limit: int = 800_000):
+    def __init__(self, compute: Callable[[list[str]], list], limit: int = 600_000):
         self.compute, self.limit, self.known = compute, limit, {}
 
     def fill(self, parts: list[Chunk]) -> list[list]:
@@ -239,29 +239,28 @@ class Chunk:
             starts = np.flatnonzero(starts_of(codes, self.text, (ends - lengths)[lengths > 0]))
             self.places, keys = pd.factorize(hashes(codes, starts))
             self.keys = keys.tolist()
-            self.firsts = np.empty(len(keys), np.int64)
-            self.firsts[self.places[::-1]] = np.arange(len(self.places) - 1, -1, -1)
+            firsts = np.empty(len(keys), np.int64)
+            firsts[self.places[::-1]] = np.arange(len(self.places) - 1, -1, -1)
             bounds = np.append(starts, len(codes))
-            self.span = np.stack([bounds[self.firsts], bounds[self.firsts + 1]], 1).tolist()
+            self.span = bounds[firsts], bounds[firsts + 1]
             self.per_text = np.diff(np.searchsorted(starts, np.concatenate([[0], ends])))
 
     def unit(self, i: int) -> str:
-        a, b = self.span[i]
-        return self.text[a:b]
+        return self.text[self.span[0][i] : self.span[1][i]]
 
 
-def cut_texts(texts: Sequence[str], starts_of, memo: Memo) -> Iterator[tuple[Chunk, list]]:
-    """Chunks of the texts with the values of their units, ``TOGETHER`` chunks at a time."""
+def cut_texts(texts: Sequence[str], starts_of, memo: Memo, together: int) -> Iterator[tuple[Chunk, list]]:
+    """Chunks of the texts with the values of their units, ``together`` chunks at a time."""
     ranges = list(chunks(texts))
-    for i in range(0, len(ranges), TOGETHER):
-        parts = [Chunk(texts[a:b], starts_of) for a, b in ranges[i : i + TOGETHER]]
+    for i in range(0, len(ranges), together):
+        parts = [Chunk(texts[a:b], starts_of) for a, b in ranges[i : i + together]]
         yield from zip(parts, memo.fill(parts), strict=True)
 
 
 def counted(texts: Sequence[str], starts_of, memo: Memo) -> np.ndarray:
     """Sum of the memo's values over the units of each text."""
     out = [np.zeros(0, np.int64)]
-    for part, values in cut_texts(texts, starts_of, memo):
+    for part, values in cut_texts(texts, starts_of, memo, TOGETHER):
         each = np.array(values, np.int64)[part.places]
         total = np.concatenate([[0], np.cumsum(each)])
         ends = np.cumsum(part.per_text)
@@ -269,9 +268,9 @@ def counted(texts: Sequence[str], starts_of, memo: Memo) -> np.ndarray:
     return np.concatenate(out)
 
 
-def joined(texts: Sequence[str], starts_of, memo: Memo) -> Iterator[bytes]:
+def joined(texts: Sequence[str], starts_of, memo: Memo, together: int = TOGETHER) -> Iterator[bytes]:
     """The memo's values (bytes) of the units of each text, in order, as one string of bytes."""
-    for part, each in cut_texts(texts, starts_of, memo):
+    for part, each in cut_texts(texts, starts_of, memo, together):
         order = part.places.tolist()
         at = 0
         for n in part.per_text.tolist():
