@@ -142,6 +142,21 @@ class IdFilter:
         return (self.shared.value[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool)
 
 
+def parted(df: DataFrame, ids: IdFilter, column: str) -> tuple[DataFrame, DataFrame]:
+    """Rows that may have an id of the filter, and those that surely have not (a null id has not).
+
+    A join of the first with the filter's table, and the second as it is, make the join of the
+    whole without dealing out the rows that it leaves alone.
+    """
+
+    @F.pandas_udf("boolean")
+    def may(values: pd.Series) -> pd.Series:
+        return pd.Series(ids.may_hold(values.to_numpy(np.int64)))
+
+    near = df[column].isNotNull() & may(F.coalesce(df[column].cast("long"), F.lit(0)))
+    return df.where(near), df.where(~near)
+
+
 def keep_repeated(
     key: list[str], rest: list[str], first: dict[str, str] | None = None
 ) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:

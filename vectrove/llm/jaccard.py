@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vectrove.llm import units
-from vectrove.llm.common import IdFilter, block_rows, keep_repeated, plain_texts, stored, summed_blocks, texts_of
+from vectrove.llm.common import IdFilter, block_rows, keep_repeated, parted, plain_texts, stored, summed_blocks, texts_of
 from vectrove.llm.graph import components
 
 #: Cells of the frequency sketch.
@@ -275,6 +275,22 @@ def similar_documents(docs: DataFrame, size: int = 5, percent: int = 75, rounds:
     return full.union(empty)
 
 
+def one_of_each(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFrame:
+    """The documents that have the smallest doc_id of their component, with all columns.
+
+    Rows that repeat id and text stay once; rows without an id are left as they are.
+    """
+    found = stored(similar_documents(docs, size, percent), "similar").where("doc_id is not null")
+    kept = found.where("doc_id = component_id").select("doc_id").distinct()
+    repeated = found.groupBy("doc_id").agg(F.count("n_shingles").alias("n")).where("n > 1").select("doc_id")
+    gone = found.where("doc_id <> component_id").select("doc_id").union(repeated)
+    touched, clear = parted(docs, IdFilter(gone, "doc_id"), "doc_id")
+    text = F.xxhash64("text").alias("_t")
+    stay = touched.join(kept.withColumnRenamed("doc_id", "_d"), F.col("doc_id").cast("long") == F.col("_d"), "left_semi")
+    stay = stay.select("*", text).dropDuplicates(["doc_id", "_t"]).drop("_t")
+    return stay.unionByName(clear)
+
+
 def _rows(columns: list[list[np.ndarray]]) -> pa.RecordBatch:
     sig, e, n, p, g = (np.concatenate(c) for c in columns)
     return pa.RecordBatch.from_arrays(

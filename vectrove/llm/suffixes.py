@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vectrove.llm import units
-from vectrove.llm.common import IdFilter, keep_repeated, plain_texts, stored
+from vectrove.llm.common import IdFilter, keep_repeated, parted, plain_texts, stored
 
 #: Bytes of an anchor's gram; bytes scanned at a time; suffixes of a run and of a shard.
 GRAM, SEGMENT, RUN, SHARD = 64, 1 << 19, 100_000, 100_000
@@ -384,7 +384,7 @@ def remove_repeats(docs: DataFrame, length: int = 200, keep_columns: bool = Fals
         """Bytes and spans removed, and what is kept (None: everything)."""
         if copied:
             return (n_bytes, 1, b"") if n_bytes >= length else (0, 0, None)
-        if not spans:
+        if spans is None or not len(spans):
             return 0, 0, None
         ends = [0, *(x for s in spans for x in (s["first"], s["last"])), n_bytes]
         kept = b"".join(data[a:b] for a, b in zip(ends[::2], ends[1::2], strict=True))
@@ -401,14 +401,17 @@ def remove_repeats(docs: DataFrame, length: int = 200, keep_columns: bool = Fals
             out = []
             for t, s, c in zip(text, spans, copied, strict=True):
                 data = (t or "").encode()
-                removed, _, kept = outcome(data, len(data), s if s is not None and len(s) else None, c is True or c == True)  # noqa: E712
+                removed, _, kept = outcome(data, len(data), s, bool(c) if c is not None else False)
                 out.append((t if kept is None else kept.decode("utf-8", "ignore"), removed))
             return pd.DataFrame(out, columns=["text", "removed"])
 
-        named = docs.withColumn("_e", name("text")).join(verdict.withColumnRenamed("e", "_e"), "_e", "left")
-        done = named.withColumn("_cut", clean("text", "spans", "copied"))
+        touched, clear = parted(docs.withColumn("_e", name("text")), IdFilter(verdict, "e"), "_e")
+        named = touched.join(verdict.withColumnRenamed("e", "_e").withColumnsRenamed({"spans": "_spans", "copied": "_copied"}), "_e", "left")
+        done = named.withColumn("_cut", clean("text", "_spans", "_copied"))
         own = [F.col("_cut.text").alias("text") if c == "text" else F.col(c) for c in docs.columns]
-        return done.select(*own, F.col("_cut.removed").alias("_removed"))
+        return done.select(*own, F.col("_cut.removed").alias("_removed")).union(
+            clear.select(*docs.columns, F.lit(0).cast("long").alias("_removed"))
+        )
 
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
