@@ -149,7 +149,7 @@ def similar_documents(docs: DataFrame, size: int = 5, percent: int = 75, rounds:
     without words are linked with nothing, each its own component. Equal sets (copies, and
     texts that differ in case or white space) are one node of the join. Repeated rows come
     back repeated; a null id stays null and is never a component's id unless there is no
-    other; other columns are ignored. ``rounds`` star rounds run before what is left is
+    other; other columns are ignored. ``rounds`` (1 or more) star rounds run before what is left is
     compared pair by pair; the number changes the cost alone.
     """
     docs = plain_texts(docs)
