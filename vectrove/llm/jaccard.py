@@ -284,11 +284,11 @@ def one_of_each(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFrame:
     kept = found.where("doc_id = component_id").select("doc_id").distinct()
     repeated = found.groupBy("doc_id").agg(F.count("n_shingles").alias("n")).where("n > 1").select("doc_id")
     gone = found.where("doc_id <> component_id").select("doc_id").union(repeated)
-    touched, clear = parted(docs, IdFilter(gone, "doc_id"), "doc_id")
-    text = F.xxhash64("text").alias("_t")
-    stay = touched.join(kept.withColumnRenamed("doc_id", "_d"), F.col("doc_id").cast("long") == F.col("_d"), "left_semi")
-    stay = stay.select("*", text).dropDuplicates(["doc_id", "_t"]).drop("_t")
-    return stay.unionByName(clear)
+    row = F.col("row")
+    named = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").cast("long").alias("doc_id"))
+    touched, clear = parted(named, IdFilter(gone, "doc_id"), "doc_id")
+    stay = touched.join(kept, "doc_id", "left_semi").withColumn("t", F.xxhash64(row["text"])).dropDuplicates(["doc_id", "t"])
+    return stay.select("row.*").unionByName(clear.select("row.*"))
 
 
 def _rows(columns: list[list[np.ndarray]]) -> pa.RecordBatch:

@@ -135,11 +135,10 @@ def dedup_lines(docs: DataFrame, size: int = SHINGLE, percent: int = 75) -> Data
     All columns stay, and all rows, also those whose text becomes empty. A null id or text is
     left as it is; an empty text stays empty.
     """
-    found = repeated_lines(docs, size, percent).select(F.col("doc_id").alias("_d"), F.col("t").alias("_t"), F.col("removed").alias("_removed"))
-    found = found.where(F.size("_removed") > 0)
-    on = (docs["doc_id"].cast("long") == found["_d"]) & (F.xxhash64(docs["text"]) == found["_t"])
-    parts = F.split("text", "\n", -1)
-    kept = F.filter(parts, lambda _, i: ~F.array_contains(F.col("_removed"), i))
-    text = F.when(F.col("_removed").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
-    joined = docs.join(found, on, "left")
-    return joined.select(*(text.alias("text") if c == "text" else docs[c] for c in docs.columns))
+    found = repeated_lines(docs, size, percent).where(F.size("removed") > 0).select("doc_id", "t", "removed")
+    row = F.col("row")
+    on = (row["doc_id"].cast("long") == F.col("doc_id")) & (F.xxhash64(row["text"]) == F.col("t"))
+    joined = docs.select(F.struct(*docs.columns).alias("row")).join(found, on, "left")
+    kept = F.filter(F.split(row["text"], "\n", -1), lambda _, i: ~F.array_contains(F.col("removed"), i))
+    text = F.when(F.col("removed").isNull(), row["text"]).otherwise(F.array_join(kept, "\n"))
+    return joined.select(*(text.alias("text") if c == "text" else row[c].alias(c) for c in docs.columns))

@@ -405,13 +405,14 @@ def remove_repeats(docs: DataFrame, length: int = 200, keep_columns: bool = Fals
                 out.append((t if kept is None else kept.decode("utf-8", "ignore"), removed))
             return pd.DataFrame(out, columns=["text", "removed"])
 
-        touched, clear = parted(docs.withColumn("_e", name("text")), IdFilter(verdict, "e"), "_e")
-        named = touched.join(verdict.withColumnRenamed("e", "_e").withColumnsRenamed({"spans": "_spans", "copied": "_copied"}), "_e", "left")
-        done = named.withColumn("_cut", clean("text", "_spans", "_copied"))
-        own = [F.col("_cut.text").alias("text") if c == "text" else F.col(c) for c in docs.columns]
-        return done.select(*own, F.col("_cut.removed").alias("_removed")).union(
-            clear.select(*docs.columns, F.lit(0).cast("long").alias("_removed"))
+        named = docs.select(F.struct(*docs.columns).alias("row"), name("text").alias("e"))
+        touched, clear = parted(named, IdFilter(verdict, "e"), "e")
+        done = touched.join(verdict, "e", "left").withColumn("cut", clean("row.text", "spans", "copied"))
+        own = [c for c in docs.columns if c != "_removed"]
+        cut_rows = done.select(
+            *(F.col("cut.text").alias("text") if c == "text" else F.col("row")[c].alias(c) for c in own), F.col("cut.removed").alias("_removed")
         )
+        return cut_rows.union(clear.select(*(F.col("row")[c].alias(c) for c in own), F.lit(0).cast("long").alias("_removed")))
 
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
