@@ -290,10 +290,35 @@ def kmeans_converged(spark, sf):
     return result.history.select("iteration", rounded("mean_error").alias("mean_error"), rounded("delta").alias("delta"))
 
 
-@query("kmeans_builtin")
-def kmeans_builtin(spark, sf):
-    found = km.kmeans_builtin(fx.lineitem(spark, sf), 3, 5, 1)
-    return found.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"))
+MANY, MANY_SEED = 60, 5
+
+
+def _many_sql() -> str:
+    """``c0`` from a drawn first row and one median step per further seed, at the stated 1000 sample rows."""
+    parts = [
+        f"{fx.ORDERS_SQL}, s AS MATERIALIZED ({kit.drawn('v', '1000', str(MANY_SEED))})",
+        "k AS MATERIALIZED (SELECT row_number() OVER (ORDER BY row_id) - 1 AS cand, row_id, features "
+        f"FROM ({kit.drawn('s', str(2 * (MANY - 1)), f'{MANY_SEED}:candidates')}))",
+        f"m0 AS MATERIALIZED ({kit.drawn('v', '1', f'{MANY_SEED}:first')})",
+        "o0 AS MATERIALIZED (SELECT s.row_id, list_distance(s.features, m0.features) AS d FROM s, m0)",
+    ]
+    for step in range(1, MANY):
+        taken = " UNION ALL ".join(f"SELECT row_id FROM m{i}" for i in range(step))
+        parts.append(_median_step(f"m{step}", f"o{step - 1}", taken))
+        parts.append(
+            f"o{step} AS MATERIALIZED (SELECT s.row_id, least(o.d, list_distance(s.features, m{step}.features)) AS d "
+            f"FROM s JOIN o{step - 1} o USING (row_id), m{step})"
+        )
+    seeds = " UNION ALL ".join(f"SELECT {i} AS cluster, features AS centroid FROM m{i}" for i in range(MANY))
+    return ", ".join([*parts, f"c0 AS MATERIALIZED ({seeds})", kit.assigned("v", "c0", "a")])
+
+
+@query("kmeans_many", f"WITH {_many_sql()} SELECT cluster, count(*) AS n, {r('sum(error)', 2)} AS error FROM a GROUP BY cluster")
+def kmeans_many(spark, sf):
+    """Sixty clusters from seeds of the run's own: more than the usual candidates can give."""
+    result = km.kmeans(fx.orders(spark, sf), MANY, max_iter=1, seed=MANY_SEED)
+    found = result.assignments.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), F.sum("error").alias("error"))
+    return found.select("cluster", "n", rounded("error", 2).alias("error"))
 
 
 # -- freezing variant ---------------------------------------------------------------------

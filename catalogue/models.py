@@ -128,7 +128,7 @@ _ORDERS_KNN_SQL = (
 @query("knn_orders", f"WITH {_ORDERS_KNN_SQL} SELECT row_id, rank, neighbour, {r('distance', 4)} AS distance FROM n")
 def knn_orders(spark, sf):
     training, validation = train_validation_split(fx.orders(spark, sf), 0.02, "orders")
-    found = knn_neighbours(training, validation, k=3, strategy="scan_train")
+    found = knn_neighbours(training, validation, k=3)
     return found.select("row_id", "rank", "neighbour", rounded("distance", 4).alias("distance"))
 
 
@@ -248,7 +248,7 @@ def _train_unit(spark, sf):
     rows = fx.vectors(spark, sf, "binary")
     # One step per epoch: the whole table is the mini-batch.
     return net.fit_network(
-        rows, network=net.Network([start]), epochs=EPOCHS, learning_rate=RATE, max_steps=1
+        rows, network=net.Network([start]), epochs=EPOCHS, learning_rate=RATE, batch_size=rows.count()
     )
 
 
@@ -277,7 +277,7 @@ def network_losses(spark, sf):
 def _small_training(spark, sf):
     training, validation = _sets(spark, sf)
     network = net.build_network(64, first=32, hidden=(32, 16), seed=5)
-    return net.fit_network(training, validation, network, epochs=2, learning_rate=0.01, max_steps=4)
+    return net.fit_network(training, validation, network, epochs=2, learning_rate=0.01)
 
 
 @query("network_history")

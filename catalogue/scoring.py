@@ -94,10 +94,10 @@ def contingency(spark, sf):
     return evaluate.contingency(_assigned(spark, sf), K + 1)
 
 
-@query("balance", f"WITH {_TABLE_SQL} SELECT {r(kit.BALANCE)} AS balance FROM t WHERE n0 + n1 > 0")
+@query("balance", f"WITH {_TABLE_SQL} SELECT {r(kit.BALANCE)} AS balance FROM t")
 def balance(spark, sf):
     table = evaluate.contingency(_assigned(spark, sf))
-    return evaluate.balance_score(table).select(rounded("balance").alias("balance"))
+    return evaluate.balance_score(table, K + 1).select(rounded("balance").alias("balance"))
 
 
 @query("purity", f"WITH {_TABLE_SQL} SELECT cluster, {r(kit.PURITY)} AS purity FROM t")
@@ -118,6 +118,18 @@ def document_labels(spark, sf):
     return evaluate.majority_label(rows)
 
 
+@query(
+    "majority_ten",
+    f"WITH {fx.vectors_sql('ten')}, n AS (SELECT CAST(row_id % 7 AS INTEGER) AS cluster, label, count(*) AS n FROM v GROUP BY ALL), "
+    "w AS (SELECT *, row_number() OVER (PARTITION BY cluster ORDER BY n DESC, label) AS place FROM n) "
+    "SELECT cluster, label AS majority FROM w WHERE place = 1",
+)
+def majority_ten(spark, sf):
+    """Majority among ten labels: none is left out."""
+    rows = fx.vectors(spark, sf, "ten").withColumn("cluster", (F.col("row_id") % 7).cast("int"))
+    return evaluate.majority_label(rows)
+
+
 # -- trials -------------------------------------------------------------------------------
 
 TRIALS = 3

@@ -14,7 +14,8 @@ def test_majority(spark):
     rows = [(0, 0), (0, 0), (0, 1), (0, 1), (1, -1), (1, -1), (1, 1), (5, 1), (5, 9), (5, 9)]
     df = pairs(spark, rows)
     assert {tuple(r) for r in ev.majority_label(df, 4).collect()} == {(0, 0), (1, -1), (2, -1), (3, -1)}
-    assert {tuple(r) for r in ev.majority_label(df).collect()} == {(0, 0), (1, -1), (5, 1)}
+    assert {tuple(r) for r in ev.majority_label(df).collect()} == {(0, 0), (1, -1), (5, 9)}
+    assert {tuple(r) for r in ev.majority_label(df, labels=(-1, 0, 1)).collect()} == {(0, 0), (1, -1), (5, 1)}
 
 
 def test_relabel_keeps_every_row_and_unmapped_clusters(spark):
@@ -68,12 +69,12 @@ def test_contingency_balance_purity(spark):
     df = pairs(spark, [(0, 0)] * 3 + [(0, 1)] + [(1, 1)] * 2 + [(1, -1)] * 9)
     table = ev.contingency(df, 3)
     assert {tuple(r) for r in table.collect()} == {(0, 3, 1), (1, 0, 2), (2, 0, 0)}
-    assert ev.balance_score(ev.contingency(df)).first()[0] == 0.5
-    assert ev.balance_score(table).first()[0] == 0.0
+    assert ev.balance_score(ev.contingency(df), 2).first()[0] == 0.5
+    assert ev.balance_score(table, 3).first()[0] == 0.0
     assert {r["cluster"]: r["purity"] for r in ev.purity_score(table).collect()} == {0: pytest.approx(2 / 3), 1: 1.0, 2: None}
     scores = ev.trial_scores(df, 2).first()
     assert (scores["balance"], scores["purity_0"], scores["purity_1"]) == (0.5, pytest.approx(2 / 3), 1.0)
-    assert ev.balance_score(ev.contingency(df.filter("label < 0"), 2)).first()[0] is None
+    assert ev.balance_score(ev.contingency(df.filter("label < 0"), 2), 2).first()[0] is None
 
 
 def test_purity_equals_distance_to_the_ideal_rows(spark):
@@ -108,3 +109,11 @@ def test_mask_size_report(vectors):
         shaped.row_id.cast("int").alias("cluster"), "features"), max_iter=3)
     rows = {r["mask_size"]: (r["balance"], r["purity"]) for r in report.collect()}
     assert rows == {4: (1.0, 1.0), 2: (1.0, 1.0)}
+
+
+def test_all_labels_count_and_a_third_class_is_an_error(spark):
+    df = spark.createDataFrame([(0, 7), (0, 7), (0, 1)], "cluster int, label int")
+    assert [tuple(r) for r in ev.majority_label(df).collect()] == [(0, 7)]
+    assert [tuple(r) for r in ev.majority_label(df, labels=(0, 1)).collect()] == [(0, 1)]
+    with pytest.raises(Exception, match="labels above 1"):
+        ev.contingency(df, 1).collect()

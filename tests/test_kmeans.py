@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 from vectrove.functions import kernels
 from vectrove.operators import kmeans as km
 from vectrove.operators.centroids import centroid_frame
-from vectrove.operators.neighbours import _assign_by_blocks, assign_clusters
+from vectrove.operators import neighbours
+from vectrove.operators.neighbours import assign_clusters
 
 
 def by_id(df, *columns):
@@ -120,15 +121,31 @@ def test_hot_cluster(vectors):
     assert [r["n"] for r in result.sizes.orderBy("cluster").collect()] == np.bincount(cluster).tolist()
 
 
-def test_block_join_equals_broadcast(spark, vectors):
+def test_assignment_past_the_broadcast_bound_is_the_same(spark, vectors, monkeypatch):
+    """With and without unique row ids; ties and rows without a distance included."""
     x, c = random_rows(300, 4, seed=8), random_rows(17, 4, seed=9)
-    df = vectors(x)
-    means = np.vstack([c, np.full((1, 4), np.nan)])
+    x[7], x[8] = np.nan, c[3]
+    means = np.vstack([c, c[3:5], np.full((1, 4), np.nan)])
     frame = centroid_frame(spark, means)
-    wanted = by_id(assign_clusters(df, frame), "cluster", "error")
-    got = by_id(_assign_by_blocks(df, frame, True, "features", "row_id", block_numbers=20), "cluster", "error")
-    assert {i: c for i, (c, _) in got.items()} == {i: c for i, (c, _) in wanted.items()}
-    np.testing.assert_allclose([got[i][1] for i in range(300)], [wanted[i][1] for i in range(300)], rtol=1e-12)
+    repeated = vectors(x).withColumn("row_id", F.col("row_id") % 5).withColumn("n", F.col("features")[0])
+    bare = repeated.select("features", "n")
+
+    def found(df):
+        return sorted((repr(r["n"]), r["cluster"], round(r["error"], 9)) for r in assign_clusters(df, frame).collect())
+
+    wanted = found(repeated)
+    for bound in (20, 30, 79):
+        monkeypatch.setattr(neighbours, "BROADCAST_NUMBERS", bound)
+        monkeypatch.setattr(neighbours, "as_matrix", lambda p, **_: as_matrix_unbounded(p))
+        assert found(repeated) == wanted
+        assert found(bare) == wanted
+        assert "Exchange" not in plan(assign_clusters(vectors(x).drop("label"), frame)).replace("REPARTITION_BY_NUM", "").split("ArrowEvalPython")[0]
+
+
+def as_matrix_unbounded(points):
+    from vectrove.operators.centroids import as_matrix
+
+    return as_matrix(points, bounded=True)
 
 
 def test_kernel_finds_exact_ties_among_many_points():
@@ -209,10 +226,13 @@ def test_freezing_equals_replay(vectors, freeze):
     np.testing.assert_allclose([r["mean_error"] for r in result.history.orderBy("iteration").collect()], errors)
 
 
-def test_builtin_adds_cluster(vectors):
-    df = km.kmeans_builtin(vectors([[0], [1], [10], [11]]), 2)
-    assert df.columns == ["row_id", "features", "label", "cluster"]
-    assert df.select("cluster").distinct().count() == 2
+def test_many_seeds_and_small_tables(vectors):
+    x = random_rows(300, 2, seed=6)
+    result = km.kmeans(vectors(x, partitions=3), 60, max_iter=2, seed=2)
+    assert result.sizes.count() == 60 and result.iterations == 2
+    assert km.kmeans(vectors(x[:40]), 3, max_iter=2, sample_rows=30, candidate_rows=10).sizes.count() == 3
+    with pytest.raises(ValueError, match="cannot give"):
+        km.kmeans(vectors(x), 60, candidate_rows=10)
 
 
 # -- plans --------------------------------------------------------------------------------

@@ -60,7 +60,9 @@ def test_fit_on_a_sample(vectors):
     ids = [r["row_id"] for r in sample_exact(df, 50, 9).collect()]
     model = pca.fit_pca(df, k=2, sample=50, seed=9)
     np.testing.assert_allclose(model.mean, x[ids].mean(0))
-    np.testing.assert_allclose(pca.fit_pca(df, k=2, sample=10_000).mean, x.mean(0))
+    np.testing.assert_allclose(pca.fit_pca(df, k=2).mean, x.mean(0))
+    with pytest.raises(ValueError, match="cannot draw"):
+        pca.fit_pca(df, k=2, sample=10_000)
 
 
 def test_save_and_load(spark, vectors, tmp_path):

@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 
 from vectrove.functions import kernels
-from vectrove.operators import distance, seeding
+from vectrove.operators import distance, neighbours, seeding
 from vectrove.operators.neighbours import knn_classify, knn_lists, knn_neighbours
 
 
@@ -139,3 +139,30 @@ def test_seed_many_has_no_duplicates(vectors):
 def test_seed_potential(vectors):
     row = seeding.seed_potential(vectors([[0], [3], [10]]), np.array([[0.0], [9.0]])).first()
     assert row["potential"] == 0 + 3 + 1
+
+
+def test_forced_strategies_check_sizes(vectors, monkeypatch):
+    monkeypatch.setattr(neighbours, "BROADCAST_NUMBERS", 10)
+    many, few = vectors(np.zeros((20, 2))), vectors([[0, 0]])
+    for strategy, train, queries in (("scan_queries", many, few), ("scan_train", few, many)):
+        with pytest.raises(ValueError, match="too many to broadcast"):
+            knn_lists(train, queries, 1, strategy=strategy)
+
+
+@pytest.mark.parametrize("strategy", ["scan_queries", "scan_train", "grid"])
+def test_no_query_is_lost(vectors, strategy):
+    nan = float("nan")
+    got = {r["row_id"]: r["neighbours"] for r in knn_lists(vectors([[1], [2]]), vectors([[0], [nan]]), 1, strategy=strategy).collect()}
+    assert len(got[0]) == 1 and got[1] == []
+    votes = knn_classify(vectors([[1], [2]], [3, 4]), vectors([[0], [nan]]), 1, strategy=strategy).collect()
+    assert {r["row_id"]: r["predicted"] for r in votes} == {0: 3, 1: None}
+
+
+def test_distance_operators_check_sizes(vectors, monkeypatch):
+    from vectrove.operators import centroids
+
+    monkeypatch.setattr(centroids, "BROADCAST_NUMBERS", 3)
+    rows = distance.number_candidates(vectors([[0, 1], [2, 3]]))
+    for found in (lambda: distance.pairwise_distances(rows), lambda: distance.mean_distance_to_sample(rows, rows)):
+        with pytest.raises(ValueError, match="too many"):
+            found()

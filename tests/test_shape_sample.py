@@ -151,3 +151,24 @@ def test_ids_from_elsewhere(thousand):
     )
     assert ids(sample.sample_up_to(thousand, 5000, 1)) == list(range(1000))
     assert ids(sample.sample_up_to(thousand, 12, 1)) == ids(sample.sample_exact(thousand, 12, 1))
+
+
+def test_draws_count_rows_not_ids(spark):
+    df = spark.range(1000).selectExpr("id % 10 AS row_id", "array(cast(id as double)) AS features")
+    with pytest.raises(ValueError, match="repeats"):
+        sample.sample_exact(df, 15, 1)
+    with pytest.raises(ValueError, match="repeats"):
+        sample.train_validation_split(df, 0.015, 1)
+    assert sample.sample_exact(df, 200, 1).count() == 200  # two whole ids
+
+
+@pytest.mark.parametrize("width", [3, 300])
+def test_shaping_of_any_width_and_of_a_wrong_one(vectors, width):
+    x = np.random.default_rng(3).normal(size=(5, width))
+    scale, weights = np.linspace(0, 2, width), np.linspace(-1, 1, width)
+    got = shape.weight_features(shape.scale_max_abs(vectors(x), scale.tolist()), weights.tolist()).orderBy("row_id").collect()
+    with np.errstate(divide="ignore", invalid="ignore"):
+        want = np.where(scale == 0, 0, x / scale) * weights
+    np.testing.assert_allclose([r["features"] for r in got], want, rtol=1e-15)
+    with pytest.raises(Exception, match="another width"):
+        shape.scale_max_abs(vectors(x), scale[:-1].tolist()).collect()

@@ -38,6 +38,8 @@ def as_matrix(points, order: str = "cluster", vector: str = "centroid", bounded:
         rows = points.select(order, vector).collect()
         points = [row[1] for row in sorted(rows, key=lambda row: row[0])]
     if isinstance(points, np.ndarray):
+        if points.size > BROADCAST_NUMBERS:
+            raise ValueError(f"{points.size} numbers are too many for a broadcast point set")
         return np.atleast_2d(points.astype(np.float64))
     width = max((len(p) for p in points if p is not None), default=0)
     rows = [np.full(width, np.nan) if p is None else np.asarray(p, dtype=np.float64) for p in points]

@@ -25,15 +25,17 @@ def _pairs(df: DataFrame, a: str, b: str) -> DataFrame:
 def majority_label(
     assigned: DataFrame,
     k: int | None = None,
-    labels: Sequence[int] = TERNARY,
+    labels: Sequence[int] | None = None,
     cluster: str = "cluster",
     label: str = "label",
 ) -> DataFrame:
     """``cluster, majority``: most frequent label (unlabelled counts), ties to the smallest.
 
-    With ``k`` given, clusters ``0..k-1`` all appear; one without rows gets the first label.
+    Every label counts unless ``labels`` names those that do. With ``k`` given, clusters
+    ``0..k-1`` all appear; one without rows gets the first of ``labels``, -1 by default.
     """
-    counts = _pairs(assigned.filter(F.col(label).isin(list(labels))), cluster, label)
+    counted = assigned.filter(F.col(label).isNotNull() if labels is None else F.col(label).isin(list(labels)))
+    counts = _pairs(counted, cluster, label)
     best = counts.groupBy("a").agg(F.max(F.struct("n", (-F.col("b")).alias("preference"))).alias("best"))
     voted = best.select(F.col("a").alias("cluster"), (-F.col("best.preference")).alias("majority"))
     if k is None:
@@ -41,7 +43,7 @@ def majority_label(
     ids = assigned.sparkSession.range(k).select(F.col("id").cast("int").alias("cluster"))
     known = voted.filter(F.col("cluster").between(0, k - 1))  # at most k rows
     return ids.join(F.broadcast(known), "cluster", "left").select(
-        "cluster", F.coalesce("majority", F.lit(min(labels))).alias("majority")
+        "cluster", F.coalesce("majority", F.lit(min(labels or TERNARY))).alias("majority")
     )
 
 
@@ -145,14 +147,16 @@ def _column(label: int) -> str:
 
 
 def contingency(assigned: DataFrame, k: int | None = None, cluster: str = "cluster", label: str = "label") -> DataFrame:
-    """``cluster, n0, n1``: labelled rows per cluster and class; with ``k``, empty clusters too."""
+    """``cluster, n0, n1``: labelled rows per cluster and class; with ``k``, empty clusters too.
+
+    There are two classes: a label above 1 is an error.
+    """
+    known = F.when(F.col(label) > 1, F.raise_error(F.lit("labels above 1 have no class here"))).otherwise(F.col(label))
     counts = (
         assigned.filter(F.col(label) >= 0)
-        .groupBy(F.col(cluster).cast("int").alias("cluster"))
-        .agg(
-            F.count(F.when(F.col(label) == 0, 1)).alias("n0"),
-            F.count(F.when(F.col(label) == 1, 1)).alias("n1"),
-        )
+        .select(F.col(cluster).cast("int").alias("cluster"), known.alias("known"))
+        .groupBy("cluster")
+        .agg(F.count(F.when(F.col("known") == 0, 1)).alias("n0"), F.count(F.when(F.col("known") == 1, 1)).alias("n1"))
     )
     if k is None:
         return counts
@@ -161,12 +165,14 @@ def contingency(assigned: DataFrame, k: int | None = None, cluster: str = "clust
     return ids.join(F.broadcast(known), "cluster", "left").na.fill(0)
 
 
-def balance_score(table: DataFrame) -> DataFrame:
-    """``balance``: smallest over largest labelled cluster of a contingency table; all empty -> NULL."""
+def balance_score(table: DataFrame, k: int) -> DataFrame:
+    """``balance``: smallest over largest labelled cluster of ``k``; all empty -> NULL.
+
+    A cluster that the contingency table leaves out is empty.
+    """
     rows = F.col("n0") + F.col("n1")
-    return table.agg(
-        (F.min(rows) / F.when(F.max(rows) > 0, F.max(rows))).alias("balance")
-    )
+    least = F.when(F.count(F.lit(1)) < k, F.lit(0)).otherwise(F.min(rows))
+    return table.agg((least / F.when(F.max(rows) > 0, F.max(rows))).alias("balance"))
 
 
 def purity_score(table: DataFrame) -> DataFrame:
@@ -176,26 +182,13 @@ def purity_score(table: DataFrame) -> DataFrame:
 
 
 def trial_scores(assigned: DataFrame, k: int = 2, cluster: str = "cluster", label: str = "label") -> DataFrame:
-    """One row: ``balance`` and ``purity_0 .. purity_<k-1>`` of an assigned table, in one aggregate."""
-
-    def count(c: int, value: int):
-        return F.count(F.when((F.col(cluster) == c) & (F.col(label) == value), 1))
-
-    names = [(f"n0_{c}", f"n1_{c}") for c in range(k)]
-    counts = assigned.filter(F.col(label) >= 0).agg(
-        *[count(c, value).alias(names[c][value]) for c in range(k) for value in (0, 1)]
-    )
-    rows = F.array(*[F.col(a) + F.col(b) for a, b in names])
-    most = F.array_max(rows)
-
-    def purity(a: str, b: str):
-        larger = F.greatest(a, b)
-        return 1.0 - F.least(a, b) / F.when(larger > 0, larger)
-
-    return counts.select(
-        (F.array_min(rows) / F.when(most > 0, most)).alias("balance"),
-        *[purity(a, b).alias(f"purity_{c}") for c, (a, b) in enumerate(names)],
+    """One row: ``balance`` and ``purity_0 .. purity_<k-1>`` of an assigned table, from one count."""
+    counts = contingency(assigned, k, cluster, label)
+    purities = purity_score(counts).agg(
+        *[F.max(F.when(F.col("cluster") == c, F.col("purity"))).alias(f"purity_{c}") for c in range(k)]
     )
+    # Two tables of one row, of k counts.
+    return balance_score(counts, k).join(F.broadcast(purities))
 
 
 def mean_scores(trials: DataFrame, by: Sequence[str] = ()) -> DataFrame:

@@ -24,6 +24,7 @@ from vectrove.operators.centroids import as_matrix, centroid_frame, local_frame
 from vectrove.operators.neighbours import assign_clusters
 from vectrove.operators.reduce import cached, is_held
 from vectrove.operators.seeding import seed_many, seed_matrix, seed_two
+from vectrove.operators.stats import feature_partials
 
 HISTORY_SCHEMA = "iteration int, mean_error double, delta double, seconds double"
 _PARTIAL = "cluster int, feature int, n long, error double, total double"
@@ -40,9 +41,10 @@ class KMeansResult:
     iterations: int
 
 
-def _initial(df, k, init, seed, row_id, features, ids=None) -> np.ndarray:
+def _initial(df, k, init, seed, row_id, features, ids=None, sample_rows=None, candidate_rows=None) -> np.ndarray:
     if init is None:
         options = {"seed": seed, "row_id": row_id, "features": features, "ids": ids}
+        options |= {"sample_rows": sample_rows, "candidate_rows": candidate_rows}
         return seed_matrix(seed_two(df, **options) if k == 2 else seed_many(df, k, **options))
     if isinstance(init, DataFrame):
         vector = "centroid" if "centroid" in init.columns else "features"
@@ -114,36 +116,9 @@ def lloyd_pass(vectors: DataFrame, means: np.ndarray, metric: str = "euclidean")
 
 def update_centroids(assigned: DataFrame, features: str = "features", cluster: str = "cluster") -> DataFrame:
     """``cluster, feature, mean, n``: means and cardinalities of an assigned table."""
-    source = assigned.select(F.col(features), F.col(cluster).cast("int").alias("cluster"))
-
-    def run(batches):
-        held: dict[int, list] = {}
-        for batch in batches:
-            x = matrix(batch.column(0))
-            if not len(x):
-                continue
-            ids, counts, sums = kernels.sums_by(batch.column(1).to_numpy(), x)
-            for i, c in enumerate(ids.tolist()):
-                entry = held.setdefault(c, [0, np.zeros(x.shape[1])])
-                entry[0] += int(counts[i])
-                entry[1] += sums[i]
-        for c, (n, total) in held.items():
-            width = len(total)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.full(width, c, dtype=np.int32)),
-                    pa.array(np.arange(width, dtype=np.int32)),
-                    pa.array(np.full(width, n, dtype=np.int64)),
-                    pa.array(np.zeros(width)),
-                    pa.array(total),
-                ],
-                ["cluster", "feature", "n", "error", "total"],
-            )
-
-    return (
-        source.mapInArrow(run, _PARTIAL)
-        .groupBy("cluster", "feature")
-        .agg((F.sum("total") / F.sum("n")).alias("mean"), F.sum("n").alias("n"))
+    partials = feature_partials(assigned.where(F.col(cluster).isNotNull()), cluster, features)
+    return partials.groupBy(F.col("grp").cast("int").alias("cluster"), "feature").agg(
+        (F.sum("total") / F.sum("n")).alias("mean"), F.sum("n").alias("n")
     )
 
 
@@ -164,22 +139,27 @@ def kmeans(
     features: str = "features",
     row_id: str = "row_id",
     ids: DataFrame | None = None,
+    sample_rows: int | None = None,
+    candidate_rows: int | None = None,
 ) -> KMeansResult:
     """Cluster until the mean error moves by at most ``min_delta`` or ``max_iter`` passes ran.
 
     At least one pass runs. Seeds come from ``init`` (array, or DataFrame ``cluster,
-    centroid|features``), else from :func:`seed_two` / :func:`seed_many` (``ids`` as there). An empty cluster
+    centroid|features``), else from :func:`seed_two` / :func:`seed_many` (``ids``, ``sample_rows``, ``candidate_rows`` as there). An empty cluster
     loses its mean and is never chosen again. The input's vectors are cached on memory and
     disk for the passes unless ``df`` is cached already; ``cache=False`` rescans them, for inputs beyond the executors' disks.
     """
     spark = df.sparkSession
-    means = _initial(df, k, init, seed, row_id, features, ids)
     vectors = df.select(features)
     cache = cache and not (is_held(df) or is_held(vectors))
-    if cache:
-        vectors = cached(vectors)
+    # Seeds are drawn from the cached rows: the input is scanned once.
+    rows = df.select(*dict.fromkeys([features] if init is not None else [row_id, features]))
+    source = cached(rows) if cache else rows
     history, previous = [], None
     try:
+        means = _initial(df if is_held(df) else source, k, init, seed, row_id, features, ids, sample_rows, candidate_rows)
+        if cache:
+            vectors = source.select(features)
         for iteration in range(max(1, max_iter)):
             started = time.monotonic()
             used = means
@@ -197,7 +177,7 @@ def kmeans(
                 break
     finally:
         if cache:
-            vectors.unpersist()
+            source.unpersist()
     return KMeansResult(
         assignments=assign_clusters(df, used, metric, features, row_id),
         centroids=centroid_frame(spark, means),
@@ -300,13 +280,3 @@ def kmeans_freezing(
         history=local_frame(spark, history, HISTORY_SCHEMA),
         iterations=len(history),
     )
-
-
-def kmeans_builtin(df: DataFrame, k: int, max_iter: int = 20, seed: int = 0, features: str = "features") -> DataFrame:
-    """Spark ML's own k-means: adds ``cluster``. No seed rows; stops on centre movement."""
-    from pyspark.ml.clustering import KMeans
-    from pyspark.ml.functions import array_to_vector
-
-    vectors = df.withColumn("_vector", array_to_vector(F.col(features).cast("array<double>")))
-    model = KMeans(k=k, maxIter=max_iter, seed=seed, featuresCol="_vector", predictionCol="cluster").fit(vectors)
-    return model.transform(vectors).drop("_vector")

@@ -18,7 +18,7 @@ import math
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vectrove.functions import kernels
@@ -58,33 +58,47 @@ def assign_clusters(
 
     ``metric`` is ``euclidean`` or ``squared``. ``centroids`` is an array or a DataFrame
     ``cluster, centroid``. Works on streaming input: no state, no shuffle. A centroid table
-    beyond the broadcast bound is joined block by block instead.
+    beyond the broadcast bound is taken in blocks: each is one more map over the row, which
+    keeps the best it has seen, so rows stay where they are and need no id at any size.
     """
     if metric not in ("euclidean", "squared"):
         raise ValueError("metric is 'euclidean' or 'squared'")
     rooted = metric == "euclidean"
-    if isinstance(centroids, DataFrame) and point_numbers(centroids, "centroid") > BROADCAST_NUMBERS:
-        return _assign_by_blocks(df, centroids, rooted, features, row_id)
-    assign = nearest_point(as_matrix(centroids), rooted, df.sparkSession)
-    return df.withColumn("_nearest", assign(F.col(features))).select(
+    blocks = 1
+    if isinstance(centroids, DataFrame):
+        blocks = max(1, math.ceil(point_numbers(centroids, "centroid") / BROADCAST_NUMBERS))
+    if blocks == 1:
+        best = nearest_point(as_matrix(centroids), rooted, df.sparkSession)(F.col(features))
+    else:
+        best = _nearest_of_blocks(centroids, blocks, rooted, features)
+    return df.withColumn("_nearest", best).select(
         *[F.col(c) for c in df.columns], "_nearest.cluster", "_nearest.error"
     )
 
 
-def _assign_by_blocks(df, centroids, rooted, features, row_id, block_numbers=None) -> DataFrame:
-    points = centroids.filter(F.col("centroid").isNotNull()).select(
-        F.col("cluster").cast("long").alias("row_id"), F.col("centroid").alias("features")
-    )
-    queries = df.select(F.col(row_id).alias("row_id"), F.col(features).alias("features"))
-    found = _grid(points, queries, 1, block_numbers or BLOCK_NUMBERS).select(
-        F.col("row_id").alias(row_id), F.col("neighbours")[0].alias("_nearest")
-    )
-    distance = F.col("_nearest.distance")
-    return df.join(found, row_id, "left").select(
-        *[F.col(c) for c in df.columns],
-        F.coalesce(F.col("_nearest.neighbour"), F.lit(0)).cast("int").alias("cluster"),
-        F.coalesce(distance if rooted else distance * distance, F.lit(kernels.UNREACHABLE)).alias("error"),
-    )
+def _nearest_of_blocks(centroids: DataFrame, blocks: int, rooted: bool, features: str) -> Column:
+    """The nearest of a centroid table that is broadcast block by block; ties to the lowest cluster."""
+    spark, found = centroids.sparkSession, []
+    for block in range(blocks):
+        rows = centroids.filter(F.pmod("cluster", F.lit(blocks)) == block)
+        names = sorted(row[0] for row in rows.select("cluster").collect())
+        if names:
+            local = nearest_point(as_matrix(rows, bounded=True), rooted, spark)(F.col(features))
+            name = F.get(F.array(*[F.lit(n) for n in names]), local["cluster"]) if len(names) <= 1000 else _named(spark, names)(local["cluster"])
+            found.append(F.struct(local["error"].alias("error"), name.cast("int").alias("cluster")))
+    best = F.least(*found) if len(found) > 1 else found[0]
+    return F.struct(best["cluster"].alias("cluster"), best["error"].alias("error"))
+
+
+def _named(spark, names: list[int]):
+    """Arrow UDF ``place -> cluster`` over the clusters of a block."""
+    shared = spark.sparkContext.broadcast(np.asarray(names, dtype=np.int32))
+
+    @F.arrow_udf("int")
+    def name(places: pa.Array) -> pa.Array:
+        return pa.array(shared.value[places.to_numpy()], pa.int32())
+
+    return name
 
 
 def point_distances(
@@ -132,9 +146,9 @@ def _collect_side(df: DataFrame):
 
 
 def _packed(query_ids: np.ndarray, best: kernels.ClosestK) -> pa.RecordBatch:
-    """One record per query that has neighbours."""
+    """One record per query; the list is empty where no distance is finite."""
     lengths, distance, ids, labels = best.found()
-    offsets = np.r_[0, np.cumsum(lengths[lengths > 0])].astype(np.int32)
+    offsets = np.r_[0, np.cumsum(lengths)].astype(np.int32)
     entries = pa.StructArray.from_arrays(
         [
             pa.array(distance),
@@ -144,7 +158,7 @@ def _packed(query_ids: np.ndarray, best: kernels.ClosestK) -> pa.RecordBatch:
         ["distance", "neighbour", "label"],
     )
     return pa.RecordBatch.from_arrays(
-        [pa.array(query_ids[lengths > 0], pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), entries)],
+        [pa.array(query_ids, pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), entries)],
         ["row_id", "neighbours"],
     )
 
@@ -160,9 +174,10 @@ def _scan_queries(train: DataFrame, queries: DataFrame, k: int) -> DataFrame:
         ids, vectors, labels = shared.value
         for batch in batches:
             x = matrix(batch.column("features"))
-            if len(x) and len(ids):
+            if len(x):
                 best = kernels.ClosestK(x, k)
-                best.add(vectors, ids, labels)
+                if len(ids):
+                    best.add(vectors, ids, labels)
                 yield _packed(batch.column("row_id").to_numpy(), best)
 
     return queries.select("row_id", "features").mapInArrow(search, _PACKED)
@@ -220,9 +235,9 @@ def _grid(train: DataFrame, queries: DataFrame, k: int, block_numbers: int) -> D
 
 def _merge(partial: DataFrame, k: int) -> DataFrame:
     """Best ``k`` of the partial lists of each query; one shuffle by query serves both steps."""
-    best = Window.partitionBy("row_id").orderBy("entry.distance", "entry.neighbour")
+    best = Window.partitionBy("row_id").orderBy(F.asc_nulls_last("entry.distance"), "entry.neighbour")
     return (
-        partial.select("row_id", F.explode("neighbours").alias("entry"))
+        partial.select("row_id", F.explode_outer("neighbours").alias("entry"))
         .withColumn("place", F.row_number().over(best))
         .filter(F.col("place") <= k)
         .groupBy("row_id")
@@ -242,24 +257,25 @@ def knn_lists(
 ) -> DataFrame:
     """``row_id, neighbours``: the exact ``k`` nearest train rows of each query, best first.
 
-    Distance ties go to the lower train ``row_id``. ``strategy`` forces one of
-    ``scan_queries`` (train broadcast), ``scan_train`` (queries broadcast) or ``grid``.
+    Distance ties go to the lower train ``row_id``; a query without a finite distance has an
+    empty list. ``strategy`` forces one of ``scan_queries`` (train broadcast), ``scan_train``
+    (queries broadcast) or ``grid``; a side that is too large for a broadcast is an error.
     """
     if k < 1:
         raise ValueError("k must be positive")
     t = _side(train, row_id, features, label)
     q = _side(queries, row_id, features, None)
-    if strategy == "auto":
+    if strategy in ("auto", "scan_queries", "scan_train"):
         width = max(1, _width(t))
         train_rows, tasks = _extent(t)
-        if train_rows * width <= BROADCAST_NUMBERS:
-            strategy = "scan_queries"
-        else:
-            query_rows, _ = _extent(q)
-            emitted = query_rows * k * tasks
+        query_rows = _extent(q)[0] if strategy == "scan_train" or train_rows * width > BROADCAST_NUMBERS else 0
+        if strategy == "auto":
             # Partial lists must not outweigh the train side they summarise.
-            fits = query_rows * width <= BROADCAST_NUMBERS and emitted <= train_rows
-            strategy = "scan_train" if fits else "grid"
+            fits = query_rows * width <= BROADCAST_NUMBERS and query_rows * k * tasks <= train_rows
+            strategy = "scan_queries" if train_rows * width <= BROADCAST_NUMBERS else "scan_train" if fits else "grid"
+        sent = train_rows if strategy == "scan_queries" else query_rows
+        if strategy != "grid" and sent * width > BROADCAST_NUMBERS:
+            raise ValueError(f"{sent} rows of width {width} are too many to broadcast for {strategy}")
     if strategy == "scan_queries":
         return _scan_queries(t, q, k)
     if strategy == "scan_train":
@@ -278,7 +294,7 @@ def knn_neighbours(train: DataFrame, queries: DataFrame, k: int = 5, **options)
 
 
 def knn_classify(train: DataFrame, queries: DataFrame, k: int = 5, **options) -> DataFrame:
-    """``row_id, predicted``: uniform vote of the ``k`` nearest; a tied vote takes the smallest label."""
+    """``row_id, predicted``: uniform vote of the ``k`` nearest; a tied vote takes the smallest label, none gives NULL."""
     labels = F.transform("neighbours", lambda n: n["label"])
     votes = F.transform(
         F.array_distinct(labels),

@@ -8,6 +8,7 @@ broadcast (their size is fixed by the architecture); the optimiser step runs on
 
 from __future__ import annotations
 
+import copy
 import math
 import time
 from collections.abc import Sequence
@@ -20,8 +21,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vectrove.functions.vectors import matrix, row_slices
-from vectrove.operators.centroids import local_frame
-from vectrove.operators.reduce import CHUNK_SCHEMA, chunks, few_tasks, sum_chunks
+from vectrove.operators.centroids import local_frame, point_numbers
+from vectrove.operators.reduce import CHUNK_SCHEMA, chunks, sum_chunks
+from vectrove.operators.sample import sample_up_to
 
 # Training set-up of the classifier.
 HIDDEN = (1024, 512, 256, 128, 64)
@@ -35,6 +37,8 @@ OPTIMISER_EPSILON = 1e-7
 CLIP = 1e-7
 
 MAX_PARAMETERS = 64_000_000
+# Rows of a step that one task takes.
+TASK_ROWS = 4096
 MODEL_SCHEMA = "layer int, kind string, activation string, parameter string, shape array<int>, values array<double>"
 HISTORY_SCHEMA = (
     "epoch int, loss double, accuracy double, val_loss double, val_accuracy double, seconds double"
@@ -205,8 +209,7 @@ def _sum_over(rows: DataFrame, size: int, per_block, width: int, row_elements: i
         if total is not None:
             yield from chunks(total)
 
-    rows, tasks = few_tasks(rows)
-    return sum_chunks(rows.mapInArrow(run, CHUNK_SCHEMA), size, tasks)
+    return sum_chunks(rows.mapInArrow(run, CHUNK_SCHEMA), size)
 
 
 def batch_gradient(network: Network, rows: DataFrame):
@@ -322,7 +325,7 @@ def fit_network(
     epochs: int = EPOCHS,
     batch_size: int = BATCH,
     learning_rate: float = LEARNING_RATE,
-    max_steps: int = 50,
+    max_rows: int | None = None,
     seed: int = 0,
     features: str = "features",
     label: str = "label",
@@ -330,27 +333,37 @@ def fit_network(
 ) -> TrainingResult:
     """Train with Adagrad on the log loss; metrics after every epoch.
 
-    An epoch has ``ceil(rows / batch_size)`` steps up to ``max_steps``; on larger tables the
-    mini-batches grow instead, so an epoch stays a fixed number of jobs. Rows go to steps by
-    hash and lie sorted by step in the cache, whose statistics let a step skip the batches of
-    the others; the order of the steps changes with every epoch.
+    An epoch has ``ceil(rows / batch_size)`` steps, whatever the size of the table; ``max_rows``
+    bounds the labelled rows that are learnt from to an exact sample of so many (all rows by
+    default). Rows go to steps by hash, about ``batch_size`` to each, the same in every epoch,
+    and lie sorted by step in the cache, whose statistics let a step skip the batches of the
+    others; the order of the steps changes with every epoch. The given network is not changed:
+    a copy is trained.
     """
     spark = train.sparkSession
+    if max_rows is not None:
+        train = sample_up_to(train, max_rows, f"{seed}:train", row_id)
     rows = train.count()
     if rows == 0:
         raise ValueError("training over an empty table")
-    steps = max(1, min(math.ceil(rows / batch_size), max_steps))
+    steps = math.ceil(rows / batch_size)
     staged = (
         train.select(
             F.col(features).alias("features"),
             F.col(label).cast("double").alias("label"),
             F.pmod(F.xxhash64(F.lit(seed), F.col(row_id)), F.lit(steps)).cast("int").alias("step"),
+            F.pmod(F.xxhash64(F.col(row_id), F.lit(seed)), F.lit(math.ceil(batch_size / TASK_ROWS))).alias("part"),
         )
+        # A step's rows lie in few partitions: each task of a step sends a whole gradient.
+        .repartition("step", "part")
         .sortWithinPartitions("step")
+        .drop("part")
         .persist(StorageLevel.MEMORY_AND_DISK)
     )
     if network is None:
         network = build_network(int(train.select(F.size(features)).first()[0]), seed=seed)
+    else:
+        network = copy.deepcopy(network)
     rng = np.random.default_rng(seed)
     squares = [{name: np.zeros_like(p) for name, p in layer.parameters.items()} for layer in network.layers]
     history = []
@@ -404,7 +417,11 @@ def save_network(spark: SparkSession, network: Network, path: str) -> None:
 def load_network(spark: SparkSession, path: str) -> Network:
     """Read a model table back."""
     layers: dict[int, Layer] = {}
-    for row in spark.read.parquet(path).collect():
+    table = spark.read.parquet(path)
+    held = point_numbers(table, "values")
+    if held > MAX_PARAMETERS:
+        raise ValueError(f"{held} numbers are too many for a network that is broadcast")
+    for row in table.collect():
         layer = layers.setdefault(row["layer"], Layer(row["kind"], row["activation"]))
         layer.parameters[row["parameter"]] = np.array(row["values"]).reshape(row["shape"])
     if not layers:

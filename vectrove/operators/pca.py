@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 from vectrove.functions.vectors import lists, matrix, row_slices
 from vectrove.operators.centroids import local_frame
-from vectrove.operators.reduce import CHUNK_SCHEMA, chunks, few_tasks, sum_chunks
-from vectrove.operators.sample import sample_up_to
+from vectrove.operators.reduce import CHUNK_SCHEMA, chunks, sum_chunks
+from vectrove.operators.sample import sample_exact
 from vectrove.operators.stats import feature_partials
 
 # Covariance is formed and decomposed as one matrix; this bounds it to 800 MB.
@@ -63,9 +63,8 @@ def _scatter(vectors: DataFrame, mean: np.ndarray) -> np.ndarray:
         if total is not None:
             yield from chunks(total)
 
-    rows, tasks = few_tasks(vectors)
     try:
-        return sum_chunks(rows.mapInArrow(run, CHUNK_SCHEMA), width * width, tasks).reshape(width, width)
+        return sum_chunks(vectors.mapInArrow(run, CHUNK_SCHEMA), width * width).reshape(width, width)
     finally:
         shared.unpersist()
 
@@ -73,19 +72,19 @@ def _scatter(vectors: DataFrame, mean: np.ndarray) -> np.ndarray:
 def fit_pca(
     df: DataFrame,
     k: int = 20,
-    sample: int | None = 10_000,
+    sample: int | None = None,
     seed: int | str = 0,
     features: str = "features",
     row_id: str = "row_id",
     ids: DataFrame | None = None,
 ) -> PCAModel:
-    """Fit on an exact sample of ``sample`` rows (all rows when ``None`` or the table is smaller).
+    """Fit on all rows, or on an exact sample of ``sample`` rows (an error if there are fewer).
 
     ``ids`` as in :func:`vectrove.operators.sample.sample_exact`.
     """
     fitted = df
     if sample is not None:
-        fitted = sample_up_to(df, sample, seed, row_id, ids)
+        fitted = sample_exact(df, sample, seed, row_id, ids)
     vectors = fitted.select(features)
     if sample is not None:
         vectors = vectors.persist(StorageLevel.MEMORY_AND_DISK)

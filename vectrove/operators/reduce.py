@@ -7,7 +7,6 @@ reducer holds one accumulator and not the whole group.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -51,8 +50,8 @@ def _sum_level(partials: DataFrame, keys: list[str]) -> DataFrame:
     return partials.groupBy(*keys).applyInArrow(add, CHUNK_SCHEMA)
 
 
-def sum_chunks(partials: DataFrame, size: int, tasks: int) -> np.ndarray:
-    """Sum the chunk partials of at most ``tasks`` tasks and bring the array to the driver.
+def sum_chunks(partials: DataFrame, size: int) -> np.ndarray:
+    """Sum the chunk partials of all tasks and bring the array to the driver.
 
     ``size`` is fixed by the model (features squared, parameters), not by the row count.
     Small arrays are summed number by number in the JVM.
@@ -65,12 +64,9 @@ def sum_chunks(partials: DataFrame, size: int, tasks: int) -> np.ndarray:
         table = numbers.groupBy("at").agg(F.sum("value").alias("value")).toArrow()
         out[table.column("at").to_numpy()] = table.column("value").to_numpy()
         return out
-    keys = ["chunk"]
-    if tasks > FAN_IN:
-        fan_in = max(FAN_IN, math.isqrt(tasks))
-        salted = partials.withColumn("salt", (F.spark_partition_id() / fan_in).cast("int"))
-        partials = _sum_level(salted, ["chunk", "salt"])
-    table = _sum_level(partials, keys).toArrow()
+    # Two levels, so the scan keeps its tasks and no reducer reads one chunk from all of them.
+    salted = partials.withColumn("salt", (F.spark_partition_id() / FAN_IN).cast("int"))
+    table = _sum_level(_sum_level(salted, ["chunk", "salt"]), ["chunk"]).toArrow()
     for chunk, values in zip(table.column("chunk").to_pylist(), table.column("values")):
         part = values.values.to_numpy(zero_copy_only=False)
         out[chunk * CHUNK : chunk * CHUNK + len(part)] = part
@@ -91,26 +87,13 @@ def cached(df: DataFrame) -> DataFrame:
     """The input on memory and disk for repeated passes; the caller unpersists it.
 
     A table that sits in a few crowded partitions (few files, one row group) is spread over
-    the cores once. One of many files stays where it is: no shuffle.
+    the cores on its way into the cache. One of many partitions stays where it is: no shuffle.
     """
-    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
     parallel = df.sparkSession.sparkContext.defaultParallelism
-    row = (
-        kept.select(F.spark_partition_id().alias("p")).groupBy("p").agg(F.count(F.lit(1)).alias("n"))
+    row = (  # reads no column
+        df.select(F.spark_partition_id().alias("p")).groupBy("p").agg(F.count(F.lit(1)).alias("n"))
         .agg(F.count(F.lit(1)).alias("busy"), F.max("n").alias("most")).first()
     )
-    if row["busy"] * 2 > parallel or (row["most"] or 0) <= SPREAD_ROWS:
-        return kept
-    even = kept.repartition(parallel).persist(StorageLevel.MEMORY_AND_DISK)
-    even.count()
-    kept.unpersist()
-    return even
-
-
-def few_tasks(df: DataFrame) -> tuple[DataFrame, int]:
-    """The input on at most two tasks per core, without a shuffle, and that number.
-
-    For folds whose partial is as large as a model: fewer tasks emit fewer partials.
-    """
-    tasks = 2 * df.sparkSession.sparkContext.defaultParallelism
-    return df.coalesce(tasks), tasks
+    crowded = row["busy"] * 2 <= parallel and (row["most"] or 0) > SPREAD_ROWS
+    spread = df.repartition(parallel) if crowded else df
+    return spread.persist(StorageLevel.MEMORY_AND_DISK)

@@ -64,14 +64,14 @@ def find_cut(df: DataFrame, seed: int | str, size, row_id: str = "row_id") -> Cu
             remaining -= n
         if held <= BUCKET_ROWS or len(prefix) >= 32:
             break
-    last = (
-        places.filter(F.col("key").startswith(prefix))
-        .orderBy("key", "id")
-        .limit(remaining)
-        .agg(F.max(F.struct("key", "id")).alias("place"))
-        .first()["place"]
-    )
-    return Cut(last["key"], last["id"])
+    bucket = places.filter(F.col("key").startswith(prefix))
+    last = bucket.orderBy("key", "id").limit(remaining).agg(F.max(F.struct("key", "id")).alias("place")).first()["place"]
+    cut = Cut(last["key"], last["id"])
+    if held > remaining:
+        drawn = bucket.filter(cut.inside(F.col("key"), F.col("id"))).count()
+        if drawn != remaining:
+            raise ValueError(f"row id {cut.row_id} repeats: the draw would hold {drawn - remaining} rows too many")
+    return cut
 
 
 def sample_exact(
@@ -79,6 +79,8 @@ def sample_exact(
 ) -> DataFrame:
     """Exactly ``n`` distinct rows, uniform over seeds; raises when the table is smaller.
 
+    Rows of one id share their place; a draw that would have to part them is an error.
+
     ``ids`` may hold the same row ids where they are cheaper to scan: Parquet reads the id
     column alone, but a raw matrix is read whole, and its label vector is not.
     """

@@ -91,7 +91,7 @@ def pca_knn(
     training: DataFrame,
     validation: DataFrame,
     components: int = 20,
-    sample: int | None = 10_000,
+    sample: int | None = None,
     k: int = 5,
     seed: int | str = 0,
 ) -> DataFrame:
