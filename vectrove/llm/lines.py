@@ -19,7 +19,7 @@ from vectrove.llm.common import stored
 from vectrove.llm.graph import components
 
 #: Characters of a shingle, minima of a signature, minima of a band.
-SHINGLE, MINIMA, BAND = 8, 32, 4
+SHINGLE, MINIMA, BAND = 8, 24, 4
 
 
 def bands_of(minima: int = MINIMA, size: int = BAND) -> list[list[int]]:
@@ -36,8 +36,8 @@ def constants(minima: int = MINIMA) -> list[int]:
 
 
 def _plain(line: Column) -> Column:
-    """The line as it is compared: lower case, white space at both ends away."""
-    return F.lower(F.regexp_replace(line, r"^\s+|\s+$", ""))
+    """The line as it is compared: lower case, ASCII white space at both ends away."""
+    return F.lower(F.btrim(line, F.lit(" \t\r\x0b\x0c")))
 
 
 def _units(plain: Column) -> Column:
@@ -84,16 +84,19 @@ def _verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Da
     return sets.where(100 * F.col("both") >= percent * (F.col("n") + F.col("m") - F.col("both"))).select("a", "b")
 
 
-def line_components(lines: DataFrame, size: int = SHINGLE, percent: int = 75) -> DataFrame:
-    """``h, c``: lines that are linked with another one, and the smallest hash they reach."""
+def shared_bands(lines: DataFrame, size: int = SHINGLE) -> DataFrame:
+    """``band, h, lo``: the bands that several different lines share, with the smallest of them."""
     signed = stored(line_bands(lines, size), "bands")
     spread = signed.select(F.explode("bands").alias("band"), "h")
     several = spread.groupBy("band").agg(F.min("h").alias("lo"), F.max("h").alias("hi")).where("lo < hi").select("band", "lo")
-    shared = stored(spread.join(several, "band"), "shared")
-    wanted = shared.select("h").distinct()
-    texts = lines.select("h", "plain").join(wanted, "h").groupBy("h").agg(F.min("plain").alias("plain"), F.max("plain").alias("other"))
-    # Should two lines ever share a hash, they are not compared with others.
-    texts = stored(texts.where("plain = other").select("h", "plain"), "texts")
+    return stored(spread.join(several, "band"), "shared")
+
+
+def linked_lines(shared: DataFrame, texts: DataFrame, size: int = SHINGLE, percent: int = 75) -> DataFrame:
+    """``h, c``: lines that are linked with another one, and the smallest hash they reach.
+
+    ``shared`` as from :func:`shared_bands`, ``texts(h, plain)`` a row for each of its lines.
+    """
     star = stored(shared.where("h <> lo").select(F.col("lo").alias("a"), F.col("h").alias("b")).distinct(), "pairs")
     links = stored(_verified(star, texts, size, percent), "links")
     comps = stored(components(links), "components").select(F.col("node").alias("h"), F.col("component").alias("c"))
@@ -103,6 +106,8 @@ def line_components(lines: DataFrame, size: int = SHINGLE, percent: int = 75) ->
     left, right = open_.select("band", F.col("h").alias("a"), "c"), open_.select("band", F.col("h").alias("b"), F.col("c").alias("d"))
     rest = left.join(right, "band").where("c <> d and a < b").select("a", "b").distinct()
     rest = stored(rest.join(star, ["a", "b"], "left_anti"), "pairs")
+    if rest.isEmpty():
+        return comps
     more = links.union(_verified(rest, texts, size, percent))
     return components(more).select(F.col("node").alias("h"), F.col("component").alias("c"))
 
@@ -110,17 +115,26 @@ def line_components(lines: DataFrame, size: int = SHINGLE, percent: int = 75) ->
 def repeated_lines(docs: DataFrame, size: int = SHINGLE, percent: int = 75) -> DataFrame:
     """``doc_id, t, n_lines, removed``: for each document with lines, the places of those that go.
 
-    Lines are linked when their sets of ``size``-character shingles (lower case, white space
-    at both ends aside) have a Jaccard similarity of ``percent`` or more and their signatures
+    Lines are linked when their sets of ``size``-character shingles (lower case, ASCII white
+    space at both ends aside) have a Jaccard similarity of ``percent`` or more and their signatures
     meet; a line of fewer characters is one shingle. Of the lines that links connect, the
     first by doc_id, text hash and place stays. Lines of white space only are never removed
     and not counted. Rows without id or text are left out. Rows that repeat id and text count
     as one document.
     """
     lines = lines_of(docs.select("doc_id", "text"))
-    linked = stored(line_components(lines, size, percent), "lines")
-    own = lines.select("doc_id", "t", "at", "h").distinct().join(linked, "h", "left").select("doc_id", "t", "at", F.coalesce("c", "h").alias("c"))
-    own = stored(own, "places")
+    shared = shared_bands(lines, size)
+    # All places of all lines, and the line itself where it shares a band: one more scan. The
+    # lines that share bands are the smaller side, so they are hashed and nothing is sorted.
+    wanted = shared.select("h").distinct().withColumn("wanted", F.lit(True)).hint("shuffle_hash")
+    known = lines.join(wanted, "h", "left").select("doc_id", "t", "at", "h", F.when(F.col("wanted"), F.col("plain")).alias("plain"))
+    known = stored(known, "known")
+    texts = known.where("plain is not null").groupBy("h").agg(F.min("plain").alias("plain"), F.max("plain").alias("other"))
+    # Should two lines ever share a hash, they are not compared with others.
+    texts = stored(texts.where("plain = other").select("h", "plain"), "texts")
+    linked = stored(linked_lines(shared, texts, size, percent), "lines")
+    places = known.select("doc_id", "t", "at", "h").distinct()
+    own = stored(places.join(linked, "h", "left").select("doc_id", "t", "at", F.coalesce("c", "h").alias("c")), "places")
     first = own.groupBy("c").agg(F.min(F.struct("doc_id", "t", "at")).alias("first"), F.count("c").alias("n")).where("n > 1")
     marked = own.join(first.select("c", "first"), "c", "left")
     gone = F.col("first").isNotNull() & (F.struct("doc_id", "t", "at") != F.col("first"))
