@@ -33,8 +33,6 @@ from vectrove.llm.graph import components
 
 #: Cells of the frequency sketch.
 CELLS = 1 << 20
-#: Bits of a set's bitmap.
-MAP = 1024
 _CELL_SHIFT, _BLOCK = np.uint64(44), 1 << 14
 _STEP = [np.uint64(pow(0xD6E8FEB86659FD93, i, 1 << 64)) for i in range(64)]
 
@@ -116,10 +114,34 @@ def signatures(shingles: np.ndarray, rank: np.ndarray, percent: int) -> tuple[np
     return np.concatenate(found), np.concatenate(places), np.concatenate(before)
 
 
-def _bitmap(shingles: np.ndarray) -> np.ndarray:
-    """Which of ``MAP`` classes an odd number of shingles falls in; sets differ in no less than their bitmaps."""
-    odd = np.bincount(((shingles >> np.uint64(20)) % np.uint64(MAP)).astype(np.int64), minlength=MAP) & 1
-    return np.packbits(odd.astype(bool)).view("<i8")
+def _bitmap(shingles: np.ndarray) -> bytes:
+    """Which classes an odd number of shingles falls in; there are some two classes a shingle.
+
+    Sets differ in no less shingles than their bitmaps differ in classes, also after the
+    larger bitmap is folded onto the smaller one.
+    """
+    bits = min(max((2 * len(shingles)).bit_length(), 8), 20)
+    places = ((shingles >> np.uint64(20)) & np.uint64((1 << bits) - 1)).astype(np.int64)
+    return np.packbits((np.bincount(places, minlength=1 << bits) & 1).astype(bool)).tobytes()
+
+
+def _may_link(percent: int):
+    """Of pairs ``a, b, both, x, y`` (sizes together, bitmaps) those whose bitmaps let them link."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            good = []
+            for n, x, y in zip(batch.column("both").to_pylist(), batch.column("x"), batch.column("y"), strict=True):
+                x, y = (np.frombuffer(v.as_buffer(), np.uint8) for v in (x, y))
+                if len(x) < len(y):
+                    x, y = y, x
+                apart = np.bitwise_count(np.bitwise_xor.reduce(x.reshape(-1, len(y)), axis=0) ^ y).sum()
+                good.append((100 - percent) * n >= (100 + percent) * int(apart))
+            out = batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
+            if out.num_rows:
+                yield out
+
+    return run
 
 
 def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -172,7 +194,7 @@ def similar_documents(docs: DataFrame, size: int = 5, percent: int = 75, rounds:
             if pile:
                 counts += np.bincount((np.concatenate(pile) >> _CELL_SHIFT).astype(np.int64), minlength=CELLS)
             none = pa.nulls(len(n))
-            maps = pa.ListArray.from_arrays(np.arange(len(n) + 1, dtype=np.int32) * (MAP // 64), pa.array(np.concatenate(bits)))
+            maps = pa.array(bits, pa.binary())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(e, pa.int64()), pa.array(check, pa.int64()), maps]
                 + [none.cast(t) for t in (pa.int32(), pa.int32(), pa.binary())],
@@ -180,10 +202,10 @@ def similar_documents(docs: DataFrame, size: int = 5, percent: int = 75, rounds:
             )
         blocks = block_rows(counts, _BLOCK)
         none = pa.nulls(blocks.num_rows)
-        yield pa.RecordBatch.from_arrays([none.cast(pa.int64())] * 4 + [none.cast(pa.list_(pa.int64()))] + blocks.columns, names)
+        yield pa.RecordBatch.from_arrays([none.cast(pa.int64())] * 4 + [none.cast(pa.binary())] + blocks.columns, names)
 
     names = ["doc_id", "n", "e", "check", "bits", "block", "part", "data"]
-    schema = "doc_id long, n long, e long, check long, bits array<long>, block int, part int, data binary"
+    schema = "doc_id long, n long, e long, check long, bits binary, block int, part int, data binary"
     seen = stored(docs.mapInArrow(survey, schema), "survey")
     ids = seen.where("block is null")
     blocks = summed_blocks(seen.where("block is not null").select("block", "part", "data"), lambda x: np.sum(x, 0), "<i8")
@@ -253,8 +275,7 @@ def similar_documents(docs: DataFrame, size: int = 5, percent: int = 75, rounds:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         one = wanted.select(F.col("e").alias("a"), F.col("bits").alias("x"))
         two = wanted.select(F.col("e").alias("b"), F.col("bits").alias("y"))
-        apart = F.aggregate(F.zip_with("x", "y", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
-        pairs = pairs.join(one, "a").join(two, "b").where((100 - percent) * F.col("both") >= (100 + percent) * apart).select("a", "b")
+        pairs = pairs.join(one, "a").join(two, "b").select("a", "b", "both", "x", "y").mapInArrow(_may_link(percent), "a long, b long")
         if turn < rounds:  # one partner for each set is enough for now
             pairs = pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
         pairs = stored(pairs, "pairs")
