@@ -62,7 +62,10 @@ def headline(spark, sf):
     from vectrove.operators.neighbours import assign_clusters, knn_classify
     from vectrove.operators.sample import train_validation_split
     from vectrove.operators.seeding import seed_two
+    from vectrove.operators.shape import mask_features
     from vectrove.plans import jobs
+    from vectrove.sources.raw import write_assignments
+    from vectrove.sources.storage import scratch
 
     wide = wide_lineitem(spark, sf).repartition(int(CPUS)).persist()
     wide.count()
@@ -70,21 +73,26 @@ def headline(spark, sf):
     def finish(df):
         df.write.format("noop").mode("overwrite").save()
 
-    def kmeans_64d():
-        """Seeding, passes with the default stop rule, assignment, scores."""
-        result = km.kmeans(wide, 2, seed=1)
+    def kmeans_run(width):
+        """Seeding, passes with the default stop rule, assignments written, scores."""
+        rows = wide if width == 64 else mask_features(wide, range(width))
+        result = km.kmeans(rows, 2, seed=1)
+        write_assignments(result.assignments, scratch(spark, "bench"))
         finish(evaluate.trial_scores(result.assignments, 2))
+        print(f"kmeans_{width}d: {result.iterations} passes", file=sys.stderr)
 
     def kmeans_64d_pass():
         km.lloyd_pass(wide.select("features"), centroids)
 
     def knn_64d():
         training, validation = train_validation_split(wide, 0.001, 3)
-        finish(knn_classify(training, validation, 5, strategy="scan_train"))
+        finish(knn_classify(training, validation, 5))
 
     centroids = km.as_matrix(seed_two(wide, seed=1), "cluster", "features")
     runs = {
-        "kmeans_64d": kmeans_64d,
+        "kmeans_64d": lambda: kmeans_run(64),
+        "kmeans_48d": lambda: kmeans_run(48),
+        "kmeans_32d": lambda: kmeans_run(32),
         "kmeans_64d_pass": kmeans_64d_pass,
         "assign_64d": lambda: finish(assign_clusters(wide, centroids)),
         "split_64d": lambda: [finish(s.select("row_id", "label")) for s in train_validation_split(wide, 0.1, 5)],

@@ -183,3 +183,31 @@ def test_metrics_long_and_wide(spark):
     wide = logs.pivot_metrics(long)
     assert sorted(wide.columns) == ["accuracy", "epoch", "eval_accuracy", "loss"]
     assert {r["epoch"]: (r["loss"], r["eval_accuracy"]) for r in wide.collect()} == {0: (0.1, 0.4), 1: (0.5, 0.8)}
+
+
+def test_assignment_is_evaluated_once(spark, tmp_path):
+    rows = spark.sparkContext.accumulator(0)
+
+    @F.udf("int")
+    def cluster(i):
+        rows.add(1)
+        return i % 3
+
+    assigned = spark.range(0, 500, 1, 4).select(F.col("id").alias("row_id"), cluster("id").alias("cluster"))
+    counts = raw.write_assignments(assigned, str(tmp_path / "a"))
+    assert {tuple(r) for r in counts.collect()} == {(0, 167), (1, 167), (2, 166)} and rows.value == 500
+    raw.write_assignments(assigned, str(tmp_path / "p"), parquet=True)
+    assert spark.read.parquet(str(tmp_path / "p")).where("cluster = row_id % 3").count() == 500
+
+
+def test_row_bounds_reach_the_spans(spark, tmp_path):
+    path = str(tmp_path / "x")
+    raw.write_matrix(spark.range(1000).select(F.col("id").alias("row_id"), F.array(F.col("id").cast("float")).alias("features")), path)
+    reader = raw.RawMatrixReader({"path": path, "dim": "1", "partition_bytes": "400"})
+    from pyspark.sql.datasource import GreaterThanOrEqual, LessThan
+
+    assert len(list(reader.pushFilters([GreaterThanOrEqual(("row_id",), 250), LessThan(("row_id",), 260)]))) == 2
+    assert sum(s.rows for s in reader.partitions()) == 10 and reader.partitions()[0].first_row == 250
+    rows = raw.read_matrix(spark, path, 1).filter(F.col("row_id").between(250, 259)).collect()
+    assert [(r["row_id"], r["features"][0]) for r in sorted(rows)] == [(i, float(i)) for i in range(250, 260)]
+    assert raw.read_matrix(spark, path, 1).filter("row_id > 5000").count() == 0

@@ -17,6 +17,8 @@ def attach(spark: SparkSession) -> SparkSession:
     Workers get one BLAS thread unless told otherwise: tasks already fill the cores.
     """
     context = spark.sparkContext
+    # Raw matrices read only the rows that bounds on row_id ask for.
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     context.environment.setdefault("OMP_NUM_THREADS", "1")
     if context.applicationId not in _shipped:
         root = Path(__file__).resolve().parent

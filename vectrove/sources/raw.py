@@ -15,6 +15,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyarrow import fs
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import (
@@ -27,6 +28,7 @@ from pyspark.sql.datasource import (
 from pyspark.sql.types import StructType
 
 from vectrove.functions.vectors import matrix
+from vectrove.operators.centroids import held
 from vectrove.sources.storage import locate
 
 FORMAT = "raw_matrix"
@@ -120,11 +122,38 @@ class RawMatrixReader(DataSourceReader):
         self.n_rows = int(options["n_rows"]) if options.get("n_rows") else None
         self.partition_bytes = int(options.get("partition_bytes", PARTITION_BYTES))
         self.labels = options.get("labels")
+        self.low, self.high = 0, None  # rows wanted, the last one included
+
+    def pushFilters(self, filters: list) -> Iterator:
+        """Bounds on ``row_id`` become byte ranges; Spark still applies every filter."""
+        for wanted in filters:
+            if getattr(wanted, "attribute", None) == ("row_id",) and isinstance(getattr(wanted, "value", None), int):
+                name, value = type(wanted).__name__, wanted.value
+                if name in ("EqualTo", "GreaterThan", "GreaterThanOrEqual"):
+                    self.low = max(self.low, value + (name == "GreaterThan"))
+                if name in ("EqualTo", "LessThan", "LessThanOrEqual"):
+                    value -= name == "LessThan"
+                    self.high = value if self.high is None else min(self.high, value)
+            yield wanted
 
     def partitions(self) -> list[Span]:
         if self.labels:
-            return plan_labelled(self.path, self.labels, self.dim, self.n_rows, self.partition_bytes)
-        return plan_spans(self.path, self.dim, self.n_rows, self.partition_bytes)
+            spans = plan_labelled(self.path, self.labels, self.dim, self.n_rows, self.partition_bytes)
+        else:
+            spans = plan_spans(self.path, self.dim, self.n_rows, self.partition_bytes)
+        return [part for span in spans if (part := self._within(span)) is not None]
+
+    def _within(self, span: Span) -> Span | None:
+        """The wanted rows of a span; one that has its labels with it stays whole."""
+        first = max(span.first_row, self.low)
+        last = span.first_row + span.rows - 1
+        last = last if self.high is None else min(last, self.high)
+        if first > last:
+            return None
+        if self.labels:
+            return span
+        skipped = (first - span.first_row) * self.dim * FLOAT.itemsize
+        return Span(span.path, span.offset + skipped, last - first + 1, first)
 
     def _label_values(self, span: Span) -> np.ndarray:
         files, _ = locate(self.labels)
@@ -309,7 +338,20 @@ def write_matrix(
     rows.write.format(FORMAT).mode("overwrite").save(path)
 
 
-def write_assignments(assigned: DataFrame, path: str, cluster: str = "cluster", row_id: str = "row_id") -> DataFrame:
-    """Write one float per row (its cluster) in row order; returns ``cluster, n``."""
-    write_matrix(assigned.select(row_id, F.array(F.col(cluster).cast("float")).alias("features")), path, row_id=row_id)
-    return assigned.groupBy(cluster).agg(F.count(F.lit(1)).alias("n"))
+def write_assignments(
+    assigned: DataFrame, path: str, cluster: str = "cluster", row_id: str = "row_id", parquet: bool = False
+) -> DataFrame:
+    """Write one float per row (its cluster) in row order; returns ``cluster, n``.
+
+    ``parquet`` writes a table ``row_id, cluster`` instead. The assignment is evaluated once:
+    id and cluster are held for the ordering, the write and the count.
+    """
+    narrow = assigned.select(row_id, cluster).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        if parquet:
+            narrow.write.mode("overwrite").parquet(path)
+        else:
+            write_matrix(narrow.select(row_id, F.array(F.col(cluster).cast("float")).alias("features")), path, row_id=row_id)
+        return held(narrow.groupBy(cluster).agg(F.count(F.lit(1)).alias("n")))  # a row a cluster
+    finally:
+        narrow.unpersist()
