@@ -45,7 +45,19 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.scratch_path = path
+    return out
+
+
+def discard(*tables: DataFrame | None) -> None:
+    """Delete tables that :func:`stored` wrote and nothing that is still to run reads."""
+    for df in tables:
+        path = getattr(df, "scratch_path", None)
+        if path:
+            context = df.sparkSession.sparkContext
+            place = context._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(context._jsc.hadoopConfiguration()).delete(place, True)
 
 
 #: Rows whose texts are Python strings at one time.

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vectrove.llm.common import stored
+from vectrove.llm.common import discard, stored
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -35,6 +35,7 @@ def components(edges: DataFrame) -> DataFrame:
         large = large.distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        now = stored(small.union(least.select("u", F.col("m").alias("v"))).distinct(), "edges")
+        old, now = now, stored(small.union(least.select("u", F.col("m").alias("v"))).distinct(), "edges")
+        discard(old)
     own = now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).union(own)

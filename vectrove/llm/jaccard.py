@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vectrove.llm import units
-from vectrove.llm.common import IdFilter, block_rows, keep_repeated, parted, plain_texts, stored, summed_blocks, texts_of
+from vectrove.llm.common import IdFilter, block_rows, discard, keep_repeated, parted, plain_texts, stored, summed_blocks, texts_of
 from vectrove.llm.graph import components
 
 #: Cells of the frequency sketch.
@@ -254,7 +254,8 @@ def similar_documents(docs: DataFrame, size: int = 5, percent: int = 75, rounds:
         if turn and comps is not None:  # lists that hold more than one component
             labelled = open_.select("sig", "e", "n", "p", "g").join(comps, "e", "left").withColumn("c", F.coalesce("c", "e"))
             several = labelled.groupBy("sig").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("sig")
-            open_ = stored(labelled.join(several, "sig"), "open")
+            old, open_ = open_, stored(labelled.join(several, "sig"), "open")
+            discard(old)
         if "c" not in open_.columns:
             open_ = open_.withColumn("c", F.col("e"))
         if not turn:  # against the first of each list
@@ -282,12 +283,14 @@ def similar_documents(docs: DataFrame, size: int = 5, percent: int = 75, rounds:
         if pairs.isEmpty():
             continue
         nodes = pairs.select(F.col("a").alias("e")).union(pairs.select(F.col("b").alias("e"))).distinct()
-        sets = _fetch(docs, stored(wanted.select("e", "doc_id").join(nodes, "e"), "nodes"), size)
-        good = stored(_verify(pairs, sets, percent), "good")
+        nodes = stored(wanted.select("e", "doc_id").join(nodes, "e"), "nodes")
+        good = stored(_verify(pairs, _fetch(docs, nodes, size), percent), "good")
+        discard(nodes)
         tested = pairs if tested is None else tested.union(pairs)
         links = good if links is None else links.union(good)
         comps = stored(components(links), "found").select(F.col("node").alias("e"), F.col("component").alias("c"))
 
+    discard(open_, wanted)
     named = ids.select("doc_id", "n", "e")
     named = named.withColumn("c", F.col("e")) if comps is None else named.join(comps, "e", "left").withColumn("c", F.coalesce("c", "e"))
     least = named.where("n > 0").groupBy("c").agg(F.min("doc_id").alias("component_id"))

@@ -15,24 +15,26 @@ import random
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vectrove.llm.common import stored
+from vectrove.llm.common import discard, stored
 from vectrove.llm.graph import components
 
 #: Characters of a shingle, minima of a signature, minima of a band.
-SHINGLE, MINIMA, BAND = 8, 24, 4
+SHINGLE, MINIMA, BAND = 8, 20, 4
+#: Classes of line hashes, to see which texts a join may need.
+CLASSES = 1 << 20
 
 
 def bands_of(minima: int = MINIMA, size: int = BAND) -> list[list[int]]:
-    """Which minima make each band: neighbours, and for half as many again, minima far apart."""
+    """Which minima make each band: neighbours, and once more minima that lie far apart."""
     step = minima // size
     near = [list(range(i, i + size)) for i in range(0, minima, size)]
-    far = [[(i + j * step) % minima for j in range(size)] for i in range(0, step, 2)]
+    far = [[(i + j * step) % minima for j in range(size)] for i in range(step - 1)]
     return near + far
 
 
 def constants(minima: int = MINIMA) -> list[int]:
     draw = random.Random(7)
-    return [draw.getrandbits(64) - (1 << 63) for _ in range(minima)]
+    return [draw.getrandbits(32) - (1 << 31) for _ in range(minima)]
 
 
 def _plain(line: Column) -> Column:
@@ -64,15 +66,19 @@ def line_bands(lines: DataFrame, size: int = SHINGLE) -> DataFrame:
     """``h, bands``: the band hashes of each different line."""
     units = lines.select("h", _units(F.col("plain")).alias("u"))
     places = units.select("h", "u", F.explode(F.sequence(F.lit(0), F.greatest(F.octet_length("u") / 2 - size, F.lit(0)).cast("int"))).alias("i"))
-    hashed = places.select("h", F.xxhash64(_shingle(F.col("u"), F.col("i"), size)).alias("x"))
-    minima = hashed.groupBy("h").agg(*(F.min(F.col("x").bitwiseXOR(F.lit(c))).alias(f"m{i}") for i, c in enumerate(constants())))
+    hashed = places.select("h", F.hash(_shingle(F.col("u"), F.col("i"), size)).alias("x"))
+    minima = hashed.groupBy("h").agg(*(F.min(F.col("x").bitwiseXOR(F.lit(c).cast("int"))).alias(f"m{i}") for i, c in enumerate(constants())))
     return minima.select("h", F.array(*(F.xxhash64(F.lit(b), *(f"m{i}" for i in band)) for b, band in enumerate(bands_of()))).alias("bands"))
 
 
 def _set(plain: Column, size: int) -> Column:
-    units = _units(plain)
-    last = F.greatest(F.octet_length(units) / 2 - size, F.lit(0)).cast("int")
-    return F.array_distinct(F.transform(F.sequence(F.lit(0), last), lambda i: F.xxhash64(_shingle(units, i, size))))
+    """The distinct shingle hashes of a line; its units are made once, as the variable of a one-element array."""
+
+    def hashes(units: Column) -> Column:
+        last = F.greatest(F.octet_length(units) / 2 - size, F.lit(0)).cast("int")
+        return F.array_distinct(F.transform(F.sequence(F.lit(0), last), lambda i: F.xxhash64(_shingle(units, i, size))))
+
+    return F.transform(F.array(_units(plain)), hashes)[0]
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
@@ -89,7 +95,9 @@ def shared_bands(lines: DataFrame, size: int = SHINGLE) -> DataFrame:
     signed = stored(line_bands(lines, size), "bands")
     spread = signed.select(F.explode("bands").alias("band"), "h")
     several = spread.groupBy("band").agg(F.min("h").alias("lo"), F.max("h").alias("hi")).where("lo < hi").select("band", "lo")
-    return stored(spread.join(several, "band"), "shared")
+    out = stored(spread.join(several, "band"), "shared")
+    discard(signed)
+    return out
 
 
 def linked_lines(shared: DataFrame, texts: DataFrame, size: int = SHINGLE, percent: int = 75) -> DataFrame:
@@ -103,6 +111,7 @@ def linked_lines(shared: DataFrame, texts: DataFrame, size: int = SHINGLE, perce
     labelled = shared.select("band", "h").join(comps, "h", "left").select("band", "h", F.coalesce("c", "h").alias("c"))
     open_ = labelled.groupBy("band").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("band")
     open_ = stored(labelled.join(open_, "band"), "open")
+    discard(shared)
     left, right = open_.select("band", F.col("h").alias("a"), "c"), open_.select("band", F.col("h").alias("b"), F.col("c").alias("d"))
     rest = left.join(right, "band").where("c <> d and a < b").select("a", "b").distinct()
     rest = stored(rest.join(star, ["a", "b"], "left_anti"), "pairs")
@@ -126,15 +135,20 @@ def repeated_lines(docs: DataFrame, size: int = SHINGLE, percent: int = 75) -> D
     shared = shared_bands(lines, size)
     # All places of all lines, and the line itself where it shares a band: one more scan. The
     # lines that share bands are the smaller side, so they are hashed and nothing is sorted.
-    wanted = shared.select("h").distinct().withColumn("wanted", F.lit(True)).hint("shuffle_hash")
-    known = lines.join(wanted, "h", "left").select("doc_id", "t", "at", "h", F.when(F.col("wanted"), F.col("plain")).alias("plain"))
-    known = stored(known, "known")
+    wanted = shared.select("h").distinct().withColumn("wanted", F.lit(True))
+    # A table of at most ``CLASSES`` rows, so it may be broadcast: texts of other classes stay behind.
+    of_class = F.pmod("h", F.lit(CLASSES))
+    near = F.broadcast(wanted.select(of_class.alias("near")).distinct())
+    close = lines.join(near, of_class == F.col("near"), "left").select("doc_id", "t", "at", "h", F.when(F.col("near").isNotNull(), F.col("plain")).alias("plain"))
+    known = close.join(wanted.hint("shuffle_hash"), "h", "left")
+    known = stored(known.select("doc_id", "t", "at", "h", F.when(F.col("wanted"), F.col("plain")).alias("plain")), "known")
     texts = known.where("plain is not null").groupBy("h").agg(F.min("plain").alias("plain"), F.max("plain").alias("other"))
     # Should two lines ever share a hash, they are not compared with others.
     texts = stored(texts.where("plain = other").select("h", "plain"), "texts")
     linked = stored(linked_lines(shared, texts, size, percent), "lines")
     places = known.select("doc_id", "t", "at", "h").distinct()
     own = stored(places.join(linked, "h", "left").select("doc_id", "t", "at", F.coalesce("c", "h").alias("c")), "places")
+    discard(known, texts, linked)
     first = own.groupBy("c").agg(F.min(F.struct("doc_id", "t", "at")).alias("first"), F.count("c").alias("n")).where("n > 1")
     marked = own.join(first.select("c", "first"), "c", "left")
     gone = F.col("first").isNotNull() & (F.struct("doc_id", "t", "at") != F.col("first"))

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vectrove.llm import units
-from vectrove.llm.common import IdFilter, keep_repeated, parted, plain_texts, stored
+from vectrove.llm.common import IdFilter, discard, keep_repeated, parted, plain_texts, stored
 
 #: Bytes of an anchor's gram; bytes scanned at a time; suffixes of a run and of a shard.
 GRAM, SEGMENT, RUN, SHARD = 64, 1 << 19, 100_000, 100_000
@@ -341,7 +341,9 @@ def repeated_spans(texts: DataFrame, length: int = 200) -> DataFrame:
             yield _span_rows([now])
 
     whole = spans.repartition("e").sortWithinPartitions("e", "first", "last").mapInArrow(unite, "e long, first long, last long")
-    return stored(whole.groupBy("e").agg(F.sort_array(F.collect_list(F.struct("first", "last"))).alias("spans")), "spans")
+    out = stored(whole.groupBy("e").agg(F.sort_array(F.collect_list(F.struct("first", "last"))).alias("spans")), "spans")
+    discard(twice)
+    return out
 
 
 def _span_rows(rows: list[list[int]]) -> pa.RecordBatch:
@@ -373,6 +375,7 @@ def remove_repeats(docs: DataFrame, length: int = 200, keep_columns: bool = Fals
         "e", F.when(F.col("lo") != F.col("hi"), F.raise_error(F.lit("two texts have one digest"))).otherwise(F.lit(True)).alias("copied")
     )
     verdict = stored(spans.join(copies, "e", "full"), "verdict")
+    discard(spans)
     cut = IdFilter(verdict.where("spans is not null and copied is null"), "e")
 
     def prepare(texts: list[str]) -> tuple[np.ndarray, list[bytes], np.ndarray]:
