@@ -31,8 +31,8 @@ from vectrove.llm import units
 from vectrove.llm.common import IdFilter, block_rows, discard, keep_repeated, parted, plain_texts, stored, summed_blocks, texts_of
 from vectrove.llm.graph import components
 
-#: Cells of the frequency sketch.
-CELLS = 1 << 20
+#: Cells of the frequency sketch, and words of a folded bitmap.
+CELLS, FOLDS = 1 << 20, 4
 _CELL_SHIFT, _BLOCK = np.uint64(44), 1 << 14
 _STEP = [np.uint64(pow(0xD6E8FEB86659FD93, i, 1 << 64)) for i in range(64)]
 
@@ -164,7 +164,7 @@ def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(one, "a").join(two, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
-def similar_documents(docs: DataFrame, size: int = 5, percent: int = 75, rounds: int = 2) -> DataFrame:
+def similar_documents(docs: DataFrame, size: int = 5, percent: int = 75, rounds: int = 3) -> DataFrame:
     """``doc_id, n_shingles, component_id``: documents linked when 100 * shared >= percent * all shingles.
 
     ``component_id`` is the smallest doc_id that links reach. A null text is empty; texts
@@ -195,17 +195,21 @@ def similar_documents(docs: DataFrame, size: int = 5, percent: int = 75, rounds:
                 counts += np.bincount((np.concatenate(pile) >> _CELL_SHIFT).astype(np.int64), minlength=CELLS)
             none = pa.nulls(len(n))
             maps = pa.array(bits, pa.binary())
+            folded = np.stack([np.bitwise_xor.reduce(np.frombuffer(b, "<i8").reshape(-1, FOLDS), axis=0) for b in bits], 1)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(e, pa.int64()), pa.array(check, pa.int64()), maps]
+                [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(e, pa.int64()), pa.array(check, pa.int64()), maps, *map(pa.array, folded)]
                 + [none.cast(t) for t in (pa.int32(), pa.int32(), pa.binary())],
                 names,
             )
         blocks = block_rows(counts, _BLOCK)
         none = pa.nulls(blocks.num_rows)
-        yield pa.RecordBatch.from_arrays([none.cast(pa.int64())] * 4 + [none.cast(pa.binary())] + blocks.columns, names)
+        yield pa.RecordBatch.from_arrays(
+            [none.cast(pa.int64())] * 4 + [none.cast(pa.binary())] + [none.cast(pa.int64())] * FOLDS + blocks.columns, names
+        )
 
-    names = ["doc_id", "n", "e", "check", "bits", "block", "part", "data"]
-    schema = "doc_id long, n long, e long, check long, bits binary, block int, part int, data binary"
+    folds = [f"f{i}" for i in range(FOLDS)]
+    names = ["doc_id", "n", "e", "check", "bits", *folds, "block", "part", "data"]
+    schema = f"doc_id long, n long, e long, check long, bits binary, {' long, '.join(folds)} long, block int, part int, data binary"
     seen = stored(docs.mapInArrow(survey, schema), "survey")
     ids = seen.where("block is null")
     blocks = summed_blocks(seen.where("block is not null").select("block", "part", "data"), lambda x: np.sum(x, 0), "<i8")
@@ -245,31 +249,35 @@ def similar_documents(docs: DataFrame, size: int = 5, percent: int = 75, rounds:
     )
     # One document for each set, the smallest; its digest's second half tells sets from collisions.
     clash = F.when(F.min("check") != F.max("check"), F.raise_error(F.lit("two sets have one digest")))
-    reps = ids.where("n > 0").groupBy("e").agg(F.min("doc_id").alias("doc_id"), clash.alias("clash"), F.first("bits").alias("bits"))
+    reps = ids.where("n > 0").groupBy("e").agg(F.min("doc_id").alias("doc_id"), clash.alias("clash"), *(F.first(c).alias(c) for c in ["bits", *folds]))
     wanted = shared.select("e").distinct().join(reps.where("clash is null"), "e").where("doc_id is not null")
-    wanted = stored(wanted.select("e", "doc_id", "bits"), "wanted")
+    wanted = stored(wanted.select("e", "doc_id", "bits", *folds), "wanted")
 
     open_, tested, links, comps = shared, None, None, None
     for turn in range(rounds + 1):
-        if turn and comps is not None:  # lists that hold more than one component
-            labelled = open_.select("sig", "e", "n", "p", "g").join(comps, "e", "left").withColumn("c", F.coalesce("c", "e"))
+        if turn:  # lists that hold more than one component
+            labelled = open_.select("sig", "e", "n", "p", "g").join(wanted.select("e", *folds), "e").withColumn("c", F.col("e"))
+            if comps is not None:
+                labelled = labelled.drop("c").join(comps, "e", "left").withColumn("c", F.coalesce("c", "e"))
             several = labelled.groupBy("sig").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("sig")
             old, open_ = open_, stored(labelled.join(several, "sig"), "open")
             discard(old)
-        if "c" not in open_.columns:
-            open_ = open_.withColumn("c", F.col("e"))
+        small, large = F.least("n", "n2"), F.greatest("n", "n2")
+        reach = F.least("p", "p2", "g") + F.least(F.col("n") - F.col("p"), F.col("n2") - F.col("p2"))
+        fits = (100 * small >= percent * large) & (reach * (100 + percent) >= percent * (F.col("n") + F.col("n2")))
         if not turn:  # against the first of each list
-            joined = open_.withColumn("c2", F.col("e2"))
-        elif turn < rounds:  # against the first in another order
+            joined = open_.withColumns({"c": F.col("e"), "c2": F.col("e2")})
+        elif turn < rounds - 1:  # against the first in another order
             other = F.struct(F.xxhash64("e", F.lit(turn)).alias("r"), "e", "n", "p", "c")
             first_of = open_.groupBy("sig").agg(F.min(other).alias("o"))
-            joined = open_.drop("e2", "n2", "p2").join(first_of.select("sig", *(F.col(f"o.{x}").alias(f"{x}2") for x in "enpc")), "sig")
+            joined = open_.join(first_of.select("sig", *(F.col(f"o.{x}").alias(f"{x}2") for x in "enpc")), "sig")
         else:
-            joined = open_.drop("e2", "n2", "p2").join(open_.select("sig", *(F.col(x).alias(f"{x}2") for x in "enpc")), "sig")
-            joined = joined.where("e < e2")
-        small, large = F.least("n", "n2"), F.greatest("n", "n2")
-        reach = F.least("p", "p2", "g") + F.least(F.col("n") - F.col("p"), F.col("n2") - F.col("p2"))
-        fits = (100 * small >= percent * large) & (reach * (100 + percent) >= percent * (F.col("n") + F.col("n2")))
+            # Folded bitmaps turn most pairs away before they become rows.
+            others = open_.select(*(F.col(x).alias(f"{x}2") for x in ["sig", "e", "n", "p", "c", *folds]))
+            apart = sum((F.bit_count(F.col(f).bitwiseXOR(F.col(f"{f}2"))) for f in folds), F.lit(0))
+            near = (100 - percent) * (F.col("n") + F.col("n2")) >= (100 + percent) * apart
+            on = (F.col("sig") == F.col("sig2")) & (F.col("e") < F.col("e2")) & (F.col("c") != F.col("c2")) & fits & near
+            joined = open_.join(others, on)
         pairs = joined.where((F.col("c") != F.col("c2")) & fits)
         pairs = pairs.select(F.least("e", "e2").alias("a"), F.greatest("e", "e2").alias("b"), (F.col("n") + F.col("n2")).alias("both")).distinct()
         if tested is not None:
