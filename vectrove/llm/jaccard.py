@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vectrove.llm import units
-from vectrove.llm.common import IdFilter, block_rows, discard, keep_repeated, parted, plain_texts, stored, summed_blocks, texts_of
+from vectrove.llm.common import IdFilter, block_rows, discard, keep_repeated, parted, plain_texts, slices, stored, summed_blocks, texts_of
 from vectrove.llm.graph import components
 
 #: Cells of the frequency sketch, and words of a folded bitmap.
@@ -171,14 +171,14 @@ def similar_documents(docs: DataFrame, size: int = 5, percent: int = 75, rounds:
     without words are linked with nothing, each its own component. Equal sets (copies, and
     texts that differ in case or white space) are one node of the join. Repeated rows come
     back repeated; a null id stays null and is never a component's id unless there is no
-    other; other columns are ignored. ``rounds`` (1 or more) star rounds run before what is left is
+    other; other columns are ignored. ``rounds`` (1 or more) rounds run before what is left is
     compared pair by pair; the number changes the cost alone.
     """
     docs = plain_texts(docs)
 
     def survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(CELLS, np.int64)
-        for batch in batches:
+        for batch in slices(batches):
             n, e, check, bits, pile, held = [], [], [], [], [], 0
             for shingles in shingle_sets(texts_of(batch), size):
                 n.append(len(shingles))
@@ -219,7 +219,7 @@ def similar_documents(docs: DataFrame, size: int = 5, percent: int = 75, rounds:
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         done: set[int] = set()  # copies within a task are indexed once
-        for batch in batches:
+        for batch in slices(batches):
             columns: list[list[np.ndarray]] = [[] for _ in range(5)]
             rows = 0
             for shingles in shingle_sets(texts_of(batch), size):

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vectrove.llm import units
-from vectrove.llm.common import map_arrow, plain_texts, texts_of
+from vectrove.llm.common import map_arrow, plain_texts, slices, texts_of
 
 #: Words are held in this many classes by their hash; a class is one row of the vectors.
 WORDS = 1 << 14
@@ -84,7 +84,7 @@ def context_sums(docs: DataFrame) -> np.ndarray:
         places, signs = index_vectors()
         sums = np.zeros(WORDS * DIMENSIONS)
         counts = np.zeros(WORDS)
-        for batch in batches:
+        for batch in slices(batches):
             for words in words_of(texts_of(batch)):
                 c = words.classes
                 counts += np.bincount(c, minlength=WORDS)

@@ -207,7 +207,7 @@ class Memo:
     so memory is bounded; the results do not depend on it.
     """
 
-    def __init__(self, compute: Callable[[list[str]], list], limit: int = 600_000):
+    def __init__(self, compute: Callable[[list[str]], list], limit: int = 350_000):
         self.compute, self.limit, self.known = compute, limit, {}
 
     def fill(self, parts: list[Chunk]) -> list[list]:
