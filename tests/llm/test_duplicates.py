@@ -1,6 +1,7 @@
 """Line dedup, Jaccard join, suffix dedup and near-duplicate vectors against brute force."""
 
 import hashlib
+import random
 import re
 from collections import Counter
 
@@ -148,6 +149,17 @@ def test_repeated_lines(docs, no_docs, rows):
     assert lines.repeated_lines(no_docs).collect() == [] and lines.dedup_lines(no_docs).collect() == []
 
 
+def test_line_recall_at_the_threshold(spark):
+    draw, rows = random.Random(1), []
+    for i in range(2000):  # 6n shingles in common and n of its own each: 0.75
+        n = draw.randint(2, 50)
+        same, one, two = ("".join(draw.choices("abcdefghijklmnopqrstuvwxyz", k=k)) for k in (6 * n + 7, n, n))
+        rows += [(2 * i, same + "1" + one[1:]), (2 * i + 1, same + "2" + two[1:])]
+    found = lines.line_bands(spark.createDataFrame(rows, "h long, plain string").repartition(4)).collect()
+    bands = {r.h: set(r.bands) for r in found}
+    assert sum(not bands[2 * i].isdisjoint(bands[2 * i + 1]) for i in range(2000)) >= 0.985 * 2000
+
+
 def test_line_dedup_stays_in_the_jvm(docs):
     plan = lines.dedup_lines(docs)._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
