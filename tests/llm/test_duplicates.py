@@ -105,6 +105,18 @@ def test_remove_repeats(docs, no_docs, rows, monkeypatch):
     assert suffixes.remove_repeats(no_docs).collect() == []
 
 
+def test_common_grams_are_not_sorted_in_one_task(make, rows, monkeypatch):
+    draw = random.Random(2)
+    passage, *own = ("".join(draw.choices("abcdef ", k=k)) for k in [350, *[120] * 240])
+    many = [(1000 + i, own[2 * i] + passage + own[2 * i + 1]) for i in range(120)]
+    many += [(2000, "ab" * 700), (2001, "c" + "ab" * 300), (2002, passage[:210] + passage[10:230])]
+    places, hashed = [], suffixes._hashed_spans
+    monkeypatch.setattr(suffixes, "_hashed_spans", lambda sent, n: (places.append(sent.select(F.sum(F.size("places"))).first()[0]), hashed(sent, n))[1])
+    monkeypatch.setattr(suffixes, "GROUP", 20)
+    assert as_set(suffixes.remove_repeats(make(rows + many))) == without_repeats(rows + many, 200)
+    assert places and places[0] >= 240  # of each passage two at least
+
+
 def test_loser_tree_orders_and_knows_shared_lengths():
     draw = np.random.default_rng(2)
     entries = [bytes(draw.integers(97, 99, draw.integers(1, 30)).astype(np.uint8)) for _ in range(400)]

@@ -11,6 +11,10 @@ shares with the last winner, so a comparison starts there and often needs no byt
 The merged order comes with the length that neighbours share, which tells at once which
 suffixes agree on any number of bytes; with a hash of what lies before the anchor, this
 decides for every string around it whether it occurs again.
+
+The places of one gram meet in one task there, so only grams of at most ``GROUP`` places are
+sorted. Around a place of a commoner one, every string becomes a row with its 128-bit hash,
+and an aggregate that tasks begin on their own rows tells which hashes occur again.
 """
 
 from __future__ import annotations
@@ -30,6 +34,8 @@ from vectrove.llm.common import IdFilter, discard, keep_repeated, parted, plain_
 
 #: Bytes of an anchor's gram; bytes scanned at a time; suffixes of a run and of a shard.
 GRAM, SEGMENT, RUN, SHARD = 64, 1 << 19, 100_000, 100_000
+#: Places of a gram that are sorted in one task; strings of a batch of hashes.
+GROUP, STRINGS = 20_000, 50_000
 
 
 def digest(data: bytes) -> tuple[int, int]:
@@ -231,6 +237,49 @@ def _merge_shard(blobs: list[bytes], length: int) -> Iterator[pa.RecordBatch]:
         yield out(stretch)
 
 
+def string_hashes(data: bytes, places: list[int], length: int) -> Iterator[tuple[int, int, int]]:
+    """``first, lo, hi``: the start and the 128-bit hash of every string that holds a gram at one of the places."""
+    last = -1
+    for at in sorted(places):
+        first = max(last + 1, at - length + GRAM, 0)
+        last = max(last, min(at, len(data) - length))
+        for i in range(first, last + 1):
+            yield i, *digest(data[i : i + length])
+
+
+def _hashed_spans(sent: DataFrame, length: int) -> tuple[DataFrame, list[DataFrame]]:
+    """``e, first, last`` of the strings around the places of ``sent(e, data, places)`` that occur again.
+
+    The tables of the second are what it reads, to be discarded after.
+    """
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows: list[tuple[int, int, int, int]] = []
+
+        def out() -> pa.RecordBatch:
+            values = np.array(rows, np.int64)
+            rows.clear()
+            return pa.RecordBatch.from_arrays([pa.array(values[:, i]) for i in range(4)], ["e", "first", "lo", "hi"])
+
+        for batch in batches:
+            for e, data, where in zip(*(batch.column(c) for c in ("e", "data", "places")), strict=True):
+                name = e.as_py()
+                for row in string_hashes(data.as_py(), where.as_py(), length):
+                    rows.append((name, *row))
+                    if len(rows) >= STRINGS:
+                        yield out()
+        if rows:
+            yield out()
+
+    strings = stored(sent.select("e", "data", "places").mapInArrow(hashed, "e long, first long, lo long, hi long"), "strings")
+    place = F.struct("e", "first")
+    # A row a hash and task is exchanged. It is stored, so that in the join Spark splits the rows of a common hash.
+    again = strings.groupBy("lo", "hi").agg(F.min(place).alias("a"), F.max(place).alias("b")).where("a < b")
+    again = stored(again.select("lo", "hi"), "again")
+    found = strings.join(again.hint("merge"), ["lo", "hi"])
+    return found.select("e", "first", (F.col("first") + F.lit(length)).alias("last")), [strings, again]
+
+
 def repeated_spans(texts: DataFrame, length: int = 200) -> DataFrame:
     """``e, spans``: for each different text that has them, the bytes to remove.
 
@@ -259,27 +308,35 @@ def repeated_spans(texts: DataFrame, length: int = 200) -> DataFrame:
     found = texts.mapInArrow(survey, "gram long, e long, at long")
     found = found.repartition("gram").sortWithinPartitions("gram", "e", "at")
     twice = stored(found.mapInArrow(keep_repeated(["gram"], ["e", "at"]), "gram long, e long, at long"), "anchors")
-    places = twice.groupBy("e").agg(F.collect_list("at").alias("places"))  # of one text: no longer than it
-    total = twice.count()
+    # One of every GROUP rows at most, so it may be broadcast.
+    common = stored(twice.groupBy("gram").count().where(F.col("count") > GROUP).select("gram"), "common")
+    sorted_, hashed = twice.join(F.broadcast(common), "gram", "left_anti"), twice.join(F.broadcast(common), "gram")
+    total = sorted_.count()
     shards = max(1, -(-total // SHARD))
-    wanted = IdFilter(twice, "e")
 
-    def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        done: set[int] = set()
-        for batch in batches:
-            data = [t.encode() for t in batch.column("text").to_pylist()]
-            names = np.array([digest(t)[0] for t in data], np.int64)
-            rows = []
-            for i in np.flatnonzero(wanted.may_hold(names)).tolist():
-                if int(names[i]) not in done:
-                    if len(done) >= 500_000:
-                        done.clear()
-                    done.add(int(names[i]))
-                    rows.append(i)
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(names[rows]), pa.array([data[i] for i in rows], pa.binary())], ["e", "data"])
+    def bodies(anchored: DataFrame) -> DataFrame:
+        """``e, data, places``: the different texts that have these anchors."""
+        wanted = IdFilter(anchored, "e")
+
+        def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            done: set[int] = set()
+            for batch in batches:
+                data = [t.encode() for t in batch.column("text").to_pylist()]
+                names = np.array([digest(t)[0] for t in data], np.int64)
+                rows = []
+                for i in np.flatnonzero(wanted.may_hold(names)).tolist():
+                    if int(names[i]) not in done:
+                        if len(done) >= 500_000:
+                            done.clear()
+                        done.add(int(names[i]))
+                        rows.append(i)
+                if rows:
+                    yield pa.RecordBatch.from_arrays([pa.array(names[rows]), pa.array([data[i] for i in rows], pa.binary())], ["e", "data"])
 
-    bodies = texts.mapInArrow(fetch, "e long, data binary")
+        places = anchored.groupBy("e").agg(F.collect_list("at").alias("places"))  # of one text: no longer than it
+        # A text that several tasks sent is taken once.
+        sent = texts.mapInArrow(fetch, "e long, data binary").groupBy("e").agg(F.first("data").alias("data"))
+        return sent.join(places, "e").select("e", "data", "places")
 
     def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lots: dict[int, list] = {}
@@ -306,9 +363,7 @@ def repeated_spans(texts: DataFrame, length: int = 200) -> DataFrame:
         if held:
             yield flush()
 
-    # A text that several tasks sent is taken once.
-    sent = bodies.groupBy("e").agg(F.first("data").alias("data")).join(places, "e")
-    runs = sent.select("e", "data", "places").mapInArrow(sort, "shard long, run binary")
+    runs = bodies(sorted_).mapInArrow(sort, "shard long, run binary")
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, blobs = None, []
@@ -323,6 +378,10 @@ def repeated_spans(texts: DataFrame, length: int = 200) -> DataFrame:
             yield from _merge_shard(blobs, length)
 
     spans = runs.repartition("shard").sortWithinPartitions("shard").mapInArrow(merge, "e long, first long, last long")
+    read: list[DataFrame] = []
+    if not common.isEmpty():
+        more, read = _hashed_spans(bodies(hashed), length)
+        spans = spans.union(more)
 
     def unite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Overlapping and touching spans of a text become one; rows come sorted."""
@@ -342,7 +401,7 @@ def repeated_spans(texts: DataFrame, length: int = 200) -> DataFrame:
 
     whole = spans.repartition("e").sortWithinPartitions("e", "first", "last").mapInArrow(unite, "e long, first long, last long")
     out = stored(whole.groupBy("e").agg(F.sort_array(F.collect_list(F.struct("first", "last"))).alias("spans")), "spans")
-    discard(twice)
+    discard(twice, common, *read)
     return out
 
 
