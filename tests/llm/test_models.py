@@ -1,5 +1,7 @@
 """The quality classifier, nearest neighbours and the pipeline."""
 
+import zlib
+
 import duckdb
 import numpy as np
 import pandas as pd
@@ -27,6 +29,15 @@ def test_held_out_accuracy(scored, sf):
     assert both[both.quality == 1].score.mean() > both[both.quality == 0].score.mean() + 0.5
 
 
+def test_a_repeated_id_is_learnt_from_once(spark, make, monkeypatch):
+    ids = [i for i in range(40) if zlib.crc32(b"%d" % i) % 5]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
+    sizes, fit = [], quality.fit_network
+    monkeypatch.setattr(quality, "fit_network", lambda x, *rest: (sizes.append(len(x)), fit(x, *rest))[1])
+    quality.fit_quality(make([(i, f"text {i}") for i in range(40)] + [(ids[0], f"other {i}") for i in range(300)]), labels)
+    assert sizes == [len(ids)]
+
+
 def test_scores_of_odd_texts(scored, docs, no_docs, rows):
     got = quality.score_quality(docs, scored[0]).collect()
     assert len(got) == len(rows) and all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.3) for r in got)
