@@ -115,3 +115,56 @@ def op1_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
 
     found = repeated_lines(table(spark, sf, "documents"))
     return found.select("doc_id", "n_lines", F.size("removed").alias("n_removed"), F.array_join("removed", ",").alias("removed"))
+
+
+@query
+def op11_vector_codes(spark: SparkSession, sf: str) -> DataFrame:
+    from vectrove.llm.codes import coded_vectors
+
+    return coded_vectors(table(spark, sf, "embeddings"))
+
+
+def _codes_sql(parts: int = 16, entries: int = 64, rounds: int = 2) -> str:
+    """The rounds unrolled; a distance and its entry's number are compared as one integer."""
+    nearest = f"""
+    SELECT k.vec_id, k.p, k.v, min(CAST(list_sum(list_transform(range(1, len(k.v) + 1), i -> (k.v[i] - b.v[i]) * (k.v[i] - b.v[i]))) AS BIGINT) * {entries} + b.e) AS best
+    FROM pieces k JOIN {{}} b USING (p) GROUP BY k.vec_id, k.p, k.v"""
+    steps = []
+    for i in range(1, rounds + 1):
+        steps.append(f"near{i} AS MATERIALIZED ({nearest.format(f'book{i - 1}')})")
+        steps.append(f"""mean{i} AS MATERIALIZED (SELECT p, e, list(m ORDER BY pos) AS v FROM (
+    SELECT p, best % {entries} AS e, pos, CAST(floor(sum(v[pos]) / count(*)) AS BIGINT) AS m
+    FROM near{i}, generate_series(1, (SELECT max(len(v)) FROM pieces)) t(pos) GROUP BY ALL) GROUP BY p, e)""")
+        steps.append(f"book{i} AS MATERIALIZED (SELECT b.p, b.e, coalesce(m.v, b.v) AS v FROM book{i - 1} b LEFT JOIN mean{i} m ON b.p = m.p AND b.e = m.e)")
+    return f"""
+WITH kept AS MATERIALIZED (
+    SELECT vec_id, label, list_transform(embedding, c -> CAST(floor(256 * CAST(c AS DOUBLE)) AS BIGINT)) AS x FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, c -> c IS NULL OR NOT isfinite(c))) = 0),
+pieces AS MATERIALIZED (SELECT vec_id, p, x[p * (len(x) // {parts}) + 1:(p + 1) * (len(x) // {parts})] AS v FROM kept, range({parts}) t(p)),
+book0 AS MATERIALIZED (SELECT p, r - 1 AS e, v FROM pieces JOIN (
+    SELECT vec_id, row_number() OVER (ORDER BY vec_id) AS r FROM kept QUALIFY r <= {entries}) USING (vec_id)),
+{', '.join(steps)},
+last AS MATERIALIZED ({nearest.format(f'book{rounds}')}),
+coded AS MATERIALIZED (SELECT vec_id, string_agg(printf('%02x', best % {entries}), '' ORDER BY p) AS code, CAST(sum(best // {entries}) AS BIGINT) AS error FROM last GROUP BY vec_id),
+digest AS (SELECT sha256(string_agg(array_to_string(v, ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM book{rounds})
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM coded JOIN kept USING (vec_id), digest
+"""
+
+
+ORACLE["op11_vector_codes"] = _codes_sql()
+
+
+@query
+def op12_whitening(spark: SparkSession, sf: str) -> DataFrame:
+    from vectrove.llm.whitening import fit_whitening, whiten
+
+    vectors = table(spark, sf, "embeddings")
+    return whiten(vectors, fit_whitening(vectors))
+
+
+@query
+def op13_secrets(spark: SparkSession, sf: str) -> DataFrame:
+    from vectrove.llm.leaks import secret_report
+
+    return secret_report(table(spark, sf, "documents"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,3 +30,20 @@ def block(column) -> np.ndarray:
 def inner(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """All inner products of two blocks; each depends on its two rows only, so equal rows tie."""
     return np.einsum("ij,kj->ik", a, b)
+
+
+def whole(column, length: int, scale: float, bound: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of a list column on an integer grid: which rows take part, and theirs as int64.
+
+    A row takes part if it has ``length`` components, none of them null or non-finite. A
+    component ``c`` becomes ``floor(scale * c)``, held within ``-bound .. bound``.
+    """
+    lists = column.cast(pa.list_(pa.float64()))
+    sizes = lists.value_lengths().fill_null(-1).to_numpy(zero_copy_only=False)
+    fits = sizes == length
+    flat = lists.filter(pa.array(fits)).flatten()
+    nulls = flat.is_null().to_numpy(zero_copy_only=False).reshape(-1, length)
+    values = flat.fill_null(0.0).to_numpy(zero_copy_only=False).reshape(-1, length)
+    good = ~nulls.any(axis=1) & np.isfinite(values).all(axis=1)
+    fits[np.flatnonzero(fits)] = good
+    return fits, np.clip(np.floor(scale * values[good]), -bound, bound).astype(np.int64)
