@@ -127,7 +127,7 @@ def op11_vector_codes(spark: SparkSession, sf: str) -> DataFrame:
 def _codes_sql(parts: int = 16, entries: int = 64, rounds: int = 2) -> str:
     """The rounds unrolled; a distance and its entry's number are compared as one integer."""
     nearest = f"""
-    SELECT k.vec_id, k.p, k.v, min(CAST(list_sum(list_transform(range(1, len(k.v) + 1), i -> (k.v[i] - b.v[i]) * (k.v[i] - b.v[i]))) AS BIGINT) * {entries} + b.e) AS best
+    SELECT k.vec_id, k.p, k.v, min(CAST(list_sum(list_transform(range(1, len(k.v) + 1), lambda i: (k.v[i] - b.v[i]) * (k.v[i] - b.v[i]))) AS BIGINT) * {entries} + b.e) AS best
     FROM pieces k JOIN {{}} b USING (p) GROUP BY k.vec_id, k.p, k.v"""
     steps = []
     for i in range(1, rounds + 1):
@@ -138,8 +138,8 @@ def _codes_sql(parts: int = 16, entries: int = 64, rounds: int = 2) -> str:
         steps.append(f"book{i} AS MATERIALIZED (SELECT b.p, b.e, coalesce(m.v, b.v) AS v FROM book{i - 1} b LEFT JOIN mean{i} m ON b.p = m.p AND b.e = m.e)")
     return f"""
 WITH kept AS MATERIALIZED (
-    SELECT vec_id, label, list_transform(embedding, c -> CAST(floor(256 * CAST(c AS DOUBLE)) AS BIGINT)) AS x FROM embeddings
-    WHERE embedding IS NOT NULL AND len(list_filter(embedding, c -> c IS NULL OR NOT isfinite(c))) = 0),
+    SELECT vec_id, label, list_transform(embedding, lambda c: CAST(floor(256 * CAST(c AS DOUBLE)) AS BIGINT)) AS x FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
 pieces AS MATERIALIZED (SELECT vec_id, p, x[p * (len(x) // {parts}) + 1:(p + 1) * (len(x) // {parts})] AS v FROM kept, range({parts}) t(p)),
 book0 AS MATERIALIZED (SELECT p, r - 1 AS e, v FROM pieces JOIN (
     SELECT vec_id, row_number() OVER (ORDER BY vec_id) AS r FROM kept QUALIFY r <= {entries}) USING (vec_id)),
