@@ -60,6 +60,26 @@ def test_all_shingles_frequent_gives_the_same_links(docs, rows, monkeypatch):
     assert as_set(jaccard.similar_documents(docs)) == similar(rows)
 
 
+def test_links_through_a_row_without_an_id_hold(make):
+    words = [f"w{i}" for i in range(400)]
+    one, two, three = (" ".join(words[:i] + ["x%d" % k for k in range(16)] + words[i + 16 :]) for i in (0, 200, 380))
+    middle = " ".join(words)
+    rows = [(1, one), (None, middle), (3, three)]
+    want = similar(rows)
+    assert {w[2] for w in want} == {1}
+    assert as_set(jaccard.similar_documents(make(rows))) == want
+    rows = [(2, two), (None, one), (7, middle), (None, "y " + three)]
+    assert as_set(jaccard.similar_documents(make(rows))) == similar(rows)
+
+
+def test_words_that_agree_in_powers_are_told_apart(make):
+    def morse(a, b):
+        return "".join(a if bin(i).count("1") % 2 == 0 else b for i in range(1024))
+
+    rows = [(1, morse("a", "b")), (2, morse("b", "a"))]
+    assert as_set(jaccard.similar_documents(make(rows))) == [(1, 1, 1), (2, 1, 2)]
+
+
 def test_one_of_each(docs, rows):
     kept = Counter(r.doc_id for r in jaccard.one_of_each(docs).collect())
     assert kept == Counter({d for d, _, c in similar(rows) if d == c} | {None})

@@ -43,7 +43,7 @@ def test_every_character(odd):
 
 
 def test_memo_limit_does_not_change_results(odd, monkeypatch):
-    memo = units.Memo(lambda new: [len(x) for x in new], limit=5)
+    memo = units.Memo(lambda new: [len(x) for x in new], lambda: None, limit=5)
     cuts = units.counted(odd, lambda codes, text, cuts: units.byte_level_starts(codes, text, cuts, []), memo)
     assert cuts.tolist() == [len(t) for t in odd]
 
@@ -99,8 +99,71 @@ def test_records_of_nothing_and_of_a_null_id(spark, docs, no_docs):
     root = scratch(spark, "records")
     records.write_token_records(no_docs, root)
     assert records.read_token_records(records.record_index(spark, root), root).collect() == []
-    with pytest.raises(Exception, match="doc_id is null"):
-        records.write_token_records(docs, scratch(spark, "records"))
+
+
+def test_records_without_an_id_come_first(spark, docs, rows):
+    root = scratch(spark, "records")
+    records.write_token_records(docs, root)
+    got = sorted(records.read_token_records(records.record_index(spark, root), root).collect(), key=lambda r: r.start)
+    assert len(got) == len(rows) and got[0].doc_id is None and [r.doc_id for r in got[1:]] == sorted(d for d, _ in rows if d is not None)
+    assert got[0].ids == [*ids_of(rows[-1][1]), 2]
+    assert [r.start for r in got] == [sum(r.n_tokens for r in got[:i]) for i in range(len(got))]
+
+
+def morse(a, b, n=1024):
+    return "".join(a if bin(i).count("1") % 2 == 0 else b for i in range(n))
+
+
+#: Texts whose sums of powers of one multiplier agree modulo 2**64.
+TWINS = [morse("a", "b"), morse("b", "a")]
+
+
+def test_texts_that_agree_in_powers_are_told_apart():
+    codes = units.code_points("".join(TWINS))
+    assert len(set(units.hashes(codes, np.array([0, 1024])).tolist())) == 2
+    assert tokens.count_texts(TWINS, BYTE).tolist() == [len(ids_of(t)) for t in TWINS]
+    assert [np.frombuffer(x, "<u4").tolist() for x in tokens.token_ids(TWINS, BYTE)] == [ids_of(t) for t in TWINS]
+    library = sentencepiece.SentencePieceProcessor(model_file=PIECE)
+    assert [np.frombuffer(x, "<u4").tolist() for x in pieces.encode_texts(TWINS, PIECE)] == library.encode(TWINS)
+
+
+def test_units_that_share_a_hash_are_told_apart(odd, monkeypatch):
+    monkeypatch.setattr(units, "hashes", lambda codes, starts, skip=None: codes[starts].astype(np.uint64) % np.uint64(7))
+    assert [np.frombuffer(x, "<u4").tolist() for x in tokens.token_ids(odd, BYTE)] == [ids_of(t) for t in odd]
+
+
+def test_a_worker_keeps_one_memo():
+    gone = []
+    one, two = (units.Memo(lambda new: [len(x) for x in new], lambda i=i: gone.append(i)) for i in range(2))
+    for memo in (one, two, two):
+        assert units.counted(["ab cd"], lambda codes, text, cuts: np.arange(len(codes)) % 2 == 0, memo).tolist() == [5]
+    assert gone == [0] and not one.young and two.young
+    units.release()
+    assert gone == [0, 1] and not two.young
+
+
+def test_texts_longer_than_a_chunk():
+    draw = random.Random(8)
+    words = ["".join(draw.choice("abcdefgh") for _ in range(draw.randint(1, 9))) for _ in range(4000)]
+    long = " ".join(draw.choice(words) for _ in range(150_000))
+    assert len(long) > units.CHUNK
+    texts = [long, "x", long[::-1], "y" * 700_000]
+    assert tokens.count_texts(texts, BYTE).tolist() == [len(ids_of(t)) for t in texts]
+    assert [len(x) // 4 for x in tokens.token_ids(texts, BYTE)] == [len(ids_of(t)) for t in texts]
+
+
+def test_whole_windows_need_no_group(make, monkeypatch):
+    monkeypatch.setattr(packing, "windows", lambda weights, capacity: [[i] for i in range(len(weights))])
+    pieces_ = make([(i, ("the " * 4095).strip()) for i in range(30)])
+    got = packing.pack_documents(pieces_).collect()
+    assert len(got) == 60 and {(r.length, r.offset) for r in got} == {(2048, 0)} and len({r.sequence_id for r in got}) == 60
+
+
+def test_no_lot_is_larger_than_its_share(spark, monkeypatch):
+    monkeypatch.setattr(packing, "windows", lambda weights, capacity: [[i] for i in range(len(weights))])
+    same = spark.range(4000).selectExpr("1L as doc_id", "0L as start", "500L as length", "9L as ids_crc32", "500L as doc_tokens")
+    got = packing.pack_pieces(same, lot=16).selectExpr("sequence_id >> 32 as lot").groupBy("lot").count().collect()
+    assert len(got) == 62 and max(r["count"] for r in got) < 2.5 * 4000 / 62
 
 
 def test_damage_is_found():

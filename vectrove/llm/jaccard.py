@@ -32,7 +32,7 @@ from vectrove.llm.common import IdFilter, block_rows, discard, keep_repeated, pa
 from vectrove.llm.graph import components
 
 #: Cells of the frequency sketch, and words of a folded bitmap.
-CELLS, FOLDS = 1 << 20, 4
+CELLS, FOLDS = 1 << 20, 16
 _CELL_SHIFT, _BLOCK = np.uint64(44), 1 << 14
 _STEP = [np.uint64(pow(0xD6E8FEB86659FD93, i, 1 << 64)) for i in range(64)]
 
@@ -43,6 +43,7 @@ def shingle_sets(texts: list[str], size: int) -> Iterator[np.ndarray]:
     Words are runs without ASCII white space, A-Z in lower case. A text of fewer words is one
     shingle; without words the set is empty.
     """
+    units.release()
     for a, b in units.chunks(texts):
         lengths = np.array([len(t) + 1 for t in texts[a:b]], np.int64)
         codes = units.code_points(" ".join(texts[a:b]))
@@ -120,7 +121,7 @@ def _bitmap(shingles: np.ndarray) -> bytes:
     Sets differ in no less shingles than their bitmaps differ in classes, also after the
     larger bitmap is folded onto the smaller one.
     """
-    bits = min(max((2 * len(shingles)).bit_length(), 8), 20)
+    bits = min(max((2 * len(shingles)).bit_length(), (64 * FOLDS).bit_length() - 1), 20)
     places = ((shingles >> np.uint64(20)) & np.uint64((1 << bits) - 1)).astype(np.int64)
     return np.packbits((np.bincount(places, minlength=1 << bits) & 1).astype(bool)).tobytes()
 
@@ -170,8 +171,8 @@ def similar_documents(docs: DataFrame, size: int = 5, percent: int = 75, rounds:
     ``component_id`` is the smallest doc_id that links reach. A null text is empty; texts
     without words are linked with nothing, each its own component. Equal sets (copies, and
     texts that differ in case or white space) are one node of the join. Repeated rows come
-    back repeated; a null id stays null and is never a component's id unless there is no
-    other; other columns are ignored. ``rounds`` (1 or more) rounds run before what is left is
+    back repeated; a null id stays null, links like any other and is never a component's id
+    unless there is no other; other columns are ignored. ``rounds`` (1 or more) rounds run before what is left is
     compared pair by pair; the number changes the cost alone.
     """
     docs = plain_texts(docs)
@@ -250,7 +251,7 @@ def similar_documents(docs: DataFrame, size: int = 5, percent: int = 75, rounds:
     # One document for each set, the smallest; its digest's second half tells sets from collisions.
     clash = F.when(F.min("check") != F.max("check"), F.raise_error(F.lit("two sets have one digest")))
     reps = ids.where("n > 0").groupBy("e").agg(F.min("doc_id").alias("doc_id"), clash.alias("clash"), *(F.first(c).alias(c) for c in ["bits", *folds]))
-    wanted = shared.select("e").distinct().join(reps.where("clash is null"), "e").where("doc_id is not null")
+    wanted = shared.select("e").distinct().join(reps.where("clash is null"), "e")
     wanted = stored(wanted.select("e", "doc_id", "bits", *folds), "wanted")
 
     open_, tested, links, comps = shared, None, None, None
@@ -273,8 +274,8 @@ def similar_documents(docs: DataFrame, size: int = 5, percent: int = 75, rounds:
             joined = open_.join(first_of.select("sig", *(F.col(f"o.{x}").alias(f"{x}2") for x in "enpc")), "sig")
         else:
             # Folded bitmaps turn most pairs away before they become rows.
-            others = open_.select(*(F.col(x).alias(f"{x}2") for x in ["sig", "e", "n", "p", "c", *folds]))
-            apart = sum((F.bit_count(F.col(f).bitwiseXOR(F.col(f"{f}2"))) for f in folds), F.lit(0))
+            others = open_.select(*(F.col(x).alias(f"{x}2") for x in ["sig", "e", "n", "p", "c"]), *(F.col(f).alias(f"other_{f}") for f in folds))
+            apart = sum((F.bit_count(F.col(f).bitwiseXOR(F.col(f"other_{f}"))) for f in folds), F.lit(0))
             near = (100 - percent) * (F.col("n") + F.col("n2")) >= (100 + percent) * apart
             on = (F.col("sig") == F.col("sig2")) & (F.col("e") < F.col("e2")) & (F.col("c") != F.col("c2")) & fits & near
             joined = open_.join(others, on)
@@ -333,23 +334,24 @@ def _rows(columns: list[list[np.ndarray]]) -> pa.RecordBatch:
 def _fetch(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     """``e, data``: the sets of the documents in ``wanted(e, doc_id)``.
 
-    A filter goes ahead of the join, so most other documents are not dealt out.
+    A filter of their ids goes ahead of the join, so most other documents are not dealt out. A
+    set that only rows without an id have is found by its digest alone.
     """
-
     wanted_ids = IdFilter(wanted, "doc_id")
+    nameless = not wanted.where("doc_id is null").isEmpty()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            batch = batch.filter(batch.column("doc_id").is_valid())
-            batch = batch.filter(pa.array(wanted_ids.may_hold(batch.column("doc_id").to_numpy())))
+            ids = batch.column("doc_id")
+            near = wanted_ids.may_hold(ids.fill_null(0).to_numpy())
+            named = ids.is_valid().to_numpy(zero_copy_only=False)
+            batch = batch.filter(pa.array(np.where(named, near, nameless)))
             if batch.num_rows:
                 data, e = [], []
                 for shingles in shingle_sets(texts_of(batch), size):
                     data.append(shingles.tobytes())
                     e.append(_digest(shingles)[0])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(e, pa.int64()), batch.column("doc_id"), pa.array(data, pa.binary())], ["e", "doc_id", "data"]
-                )
+                yield pa.RecordBatch.from_arrays([pa.array(e, pa.int64()), pa.array(data, pa.binary())], ["e", "data"])
 
-    sets = docs.mapInArrow(run, "e long, doc_id long, data binary")
-    return sets.join(wanted, ["e", "doc_id"]).groupBy("e").agg(F.first("data").alias("data"))
+    sets = docs.mapInArrow(run, "e long, data binary")
+    return sets.join(wanted.select("e"), "e").groupBy("e").agg(F.first("data").alias("data"))

@@ -104,31 +104,32 @@ def windows(weights: list[int], capacity: int) -> list[list[int]]:
 def pack_pieces(pieces: DataFrame, window: int = 2048, lot: int = LOT) -> DataFrame:
     """``sequence_id`` and ``offset`` for every piece; no window is over ``window`` tokens.
 
-    Lots are bounded: their number follows from the sum of the lengths, and pieces go to
-    them by a hash of doc_id and start with repeated rows spread by their checksum. The
-    pieces should be stored: they are read for the sum and again for the packing.
+    A piece that fills a window is a sequence at once. The others go to lots of bounded size,
+    whose number follows from the sum of their lengths, by a number that is stored with them
+    and differs between repeated rows too, so no group grows with the input.
     """
-    total = pieces.where(F.col("length") < window).agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
-    lots = max(1, -(-total // (lot * window)))
-    dealt = pieces.withColumn("_lot", F.pmod(F.xxhash64("doc_id", "start", F.rand(17)), F.lit(lots)))
+    pieces = pieces.withColumn("_deal", F.xxhash64("doc_id", "start", "ids_crc32", F.monotonically_increasing_id()))
+    pieces = stored(pieces, "pieces")
+    small = pieces.where(F.col("length") < window)
+    lots = max(1, -(-(small.agg(F.sum("length")).first()[0] or 0) // (lot * window)))
+    dealt = small.withColumn("_lot", F.pmod("_deal", F.lit(lots))).drop("_deal")
+    whole = pieces.where(F.col("length") >= window).drop("_deal")
+    whole = whole.withColumn("sequence_id", F.monotonically_increasing_id() + F.lit(1 << 62)).withColumn("offset", F.lit(0).cast("long"))
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["doc_id", "start"], kind="stable").reset_index(drop=True)
+        rows = rows.sort_values(["doc_id", "start", "ids_crc32"], kind="stable").reset_index(drop=True)
         lengths = rows["length"].to_numpy()
-        whole = np.flatnonzero(lengths == window)
-        part = np.flatnonzero(lengths < window)
         slot, offset = np.zeros(len(rows), np.int64), np.zeros(len(rows), np.int64)
-        slot[whole] = np.arange(len(whole))
-        for k, group in enumerate(windows(lengths[part].tolist(), window)):
-            at = part[sorted(group)]
-            slot[at] = len(whole) + k
+        for k, group in enumerate(windows(lengths.tolist(), window)):
+            at = np.array(sorted(group), np.int64)
+            slot[at] = k
             offset[at] = np.cumsum(lengths[at]) - lengths[at]
         rows["sequence_id"] = rows.pop("_lot").to_numpy(np.int64) * (1 << 32) + slot
         rows["offset"] = offset
         return rows
 
-    schema = pieces.schema.add("sequence_id", "long").add("offset", "long")
-    return dealt.groupBy("_lot").applyInPandas(run, schema)
+    schema = dealt.drop("_lot").schema.add("sequence_id", "long").add("offset", "long")
+    return dealt.groupBy("_lot").applyInPandas(run, schema).unionByName(whole)
 
 
 def pack_documents(docs: DataFrame, window: int = 2048, piece: int = 512, end_id: int = 1, path: str | None = None) -> DataFrame:
@@ -138,4 +139,4 @@ def pack_documents(docs: DataFrame, window: int = 2048, piece: int = 512, end_id
     gapless from 0 in each sequence, and every id is in one piece. See
     :func:`document_pieces` for nulls, empty and repeated rows; an empty table gives no rows.
     """
-    return pack_pieces(stored(document_pieces(docs, window, piece, end_id, path), "pieces"), window)
+    return pack_pieces(document_pieces(docs, window, piece, end_id, path), window)

@@ -173,7 +173,7 @@ def checked_agenda(new: list[str], vocab: Vocabulary) -> list[bytes]:
 def _loaded(path: str, check: bool) -> tuple[Vocabulary, units.Memo]:
     vocab = Vocabulary(path)
     make = checked_agenda if check else agenda
-    return vocab, units.Memo(lambda new: make(new, vocab))
+    return vocab, units.Memo(lambda new: make(new, vocab), _loaded.cache_clear)
 
 
 def encode_texts(texts: list[str], path: str, check: bool = True):

@@ -53,6 +53,7 @@ class Words:
 
 
 def words_of(texts: list[str]) -> Iterator[Words]:
+    units.release()
     for a, b in units.chunks(texts):
         text = "\n".join(texts[a:b])
         lengths = np.array([len(t) + 1 for t in texts[a:b]], np.int64)

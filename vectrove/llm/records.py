@@ -23,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -34,6 +35,8 @@ from vectrove.sources.storage import locate
 _MASK = 0xA282EAD8  # fixed by the format
 _INDEX = np.dtype([("doc_id", "<i8"), ("offset", "<i8"), ("length", "<i8"), ("before", "<i8")])
 _READ = 8 << 20
+#: The id under which records of rows without one are kept.
+NAMELESS = -(1 << 63)
 
 
 def masked(data: bytes) -> int:
@@ -66,15 +69,15 @@ def write_token_records(
     65,536 ids, else 4. Returns the manifest: ``part, file, n_records, n_ids, before`` with
     ``before`` the ids of all files ahead. The table is dealt by ranges of doc_id, so a
     file's ids follow those of the file before it; one range is one file, written as it
-    streams. A null text is empty and gives a record with the end id only; a null doc_id
-    raises an error, since a record is found by it; repeated rows give repeated records.
+    streams. A null text is empty and gives a record with the end id only. Records without a
+    doc_id come first, under the id ``NAMELESS``, and are read back as null. Rows that repeat
+    an id are in the order of their text's hash and text, which also parts one frequent id
+    between files; repeated rows give repeated records.
     """
     path = path or tokenizer_file(BYTE_LEVEL)
     kind = {2: "<u2", 4: "<u4"}[id_bytes]
     tail = b"" if end_id is None else np.array([end_id], "<u4").tobytes()
-    ready = plain_texts(docs).withColumn(
-        "doc_id", F.when(F.col("doc_id").isNull(), F.raise_error(F.lit("doc_id is null"))).otherwise(F.col("doc_id"))
-    )
+    ready = plain_texts(docs).withColumn("doc_id", F.coalesce("doc_id", F.lit(NAMELESS))).withColumn("t", F.xxhash64("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
@@ -107,7 +110,7 @@ def write_token_records(
             )
 
     written = pa.schema([("part", pa.int64()), ("file", pa.string()), ("n_records", pa.int64()), ("n_ids", pa.int64())])
-    ordered = ready.repartitionByRange("doc_id").sortWithinPartitions("doc_id")
+    ordered = ready.repartitionByRange("doc_id", "t").sortWithinPartitions("doc_id", "t", "text")
     parts = ordered.mapInArrow(run, "part long, file string, n_records long, n_ids long")
     parts.write.parquet(f"{root}/manifest")
     return manifest(docs.sparkSession, root)
@@ -151,7 +154,7 @@ def read_token_records(index: DataFrame, root: str, id_bytes: int = 2, with_ids:
     """The records that the rows of an index name, in the order of those rows.
 
     Shuffle, filter or sample the index first: only the frames it names are read, and frames
-    that follow each other are read at once. Adds ``n_tokens``, ``ids_crc32`` (of the ids as
+    that follow each other are read at once. The id ``NAMELESS`` is given back as null. Adds ``n_tokens``, ``ids_crc32`` (of the ids as
     little-endian unsigned 32-bit integers) and, unless ``with_ids`` is False, ``ids``.
     Damaged frames raise an error.
     """
@@ -198,6 +201,7 @@ def read_token_records(index: DataFrame, root: str, id_bytes: int = 2, with_ids:
                 if with_ids:
                     lists.append(ids.astype(np.int32))
             columns = [batch.column(c) for c in ("doc_id", "file", "offset", "length", "start")]
+            columns[0] = pc.replace_with_mask(columns[0], pc.equal(columns[0], NAMELESS), pa.scalar(None, pa.int64()))
             columns += [pa.array(counts, pa.int64()), pa.array(sums, pa.int64())]
             names = schema.replace(" long", "").replace(" string", "").split(", ")
             if with_ids:

@@ -36,6 +36,8 @@ from vectrove.llm.common import IdFilter, discard, keep_repeated, parted, plain_
 GRAM, SEGMENT, RUN, SHARD = 64, 1 << 19, 100_000, 100_000
 #: Places of a gram that are sorted in one task; strings of a batch of hashes.
 GROUP, STRINGS = 20_000, 50_000
+#: Common grams that may be broadcast; powers that a scan needs: its pile is below two segments.
+COMMON, POWERS = 1_000_000, 2 * SEGMENT + 1
 
 
 def digest(data: bytes) -> tuple[int, int]:
@@ -62,7 +64,7 @@ def _scan(pile: list[tuple[int, int, bytes]], length: int) -> tuple[np.ndarray,
     data = np.frombuffer(b"".join(p for _, _, p in pile), np.uint8)
     sizes = np.array([len(p) for _, _, p in pile], np.int64)
     ends = np.cumsum(sizes)
-    power, inverse = units._powers(len(data) + 1)
+    power, inverse = units.powers(POWERS)
     total = np.zeros(len(data) + 1, np.uint64)
     np.cumsum((data.astype(np.uint64) + np.uint64(7)) * power[: len(data)], out=total[1:])
     grams = total[GRAM:] - total[:-GRAM]
@@ -288,6 +290,7 @@ def repeated_spans(texts: DataFrame, length: int = 200) -> DataFrame:
     """
 
     def survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        units.release()
         done: set[int] = set()
         for batch in batches:
             fresh, names = [], []
@@ -308,9 +311,10 @@ def repeated_spans(texts: DataFrame, length: int = 200) -> DataFrame:
     found = texts.mapInArrow(survey, "gram long, e long, at long")
     found = found.repartition("gram").sortWithinPartitions("gram", "e", "at")
     twice = stored(found.mapInArrow(keep_repeated(["gram"], ["e", "at"]), "gram long, e long, at long"), "anchors")
-    # One of every GROUP rows at most, so it may be broadcast.
+    # One of every GROUP rows at most; broadcast where they are few, else Spark joins and splits them.
     common = stored(twice.groupBy("gram").count().where(F.col("count") > GROUP).select("gram"), "common")
-    sorted_, hashed = twice.join(F.broadcast(common), "gram", "left_anti"), twice.join(F.broadcast(common), "gram")
+    few = F.broadcast(common) if common.count() <= COMMON else common
+    sorted_, hashed = twice.join(few, "gram", "left_anti"), twice.join(few, "gram")
     total = sorted_.count()
     shards = max(1, -(-total // SHARD))
 

@@ -113,7 +113,7 @@ def _counter(path: str) -> tuple[units.Memo, Merges]:
         counts = merged_lengths([x.encode("utf-8", "surrogatepass") for x in new], merges)
         return [1 if x in special else n for x, n in zip(new, counts.tolist(), strict=True)]
 
-    return units.Memo(compute), merges
+    return units.Memo(compute, _counter.cache_clear), merges
 
 
 def count_texts(texts: list[str], path: str) -> np.ndarray:
@@ -176,7 +176,7 @@ def _encoder(path: str) -> tuple[units.Memo, list[str]]:
     def compute(new: list[str]) -> list[bytes]:
         return [x for i in range(0, len(new), 20_000) for x in some(new[i : i + 20_000])]
 
-    return units.Memo(compute), special
+    return units.Memo(compute, _encoder.cache_clear), special
 
 
 def token_ids(texts: list[str], path: str):

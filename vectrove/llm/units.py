@@ -2,12 +2,15 @@
 
 A merge never crosses the border of a unit, so the ids of a text are those of its units in
 order, and each different unit is worked out once per worker. Units are found on the code
-points of a whole batch at a time and compared by a 64-bit hash of their code points.
+points of a whole batch at a time. A hash brings equal ones together, and their code points are
+then compared; a worker's memo goes by the unit itself.
 """
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator, Sequence
+from contextlib import suppress
 from functools import lru_cache
 
 import numpy as np
@@ -17,7 +20,6 @@ import pandas as pd
 CHUNK = 500_000
 #: Chunks whose new units are worked out together.
 TOGETHER = 4
-_P = 0x9E3779B97F4A7C55  # odd, so it has an inverse modulo 2**64
 SPACE, LETTER, NUMBER, OTHER = 0, 1, 2, 3
 
 
@@ -38,34 +40,40 @@ def char_classes() -> np.ndarray:
     return classes
 
 
-_tables: dict[str, np.ndarray] = {}
+_P = 0x9E3779B97F4A7C55  # odd, so it has an inverse modulo 2**64
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the multiplier and of its inverse, at least ``n`` of each."""
-    if not _tables or len(_tables["power"]) < n:
-        size = max(n, CHUNK + 1)
-        for name, base in (("power", _P), ("inverse", pow(_P, -1, 1 << 64))):
-            steps = np.full(size, base, np.uint64)
-            steps[0] = 1
-            _tables[name] = np.multiply.accumulate(steps)
-    return _tables["power"], _tables["inverse"]
+@lru_cache(maxsize=1)
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first ``n`` powers of a multiplier and of its inverse modulo 2**64."""
+    out = []
+    for base in (_P, pow(_P, -1, 1 << 64)):
+        steps = np.full(n, base, np.uint64)
+        steps[0] = 1
+        out.append(np.multiply.accumulate(steps))
+    return out[0], out[1]
 
 
 def hashes(values: np.ndarray, starts: np.ndarray, skip: np.ndarray | None = None) -> np.ndarray:
     """A 64-bit hash of each run of ``values`` between consecutive ``starts``.
 
-    ``skip`` marks values at the end of a run that don't count.
+    ``skip`` marks values at the end of a run that don't count. A value and its place in the
+    run are mixed together before they are summed, so no arrangement of values cancels out.
     """
-    power, inverse = _powers(len(values))
-    terms = values.astype(np.uint64)
-    terms += np.uint64(0x51ED)
-    terms *= power[: len(values)]
+    first = int(starts[0])
+    lengths = np.diff(np.append(starts, len(values)))
+    terms = values[first:].astype(np.uint64)
+    terms <<= np.uint64(32)
+    terms += np.arange(first, len(values), dtype=np.uint64)
+    terms -= np.repeat(starts.astype(np.uint64), lengths)
+    terms += np.uint64(1)
+    terms *= np.uint64(0xBF58476D1CE4E5B9)
+    terms ^= terms >> np.uint64(29)
+    terms *= np.uint64(0x94D049BB133111EB)
+    terms ^= terms >> np.uint64(32)
     if skip is not None:
-        terms[skip] = 0
-    sums = np.add.reduceat(terms, starts)
-    sums *= inverse[starts]
-    return mixed(sums)
+        terms[skip[first:]] = 0
+    return mixed(np.add.reduceat(terms, starts - first))
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -201,52 +209,97 @@ class PairTable:
 
 
 class Memo:
-    """Values of units, by hash, kept in a worker between batches.
-
-    ``compute(list of new units) -> list of values``. Past ``limit`` units it starts anew,
-    so memory is bounded; the results do not depend on it.
+    """Values of units, kept in a worker between batches.
+
+    ``compute(list of new units) -> list of values``, none of them None. There are two
+    generations: when the young one has ``limit`` units, or ``room`` for their signs and
+    values, it becomes the old one, and what the old one had and nobody asked for is gone.
+    Units of more than ``LONG`` signs are not kept. So memory is bounded, and the results do
+    not depend on it. A worker keeps one memo: the first use of another gives up what the one
+    before held, and calls its ``forget`` for what was loaded with it.
     """
 
-    def __init__(self, compute: Callable[[list[str]], list], limit: int = 350_000):
-        self.compute, self.limit, self.known = compute, limit, {}
+    LONG = 256
+    _live: Memo | None = None
+
+    def __init__(self, compute: Callable[[list[str]], list], forget: Callable[[], None], limit: int = 200_000, room: int = 16 << 20):
+        self.compute, self.forget, self.limit, self.room = compute, forget, limit, room
+        self.clear()
+
+    def clear(self) -> None:
+        self.young: dict[str, object] = {}
+        self.old: dict[str, object] = {}
+        self.held = 0
 
     def fill(self, parts: list[Chunk]) -> list[list]:
         """The values of each chunk's units; all new ones of the batch are computed at once."""
-        known = self.known
-        new: dict[int, str] = {}
-        for part in parts:
-            for i, k in enumerate(part.keys):
-                if k not in known and k not in new:
-                    new[k] = part.unit(i)
-        if new:
-            if len(known) + len(new) > self.limit:
-                known.clear()
-                new = {k: part.unit(i) for part in parts for i, k in enumerate(part.keys)}
-            known.update(zip(new, self.compute(list(new.values())), strict=True))
-        return [list(map(known.__getitem__, part.keys)) for part in parts]
+        if Memo._live is not self:
+            release()
+            Memo._live = self
+        if len(self.young) > self.limit or self.held > self.room:
+            self.old, self.young, self.held = self.young, {}, 0
+        out = [list(map(self.young.get, part.units)) for part in parts]
+        missed: dict[str, object] = {}
+        for part, values in zip(parts, out, strict=True):
+            if None in values:
+                missed.update(dict.fromkeys(u for u, v in zip(part.units, values, strict=True) if v is None))
+        if missed:
+            found = dict(zip(missed, map(self.old.get, missed), strict=True)) if self.old else missed
+            new = [u for u, v in found.items() if v is None]
+            if new:
+                found.update(zip(new, self.compute(new), strict=True))
+            out = [[found[u] if v is None else v for u, v in zip(part.units, values, strict=True)] for part, values in zip(parts, out, strict=True)]
+            kept = found if max(map(len, found)) <= self.LONG else {u: v for u, v in found.items() if len(u) <= self.LONG}
+            self.young.update(kept)
+            self.held += sum(map(len, kept)) + (sum(map(len, kept.values())) if isinstance(next(iter(found.values())), bytes) else 8 * len(kept))
+        return out
+
+
+def release() -> None:
+    """Give up what this worker's memo holds. Operators that keep no memo call it before they allocate."""
+    memo, Memo._live = Memo._live, None
+    if memo is not None:
+        memo.clear()
+        memo.forget()
+        with suppress(OSError, AttributeError):  # where the C library can, it returns the memory
+            ctypes.CDLL(None).malloc_trim(0)
 
 
 class Chunk:
-    """Some texts cut into units: ``places`` has the unit of each place, an index into ``keys``."""
+    """Some texts cut into units: ``places`` has the unit of each place, an index into ``units``."""
 
     def __init__(self, texts: Sequence[str], starts_of: Callable[[np.ndarray, str, np.ndarray], np.ndarray]):
-        self.text = "".join(texts)
+        text = "".join(texts)
         lengths = np.array([len(t) for t in texts], np.int64)
-        self.per_text, self.places, self.keys = np.zeros(len(texts), np.int64), np.zeros(0, np.int64), []
-        if self.text:
+        self.per_text, self.places, self.units = np.zeros(len(texts), np.int64), np.zeros(0, np.int64), []
+        if text:
             ends = np.cumsum(lengths)
-            codes = code_points(self.text)
-            starts = np.flatnonzero(starts_of(codes, self.text, (ends - lengths)[lengths > 0]))
-            self.places, keys = pd.factorize(hashes(codes, starts))
-            self.keys = keys.tolist()
-            firsts = np.empty(len(keys), np.int64)
-            firsts[self.places[::-1]] = np.arange(len(self.places) - 1, -1, -1)
+            codes = code_points(text)
+            starts = np.flatnonzero(starts_of(codes, text, (ends - lengths)[lengths > 0]))
             bounds = np.append(starts, len(codes))
-            self.span = bounds[firsts], bounds[firsts + 1]
+            self.places, firsts = _grouped(codes, starts)
+            if firsts is None:  # two units share a hash
+                known: dict[str, int] = {}
+                spans = zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)
+                self.places = np.array([known.setdefault(text[a:b], len(known)) for a, b in spans], np.int64)
+                self.units = list(known)
+            else:
+                self.units = [text[a:b] for a, b in zip(bounds[firsts].tolist(), bounds[firsts + 1].tolist(), strict=True)]
             self.per_text = np.diff(np.searchsorted(starts, np.concatenate([[0], ends])))
 
-    def unit(self, i: int) -> str:
-        return self.text[self.span[0][i] : self.span[1][i]]
+
+def _grouped(codes: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray | None]:
+    """The group of each run of ``codes``, and the first run of each group; None if a group's runs are not all equal."""
+    places, keys = pd.factorize(hashes(codes, starts))
+    firsts = np.empty(len(keys), np.int64)
+    firsts[places[::-1]] = np.arange(len(places) - 1, -1, -1)
+    lengths = np.diff(np.append(starts, len(codes)))
+    first = firsts[places]
+    if not np.array_equal(lengths, lengths[first]):
+        return places, None
+    same = np.repeat(starts[first] - starts, lengths)
+    same += np.arange(len(codes))
+    return places, firsts if np.array_equal(codes[same], codes) else None
 
 
 def cut_texts(texts: Sequence[str], starts_of, memo: Memo, together: int) -> Iterator[tuple[Chunk, list]]:
