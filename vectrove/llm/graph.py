@@ -21,6 +21,19 @@ def components(edges: DataFrame) -> DataFrame:
     Edges are undirected and may repeat; loops and edges with a null end are left out. An
     empty table gives no rows.
     """
+    return _stars(_settled(edges))
+
+
+def stored_components(edges: DataFrame, node: str, component: str) -> DataFrame:
+    """:func:`components`, written as a table of its own with these column names."""
+    settled = _settled(edges)
+    found = _stars(settled).select(F.col("node").alias(node), F.col("component").alias(component))
+    out = stored(found, "components")
+    discard(settled)
+    return out
+
+
+def _settled(edges: DataFrame) -> DataFrame:
     clean = edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
     now = stored(clean.distinct(), "edges")
     before = None
@@ -37,5 +50,9 @@ def components(edges: DataFrame) -> DataFrame:
         small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         old, now = now, stored(small.union(least.select("u", F.col("m").alias("v"))).distinct(), "edges")
         discard(old)
+    return now
+
+
+def _stars(now: DataFrame) -> DataFrame:
     own = now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).union(own)

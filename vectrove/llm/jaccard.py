@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from vectrove.llm import units
 from vectrove.llm.common import IdFilter, block_rows, discard, keep_repeated, parted, plain_texts, slices, stored, summed_blocks, texts_of
-from vectrove.llm.graph import components
+from vectrove.llm.graph import stored_components
 
 #: Cells of the frequency sketch, and words of a folded bitmap.
 CELLS, FOLDS = 1 << 20, 16
@@ -255,30 +255,35 @@ def similar_documents(docs: DataFrame, size: int = 5, percent: int = 75, rounds:
     wanted = stored(wanted.select("e", "doc_id", "bits", *folds), "wanted")
 
     open_, tested, links, comps = shared, None, None, None
+    done: list[DataFrame] = []  # tables of the rounds
     for turn in range(rounds + 1):
-        if turn:  # lists that hold more than one component
-            labelled = open_.select("sig", "e", "n", "p", "g").join(wanted.select("e", *folds), "e").withColumn("c", F.col("e"))
+        if turn:  # lists that hold more than one component; of lists with the same members, one
+            labelled = open_.select("sig", "e", "n").withColumn("c", F.col("e"))
             if comps is not None:
                 labelled = labelled.drop("c").join(comps, "e", "left").withColumn("c", F.coalesce("c", "e"))
-            several = labelled.groupBy("sig").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("sig")
+            members = F.count("e").alias("k"), F.sum(F.xxhash64("e").cast("decimal(20,0)")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "e")).alias("y")
+            several = labelled.groupBy("sig").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), *members).where("lo < hi")
+            several = several.groupBy("k", "x", "y").agg(F.min("sig").alias("sig")).select("sig")
             old, open_ = open_, stored(labelled.join(several, "sig"), "open")
             discard(old)
         small, large = F.least("n", "n2"), F.greatest("n", "n2")
-        reach = F.least("p", "p2", "g") + F.least(F.col("n") - F.col("p"), F.col("n2") - F.col("p2"))
-        fits = (100 * small >= percent * large) & (reach * (100 + percent) >= percent * (F.col("n") + F.col("n2")))
+        fits = 100 * small >= percent * large
         if not turn:  # against the first of each list
+            reach = F.least("p", "p2", "g") + F.least(F.col("n") - F.col("p"), F.col("n2") - F.col("p2"))
+            fits &= reach * (100 + percent) >= percent * (F.col("n") + F.col("n2"))
             joined = open_.withColumns({"c": F.col("e"), "c2": F.col("e2")})
         elif turn < rounds - 1:  # against the first in another order
-            other = F.struct(F.xxhash64("e", F.lit(turn)).alias("r"), "e", "n", "p", "c")
+            other = F.struct(F.xxhash64("e", F.lit(turn)).alias("r"), "e", "n", "c")
             first_of = open_.groupBy("sig").agg(F.min(other).alias("o"))
-            joined = open_.join(first_of.select("sig", *(F.col(f"o.{x}").alias(f"{x}2") for x in "enpc")), "sig")
+            joined = open_.join(first_of.select("sig", *(F.col(f"o.{x}").alias(f"{x}2") for x in "enc")), "sig")
         else:
             # Folded bitmaps turn most pairs away before they become rows.
-            others = open_.select(*(F.col(x).alias(f"{x}2") for x in ["sig", "e", "n", "p", "c"]), *(F.col(f).alias(f"other_{f}") for f in folds))
+            marked = open_.join(wanted.select("e", *folds), "e")
+            others = marked.select(*(F.col(x).alias(f"{x}2") for x in ["sig", "e", "n", "c"]), *(F.col(f).alias(f"other_{f}") for f in folds))
             apart = sum((F.bit_count(F.col(f).bitwiseXOR(F.col(f"other_{f}"))) for f in folds), F.lit(0))
             near = (100 - percent) * (F.col("n") + F.col("n2")) >= (100 + percent) * apart
             on = (F.col("sig") == F.col("sig2")) & (F.col("e") < F.col("e2")) & (F.col("c") != F.col("c2")) & fits & near
-            joined = open_.join(others, on)
+            joined = marked.join(others, on)
         pairs = joined.where((F.col("c") != F.col("c2")) & fits)
         pairs = pairs.select(F.least("e", "e2").alias("a"), F.greatest("e", "e2").alias("b"), (F.col("n") + F.col("n2")).alias("both")).distinct()
         if tested is not None:
@@ -289,17 +294,20 @@ def similar_documents(docs: DataFrame, size: int = 5, percent: int = 75, rounds:
         if turn < rounds:  # one partner for each set is enough for now
             pairs = pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
         pairs = stored(pairs, "pairs")
+        done.append(pairs)
         if pairs.isEmpty():
             continue
         nodes = pairs.select(F.col("a").alias("e")).union(pairs.select(F.col("b").alias("e"))).distinct()
         nodes = stored(wanted.select("e", "doc_id").join(nodes, "e"), "nodes")
         good = stored(_verify(pairs, _fetch(docs, nodes, size), percent), "good")
+        done.append(good)
         discard(nodes)
         tested = pairs if tested is None else tested.union(pairs)
         links = good if links is None else links.union(good)
-        comps = stored(components(links), "found").select(F.col("node").alias("e"), F.col("component").alias("c"))
+        old, comps = comps, stored_components(links, "e", "c")
+        discard(old)
 
-    discard(open_, wanted)
+    discard(open_, wanted, *done)
     named = ids.select("doc_id", "n", "e")
     named = named.withColumn("c", F.col("e")) if comps is None else named.join(comps, "e", "left").withColumn("c", F.coalesce("c", "e"))
     least = named.where("n > 0").groupBy("c").agg(F.min("doc_id").alias("component_id"))
