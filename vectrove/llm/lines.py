@@ -5,8 +5,9 @@ and hashed once; the permutations of MinHash are seeded hashes of that hash, whi
 one and independent of each other. No two bands share a minimum, so two lines at a Jaccard
 similarity of 0.75 meet with a probability of 99.3 %. Minima are grouped by the line's hash, so copies of a line, however many, become
 one row before anything is shuffled. Lines that share a band of minima are compared exactly:
-first with the smallest of each band, then, where a band still holds lines of different
-components, pair by pair. One line of each component stays, the first by doc_id and place.
+first with one line of each band, then, where a band still holds lines of different components
+whose bitmaps let them link, pair by pair. One line of each component stays, the first by
+doc_id and place.
 """
 
 from __future__ import annotations
@@ -17,10 +18,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vectrove.llm.common import discard, stored
-from vectrove.llm.graph import components
+from vectrove.llm.graph import stored_components
 
 #: Characters of a shingle, minima of a signature, minima of a band.
 SHINGLE, MINIMA, BAND = 8, 27, 3
+#: 64-bit words of a line's bitmap.
+WORDS = 16
 #: Classes of line hashes, to see which texts a join may need.
 CLASSES = 1 << 20
 
@@ -69,23 +72,39 @@ def line_bands(lines: DataFrame, size: int = SHINGLE) -> DataFrame:
     return minima.select("h", F.array(*(F.xxhash64(F.lit(b), *(f"m{i}" for i in band)) for b, band in enumerate(bands_of()))).alias("bands"))
 
 
-def _set(plain: Column, size: int) -> Column:
-    """The distinct shingle hashes of a line; its units are made once, as the variable of a one-element array."""
+def line_sets(texts: DataFrame, size: int = SHINGLE) -> DataFrame:
+    """``h, shingles, n, f0, f1, ...``: the distinct shingle hashes of each line of ``texts(h, plain)``, how many, and a bitmap.
+
+    The bitmap has a bit for every class that a shingle falls in. A class that one line has
+    and another lacks holds a shingle that only the one has, so two lines differ in no fewer
+    shingles than their bitmaps in bits.
+    """
+    units = texts.select("h", _units(F.col("plain")).alias("u"))
+    places = units.select("h", "u", F.explode(F.sequence(F.lit(0), F.greatest(F.octet_length("u") / 2 - size, F.lit(0)).cast("int"))).alias("i"))
+    hashed = places.select("h", F.xxhash64(_shingle(F.col("u"), F.col("i"), size)).alias("x"))
+    word, bit = F.shiftright("x", 6).bitwiseAND(WORDS - 1), F.expr("shiftleft(1L, cast(x & 63 as int))")
+    maps = [F.bit_or(F.when(word == i, bit).otherwise(F.lit(0).cast("long"))).alias(f"f{i}") for i in range(WORDS)]
+    return hashed.groupBy("h").agg(F.collect_set("x").alias("shingles"), *maps).withColumn("n", F.size("shingles"))
+
+
+def _may_link(one: str, two: str, percent: int) -> Column:
+    """Whether sizes and bitmaps let two lines link; their columns start with these prefixes."""
+    n, m = F.col(f"{one}n"), F.col(f"{two}n")
+    apart = sum((F.bit_count(F.col(f"{one}f{i}").bitwiseXOR(F.col(f"{two}f{i}"))) for i in range(WORDS)), F.lit(0))
+    return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & ((100 - percent) * (n + m) >= (100 + percent) * apart)
 
-    def hashes(units: Column) -> Column:
-        last = F.greatest(F.octet_length(units) / 2 - size, F.lit(0)).cast("int")
-        return F.array_distinct(F.transform(F.sequence(F.lit(0), last), lambda i: F.xxhash64(_shingle(units, i, size))))
 
-    return F.transform(F.array(_units(plain)), hashes)[0]
+def _named(marks: DataFrame, prefix: str, key: str) -> DataFrame:
+    return marks.select(F.col("h").alias(key), *(F.col(c).alias(f"{prefix}{c}") for c in marks.columns if c != "h"))
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs ``a, b`` of lines whose shingle sets have a Jaccard similarity of ``percent`` or more."""
-    one = texts.select(F.col("h").alias("a"), F.col("plain").alias("x"))
-    two = texts.select(F.col("h").alias("b"), F.col("plain").alias("y"))
-    sets = pairs.join(one, "a").join(two, "b").select("a", "b", _set(F.col("x"), size).alias("x"), _set(F.col("y"), size).alias("y"))
-    sets = sets.select("a", "b", F.size("x").alias("n"), F.size("y").alias("m"), F.size(F.array_intersect("x", "y")).alias("both"))
-    return sets.where(100 * F.col("both") >= percent * (F.col("n") + F.col("m") - F.col("both"))).select("a", "b")
+    one = sets.select(F.col("h").alias("a"), F.col("shingles").alias("x"))
+    two = sets.select(F.col("h").alias("b"), F.col("shingles").alias("y"))
+    found = pairs.join(one, "a").join(two, "b")
+    found = found.select("a", "b", F.size("x").alias("n"), F.size("y").alias("m"), F.size(F.array_intersect("x", "y")).alias("both"))
+    return found.where(100 * F.col("both") >= percent * (F.col("n") + F.col("m") - F.col("both"))).select("a", "b")
 
 
 def shared_bands(lines: DataFrame, size: int = SHINGLE) -> DataFrame:
@@ -98,25 +117,50 @@ def shared_bands(lines: DataFrame, size: int = SHINGLE) -> DataFrame:
     return out
 
 
-def linked_lines(shared: DataFrame, texts: DataFrame, size: int = SHINGLE, percent: int = 75) -> DataFrame:
-    """``h, c``: lines that are linked with another one, and the smallest hash they reach.
+def linked_lines(shared: DataFrame, texts: DataFrame, size: int = SHINGLE, percent: int = 75, rounds: int = 2) -> DataFrame | None:
+    """``h, c``: lines that are linked with another one, and the smallest hash they reach; None if none is.
 
-    ``shared`` as from :func:`shared_bands`, ``texts(h, plain)`` a row for each of its lines.
+    ``shared`` as from :func:`shared_bands`, ``texts(h, plain)`` a row for each of its lines. In
+    each of ``rounds`` rounds the lines of a band meet its first line, by another order each
+    time, and each is verified with the nearest of those it met. What is left meets pair by
+    pair, where it is in different components and bitmaps don't rule the link out; such pairs
+    alone become rows.
     """
-    star = stored(shared.where("h <> lo").select(F.col("lo").alias("a"), F.col("h").alias("b")).distinct(), "pairs")
-    links = stored(_verified(star, texts, size, percent), "links")
-    comps = stored(components(links), "components").select(F.col("node").alias("h"), F.col("component").alias("c"))
-    labelled = shared.select("band", "h").join(comps, "h", "left").select("band", "h", F.coalesce("c", "h").alias("c"))
-    open_ = labelled.groupBy("band").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("band")
-    open_ = stored(labelled.join(open_, "band"), "open")
-    discard(shared)
-    left, right = open_.select("band", F.col("h").alias("a"), "c"), open_.select("band", F.col("h").alias("b"), F.col("c").alias("d"))
-    rest = left.join(right, "band").where("c <> d and a < b").select("a", "b").distinct()
-    rest = stored(rest.join(star, ["a", "b"], "left_anti"), "pairs")
-    if rest.isEmpty():
-        return comps
-    more = links.union(_verified(rest, texts, size, percent))
-    return components(more).select(F.col("node").alias("h"), F.col("component").alias("c"))
+    sets = stored(line_sets(texts, size), "sets")
+    marks = sets.drop("shingles")
+    open_, links, comps, done = shared.select("band", "h"), None, None, []
+    for turn in range(rounds + 1):
+        labelled = open_.select("band", "h").withColumn("c", F.col("h"))
+        if comps is not None:
+            labelled = labelled.drop("c").join(comps, "h", "left").withColumn("c", F.coalesce("c", "h"))
+        # Bands that hold more than one component; of bands with the same lines, one.
+        members = F.count("h").alias("k"), F.sum(F.xxhash64("h").cast("decimal(20,0)")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "h")).alias("y")
+        several = labelled.groupBy("band").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), *members).where("lo < hi")
+        several = several.groupBy("k", "x", "y").agg(F.min("band").alias("band")).select("band")
+        old, open_ = open_, stored(labelled.join(several, "band"), "open")
+        discard(shared if not turn else old)
+        if turn < rounds:
+            first = open_.groupBy("band").agg(F.min(F.struct(F.xxhash64("h", F.lit(turn)).alias("r"), "h", "c")).alias("o"))
+            met = open_.join(first.select("band", F.col("o.h").alias("o"), F.col("o.c").alias("d")), "band").where("c <> d")
+            met = met.select(F.col("h").alias("a"), F.col("o").alias("b")).distinct()
+            met = met.join(_named(marks, "x", "a"), "a").join(_named(marks, "y", "b"), "b").where(_may_link("x", "y", percent))
+            near = F.struct(F.abs(F.col("xn") - F.col("yn")).alias("far"), "b")
+            pairs = met.groupBy("a").agg(F.min(near).alias("o")).select("a", F.col("o.b").alias("b"))
+        else:
+            held = open_.join(marks, "h")
+            left = held.select("band", F.col("h").alias("a"), "c", *(F.col(m).alias(f"x{m}") for m in marks.columns if m != "h"))
+            right = held.select(F.col("band").alias("other"), F.col("h").alias("b"), F.col("c").alias("d"), *(F.col(m).alias(f"y{m}") for m in marks.columns if m != "h"))
+            on = (F.col("band") == F.col("other")) & (F.col("a") < F.col("b")) & (F.col("c") != F.col("d")) & _may_link("x", "y", percent)
+            pairs = left.join(right, on).select("a", "b").distinct()
+        good = stored(_verified(pairs, sets, percent), "good")
+        done.append(good)
+        if good.isEmpty():
+            continue
+        links = good if links is None else links.union(good)
+        old, comps = comps, stored_components(links, "h", "c")
+        discard(old)
+    discard(open_, sets, *done)
+    return comps
 
 
 def repeated_lines(docs: DataFrame, size: int = SHINGLE, percent: int = 75) -> DataFrame:
@@ -143,9 +187,10 @@ def repeated_lines(docs: DataFrame, size: int = SHINGLE, percent: int = 75) -> D
     texts = known.where("plain is not null").groupBy("h").agg(F.min("plain").alias("plain"), F.max("plain").alias("other"))
     # Should two lines ever share a hash, they are not compared with others.
     texts = stored(texts.where("plain = other").select("h", "plain"), "texts")
-    linked = stored(linked_lines(shared, texts, size, percent), "lines")
+    linked = linked_lines(shared, texts, size, percent)
     places = known.select("doc_id", "t", "at", "h").distinct()
-    own = stored(places.join(linked, "h", "left").select("doc_id", "t", "at", F.coalesce("c", "h").alias("c")), "places")
+    own = places.withColumn("c", F.col("h")) if linked is None else places.join(linked, "h", "left").withColumn("c", F.coalesce("c", "h"))
+    own = stored(own.select("doc_id", "t", "at", "c"), "places")
     discard(known, texts, linked)
     first = own.groupBy("c").agg(F.min(F.struct("doc_id", "t", "at")).alias("first"), F.count("c").alias("n")).where("n > 1")
     marked = own.join(first.select("c", "first"), "c", "left")
