@@ -72,8 +72,18 @@ def line_bands(lines: DataFrame, size: int = SHINGLE) -> DataFrame:
     return minima.select("h", F.array(*(F.xxhash64(F.lit(b), *(f"m{i}" for i in band)) for b, band in enumerate(bands_of()))).alias("bands"))
 
 
-def line_sets(texts: DataFrame, size: int = SHINGLE) -> DataFrame:
-    """``h, shingles, n, f0, f1, ...``: the distinct shingle hashes of each line of ``texts(h, plain)``, how many, and a bitmap.
+def _set(plain: Column, size: int) -> Column:
+    """The distinct shingle hashes of a line; its units are made once, as the variable of a one-element array."""
+
+    def hashes(units: Column) -> Column:
+        last = F.greatest(F.octet_length(units) / 2 - size, F.lit(0)).cast("int")
+        return F.array_distinct(F.transform(F.sequence(F.lit(0), last), lambda i: F.xxhash64(_shingle(units, i, size))))
+
+    return F.transform(F.array(_units(plain)), hashes)[0]
+
+
+def line_marks(texts: DataFrame, size: int = SHINGLE) -> DataFrame:
+    """``h, n, f0, f1, ...``: the number of shingles of each line of ``texts(h, plain)``, and a bitmap of them.
 
     The bitmap has a bit for every class that a shingle falls in. A class that one line has
     and another lacks holds a shingle that only the one has, so two lines differ in no fewer
@@ -84,27 +94,27 @@ def line_sets(texts: DataFrame, size: int = SHINGLE) -> DataFrame:
     hashed = places.select("h", F.xxhash64(_shingle(F.col("u"), F.col("i"), size)).alias("x"))
     word, bit = F.shiftright("x", 6).bitwiseAND(WORDS - 1), F.expr("shiftleft(1L, cast(x & 63 as int))")
     maps = [F.bit_or(F.when(word == i, bit).otherwise(F.lit(0).cast("long"))).alias(f"f{i}") for i in range(WORDS)]
-    return hashed.groupBy("h").agg(F.collect_set("x").alias("shingles"), *maps).withColumn("n", F.size("shingles"))
+    return hashed.groupBy("h").agg(F.count("x").alias("n"), *maps)
 
 
 def _may_link(one: str, two: str, percent: int) -> Column:
-    """Whether sizes and bitmaps let two lines link; their columns start with these prefixes."""
+    """Whether their bitmaps let two lines link; the columns start with these prefixes."""
     n, m = F.col(f"{one}n"), F.col(f"{two}n")
     apart = sum((F.bit_count(F.col(f"{one}f{i}").bitwiseXOR(F.col(f"{two}f{i}"))) for i in range(WORDS)), F.lit(0))
-    return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & ((100 - percent) * (n + m) >= (100 + percent) * apart)
+    return (100 - percent) * (n + m) >= (100 + percent) * apart
 
 
 def _named(marks: DataFrame, prefix: str, key: str) -> DataFrame:
     return marks.select(F.col("h").alias(key), *(F.col(c).alias(f"{prefix}{c}") for c in marks.columns if c != "h"))
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
     """The pairs ``a, b`` of lines whose shingle sets have a Jaccard similarity of ``percent`` or more."""
-    one = sets.select(F.col("h").alias("a"), F.col("shingles").alias("x"))
-    two = sets.select(F.col("h").alias("b"), F.col("shingles").alias("y"))
-    found = pairs.join(one, "a").join(two, "b")
-    found = found.select("a", "b", F.size("x").alias("n"), F.size("y").alias("m"), F.size(F.array_intersect("x", "y")).alias("both"))
-    return found.where(100 * F.col("both") >= percent * (F.col("n") + F.col("m") - F.col("both"))).select("a", "b")
+    one = texts.select(F.col("h").alias("a"), F.col("plain").alias("x"))
+    two = texts.select(F.col("h").alias("b"), F.col("plain").alias("y"))
+    sets = pairs.join(one, "a").join(two, "b").select("a", "b", _set(F.col("x"), size).alias("x"), _set(F.col("y"), size).alias("y"))
+    sets = sets.select("a", "b", F.size("x").alias("n"), F.size("y").alias("m"), F.size(F.array_intersect("x", "y")).alias("both"))
+    return sets.where(100 * F.col("both") >= percent * (F.col("n") + F.col("m") - F.col("both"))).select("a", "b")
 
 
 def shared_bands(lines: DataFrame, size: int = SHINGLE) -> DataFrame:
@@ -126,8 +136,7 @@ def linked_lines(shared: DataFrame, texts: DataFrame, size: int = SHINGLE, perce
     pair, where it is in different components and bitmaps don't rule the link out; such pairs
     alone become rows.
     """
-    sets = stored(line_sets(texts, size), "sets")
-    marks = sets.drop("shingles")
+    marks = stored(line_marks(texts, size), "marks")
     open_, links, comps, done = shared.select("band", "h"), None, None, []
     for turn in range(rounds + 1):
         labelled = open_.select("band", "h").withColumn("c", F.col("h"))
@@ -152,14 +161,14 @@ def linked_lines(shared: DataFrame, texts: DataFrame, size: int = SHINGLE, perce
             right = held.select(F.col("band").alias("other"), F.col("h").alias("b"), F.col("c").alias("d"), *(F.col(m).alias(f"y{m}") for m in marks.columns if m != "h"))
             on = (F.col("band") == F.col("other")) & (F.col("a") < F.col("b")) & (F.col("c") != F.col("d")) & _may_link("x", "y", percent)
             pairs = left.join(right, on).select("a", "b").distinct()
-        good = stored(_verified(pairs, sets, percent), "good")
+        good = stored(_verified(pairs, texts, size, percent), "good")
         done.append(good)
         if good.isEmpty():
             continue
         links = good if links is None else links.union(good)
         old, comps = comps, stored_components(links, "h", "c")
         discard(old)
-    discard(open_, sets, *done)
+    discard(open_, marks, *done)
     return comps
 
 
