@@ -111,6 +111,12 @@ def knn_exact(spark, sf):
     return knn_classify(*_sets(spark, sf), k=5)
 
 
+@query("knn_cells", f"WITH {_KNN_SQL} SELECT row_id, predicted FROM w WHERE place = 1")
+def knn_cells(spark, sf):
+    """Cells of 100 rows or so around pivots."""
+    return knn_classify(*_sets(spark, sf), k=5, strategy="cells", block_numbers=64 * 100)
+
+
 @query("knn_grid", f"WITH {_KNN_SQL} SELECT row_id, predicted FROM w WHERE place = 1")
 def knn_grid(spark, sf):
     """The block join taken when neither side fits a broadcast."""

@@ -1,8 +1,9 @@
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from vectrove.functions import kernels
-from vectrove.operators import distance, neighbours, seeding
+from vectrove.operators import cells, distance, neighbours, seeding
 from vectrove.operators.neighbours import knn_classify, knn_lists, knn_neighbours
 
 
@@ -16,7 +17,7 @@ def lists_of(df):
     return {r["row_id"]: [(n["neighbour"], n["distance"]) for n in r["neighbours"]] for r in df.collect()}
 
 
-STRATEGIES = ["scan_queries", "scan_train", "grid", "auto"]
+STRATEGIES = ["scan_queries", "scan_train", "grid", "cells", "auto"]
 
 
 @pytest.mark.parametrize("strategy", STRATEGIES)
@@ -166,3 +167,37 @@ def test_distance_operators_check_sizes(vectors, monkeypatch):
     for found in (lambda: distance.pairwise_distances(rows), lambda: distance.mean_distance_to_sample(rows, rows)):
         with pytest.raises(ValueError, match="too many"):
             found()
+
+
+def test_cells_skip_most_of_a_clustered_table(vectors):
+    """Queries search a few cells each; no cell exceeds its bound, though one pivot has a third of all rows."""
+    rng = np.random.default_rng(2)
+    centres = rng.normal(size=(40, 6)) * 100
+    t = np.vstack([np.repeat(centres, 50, axis=0) + rng.normal(size=(2000, 6)), np.tile(centres[:1], (1000, 1))])
+    q = centres[rng.integers(0, 40, 200)] + rng.normal(size=(200, 6))
+    train, queries = vectors(t, partitions=6).select("row_id", "features", F.lit(None).cast("int").alias("label")), vectors(q, partitions=3)
+    dealt = cells.deal_cells(train, cells.draw_pivots(train, 48), 60)
+    sizes = {r["cell"]: r["count"] for r in dealt.rows.groupBy("cell").count().collect()}
+    assert sum(sizes.values()) == 3000 and max(sizes.values()) <= 120 and len(sizes) >= 50
+    for r in dealt.rows.collect():
+        away = np.linalg.norm(np.array(r["features"]) - dealt.pivots[dealt.pivot[r["cell"]]])
+        assert dealt.low[r["cell"]] <= away <= dealt.high[r["cell"]]
+    homes = cells.first_visits(dealt, queries, 3)
+    order, d = brute(t, q, 3)
+    reach = {r["row_id"]: r["reach"] for r in homes.collect()}
+    assert all(reach[i] >= d[i][-1] for i in range(200))
+    kth = homes.sparkSession.createDataFrame([(i, float(d[i][-1])) for i in range(200)], "row_id long, reach double")
+    further = cells.further_visits(dealt, homes.drop("reach").join(kth, "row_id")).count()
+    assert further < 0.15 * 200 * len(dealt.count)
+    got = lists_of(knn_lists(vectors(t, partitions=6), queries, 3, strategy="cells", block_numbers=360))
+    assert [[n for n, _ in got[i]] for i in range(200)] == order.tolist()
+
+
+def test_cells_of_odd_vectors(vectors):
+    nan, inf, huge = float("nan"), float("inf"), 1e200
+    t = [[0, 0], [nan, 1], [inf, 1], [huge, 0], [huge, 1], [3, 4], [0, 0]]
+    q = [[0, 1], [nan, 0], [huge, 0], [inf, 0], [3, 3]]
+    want = lists_of(knn_lists(vectors(t), vectors(q), 3, strategy="scan_queries"))
+    assert lists_of(knn_lists(vectors(t), vectors(q), 3, strategy="cells", block_numbers=4)) == want
+    none = lists_of(knn_lists(vectors([[nan, 1]]), vectors(q), 3, strategy="cells"))
+    assert none == {i: [] for i in range(5)}

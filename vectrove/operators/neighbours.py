@@ -5,10 +5,11 @@ Three exact strategies, chosen from counted sizes:
 * the point side fits a broadcast: the other side is scanned once, nothing is shuffled;
 * only the query side fits: the train side is scanned once, each task keeps the best *k* per
   query, and the partial lists are merged by query;
-* neither fits: both sides are cut into hash blocks of bounded size, each (train block, query
-  block) cell is one cogroup, and the per-cell best lists are merged by query.
+* neither fits: train rows are dealt to cells around pivots, and a query searches only the
+  cells that its k-th distance so far can meet (:mod:`vectrove.operators.cells`).
 
-No strategy forms all pairs: a task only ever emits *k* rows per query it has seen.
+A fourth one, ``grid``, cuts both sides into hash blocks and searches every pair of blocks; it
+prunes nothing and is there for vectors without any clusters. No strategy forms all pairs: a task only ever emits *k* rows per query it has seen.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ from pyspark.sql import functions as F
 
 from vectrove.functions import kernels
 from vectrove.functions.vectors import lists, matrix
+from vectrove.operators.cells import nearest_by_cells
 from vectrove.operators.centroids import BROADCAST_NUMBERS, as_matrix, point_numbers
 
 # Numbers per grid block (64 MiB as float64).
@@ -259,7 +261,7 @@ def knn_lists(
 
     Distance ties go to the lower train ``row_id``; a query without a finite distance has an
     empty list. ``strategy`` forces one of ``scan_queries`` (train broadcast), ``scan_train``
-    (queries broadcast) or ``grid``; a side that is too large for a broadcast is an error.
+    (queries broadcast), ``cells`` or ``grid``; a side that is too large for a broadcast is an error.
     """
     if k < 1:
         raise ValueError("k must be positive")
@@ -272,14 +274,20 @@ def knn_lists(
         if strategy == "auto":
             # Partial lists must not outweigh the train side they summarise.
             fits = query_rows * width <= BROADCAST_NUMBERS and query_rows * k * tasks <= train_rows
-            strategy = "scan_queries" if train_rows * width <= BROADCAST_NUMBERS else "scan_train" if fits else "grid"
+            strategy = "scan_queries" if train_rows * width <= BROADCAST_NUMBERS else "scan_train" if fits else "cells"
         sent = train_rows if strategy == "scan_queries" else query_rows
-        if strategy != "grid" and sent * width > BROADCAST_NUMBERS:
+        if strategy.startswith("scan") and sent * width > BROADCAST_NUMBERS:
             raise ValueError(f"{sent} rows of width {width} are too many to broadcast for {strategy}")
     if strategy == "scan_queries":
         return _scan_queries(t, q, k)
     if strategy == "scan_train":
         return _scan_train(t, q, k)
+    if strategy == "cells":
+        most = max(1, (block_numbers or BLOCK_NUMBERS) // max(1, _width(t)))
+        found = nearest_by_cells(t, q, k, most, _packed, _PACKED)
+        if found is None:  # no train row can be a neighbour
+            return q.select("row_id", F.array().cast(f"array<{_NEIGHBOUR}>").alias("neighbours"))
+        return _merge(found, k)
     if strategy == "grid":
         return _grid(t, q, k, block_numbers or BLOCK_NUMBERS)
     raise ValueError(f"unknown strategy {strategy!r}")
