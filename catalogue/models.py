@@ -8,6 +8,7 @@ from catalogue import sqlkit as kit
 from catalogue.registry import query, r, rounded
 from vectrove.operators import network as net
 from vectrove.operators import pca
+from vectrove.operators.barrier import fit_network_barrier
 from vectrove.operators.neighbours import knn_classify, knn_neighbours
 from vectrove.operators.sample import train_validation_split
 from vectrove.plans import jobs
@@ -247,13 +248,13 @@ def _training_sql() -> str:
     return ", ".join(parts)
 
 
-def _train_unit(spark, sf):
+def _train_unit(spark, sf, fit=net.fit_network):
     start = net.Layer(
         "dense", "sigmoid", {"kernel": _kernel(np.arange(64)[:, None], 1, 0.1), "bias": np.array([0.05])}
     )
     rows = fx.vectors(spark, sf, "binary")
     # One step per epoch: the whole table is the mini-batch.
-    return net.fit_network(
+    return fit(
         rows, network=net.Network([start]), epochs=EPOCHS, learning_rate=RATE, batch_size=rows.count()
     )
 
@@ -264,6 +265,13 @@ def network_training(spark, sf):
     return frame.select(F.posexplode("values").alias("feature", "w")).select("feature", rounded("w").alias("weight"))
 
 
+@query("network_barrier", f"WITH {_training_sql()} SELECT feature, {r('w')} AS weight FROM w{EPOCHS} WHERE feature >= 0")
+def network_barrier(spark, sf):
+    """The same steps, one barrier stage an epoch."""
+    frame = net.network_frame(spark, _train_unit(spark, sf, fit_network_barrier).network).filter("parameter = 'kernel'")
+    return frame.select(F.posexplode("values").alias("feature", "w")).select("feature", rounded("w").alias("weight"))
+
+
 _LOSSES_SQL = " UNION ALL ".join(
     f"SELECT {t} AS epoch, avg(-(label * ln(p) + (1 - label) * ln(1 - p))) AS loss, "
     f"avg(CAST((p > 0.5) = (label = 1) AS INTEGER)) AS accuracy FROM p{t}"

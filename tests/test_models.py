@@ -1,7 +1,10 @@
+import time
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from vectrove.operators import barrier
 from vectrove.operators import network as net
 from vectrove.operators import pca
 from vectrove.operators import reduce as red
@@ -190,6 +193,61 @@ def test_moving_statistics_follow_batches(vectors):
     np.testing.assert_allclose(bn["variance"], 0.99 + 0.01 * first.var(0), atol=1e-12)
 
 
+def _barrier_case(vectors):
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(301, 5))
+    df = vectors(x, (x[:, 0] * x[:, 1] > 0).astype(int), partitions=5)
+    network = net.build_network(5, first=16, hidden=(8, 4), seed=0)
+    return df.filter("row_id >= 60"), df.filter("row_id < 60"), network
+
+
+def test_barrier_training_gives_the_same_weights(spark, vectors):
+    train, held, network = _barrier_case(vectors)
+    options = dict(network=network, epochs=2, batch_size=130, learning_rate=0.05, seed=2)
+    one, two = net.fit_network(train, held, **options), barrier.fit_network_barrier(train, held, tasks=4, **options)
+    for a, b in zip(one.network.layers, two.network.layers):
+        for name in a.parameters:
+            np.testing.assert_allclose(a.parameters[name], b.parameters[name], rtol=1e-9, atol=1e-9)
+    for a, b in zip(one.history.orderBy("epoch").collect(), two.history.orderBy("epoch").collect()):
+        np.testing.assert_allclose(a[:5], b[:5], rtol=1e-9)
+    np.testing.assert_array_equal(network.layers[0].parameters["bias"], 0)  # the given network is not changed
+
+
+def test_barrier_training_takes_a_job_an_epoch_and_goes_on_where_it_was(spark, vectors, tmp_path):
+    train, _, network = _barrier_case(vectors)
+    options = dict(network=network, batch_size=300, learning_rate=0.05, checkpoints=str(tmp_path / "epochs"), tasks=3)
+
+    def jobs(epochs):
+        context = spark.sparkContext
+        context.setJobGroup(f"epochs-{epochs}", "training")
+        result = barrier.fit_network_barrier(train, epochs=epochs, **options)
+        context.setLocalProperty("spark.jobGroup.id", None)
+        return result, len(context.statusTracker().getJobIdsForGroup(f"epochs-{epochs}"))
+
+    _, first = jobs(1)
+    three, rest = jobs(3)
+    kept, none = jobs(3)
+    assert 0 < rest - none <= 6  # of two epochs: the stage, and the table that is stored
+    assert first - none <= 3
+    assert [r["epoch"] for r in three.history.orderBy("epoch").collect()] == [0, 1, 2]
+    again = barrier.fit_network_barrier(train, epochs=3, **options | {"checkpoints": None})
+    assert [tuple(r) for r in kept.history.orderBy("epoch").collect()] == [tuple(r) for r in three.history.orderBy("epoch").collect()]
+    for a, b in zip(three.network.layers, again.network.layers):
+        for name in a.parameters:
+            np.testing.assert_allclose(a.parameters[name], b.parameters[name], rtol=1e-9, atol=1e-12)
+
+
+def test_barrier_training_refuses_what_it_cannot_hold(spark, vectors, monkeypatch):
+    train, _, network = _barrier_case(vectors)
+    with pytest.raises(ValueError, match="slots"):
+        barrier.fit_network_barrier(train, network=network, epochs=1, tasks=10_000)
+    monkeypatch.setattr(barrier, "EXCHANGE", 10)
+    with pytest.raises(ValueError, match="exchange"):
+        barrier.fit_network_barrier(train, network=network, epochs=1)
+    with pytest.raises(ValueError, match="empty"):
+        barrier.fit_network_barrier(train.limit(0), network=network, epochs=1)
+
+
 def test_scores_save_load(spark, vectors, tmp_path):
     x = np.random.default_rng(1).normal(size=(20, 3))
     network = net.build_network(3, first=4, hidden=(2,), seed=0)

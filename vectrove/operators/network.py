@@ -242,6 +242,12 @@ def batch_gradient(network: Network, rows: DataFrame):
         )
     finally:
         shared.destroy()
+    return _from_sums(network, flat, moments)
+
+
+def _from_sums(network: Network, flat: np.ndarray, moments):
+    """Gradients, moments, loss, accuracy and row count from the sums over a mini-batch; ``None`` without rows."""
+    shapes = _shapes(network, moments is not None)
     parts, at = [], 0
     for shape in shapes:
         parts.append(flat[at : at + math.prod(shape)].reshape(shape))
@@ -312,6 +318,18 @@ def evaluate_network(df: DataFrame, network: Network, label: str = "label", feat
     return scored.agg(_log_loss(label, "probability").alias("loss"), _hit_rate(label, "probability").alias("accuracy"))
 
 
+def adagrad_step(network: Network, squares: list[dict], gradients: list[dict], moments, learning_rate: float) -> None:
+    """Change the network, and its sums of squared gradients, by one mini-batch."""
+    for layer, gradient, held in zip(network.layers, gradients, squares):
+        for name, g in gradient.items():
+            held[name] += g * g
+            layer.parameters[name] = layer.parameters[name] - learning_rate * g / (np.sqrt(held[name]) + OPTIMISER_EPSILON)
+    if moments is not None:
+        bn = network.layers[1].parameters
+        bn["mean"] = BN_MOMENTUM * bn["mean"] + (1.0 - BN_MOMENTUM) * moments[0]
+        bn["variance"] = BN_MOMENTUM * bn["variance"] + (1.0 - BN_MOMENTUM) * moments[1]
+
+
 @dataclass
 class TrainingResult:
     network: Network
@@ -378,16 +396,7 @@ def fit_network(
                 if result is None:
                     continue
                 gradients, moments, step_loss, step_accuracy, n = result
-                for layer, gradient, held in zip(network.layers, gradients, squares):
-                    for name, g in gradient.items():
-                        held[name] += g * g
-                        layer.parameters[name] = layer.parameters[name] - learning_rate * g / (
-                            np.sqrt(held[name]) + OPTIMISER_EPSILON
-                        )
-                if moments is not None:
-                    bn = network.layers[1].parameters
-                    bn["mean"] = BN_MOMENTUM * bn["mean"] + (1.0 - BN_MOMENTUM) * moments[0]
-                    bn["variance"] = BN_MOMENTUM * bn["variance"] + (1.0 - BN_MOMENTUM) * moments[1]
+                adagrad_step(network, squares, gradients, moments, learning_rate)
                 seen, loss, accuracy = seen + n, loss + step_loss * n, accuracy + step_accuracy * n
             held_out = (None, None)
             if validation is not None:
