@@ -228,7 +228,7 @@ def test_barrier_training_takes_a_job_an_epoch_and_goes_on_where_it_was(spark, v
     three, rest = jobs(3)
     kept, none = jobs(3)
     assert 0 < rest - none <= 6  # of two epochs: the stage, and the table that is stored
-    assert first - none <= 3
+    assert first - none <= 3  # of one, where nothing was there to be read
     assert [r["epoch"] for r in three.history.orderBy("epoch").collect()] == [0, 1, 2]
     again = barrier.fit_network_barrier(train, epochs=3, **options | {"checkpoints": None})
     assert [tuple(r) for r in kept.history.orderBy("epoch").collect()] == [tuple(r) for r in three.history.orderBy("epoch").collect()]

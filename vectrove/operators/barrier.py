@@ -157,15 +157,14 @@ def fit_network_barrier(
     )
     rng = np.random.default_rng(seed)
     squares = [{name: np.zeros_like(p) for name, p in layer.parameters.items()} for layer in network.layers]
-    history = []
+    history: list[tuple] = []
+    if (kept := _restored(spark, checkpoints, epochs)) is not None:
+        network, squares, history = kept
     try:
         for epoch in range(epochs):
             order = rng.permutation(steps).tolist()
-            kept = _restored(spark, checkpoints, epoch)
-            if kept is not None:
-                network, squares, record = kept
-                history.append(record)
-                continue
+            if epoch < len(history):
+                continue  # stored before
             started = time.monotonic()
             shared = spark.sparkContext.broadcast(pickle.dumps((network, squares)))
             found = staged.mapInArrow(_epoch(shared, order, learning_rate), "at int, data binary", barrier=True).collect()
@@ -175,10 +174,9 @@ def fit_network_barrier(
             if validation is not None:
                 row = net.evaluate_network(validation, network, label, features).first()
                 held_out = (row["loss"], row["accuracy"])
-            history.append((epoch, seen[1] / seen[0], seen[2] / seen[0], *held_out, time.monotonic() - started))
-            history[-1] = tuple(None if v is None else int(v) if i == 0 else float(v) for i, v in enumerate(history[-1]))
+            history.append((epoch, float(seen[1] / seen[0]), float(seen[2] / seen[0]), *held_out, time.monotonic() - started))
             if checkpoints is not None:
-                _store(spark, checkpoints, epoch, network, squares, history[-1])
+                _store(spark, checkpoints, network, squares, history)
     finally:
         staged.unpersist()
     return net.TrainingResult(network, local_frame(spark, history, net.HISTORY_SCHEMA))
@@ -188,16 +186,19 @@ def _place(checkpoints: str, epoch: int) -> str:
     return f"{checkpoints.rstrip('/')}/epoch-{epoch:05d}"
 
 
-def _store(spark, checkpoints: str, epoch: int, network: net.Network, squares: list[dict], record: tuple) -> None:
-    """One row: the model, the optimiser's sums, the epoch's metrics. Spark marks the table when it is whole."""
-    row = [(pickle.dumps((network, squares, record)),)]
-    spark.createDataFrame(row, "state binary").coalesce(1).write.mode("overwrite").parquet(_place(checkpoints, epoch))
+def _store(spark, checkpoints: str, network: net.Network, squares: list[dict], history: list[tuple]) -> None:
+    """One row: the model, the optimiser's sums, all metrics so far. Spark marks the table when it is whole."""
+    row = [(pickle.dumps((network, squares, history)),)]
+    spark.createDataFrame(row, "state binary").coalesce(1).write.mode("overwrite").parquet(_place(checkpoints, len(history) - 1))
 
 
-def _restored(spark, checkpoints: str | None, epoch: int):
+def _restored(spark, checkpoints: str | None, epochs: int):
+    """The state after the last whole epoch of at most ``epochs``; None without any."""
     if checkpoints is None:
         return None
-    done = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{_place(checkpoints, epoch)}/_SUCCESS")
-    if not done.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(done):
-        return None
-    return pickle.loads(spark.read.parquet(_place(checkpoints, epoch)).first().state)
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    for epoch in range(epochs - 1, -1, -1):
+        done = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{_place(checkpoints, epoch)}/_SUCCESS")
+        if done.getFileSystem(hadoop).exists(done):
+            return pickle.loads(spark.read.schema("state binary").parquet(_place(checkpoints, epoch)).first().state)
+    return None
