@@ -15,7 +15,7 @@ from vectrove.operators.sample import sample_exact
 from vectrove.operators.shape import scale_max_abs
 from vectrove.operators.stats import feature_max_abs, feature_values
 
-SAMPLE, CANDIDATES, SEED, TOLERANCE = 200, 24, 11, 0.01
+SAMPLE, CANDIDATES, SEED, TOLERANCE = 1000, 48, 11, 0.05
 
 
 def drawn_seeds(df, k, seed):
@@ -72,8 +72,9 @@ def assign_orders(spark, sf):
 
 # -- seeding ------------------------------------------------------------------------------
 
+#: Of the orders, since the smallest tables have fewer vectors than the sample.
 _DRAW_SQL = (
-    f"{fx.vectors_sql()}, s AS MATERIALIZED ({kit.drawn('v', str(SAMPLE), str(SEED))}), "
+    f"{fx.ORDERS_SQL}, s AS MATERIALIZED ({kit.drawn('v', str(SAMPLE), str(SEED))}), "
     f"k AS MATERIALIZED (SELECT row_number() OVER (ORDER BY row_id) - 1 AS cand, row_id, features "
     f"FROM ({kit.drawn('s', str(CANDIDATES), f'{SEED}:candidates')})), "
     "md AS MATERIALIZED (SELECT cand, avg(list_distance(k.features, s.features)) AS mean_distance FROM k, s GROUP BY cand), "
@@ -85,34 +86,34 @@ _DRAW_SQL = (
 
 
 def _draw(spark, sf):
-    return seeding.draw(fx.vectors(spark, sf), SAMPLE, CANDIDATES, SEED)
+    return seeding.draw(fx.orders(spark, sf), SAMPLE, CANDIDATES, SEED)
 
 
-@query("pairwise", f"WITH {_DRAW_SQL} SELECT i, j, {r('distance')} AS distance FROM pd")
+@query("pairwise", f"WITH {_DRAW_SQL} SELECT i, j, {r('distance', 3)} AS distance FROM pd")
 def pairwise(spark, sf):
     found = distance.pairwise_distances(_draw(spark, sf).candidates)
-    return found.select("i", "j", rounded("distance").alias("distance"))
+    return found.select("i", "j", rounded("distance", 3).alias("distance"))
 
 
-@query("mean_distance", f"WITH {_DRAW_SQL} SELECT cand, {r('mean_distance')} AS mean_distance FROM md")
+@query("mean_distance", f"WITH {_DRAW_SQL} SELECT cand, {r('mean_distance', 3)} AS mean_distance FROM md")
 def mean_distance(spark, sf):
     drawn = _draw(spark, sf)
     found = distance.mean_distance_to_sample(drawn.candidates, drawn.sample)
-    return found.select("cand", rounded("mean_distance").alias("mean_distance"))
+    return found.select("cand", rounded("mean_distance", 3).alias("mean_distance"))
 
 
-@query("similar_pairs", f"WITH {_DRAW_SQL} SELECT i, j, {r('mean_i')} AS mean_i, {r('mean_j')} AS mean_j FROM sp")
+@query("similar_pairs", f"WITH {_DRAW_SQL} SELECT i, j, {r('mean_i', 3)} AS mean_i, {r('mean_j', 3)} AS mean_j FROM sp")
 def similar_pairs(spark, sf):
     drawn = _draw(spark, sf)
     found = distance.similar_pairs(distance.mean_distance_to_sample(drawn.candidates, drawn.sample), TOLERANCE)
-    return found.select("i", "j", rounded("mean_i").alias("mean_i"), rounded("mean_j").alias("mean_j"))
+    return found.select("i", "j", rounded("mean_i", 3).alias("mean_i"), rounded("mean_j", 3).alias("mean_j"))
 
 
-@query("pair_potentials", f"WITH {_DRAW_SQL} SELECT i, j, {r('potential')} AS potential FROM pp")
+@query("pair_potentials", f"WITH {_DRAW_SQL} SELECT i, j, {r('potential', 3)} AS potential FROM pp")
 def pair_potentials(spark, sf):
     drawn = _draw(spark, sf)
     found = seeding.pair_potentials(drawn.candidates, drawn.sample, TOLERANCE)
-    return found.select("i", "j", rounded("potential").alias("potential"))
+    return found.select("i", "j", rounded("potential", 3).alias("potential"))
 
 
 @query(
@@ -121,18 +122,18 @@ def pair_potentials(spark, sf):
     "SELECT CASE WHEN k.cand = b.i THEN 0 ELSE 1 END AS cluster, k.row_id FROM k, b WHERE k.cand IN (b.i, b.j)",
 )
 def seed_two(spark, sf):
-    return seeding.seed_two(fx.vectors(spark, sf), SAMPLE, CANDIDATES, TOLERANCE, SEED).select("cluster", "row_id")
+    return seeding.seed_two(fx.orders(spark, sf), SAMPLE, CANDIDATES, TOLERANCE, SEED).select("cluster", "row_id")
 
 
 @query(
     "seed_potential",
     f"WITH {_DRAW_SQL}, c AS (SELECT cand AS cluster, features AS centroid FROM k), {kit.assigned('s', 'c', 'a')} "
-    f"SELECT {r('sum(error)')} AS potential FROM a",
+    f"SELECT {r('sum(error)', 3)} AS potential FROM a",
 )
 def seed_potential(spark, sf):
     drawn = _draw(spark, sf)
     found = seeding.seed_potential(drawn.sample, as_matrix(drawn.candidates, "cand", "features"))
-    return found.select(rounded("potential").alias("potential"))
+    return found.select(rounded("potential", 3).alias("potential"))
 
 
 def _median_step(name: str, closest: str, taken: str) -> str:
@@ -157,7 +158,7 @@ def _median_step(name: str, closest: str, taken: str) -> str:
     "SELECT 0 AS cluster, row_id FROM f UNION ALL SELECT 1, row_id FROM m1 UNION ALL SELECT 2, row_id FROM m2",
 )
 def seed_many(spark, sf):
-    return seeding.seed_many(fx.vectors(spark, sf), 3, SAMPLE, CANDIDATES, SEED).select("cluster", "row_id")
+    return seeding.seed_many(fx.orders(spark, sf), 3, SAMPLE, CANDIDATES, SEED).select("cluster", "row_id")
 
 
 # -- k-means ------------------------------------------------------------------------------
@@ -267,7 +268,7 @@ def iteration_history(spark, sf):
     return found.select("iteration", rounded("mean_error").alias("mean_error"), rounded("delta").alias("delta"))
 
 
-MAX_PASSES, SETTLED = 20, 1e-3
+MAX_PASSES, SETTLED = 20, 0.1
 _SETTLING = " UNION ALL ".join(
     f"SELECT {t - 1} AS iteration, avg(error) AS mean_error FROM a{t}" for t in range(1, MAX_PASSES + 1)
 )
@@ -279,15 +280,15 @@ _SETTLING = " UNION ALL ".join(
     "c0 AS MATERIALIZED (SELECT CASE WHEN k.cand = b.i THEN 0 ELSE 1 END AS cluster, k.features AS centroid "
     f"FROM k, b WHERE k.cand IN (b.i, b.j)), {kit.lloyd('v', 'l', MAX_PASSES)}, h AS ({_SETTLING}), "
     "g AS (SELECT *, abs(mean_error - lag(mean_error) OVER (ORDER BY iteration)) AS delta FROM h) "
-    f"SELECT iteration, {r('mean_error')} AS mean_error, {r('delta')} AS delta FROM g WHERE iteration <= "
+    f"SELECT iteration, {r('mean_error', 3)} AS mean_error, {r('delta', 3)} AS delta FROM g WHERE iteration <= "
     f"coalesce((SELECT min(iteration) FROM g WHERE delta <= {SETTLED}), {MAX_PASSES})",
 )
 def kmeans_converged(spark, sf):
     """Data-driven seeds, passes until the mean error settles."""
-    rows = fx.vectors(spark, sf)
+    rows = fx.orders(spark, sf)
     init = seeding.seed_two(rows, SAMPLE, CANDIDATES, TOLERANCE, SEED)
     result = km.kmeans(rows, 2, max_iter=MAX_PASSES, init=init, min_delta=SETTLED)
-    return result.history.select("iteration", rounded("mean_error").alias("mean_error"), rounded("delta").alias("delta"))
+    return result.history.select("iteration", rounded("mean_error", 3).alias("mean_error"), rounded("delta", 3).alias("delta"))
 
 
 MANY, MANY_SEED = 60, 5
@@ -323,48 +324,76 @@ def kmeans_many(spark, sf):
 
 # -- freezing variant ---------------------------------------------------------------------
 
-FREEZE = 0.9
+#: The stated threshold, stop rule and bound on passes, in squared distances of the orders.
+FREEZE, STILL, FREEZING_PASSES = 5_000_000, 50_000, 20
 
 
 def _freezing_sql() -> str:
-    """Two passes: rows below the threshold settle; means are (seed + settled) / (1 + settled)."""
-    means = (
-        "{name} AS MATERIALIZED (SELECT c.cluster, list(c.x / 1.0 ORDER BY c.feature) AS centroid FROM ("
-        "SELECT z.cluster, z.feature, (z.x + coalesce(sum(u.x), 0)) / (1 + count(u.x)) AS x FROM z "
-        "LEFT JOIN (SELECT g.cluster, l.feature, l.x FROM ({settled}) g JOIN l USING (row_id)) u "
-        "ON u.cluster = z.cluster AND u.feature = z.feature GROUP BY z.cluster, z.feature, z.x) c GROUP BY c.cluster)"
-    )
-    first = f"SELECT row_id, cluster FROM a1 WHERE error * error < {FREEZE}"
-    second = f"{first} UNION ALL SELECT row_id, cluster FROM a2 WHERE error * error < {FREEZE}"
-    return (
-        f"{fx.vectors_sql()}, {kit.seeds('v', 2, 'freezing')}, "
-        "z AS (SELECT cluster, generate_subscripts(centroid, 1) - 1 AS feature, unnest(centroid) AS x FROM c0), "
-        f"{kit.assigned('v', 'c0', 'a1')}, {means.format(name='f1', settled=first)}, "
-        f"open AS MATERIALIZED (SELECT v.* FROM v JOIN a1 USING (row_id) WHERE a1.error * a1.error >= {FREEZE}), "
-        f"{kit.assigned('open', 'f1', 'a2')}, {means.format(name='f2', settled=second)}"
+    """Passes unrolled to the bound: rows below the threshold settle; means are (seed + settled) / (1 + settled).
+
+    ``s`` has the rows that each pass measured, ``e`` the mean error after it, ``last`` the pass
+    that the stop rule ends with, and ``f<pass>`` its means.
+    """
+    parts = [
+        f"{fx.ORDERS_SQL}, {kit.seeds('v', 2, 'freezing')}",
+        "z AS MATERIALIZED (SELECT cluster, generate_subscripts(centroid, 1) - 1 AS feature, unnest(centroid) AS x FROM c0)",
+    ]
+    points, centroids = "v", "c0"
+    for step in range(1, FREEZING_PASSES + 1):
+        settled = " UNION ALL ".join(f"SELECT row_id, cluster FROM a{t} WHERE error * error < {FREEZE}" for t in range(1, step + 1))
+        parts += [
+            kit.assigned(points, centroids, f"a{step}"),
+            f"f{step} AS MATERIALIZED (SELECT c.cluster, list(c.x / 1.0 ORDER BY c.feature) AS centroid FROM ("
+            "SELECT z.cluster, z.feature, (z.x + coalesce(sum(u.x), 0)) / (1 + count(u.x)) AS x FROM z "
+            f"LEFT JOIN (SELECT g.cluster, l.feature, l.x FROM ({settled}) g JOIN l USING (row_id)) u "
+            "ON u.cluster = z.cluster AND u.feature = z.feature GROUP BY z.cluster, z.feature, z.x) c GROUP BY c.cluster)",
+            f"open{step} AS MATERIALIZED (SELECT v.* FROM v JOIN a{step} USING (row_id) WHERE a{step}.error * a{step}.error >= {FREEZE})",
+        ]
+        points, centroids = f"open{step}", f"f{step}"
+    every = " UNION ALL ".join(f"SELECT {t} AS step, row_id, cluster, error * error AS error FROM a{t}" for t in range(1, FREEZING_PASSES + 1))
+    means = " UNION ALL ".join(f"SELECT {t} AS step, * FROM f{t}" for t in range(1, FREEZING_PASSES + 1))
+    return ", ".join(
+        [
+            *parts,
+            f"s AS MATERIALIZED ({every})",
+            f"y AS (SELECT t AS step, sum(error) FILTER (WHERE s.step = t OR error < {FREEZE}) / (SELECT count(*) FROM v) AS mean_error "
+            f"FROM s, range(1, {FREEZING_PASSES + 1}) p(t) WHERE s.step <= t GROUP BY t)",
+            "e AS (SELECT *, abs(mean_error - lag(mean_error) OVER (ORDER BY step)) AS delta FROM y)",
+            f"last AS (SELECT coalesce((SELECT min(step) FROM e WHERE delta <= {STILL}), {FREEZING_PASSES}) AS step)",
+            f"f AS ({means})",
+        ]
     )
 
 
 def _run_freezing(spark, sf):
-    rows = fx.vectors(spark, sf)
-    return km.kmeans_freezing(rows, drawn_seeds(rows, 2, "freezing"), max_iter=2, freeze=FREEZE, min_delta=-1.0)
+    rows = fx.orders(spark, sf)
+    return km.kmeans_freezing(rows, drawn_seeds(rows, 2, "freezing"), FREEZING_PASSES, FREEZE, STILL)
 
 
 @query(
     "kmeans_freezing",
-    f"WITH {_freezing_sql()} SELECT a1.row_id, coalesce(a2.cluster, a1.cluster) AS cluster, "
-    f"{r('pow(coalesce(a2.error, a1.error), 2)')} AS error, "
-    f"a2.row_id IS NULL OR a2.error * a2.error < {FREEZE} AS frozen FROM a1 LEFT JOIN a2 USING (row_id)",
+    f"WITH {_freezing_sql()} SELECT row_id, arg_max(cluster, step) AS cluster, {r('arg_max(error, step) / 1e6', 2)} AS error, "
+    f"arg_max(error, step) < {FREEZE} AS frozen FROM s WHERE step <= (SELECT step FROM last) GROUP BY row_id",
 )
 def kmeans_freezing(spark, sf):
     found = _run_freezing(spark, sf).assignments
-    return found.select("row_id", "cluster", rounded("error").alias("error"), "frozen")
+    return found.select("row_id", "cluster", rounded(F.col("error") / 1e6, 2).alias("error"), "frozen")
 
 
 @query(
     "freezing_centroids",
     f"WITH {_freezing_sql()} SELECT cluster, generate_subscripts(centroid, 1) - 1 AS feature, "
-    "round(unnest(centroid), 6) + 0.0 AS mean FROM f2",
+    "round(unnest(centroid), 3) + 0.0 AS mean FROM f WHERE step = (SELECT step FROM last)",
 )
 def freezing_centroids(spark, sf):
-    return _long_centroids(_run_freezing(spark, sf).centroids)
+    return _long_centroids(_run_freezing(spark, sf).centroids, 3)
+
+
+@query(
+    "freezing_history",
+    f"WITH {_freezing_sql()} SELECT step - 1 AS iteration, {r('mean_error / 1e6', 3)} AS mean_error, {r('delta / 1e6', 3)} AS delta "
+    "FROM e WHERE step <= (SELECT step FROM last)",
+)
+def freezing_history(spark, sf):
+    history = _run_freezing(spark, sf).history
+    return history.select("iteration", *[rounded(F.col(c) / 1e6, 3).alias(c) for c in ("mean_error", "delta")])

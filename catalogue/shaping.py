@@ -104,15 +104,15 @@ def rank_weights(spark, sf):
 
 @query(
     "scale_min_max",
-    f"WITH {fx.vectors_sql()}, f AS ({kit.drawn('v', '100', 'minmax')}), "
+    f"WITH {fx.ORDERS_SQL}, f AS ({kit.drawn('v', '1000', 'minmax')}), "
     "u AS (SELECT generate_subscripts(features, 1) - 1 AS feature, unnest(features) AS x FROM f), "
     "s AS (SELECT feature, min(x) AS lo, max(x) AS hi FROM u GROUP BY feature) "
     f"SELECT row_id, feature, {r('(x - lo) / CASE WHEN hi = lo THEN 1 ELSE hi - lo END')} AS value "
     "FROM l JOIN s USING (feature)",
 )
 def scale_min_max(spark, sf):
-    rows = fx.vectors(spark, sf)
-    limits = feature_summary(sample.sample_exact(rows, 100, "minmax")).orderBy("feature").collect()
+    rows = fx.orders(spark, sf)
+    limits = feature_summary(sample.sample_exact(rows, 1000, "minmax")).orderBy("feature").collect()
     return long(shape.scale_min_max(rows, [x["min"] for x in limits], [x["max"] for x in limits]), "row_id")
 
 
