@@ -93,13 +93,13 @@ _register(
 
 @query(
     "low_mean_features",
-    f"WITH {fx.vectors_sql()}, f AS ({kit.drawn('v', '100', 'minmax')}), "
+    f"WITH {fx.LINEITEM_SQL}, f AS ({kit.drawn('v', '1000', 'minmax')}), "
     "u AS (SELECT generate_subscripts(features, 1) - 1 AS feature, unnest(features) AS x FROM f), "
     "s AS (SELECT feature, min(x) AS lo, max(x) AS hi FROM u GROUP BY feature), "
     "t AS (SELECT feature, avg((x - lo) / (hi - lo)) AS mean FROM l JOIN s USING (feature) GROUP BY feature) "
     f"SELECT feature, {r('mean')} AS mean FROM t ORDER BY t.mean, feature LIMIT 32",
 )
 def low_mean_features(spark, sf):
-    rows = fx.vectors(spark, sf)
-    low = stats.low_mean_features(rows, sample_exact(rows, 100, "minmax"), 32)
+    rows = fx.lineitem(spark, sf)
+    low = stats.low_mean_features(rows, sample_exact(rows, 1000, "minmax"), 32)
     return low.select("feature", rounded("mean").alias("mean"))
