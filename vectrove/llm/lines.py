@@ -23,7 +23,7 @@ from vectrove.llm.graph import stored_components
 #: Characters of a shingle, minima of a signature, minima of a band.
 SHINGLE, MINIMA, BAND = 8, 27, 3
 #: 64-bit words of a line's bitmap.
-WORDS = 16
+WORDS = 32
 #: Classes of line hashes, to see which texts a join may need.
 CLASSES = 1 << 20
 
@@ -83,25 +83,26 @@ def _set(plain: Column, size: int) -> Column:
 
 
 def line_marks(texts: DataFrame, size: int = SHINGLE) -> DataFrame:
-    """``h, n, f0, f1, ...``: the number of shingles of each line of ``texts(h, plain)``, and a bitmap of them.
+    """``h, n, f0, f1, ...``: the number of different shingles of each line of ``texts(h, plain)``, and a bitmap of them.
 
-    The bitmap has a bit for every class that a shingle falls in. A class that one line has
-    and another lacks holds a shingle that only the one has, so two lines differ in no fewer
-    shingles than their bitmaps in bits.
+    A bit says whether an odd number of shingles falls in its class. Where two lines differ in
+    a bit, a shingle of that class is in one of them only, so they differ in no fewer shingles
+    than their bitmaps in bits, however long they are.
     """
-    units = texts.select("h", _units(F.col("plain")).alias("u"))
-    places = units.select("h", "u", F.explode(F.sequence(F.lit(0), F.greatest(F.octet_length("u") / 2 - size, F.lit(0)).cast("int"))).alias("i"))
-    hashed = places.select("h", F.xxhash64(_shingle(F.col("u"), F.col("i"), size)).alias("x"))
+    hashed = texts.select("h", F.explode(_set(F.col("plain"), size)).alias("x"))
     word, bit = F.shiftright("x", 6).bitwiseAND(WORDS - 1), F.expr("shiftleft(1L, cast(x & 63 as int))")
-    maps = [F.bit_or(F.when(word == i, bit).otherwise(F.lit(0).cast("long"))).alias(f"f{i}") for i in range(WORDS)]
+    maps = [F.bit_xor(F.when(word == i, bit).otherwise(F.lit(0).cast("long"))).alias(f"f{i}") for i in range(WORDS)]
     return hashed.groupBy("h").agg(F.count("x").alias("n"), *maps)
 
 
+def _apart(one: str, two: str) -> Column:
+    """In how many bits their bitmaps differ; the columns start with these prefixes."""
+    return sum((F.bit_count(F.col(f"{one}f{i}").bitwiseXOR(F.col(f"{two}f{i}"))) for i in range(WORDS)), F.lit(0))
+
+
 def _may_link(one: str, two: str, percent: int) -> Column:
     """Whether their bitmaps let two lines link; the columns start with these prefixes."""
-    n, m = F.col(f"{one}n"), F.col(f"{two}n")
-    apart = sum((F.bit_count(F.col(f"{one}f{i}").bitwiseXOR(F.col(f"{two}f{i}"))) for i in range(WORDS)), F.lit(0))
-    return (100 - percent) * (n + m) >= (100 + percent) * apart
+    return (100 - percent) * (F.col(f"{one}n") + F.col(f"{two}n")) >= (100 + percent) * _apart(one, two)
 
 
 def _named(marks: DataFrame, prefix: str, key: str) -> DataFrame:
@@ -127,12 +128,12 @@ def shared_bands(lines: DataFrame, size: int = SHINGLE) -> DataFrame:
     return out
 
 
-def linked_lines(shared: DataFrame, texts: DataFrame, size: int = SHINGLE, percent: int = 75, rounds: int = 2) -> DataFrame | None:
+def linked_lines(shared: DataFrame, texts: DataFrame, size: int = SHINGLE, percent: int = 75, rounds: int = 3) -> DataFrame | None:
     """``h, c``: lines that are linked with another one, and the smallest hash they reach; None if none is.
 
     ``shared`` as from :func:`shared_bands`, ``texts(h, plain)`` a row for each of its lines. In
     each of ``rounds`` rounds the lines of a band meet its first line, by another order each
-    time, and each is verified with the nearest of those it met. What is left meets pair by
+    time, and each is verified with the one of them whose bitmap differs least. What is left meets pair by
     pair, where it is in different components and bitmaps don't rule the link out; such pairs
     alone become rows.
     """
@@ -153,14 +154,16 @@ def linked_lines(shared: DataFrame, texts: DataFrame, size: int = SHINGLE, perce
             met = open_.join(first.select("band", F.col("o.h").alias("o"), F.col("o.c").alias("d")), "band").where("c <> d")
             met = met.select(F.col("h").alias("a"), F.col("o").alias("b")).distinct()
             met = met.join(_named(marks, "x", "a"), "a").join(_named(marks, "y", "b"), "b").where(_may_link("x", "y", percent))
-            near = F.struct(F.abs(F.col("xn") - F.col("yn")).alias("far"), "b")
+            near = F.struct((_apart("x", "y") / (F.col("xn") + F.col("yn"))).alias("far"), "b")
             pairs = met.groupBy("a").agg(F.min(near).alias("o")).select("a", F.col("o.b").alias("b"))
         else:
-            held = open_.join(marks, "h")
-            left = held.select("band", F.col("h").alias("a"), "c", *(F.col(m).alias(f"x{m}") for m in marks.columns if m != "h"))
-            right = held.select(F.col("band").alias("other"), F.col("h").alias("b"), F.col("c").alias("d"), *(F.col(m).alias(f"y{m}") for m in marks.columns if m != "h"))
+            # A pair is a row once, in the first of the open bands that both are in.
+            own = open_.groupBy("h").agg(F.sort_array(F.collect_set("band")).alias("own"))
+            held = open_.join(own, "h").join(marks, "h")
+            left = held.select("band", F.col("h").alias("a"), "c", F.col("own").alias("xown"), *(F.col(m).alias(f"x{m}") for m in marks.columns if m != "h"))
+            right = held.select(F.col("band").alias("other"), F.col("h").alias("b"), F.col("c").alias("d"), F.col("own").alias("yown"), *(F.col(m).alias(f"y{m}") for m in marks.columns if m != "h"))
             on = (F.col("band") == F.col("other")) & (F.col("a") < F.col("b")) & (F.col("c") != F.col("d")) & _may_link("x", "y", percent)
-            pairs = left.join(right, on).select("a", "b").distinct()
+            pairs = left.join(right, on & (F.array_intersect("xown", "yown")[0] == F.col("band"))).select("a", "b")
         good = stored(_verified(pairs, texts, size, percent), "good")
         done.append(good)
         if good.isEmpty():
