@@ -1,10 +1,11 @@
 """Near-duplicate lines by MinHash, in DataFrame operations only.
 
 A line's shingles are cut from its UTF-16 form, where any of them is found in constant time,
-and hashed once; the permutations of MinHash are seeded hashes of that hash, which are one to
-one and independent of each other. No two bands share a minimum, so two lines at a Jaccard
-similarity of 0.75 meet with a probability of 99.3 %. Minima are grouped by the line's hash, so copies of a line, however many, become
-one row before anything is shuffled. Lines that share a band of minima are compared exactly:
+and hashed once; for each band that hash is hashed again with a seed of the band, to 64 bits,
+of which three minima take 21 bits each. No two bands share a minimum, so two lines at a Jaccard
+similarity of 0.75 meet with a probability of 99.3 %. (Lines of millions of characters meet
+more often than they should, which costs comparisons and loses nothing.) Minima are grouped by
+the line's hash, so copies of a line, however many, become one row before anything is shuffled. Lines that share a band of minima are compared exactly:
 first with one line of each band, then, where a band still holds lines of different components
 whose bitmaps let them link, pair by pair. One line of each component stays, the first by
 doc_id and place.
@@ -20,22 +21,19 @@ from pyspark.sql import functions as F
 from vectrove.llm.common import discard, stored
 from vectrove.llm.graph import stored_components
 
-#: Characters of a shingle, minima of a signature, minima of a band.
-SHINGLE, MINIMA, BAND = 8, 27, 3
+#: Characters of a shingle, bands of a signature, minima of a band and bits of each.
+SHINGLE, BANDS, BAND, BITS = 8, 9, 3, 21
+#: Shingles that a row holds on the way to the minima.
+STEP = 3
 #: 64-bit words of a line's bitmap.
 WORDS = 32
 #: Classes of line hashes, to see which texts a join may need.
 CLASSES = 1 << 20
 
 
-def bands_of(minima: int = MINIMA, size: int = BAND) -> list[list[int]]:
-    """Which minima make each band: each of them is in one."""
-    return [list(range(i, i + size)) for i in range(0, minima, size)]
-
-
-def constants(minima: int = MINIMA) -> list[int]:
+def constants(bands: int = BANDS) -> list[int]:
     draw = random.Random(7)
-    return [draw.getrandbits(32) - (1 << 31) for _ in range(minima)]
+    return [draw.getrandbits(32) - (1 << 31) for _ in range(bands)]
 
 
 def _plain(line: Column) -> Column:
@@ -65,11 +63,20 @@ def lines_of(docs: DataFrame) -> DataFrame:
 
 def line_bands(lines: DataFrame, size: int = SHINGLE) -> DataFrame:
     """``h, bands``: the band hashes of each different line."""
-    units = lines.select("h", _units(F.col("plain")).alias("u"))
-    places = units.select("h", "u", F.explode(F.sequence(F.lit(0), F.greatest(F.octet_length("u") / 2 - size, F.lit(0)).cast("int"))).alias("i"))
-    hashed = places.select("h", F.hash(_shingle(F.col("u"), F.col("i"), size)).alias("x"))
-    minima = hashed.groupBy("h").agg(*(F.min(F.hash(F.lit(c).cast("int"), "x")).alias(f"m{i}") for i, c in enumerate(constants())))
-    return minima.select("h", F.array(*(F.xxhash64(F.lit(b), *(f"m{i}" for i in band)) for b, band in enumerate(bands_of()))).alias("bands"))
+    last = F.greatest(F.octet_length("u") / 2 - size, F.lit(0)).cast("int")
+    units = lines.select("h", _units(F.col("plain")).alias("u")).select("h", "u", last.alias("last"))
+    # A row for every ``STEP`` shingles, the last one repeated to fill it: minima stay the same.
+    places = units.select("h", "u", "last", F.explode(F.sequence(F.lit(0), F.col("last"), F.lit(STEP))).alias("i"))
+    at = [F.least(F.col("i") + F.lit(s), F.col("last")) for s in range(STEP)]
+    hashed = places.select("h", *(F.hash(_shingle(F.col("u"), i, size)).alias(f"x{s}") for s, i in enumerate(at)))
+    # One hash of 64 bits makes the values of all minima of a band.
+    wide = hashed.select("h", *(F.xxhash64(F.lit(c).cast("int"), f"x{s}").alias(f"b{b}_{s}") for b, c in enumerate(constants()) for s in range(STEP)))
+
+    def value(b: int, j: int) -> Column:
+        return F.least(*(F.shiftrightunsigned(f"b{b}_{s}", BITS * j).bitwiseAND((1 << BITS) - 1) for s in range(STEP)))
+
+    minima = wide.groupBy("h").agg(*(F.min(value(b, j)).alias(f"m{b}_{j}") for b in range(BANDS) for j in range(BAND)))
+    return minima.select("h", F.array(*(F.xxhash64(F.lit(b), *(f"m{b}_{j}" for j in range(BAND))) for b in range(BANDS))).alias("bands"))
 
 
 def _set(plain: Column, size: int) -> Column:
