@@ -133,6 +133,20 @@ def write_masked(spark, sf):
     return long(raw.read_matrix(spark, path, len(MASK)), "row_id")
 
 
+@query(
+    "masked_scan",
+    f"WITH {fx.vectors_sql()}, m AS (SELECT generate_subscripts({MASK_SQL}, 1) - 1 AS place, "
+    f"unnest({MASK_SQL}) AS feature) SELECT row_id, l.label, m.place AS feature, {r('x')} AS value "
+    "FROM l JOIN m ON l.feature = m.feature",
+)
+def masked_scan(spark, sf):
+    """The mask is applied by the scan, so rows reach Spark with the wanted features alone."""
+    rows = fx.vectors(spark, sf)
+    y = _written(spark, sf, "y", rows.withColumn("features", F.array(F.col("label").cast("float"))))
+    found = raw.read_labelled(spark, _written(spark, sf, "wide", rows), y, 64, partition_bytes=SPAN_BYTES, features=MASK)
+    return long(found, "row_id", "label")
+
+
 # -- logs ---------------------------------------------------------------------------------
 
 

@@ -211,3 +211,40 @@ def test_row_bounds_reach_the_spans(spark, tmp_path):
     rows = raw.read_matrix(spark, path, 1).filter(F.col("row_id").between(250, 259)).collect()
     assert [(r["row_id"], r["features"][0]) for r in sorted(rows)] == [(i, float(i)) for i in range(250, 260)]
     assert raw.read_matrix(spark, path, 1).filter("row_id > 5000").count() == 0
+
+
+class Counting:
+    """A file that counts the bytes read from it."""
+
+    def __init__(self, data):
+        self.data, self.read = data, 0
+
+    def read_at(self, size, at):
+        self.read += size
+        return self.data[at : at + size]
+
+
+def test_mask_at_the_scan(spark, tmp_path):
+    x = np.arange(2000, dtype="<f4").reshape(20, 100)
+    path, mask = write(tmp_path / "x", x), [41, 30, 35]
+    labels = write(tmp_path / "y", np.arange(20) % 3)
+    found = raw.read_labelled(spark, path, labels, 100, partition_bytes=2800, features=mask).collect()
+    assert [f.features for f in sorted(found)] == x[:, mask].tolist()
+    assert [f.label for f in sorted(found)] == [i % 3 for i in range(20)]
+    masked = raw.read_matrix(spark, path, 100, n_rows=5, features=mask)
+    assert rows(masked) == dict(enumerate(x[:5, mask].tolist()))
+    assert raw.read_matrix(spark, path, 100, features=mask).filter("row_id = 7").collect()[0].features == x[7, mask].tolist()
+    for wrong in ([1, 1], [100], [-1], []):
+        with pytest.raises(ValueError):
+            raw.read_matrix(spark, path, 100, features=wrong)
+
+
+@pytest.mark.parametrize(("skip", "read"), [(200, 20 * 12 * 4), (1 << 20, 19 * 400 + 48)])
+def test_mask_reads_the_span_it_needs(skip, read):
+    x = np.arange(2000, dtype="<f4").reshape(20, 100)
+    reader = raw.RawMatrixReader({"path": "x", "dim": "100", "features": "41,30,35", "skip_bytes": str(skip)})
+    source = Counting(x.tobytes())
+    assert reader._values(source, 0, 20).reshape(20, 3).tolist() == x[:, [41, 30, 35]].tolist()
+    assert source.read == read
+    with pytest.raises(OSError, match="shorter"):
+        reader._values(Counting(x.tobytes()[:7000]), 0, 20)

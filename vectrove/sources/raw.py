@@ -9,7 +9,7 @@ needs no numbering pass.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -29,12 +29,15 @@ from pyspark.sql.types import StructType
 
 from vectrove.functions.vectors import matrix
 from vectrove.operators.centroids import held
+from vectrove.operators.shape import check_mask
 from vectrove.sources.storage import locate
 
 FORMAT = "raw_matrix"
 FLOAT = np.dtype("<f4")
 PARTITION_BYTES = 128 << 20
 BATCH_BYTES = 8 << 20
+# Bytes between the wanted spans of two rows from which on they are skipped and not read.
+SKIP_BYTES = 64 << 10
 _SUFFIX = ".f32"
 
 
@@ -122,6 +125,9 @@ class RawMatrixReader(DataSourceReader):
         self.n_rows = int(options["n_rows"]) if options.get("n_rows") else None
         self.partition_bytes = int(options.get("partition_bytes", PARTITION_BYTES))
         self.labels = options.get("labels")
+        wanted = options.get("features")
+        self.features = np.array([int(i) for i in wanted.split(",")]) if wanted else None
+        self.skip_bytes = int(options.get("skip_bytes", SKIP_BYTES))
         self.low, self.high = 0, None  # rows wanted, the last one included
 
     def pushFilters(self, filters: list) -> Iterator:
@@ -163,6 +169,29 @@ class RawMatrixReader(DataSourceReader):
                 parts.append(np.frombuffer(source.read_at(count * FLOAT.itemsize, offset), dtype=FLOAT))
         return np.concatenate(parts).astype(np.int32)
 
+    def _values(self, source, offset: int, rows: int) -> np.ndarray:
+        """The wanted features of ``rows`` rows from a byte offset on, flat.
+
+        Only bytes from the first to the last wanted feature of a row matter: what lies between
+        two rows' spans is skipped where it is long, and read along where a seek would cost more.
+        """
+        row_bytes = self.dim * FLOAT.itemsize
+        first, last = (0, self.dim) if self.features is None else (int(self.features.min()), int(self.features.max()) + 1)
+        at, width = offset + first * FLOAT.itemsize, (last - first) * FLOAT.itemsize
+        if row_bytes - width >= self.skip_bytes:
+            data, size = b"".join(source.read_at(width, at + i * row_bytes) for i in range(rows)), rows * width
+            step = last - first
+        else:
+            size, step = (rows - 1) * row_bytes + width, self.dim
+            data = source.read_at(size, at)
+        if len(data) != size:
+            raise OSError("a raw matrix became shorter while it was read")
+        values = np.frombuffer(data, dtype=FLOAT)
+        if self.features is None:
+            return values
+        starts = np.arange(rows, dtype=np.int64) * step
+        return values[(starts[:, None] + (self.features - first)).ravel()]
+
     def read(self, partition: Span) -> Iterator[pa.RecordBatch]:
         if partition is None:  # an empty matrix has no span
             return
@@ -173,11 +202,8 @@ class RawMatrixReader(DataSourceReader):
         with files.open_input_file(partition.path) as source:
             for done in range(0, partition.rows, per_batch):
                 rows = min(per_batch, partition.rows - done)
-                data = source.read_at(rows * row_bytes, partition.offset + done * row_bytes)
-                if len(data) != rows * row_bytes:
-                    raise OSError(f"{partition.path} became shorter while it was read")
-                values = np.frombuffer(data, dtype=FLOAT)
-                offsets = np.arange(rows + 1, dtype=np.int32) * self.dim
+                values = self._values(source, partition.offset + done * row_bytes, rows)
+                offsets = np.arange(rows + 1, dtype=np.int32) * (len(values) // rows)
                 first = partition.first_row + done
                 columns = [
                     pa.array(np.arange(first, first + rows, dtype=np.int64)),
@@ -268,15 +294,33 @@ class RawMatrixSource(DataSource):
         return RawMatrixWriter(self.options["path"], overwrite)
 
 
+def _mask_option(features: Sequence[int], dim: int) -> str:
+    places = check_mask(features)
+    if max(places) >= dim:
+        raise ValueError(f"a mask reaches past a row of {dim} features")
+    return ",".join(map(str, places))
+
+
 def read_matrix(
-    spark: SparkSession, path: str, dim: int, n_rows: int | None = None, partition_bytes: int = PARTITION_BYTES
+    spark: SparkSession,
+    path: str,
+    dim: int,
+    n_rows: int | None = None,
+    partition_bytes: int = PARTITION_BYTES,
+    features: Sequence[int] | None = None,
 ) -> DataFrame:
-    """``row_id, features``: all rows, or the first ``n_rows``; a file of the wrong size is an error."""
+    """``row_id, features``: all rows, or the first ``n_rows``; a file of the wrong size is an error.
+
+    ``features`` is a mask: only its positions are handed on, in its order, as by
+    :func:`vectrove.operators.shape.mask_features` on the whole rows.
+    """
     plan_spans(path, dim, n_rows)
     spark.dataSource.register(RawMatrixSource)
     reader = spark.read.format(FORMAT).option("dim", dim).option("partition_bytes", partition_bytes)
     if n_rows is not None:
         reader = reader.option("n_rows", n_rows)
+    if features is not None:
+        reader = reader.option("features", _mask_option(features, dim))
     return reader.load(path)
 
 
@@ -287,17 +331,20 @@ def read_labelled(
     dim: int,
     n_rows: int | None = None,
     partition_bytes: int = PARTITION_BYTES,
+    features: Sequence[int] | None = None,
 ) -> DataFrame:
     """``row_id, features, label`` of a matrix and its label vector, aligned while scanning.
 
     A task reads the labels of its own row range, so aligning costs no join and no shuffle.
-    Different lengths are an error.
+    Different lengths are an error. ``features`` as for :func:`read_matrix`.
     """
     plan_labelled(path, labels, dim, n_rows)
     spark.dataSource.register(RawMatrixSource)
     reader = spark.read.format(FORMAT).option("dim", dim).option("partition_bytes", partition_bytes)
     if n_rows is not None:
         reader = reader.option("n_rows", n_rows)
+    if features is not None:
+        reader = reader.option("features", _mask_option(features, dim))
     return reader.option("labels", labels).load(path)
 
 
