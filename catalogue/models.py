@@ -7,7 +7,7 @@ from catalogue import fixtures as fx
 from catalogue import sqlkit as kit
 from catalogue.registry import query, r, rounded
 from vectrove.operators import network as net
-from vectrove.operators import pca
+from vectrove.operators import pca, pca_merge
 from vectrove.operators.barrier import fit_network_barrier
 from vectrove.operators.neighbours import knn_classify, knn_neighbours
 from vectrove.operators.sample import train_validation_split
@@ -25,6 +25,14 @@ def pca_variance(spark, sf):
     return pca.pca_frame(spark, model).agg(rounded(F.sum("variance")).alias("total_variance"))
 
 
+@query("pca_merged", f"WITH {fx.vectors_sql()}, t AS (SELECT var_samp(x) AS s FROM l GROUP BY feature) "
+       f"SELECT {r('sum(s)')} AS total_variance FROM t")
+def pca_merged(spark, sf):
+    """Decompositions of the tasks' rows, merged: all components together have the total variance."""
+    model, _bound = pca_merge.fit_pca_merged(fx.vectors(spark, sf), k=64, rank=64)
+    return pca.pca_frame(spark, model).agg(rounded(F.sum("variance")).alias("total_variance"))
+
+
 @query(
     "pca_scores",
     f"WITH {fx.vectors_sql()}, m AS (SELECT feature, avg(x) AS mean FROM l GROUP BY feature) "
