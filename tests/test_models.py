@@ -1,3 +1,5 @@
+import math
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -211,6 +213,25 @@ def test_barrier_training_gives_the_same_weights(spark, vectors):
     np.testing.assert_array_equal(network.layers[0].parameters["bias"], 0)  # the given network is not changed
 
 
+def test_a_step_is_one_job_of_one_task(spark, vectors, monkeypatch):
+    """Steps of one partition don't pass over the others; a step of very many rows gives the same weights."""
+    train, held, network = _barrier_case(vectors)
+    options = dict(network=network, epochs=2, batch_size=16, learning_rate=0.05, seed=2)
+    context = spark.sparkContext
+    tasks = []
+    run = type(context).runJob
+    monkeypatch.setattr(type(context), "runJob", lambda self, rdd, f, partitions=None, *rest: (tasks.append(len(partitions)), run(self, rdd, f, partitions, *rest))[1])
+    one = net.fit_network(train, None, **options)
+    assert tasks == [1] * 2 * math.ceil(241 / 16)
+    monkeypatch.setattr(net, "HELD_NUMBERS", 20)
+    two, three = net.fit_network(train, None, **options), barrier.fit_network_barrier(train, None, tasks=4, **options)
+    assert len(tasks) > 4 * 2 * math.ceil(241 / 16) - 20
+    for other in (two, three):
+        for a, b in zip(one.network.layers, other.network.layers):
+            for name in a.parameters:
+                np.testing.assert_allclose(a.parameters[name], b.parameters[name], rtol=1e-9, atol=1e-9)
+
+
 def test_barrier_training_goes_on_after_the_last_stored_epoch(vectors, tmp_path, monkeypatch):
     train, _, network = _barrier_case(vectors)
     options = dict(network=network, batch_size=300, learning_rate=0.05, tasks=3)

@@ -1,9 +1,12 @@
 """A feed-forward binary classifier trained by synchronous data-parallel jobs.
 
-A training step is two jobs over the rows of one mini-batch: the first sums the activations
-batch normalisation needs, the second sums gradients. Both sums are exact over the whole
-mini-batch, so the result does not depend on how rows are partitioned. Weights are
-broadcast (their size is fixed by the architecture); the optimiser step runs on the driver.
+A training step sums the activations batch normalisation needs over the rows of one mini-batch,
+then gradients. Both sums are exact over the whole mini-batch, so the result does not depend on
+how rows are partitioned. Weights are broadcast (their size is fixed by the architecture); the
+optimiser step runs on the driver.
+
+A mini-batch of up to ``TASK_ROWS`` rows lies in one partition and is one job of one task, which
+reads no other partition. Larger ones take a job over their partitions for each of the two sums.
 """
 
 from __future__ import annotations
@@ -11,7 +14,7 @@ from __future__ import annotations
 import copy
 import math
 import time
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -39,6 +42,10 @@ CLIP = 1e-7
 MAX_PARAMETERS = 64_000_000
 # Rows of a step that one task takes.
 TASK_ROWS = 4096
+# Rows of one partition of mini-batches, about; partitions at most.
+PARTITION_ROWS, PARTITIONS = 4096, 16_384
+# Numbers of a mini-batch that a task holds; of a larger one it makes a pass for each sum.
+HELD_NUMBERS = 16_000_000
 MODEL_SCHEMA = "layer int, kind string, activation string, parameter string, shape array<int>, values array<double>"
 HISTORY_SCHEMA = (
     "epoch int, loss double, accuracy double, val_loss double, val_accuracy double, seconds double"
@@ -233,8 +240,7 @@ def batch_gradient(network: Network, rows: DataFrame):
             sums = _sum_over(rows, 2 * width + 1, activations, network.width, elements)
             if sums[0] == 0:
                 return None
-            mean = sums[1 : width + 1] / sums[0]
-            moments = (mean, np.maximum(sums[width + 1 :] / sums[0] - mean * mean, 0.0))
+            moments = _moments(sums, width)
         shapes = _shapes(network, moments is not None)
         size = sum(math.prod(s) for s in shapes)
         flat = _sum_over(
@@ -245,6 +251,103 @@ def batch_gradient(network: Network, rows: DataFrame):
     return _from_sums(network, flat, moments)
 
 
+class StepBlocks:
+    """Mini-batches as blocks of rows, cached step by step, so that a step is a job of one task.
+
+    ``rows(features, label, step)``; partition ``step % partitions`` holds a step's rows. A task
+    streams its partition and keeps blocks of its own step only.
+    """
+
+    def __init__(self, rows: DataFrame, steps: int, batch_size: int, network: Network):
+        parallel = rows.sparkSession.sparkContext.defaultParallelism
+        self.partitions = min(steps, PARTITIONS, max(parallel, -(-steps * batch_size // PARTITION_ROWS)))
+        width = self.width = network.width
+        placed = rows.repartitionById(self.partitions, F.pmod("step", F.lit(self.partitions)).cast("int")).sortWithinPartitions("step")
+
+        def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                x = matrix(batch.column("features"), width)
+                y = batch.column("label").to_numpy(zero_copy_only=False).astype(np.float64)
+                step = batch.column("step").to_numpy()
+                starts = np.flatnonzero(np.r_[True, step[1:] != step[:-1]]) if len(step) else []
+                for a, b in zip(starts, [*starts[1:], len(step)]):
+                    for at in range(a, b, TASK_ROWS):
+                        part = slice(at, min(b, at + TASK_ROWS))
+                        yield pa.RecordBatch.from_arrays(
+                            [
+                                pa.array([int(step[a])], pa.int32()),
+                                pa.array([x.dtype.str]),
+                                pa.array([np.ascontiguousarray(x[part]).tobytes()], pa.binary()),
+                                pa.array([y[part].tobytes()], pa.binary()),
+                            ],
+                            ["step", "kind", "x", "y"],
+                        )
+
+        blocks = placed.mapInArrow(pack, "step int, kind string, x binary, y binary")
+        self.blocks = blocks.rdd.map(tuple).persist(StorageLevel.MEMORY_AND_DISK)
+
+    def _run(self, step: int, task: Callable[[Iterator[tuple]], list]) -> list:
+        width = self.width
+
+        def run(blocks):
+            held = ((np.frombuffer(x, kind).reshape(-1, width), np.frombuffer(y, "<f8")) for at, kind, x, y in blocks if at == step)
+            return task(held)
+
+        return self.blocks.context.runJob(self.blocks, run, [step % self.partitions])
+
+    def gradient(self, network: Network, step: int):
+        """As :func:`batch_gradient`, of the rows of one step."""
+        shared = self.blocks.context.broadcast(network)
+        elements, normalised = _row_elements(network), network.normalised
+        units = network.layers[0].parameters["bias"].size
+
+        def activations(x, y):
+            a = _dense(x, shared.value.layers[0])
+            return [np.array([float(len(a))]), a.sum(axis=0), (a * a).sum(axis=0)]
+
+        def gradients(moments):
+            return lambda x, y: _gradient_sums(shared.value, x, y, moments)
+
+        def whole(blocks):
+            rows, numbers = [], 0
+            for x, y in blocks:
+                rows.append((x, y))
+                numbers += x.size
+                if normalised and numbers > HELD_NUMBERS:
+                    return []
+            moments = _moments(_block_sums(rows, elements, activations), units) if normalised and rows else None
+            return [(_block_sums(rows, elements, gradients(moments)), moments)]
+
+        try:
+            found = self._run(step, whole)
+            if not found:  # very many rows of one step, as of one id that repeats
+                moments = _moments(self._run(step, lambda blocks: [_block_sums(blocks, elements, activations)])[0], units)
+                found = self._run(step, lambda blocks: [(_block_sums(blocks, elements, gradients(moments)), moments)])
+        finally:
+            shared.destroy()
+        flat, moments = found[0]
+        return None if flat is None else _from_sums(network, flat, moments)
+
+    def unpersist(self) -> None:
+        self.blocks.unpersist()
+
+
+def _block_sums(blocks, elements: int, per_block) -> np.ndarray | None:
+    """Sum ``per_block(x, y)`` over blocks of rows, one after the other; ``None`` without any."""
+    total = None
+    for x, y in blocks:
+        for part in row_slices(len(x), elements):
+            flat = np.concatenate([b.ravel() for b in per_block(x[part].astype(np.float64), y[part])])
+            total = flat if total is None else total + flat
+    return total
+
+
+def _moments(sums: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Mean and variance of the first layer's activations from their count, sums and sums of squares."""
+    mean = sums[1 : width + 1] / sums[0]
+    return mean, np.maximum(sums[width + 1 :] / sums[0] - mean * mean, 0.0)
+
+
 def _from_sums(network: Network, flat: np.ndarray, moments):
     """Gradients, moments, loss, accuracy and row count from the sums over a mini-batch; ``None`` without rows."""
     shapes = _shapes(network, moments is not None)
@@ -354,9 +457,10 @@ def fit_network(
     An epoch has ``ceil(rows / batch_size)`` steps, whatever the size of the table; ``max_rows``
     bounds the labelled rows that are learnt from to an exact sample of so many (all rows by
     default). Rows go to steps by hash, about ``batch_size`` to each, the same in every epoch,
-    and lie sorted by step in the cache, whose statistics let a step skip the batches of the
-    others; the order of the steps changes with every epoch. The given network is not changed:
-    a copy is trained.
+    and lie in the cache by step (see :class:`StepBlocks`; sorted, where a step has more than
+    ``TASK_ROWS`` rows, so that its statistics let a step skip the batches of the others); the
+    order of the steps changes with every epoch. The given network is not changed: a copy is
+    trained.
     """
     spark = train.sparkSession
     if max_rows is not None:
@@ -365,23 +469,28 @@ def fit_network(
     if rows == 0:
         raise ValueError("training over an empty table")
     steps = math.ceil(rows / batch_size)
-    staged = (
-        train.select(
-            F.col(features).alias("features"),
-            F.col(label).cast("double").alias("label"),
-            F.pmod(F.xxhash64(F.lit(seed), F.col(row_id)), F.lit(steps)).cast("int").alias("step"),
-            F.pmod(F.xxhash64(F.col(row_id), F.lit(seed)), F.lit(math.ceil(batch_size / TASK_ROWS))).alias("part"),
-        )
-        # A step's rows lie in few partitions: each task of a step sends a whole gradient.
-        .repartition("step", "part")
-        .sortWithinPartitions("step")
-        .drop("part")
-        .persist(StorageLevel.MEMORY_AND_DISK)
-    )
     if network is None:
         network = build_network(int(train.select(F.size(features)).first()[0]), seed=seed)
     else:
         network = copy.deepcopy(network)
+    staged = train.select(
+        F.col(features).alias("features"),
+        F.col(label).cast("double").alias("label"),
+        F.pmod(F.xxhash64(F.lit(seed), F.col(row_id)), F.lit(steps)).cast("int").alias("step"),
+        F.pmod(F.xxhash64(F.col(row_id), F.lit(seed)), F.lit(math.ceil(batch_size / TASK_ROWS))).alias("part"),
+    )
+    if batch_size <= TASK_ROWS:
+        staged = StepBlocks(staged.drop("part"), steps, batch_size, network)
+
+        def gradient_of(step: int):
+            return staged.gradient(network, step)
+    else:
+        # A step's rows lie in few partitions: each task of a step sends a whole gradient.
+        staged = staged.repartition("step", "part").sortWithinPartitions("step").drop("part").persist(StorageLevel.MEMORY_AND_DISK)
+
+        def gradient_of(step: int):
+            return batch_gradient(network, staged.filter(F.col("step") == step).select("features", "label"))
+
     rng = np.random.default_rng(seed)
     squares = [{name: np.zeros_like(p) for name, p in layer.parameters.items()} for layer in network.layers]
     history = []
@@ -390,9 +499,7 @@ def fit_network(
             started = time.monotonic()
             seen, loss, accuracy = 0, 0.0, 0.0
             for step in rng.permutation(steps):
-                result = batch_gradient(
-                    network, staged.filter(F.col("step") == int(step)).select("features", "label")
-                )
+                result = gradient_of(int(step))
                 if result is None:
                     continue
                 gradients, moments, step_loss, step_accuracy, n = result
