@@ -201,3 +201,26 @@ def test_cells_of_odd_vectors(vectors):
     assert lists_of(knn_lists(vectors(t), vectors(q), 3, strategy="cells", block_numbers=4)) == want
     none = lists_of(knn_lists(vectors([[nan, 1]]), vectors(q), 3, strategy="cells"))
     assert none == {i: [] for i in range(5)}
+
+
+def test_visits_leave_a_task_in_bounded_batches(vectors, monkeypatch):
+    """However many cells a query meets, and however many queries a batch has."""
+    import pyarrow as pa
+
+    from vectrove.functions import vectors as views
+
+    rng = np.random.default_rng(9)
+    train, queries = vectors(rng.normal(size=(600, 8))).withColumn("label", F.lit(None).cast("int")), vectors(rng.normal(size=(300, 8)))
+    dealt = cells.deal_cells(train, cells.draw_pivots(train, 32), 10)
+    run = []
+    real = type(queries).mapInArrow
+    monkeypatch.setattr(type(queries), "mapInArrow", lambda self, fn, *rest, **kw: (run.append(fn), real(self, fn, *rest, **kw))[1])
+    homes = cells.first_visits(dealt, queries, 3)
+    found = cells.further_visits(dealt, homes)
+    table = homes.toArrow().combine_chunks()
+    monkeypatch.setattr(views, "SCRATCH_ELEMENTS", 100 * len(dealt.count))
+    parts = list(run[-1](iter(table.to_batches())))
+    assert max(p.num_rows for p in parts) <= 13 and sum(p.num_rows for p in parts) == 300
+    pairs = {(i, c) for p in parts for i, cs in zip(p.column(0).to_pylist(), p.column(2).to_pylist()) for c in cs}
+    assert pairs == {(r["row_id"], r["cell"]) for r in found.collect()} and len(pairs) > 3000
+    assert isinstance(parts[0], pa.RecordBatch)

@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType
 
 from vectrove.functions import kernels
 from vectrove.functions.vectors import matrix, row_slices
@@ -26,6 +27,8 @@ PIVOTS = 1024
 #: Distances are taken as this much wider, relatively, than they were computed.
 SLACK = 1e-9
 _FAR = -1
+#: Tables of a number for each row and cell that are alive at a time; they share the scratch.
+_TABLES = 8
 
 
 @dataclass
@@ -52,8 +55,14 @@ class Cells:
 
     def bound(self, most: np.ndarray, k: int) -> np.ndarray:
         """A distance within which each query has ``k`` rows for sure; infinite where the table has fewer."""
-        order = np.argsort(np.where(np.isnan(most), np.inf, most), axis=1)
-        reached = np.cumsum(self.count[order], axis=1) >= k
+        filled = np.flatnonzero(self.count)
+        most = np.where(np.isnan(most[:, filled]), np.inf, most[:, filled])
+        # Each cell has a row, so the k nearest of them are enough.
+        order = np.argpartition(most, k - 1, axis=1)[:, :k] if k < len(filled) else np.tile(np.arange(len(filled)), (len(most), 1))
+        order = np.take_along_axis(order, np.argsort(np.take_along_axis(most, order, 1), axis=1), 1)
+        if not len(filled):
+            return np.full(len(most), np.inf)
+        reached = np.cumsum(self.count[filled][order], axis=1) >= k
         place = np.where(reached.any(1), reached.argmax(1), -1)
         found = np.take_along_axis(most, order, 1)[np.arange(len(most)), place]
         return np.where(reached.any(1), found, np.inf)
@@ -75,8 +84,11 @@ def deal_cells(train: DataFrame, pivots: np.ndarray, most: int) -> Cells:
 
     @F.arrow_udf("struct<pivot: int, away: double>")
     def nearest(vectors: pa.Array) -> pa.Array:
+        x = matrix(vectors, shared.value.shape[1])
+        best, error = np.zeros(len(x), np.int32), np.zeros(len(x))
         with np.errstate(invalid="ignore", over="ignore"):
-            best, error = kernels.nearest(matrix(vectors, shared.value.shape[1]), shared.value, True)
+            for at in row_slices(len(x), _TABLES * len(shared.value)):
+                best[at], error[at] = kernels.nearest(x[at], shared.value, True)
         return pa.StructArray.from_arrays([pa.array(best, pa.int32()), pa.array(error)], ["pivot", "away"])
 
     dealt = train.withColumn("_at", nearest("features")).select("row_id", "features", "label", "_at.pivot", "_at.away")
@@ -154,7 +166,7 @@ def first_visits(cells: Cells, queries: DataFrame, k: int) -> DataFrame:
         here = shared.value
         x = matrix(vectors, here.pivots.shape[1])
         home, reach = np.zeros(len(x), np.int32), np.zeros(len(x))
-        for at in row_slices(len(x), max(1, len(here.count))):
+        for at in row_slices(len(x), _TABLES * max(1, len(here.count))):
             least, most = here.between(x[at])
             rank = np.where(np.isnan(most) | (here.count == 0), np.inf, least + 1e-6 * np.where(np.isfinite(most), most, 0.0))
             home[at], reach[at] = rank.argmin(1), here.bound(most, k)
@@ -164,33 +176,38 @@ def first_visits(cells: Cells, queries: DataFrame, k: int) -> DataFrame:
 
 
 def further_visits(cells: Cells, queries: DataFrame) -> DataFrame:
-    """``row_id, features, cell`` for every other cell that may hold a row within ``reach`` of a query."""
+    """``row_id, features, cell`` for every other cell that may hold a row within ``reach`` of a query.
+
+    Lists of cells leave a task some rows at a time, as a list may hold every cell.
+    """
     shared = queries.sparkSession.sparkContext.broadcast(_light(cells))
+    queries = queries.select("row_id", "features", "cell", "reach")
 
-    @F.arrow_udf("array<int>")
-    def visit(vectors: pa.Array, home: pa.Array, reach: pa.Array) -> pa.Array:
+    def visit(batches):
         here = shared.value
-        x, near, first = matrix(vectors, here.pivots.shape[1]), reach.to_numpy(zero_copy_only=False), home.to_numpy()
-        sizes, found = np.zeros(len(x), np.int64), [np.zeros(0, np.int64)]
-        for at in row_slices(len(x), max(1, len(here.count))):
-            least, _ = here.between(x[at])
-            meets = least <= near[at][:, None] * (1 + SLACK)
-            meets[np.arange(len(meets)), first[at]] = False
-            sizes[at] = meets.sum(1)
-            found.append(np.nonzero(meets)[1])
-        offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
-        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(found), pa.int32()))
-
-    return queries.select("row_id", "features", F.explode(visit("features", "cell", "reach")).alias("cell"))
+        for batch in batches:
+            x, near = matrix(batch.column("features"), here.pivots.shape[1]), batch.column("reach").to_numpy(zero_copy_only=False)
+            first = batch.column("cell").to_numpy()
+            for at in row_slices(len(x), _TABLES * max(1, len(here.count))):
+                least, _ = here.between(x[at])
+                meets = least <= near[at][:, None] * (1 + SLACK)
+                meets[np.arange(len(meets)), first[at]] = False
+                offsets = np.concatenate([[0], np.cumsum(meets.sum(1))]).astype(np.int32)
+                found = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.nonzero(meets)[1], pa.int32()))
+                part = batch.slice(at.start, at.stop - at.start)
+                yield pa.RecordBatch.from_arrays([part.column("row_id"), part.column("features"), found], ["row_id", "features", "cells"])
+
+    schema = queries.select("row_id", "features").schema.add("cells", ArrayType(IntegerType()))
+    return queries.mapInArrow(visit, schema).select("row_id", "features", F.explode("cells").alias("cell"))
 
 
 def _light(cells: Cells) -> Cells:
     return Cells(None, cells.pivots, cells.pivot, cells.count, cells.low, cells.high)
 
 
-def nearest_by_cells(train: DataFrame, queries: DataFrame, k: int, most: int, packed, schema: str, n_pivots: int | None = None):
+def nearest_by_cells(train: DataFrame, queries: DataFrame, k: int, most: int, packed, schema: str, n_pivots: int | None = None, rows: int | None = None):
     """Partial lists of all queries by both visits, or None where no train row has a finite vector."""
-    rows = train.count()
+    rows = train.count() if rows is None else rows
     wanted = n_pivots or int(min(PIVOTS, max(8, 4 * -(-rows // most))))
     pivots = draw_pivots(train, wanted)
     if not len(pivots):
