@@ -203,6 +203,20 @@ def test_cells_of_odd_vectors(vectors):
     assert none == {i: [] for i in range(5)}
 
 
+def test_narrow_rows_in_many_pairs_go_by_cells(vectors, monkeypatch):
+    rng = np.random.default_rng(8)
+    t, q = rng.normal(size=(900, 2)), rng.normal(size=(40, 2))
+    order, d = brute(t, q, 3)
+    used, by_cells = [], neighbours.nearest_by_cells
+    monkeypatch.setattr(neighbours, "nearest_by_cells", lambda *a, **kw: (used.append(a[3]), by_cells(*a, **kw))[1])
+    monkeypatch.setattr(neighbours, "SCAN_PAIRS", 900 * 40 - 1)
+    monkeypatch.setattr(neighbours, "CELL_ROWS", 50)
+    got = lists_of(knn_lists(vectors(t, partitions=4), vectors(q), 3))
+    assert used == [50] and [[n for n, _ in got[i]] for i in range(40)] == order.tolist()
+    monkeypatch.setattr(neighbours, "NARROW", 1)
+    assert lists_of(knn_lists(vectors(t, partitions=4), vectors(q), 3)) == got and used == [50]
+
+
 def test_visits_leave_a_task_in_bounded_batches(vectors, monkeypatch):
     """However many cells a query meets, and however many queries a batch has."""
     import pyarrow as pa

@@ -2,7 +2,8 @@
 
 Three exact strategies, chosen from counted sizes:
 
-* the point side fits a broadcast: the other side is scanned once, nothing is shuffled;
+* the point side fits a broadcast: the other side is scanned once, nothing is shuffled. Narrow
+  rows in numbers that make too many pairs go by cells all the same;
 * only the query side fits: the train side is scanned once, each task keeps the best *k* per
   query, and the partial lists are merged by query;
 * neither fits: train rows are dealt to cells around pivots, and a query searches only the
@@ -29,6 +30,11 @@ from vectrove.operators.centroids import BROADCAST_NUMBERS, as_matrix, point_num
 
 # Numbers per grid block (64 MiB as float64).
 BLOCK_NUMBERS = 8_000_000
+# Pairs up to which a side is scanned whole for every query; rows of more numbers always are,
+# as distances to pivots rule out little of wide vectors.
+SCAN_PAIRS, NARROW = 5_000_000_000, 16
+# Rows of a cell unless stated, and cells at most (or so) before they grow.
+CELL_ROWS, CELLS = 2048, 4096
 
 _NEIGHBOUR = "struct<distance: double, neighbour: bigint, label: int>"
 
@@ -270,11 +276,13 @@ def knn_lists(
     if strategy in ("auto", "scan_queries", "scan_train"):
         width = max(1, _width(t))
         train_rows, tasks = _extent(t)
-        query_rows = _extent(q)[0] if strategy == "scan_train" or train_rows * width > BROADCAST_NUMBERS else 0
+        query_rows = _extent(q)[0] if strategy != "scan_queries" else 0
         if strategy == "auto":
             # Partial lists must not outweigh the train side they summarise.
             fits = query_rows * width <= BROADCAST_NUMBERS and query_rows * k * tasks <= train_rows
             strategy = "scan_queries" if train_rows * width <= BROADCAST_NUMBERS else "scan_train" if fits else "cells"
+            if width <= NARROW and train_rows * query_rows > SCAN_PAIRS:
+                strategy = "cells"
         sent = train_rows if strategy == "scan_queries" else query_rows
         if strategy.startswith("scan") and sent * width > BROADCAST_NUMBERS:
             raise ValueError(f"{sent} rows of width {width} are too many to broadcast for {strategy}")
@@ -283,8 +291,10 @@ def knn_lists(
     if strategy == "scan_train":
         return _scan_train(t, q, k)
     if strategy == "cells":
-        most = max(1, (block_numbers or BLOCK_NUMBERS) // max(1, _width(t)))
-        found = nearest_by_cells(t, q, k, most, _packed, _PACKED)
+        train_rows, most = t.count(), max(1, (block_numbers or BLOCK_NUMBERS) // max(1, _width(t)))
+        if block_numbers is None:
+            most = min(most, max(CELL_ROWS, train_rows // CELLS))
+        found = nearest_by_cells(t, q, k, most, _packed, _PACKED, rows=train_rows)
         if found is None:  # no train row can be a neighbour
             return q.select("row_id", F.array().cast(f"array<{_NEIGHBOUR}>").alias("neighbours"))
         return _merge(found, k)
