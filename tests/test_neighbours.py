@@ -238,3 +238,16 @@ def test_visits_leave_a_task_in_bounded_batches(vectors, monkeypatch):
     pairs = {(i, c) for p in parts for i, cs in zip(p.column(0).to_pylist(), p.column(2).to_pylist()) for c in cs}
     assert pairs == {(r["row_id"], r["cell"]) for r in found.collect()} and len(pairs) > 3000
     assert isinstance(parts[0], pa.RecordBatch)
+
+
+def test_grid_sends_rows_a_bounded_number_of_times(vectors, monkeypatch):
+    some = vectors([[0]])
+    rows = [neighbours._tiles(9 * n, n, neighbours.TILE_NUMBERS // 64, some) for n in (1_000, 10_000, 60_000)]
+    for n, (train_tiles, query_tiles) in zip((1_000, 10_000, 60_000), rows):
+        assert query_tiles == 1 and 9 * n + n * train_tiles <= 20 * n
+    rng = np.random.default_rng(10)
+    t, q = rng.normal(size=(300, 4)), rng.normal(size=(90, 4))
+    order, _ = brute(t, q, 4)
+    monkeypatch.setattr(neighbours, "TILE_NUMBERS", 120)  # tiles of 30 rows, searched in blocks of 10
+    got = lists_of(knn_lists(vectors(t, partitions=4), vectors(q, partitions=3), 4, strategy="grid", block_numbers=40))
+    assert [[n for n, _ in got[i]] for i in range(90)] == order.tolist()

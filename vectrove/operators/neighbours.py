@@ -9,8 +9,8 @@ Three exact strategies, chosen from counted sizes:
 * neither fits: train rows are dealt to cells around pivots, and a query searches only the
   cells that its k-th distance so far can meet (:mod:`vectrove.operators.cells`).
 
-A fourth one, ``grid``, cuts both sides into hash blocks and searches every pair of blocks; it
-prunes nothing and is there for vectors without any clusters. No strategy forms all pairs: a task only ever emits *k* rows per query it has seen.
+A fourth one, ``grid``, cuts both sides into tiles by hash and searches every pair of tiles, block
+by block; it prunes nothing and is there for vectors without any clusters. No strategy forms all pairs: a task only ever emits *k* rows per query it has seen.
 """
 
 from __future__ import annotations
@@ -30,6 +30,8 @@ from vectrove.operators.centroids import BROADCAST_NUMBERS, as_matrix, point_num
 
 # Numbers per grid block (64 MiB as float64).
 BLOCK_NUMBERS = 8_000_000
+# Numbers of a grid tile, if its blocks are smaller: a row is sent once for each tile it meets.
+TILE_NUMBERS = 8_000_000
 # Pairs up to which a side is scanned whole for every query; rows of more numbers always are,
 # as distances to pivots rule out little of wide vectors.
 SCAN_PAIRS, NARROW = 5_000_000_000, 16
@@ -208,13 +210,14 @@ def _scan_train(train: DataFrame, queries: DataFrame, k: int) -> DataFrame:
 
 
 def _grid(train: DataFrame, queries: DataFrame, k: int, block_numbers: int) -> DataFrame:
-    """Neither side broadcast: one cogroup per (train block, query block)."""
+    """Neither side broadcast: one cogroup per (train tile, query tile), searched block by block.
+
+    Every row is sent as often as the other side has tiles, so these are of a fixed large size
+    and no more than the cores ask for, whatever the blocks.
+    """
     width = max(1, _width(train))
     rows_per_block = max(1, block_numbers // width)
-    train_blocks = max(1, math.ceil(train.count() / rows_per_block))
-    query_rows = queries.count()
-    parallel = queries.sparkSession.sparkContext.defaultParallelism
-    query_blocks = max(1, math.ceil(query_rows / rows_per_block), min(parallel, query_rows // 1000))
+    train_blocks, query_blocks = _tiles(train.count(), queries.count(), max(rows_per_block, TILE_NUMBERS // width), queries)
 
     def every(n: int):
         return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
@@ -230,17 +233,22 @@ def _grid(train: DataFrame, queries: DataFrame, k: int, block_numbers: int) -> D
     def cell(train_block: pa.Table, query_block: pa.Table) -> pa.Table:
         best = kernels.ClosestK(matrix(query_block.column("features")), k)
         if len(train_block) and len(query_block):
-            best.add(
-                matrix(train_block.column("features")),
-                train_block.column("row_id").to_numpy(),
-                _labels(train_block.column("label")),
-            )
+            for at in range(0, len(train_block), rows_per_block):
+                part = train_block.slice(at, rows_per_block)
+                best.add(matrix(part.column("features")), part.column("row_id").to_numpy(), _labels(part.column("label")))
         return pa.Table.from_batches([_packed(query_block.column("row_id").to_numpy(), best)])
 
     cells = left.groupBy("tb", "qb").cogroup(right.groupBy("tb", "qb")).applyInArrow(cell, _PACKED)
     return _merge(cells, k)
 
 
+def _tiles(train_rows: int, query_rows: int, rows: int, df: DataFrame) -> tuple[int, int]:
+    """Tiles of either side of at most about ``rows`` rows; more of the train side, if cores would be idle."""
+    train_tiles, query_tiles = max(1, math.ceil(train_rows / rows)), max(1, math.ceil(query_rows / rows))
+    parallel = df.sparkSession.sparkContext.defaultParallelism
+    return max(train_tiles, min(train_rows, math.ceil(parallel / query_tiles))), query_tiles
+
+
 def _merge(partial: DataFrame, k: int) -> DataFrame:
     """Best ``k`` of the partial lists of each query; one shuffle by query serves both steps."""
     best = Window.partitionBy("row_id").orderBy(F.asc_nulls_last("entry.distance"), "entry.neighbour")
