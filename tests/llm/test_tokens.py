@@ -210,3 +210,14 @@ def test_differencing_balances_and_fits():
             assert max(loads) - min(loads) <= 64
     assert packing.windows([], 2048) == []
     assert packing.differenced([4, 5, 6, 7, 8], 2) and packing.windows([2048, 2048], 2048) == [[0], [1]]
+
+
+def test_a_task_gives_back_what_earlier_ones_freed(spark, monkeypatch):
+    from vectrove.llm import common, units
+
+    docs = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
+    run, given = [], []
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, fn, *rest, **kw: run.append(fn))
+    monkeypatch.setattr(units, "give_back", lambda: given.append(1))
+    common.map_arrow(docs, lambda batch: batch, "doc_id long, text string")
+    assert [b.num_rows for b in run[0](iter(docs.toArrow().to_batches()))] == [1] and given == [1]

@@ -14,6 +14,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vectrove.llm import units
+
 
 def tokenizer_file(name: str) -> str:
     """Place of a public tokenizer file, the default of every ``path`` parameter."""
@@ -73,9 +75,13 @@ def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def map_arrow(
     df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str
 ) -> DataFrame:
-    """``fn`` over every Arrow batch, ``SLICE`` rows at a time; None gives no rows."""
+    """``fn`` over every Arrow batch, ``SLICE`` rows at a time; None gives no rows.
+
+    A worker that earlier tasks ran in first gives back what they have freed.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        units.give_back()
         for batch in slices(batches):
             out = fn(batch)
             if out is not None:

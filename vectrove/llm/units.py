@@ -15,6 +15,7 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 
 #: Characters handled at a time; a longer text makes a longer chunk of its own.
 CHUNK = 500_000
@@ -31,7 +32,8 @@ def char_classes() -> np.ndarray:
     import regex
 
     classes = np.full(0x110000, OTHER, np.uint8)
-    every = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
+    codes = np.arange(0x110000, dtype=np.uint32)
+    every = codes[(codes < 0xD800) | (codes >= 0xE000)].tobytes().decode("utf-32-le")
     for kind, pattern in ((LETTER, r"\p{L}"), (NUMBER, r"\p{N}")):
         found = "".join(regex.findall(pattern, every))
         classes[np.frombuffer(found.encode("utf-32-le"), np.uint32)] = kind
@@ -242,15 +244,18 @@ class Memo:
         missed: dict[str, object] = {}
         for part, values in zip(parts, out, strict=True):
             if None in values:
-                missed.update(dict.fromkeys(u for u, v in zip(part.units, values, strict=True) if v is None))
+                missed.update(dict.fromkeys([u for u, v in zip(part.units, values, strict=True) if v is None]))
         if missed:
             found = dict(zip(missed, map(self.old.get, missed), strict=True)) if self.old else missed
             new = [u for u, v in found.items() if v is None]
             if new:
                 found.update(zip(new, self.compute(new), strict=True))
-            out = [[found[u] if v is None else v for u, v in zip(part.units, values, strict=True)] for part, values in zip(parts, out, strict=True)]
             kept = found if max(map(len, found)) <= self.LONG else {u: v for u, v in found.items() if len(u) <= self.LONG}
             self.young.update(kept)
+            if kept is found:  # all units are young now
+                out = [list(map(self.young.__getitem__, part.units)) if None in values else values for part, values in zip(parts, out, strict=True)]
+            else:
+                out = [[found[u] if v is None else v for u, v in zip(part.units, values, strict=True)] for part, values in zip(parts, out, strict=True)]
             self.held += sum(map(len, kept)) + (sum(map(len, kept.values())) if isinstance(next(iter(found.values())), bytes) else 8 * len(kept))
         return out
 
@@ -261,8 +266,14 @@ def release() -> None:
     if memo is not None:
         memo.clear()
         memo.forget()
-        with suppress(OSError, AttributeError):  # where the C library can, it returns the memory
-            ctypes.CDLL(None).malloc_trim(0)
+        give_back()
+
+
+def give_back() -> None:
+    """Return memory that this worker has freed, but keeps, to the system."""
+    pa.default_memory_pool().release_unused()
+    with suppress(OSError, AttributeError):  # where the C library can
+        ctypes.CDLL(None).malloc_trim(0)
 
 
 class Chunk:
