@@ -221,3 +221,53 @@ def test_a_task_gives_back_what_earlier_ones_freed(spark, monkeypatch):
     monkeypatch.setattr(units, "give_back", lambda: given.append(1))
     common.map_arrow(docs, lambda batch: batch, "doc_id long, text string")
     assert [b.num_rows for b in run[0](iter(docs.toArrow().to_batches()))] == [1] and given == [1]
+
+
+def test_held_units_are_small():
+    import tracemalloc
+
+    words = ["".join(chr(97 + i // 26**k % 26) for k in range(4)) for i in range(7, 60_007)]
+    list(tokens.token_ids(["a b"], BYTE))
+    memo = tokens._encoder(BYTE)[0]
+    memo.clear()
+    tracemalloc.start()
+    got = [np.frombuffer(x, "<u4").tolist() for x in tokens.token_ids(words[:100], BYTE)]
+    assert got == [ids_of(w) for w in words[:100]]
+    before = tracemalloc.get_traced_memory()[0]
+    n = len(memo.young)
+    for _ in tokens.token_ids([" ".join(words)], BYTE):
+        pass
+    grown, held = tracemalloc.get_traced_memory()[0] - before, len(memo.young) - n
+    tracemalloc.stop()
+    memo.clear()
+    assert held > 59_000 and grown < 120 * held
+
+
+def test_array_memo_tells_units_of_one_hash_apart_and_computes_each_once(monkeypatch):
+    asked = []
+
+    def compute(new):
+        asked.extend(new)
+        return np.concatenate([units.code_points(x) for x in new]), np.array([len(x) for x in new])
+
+    def words(codes, text, cuts):
+        start = np.append(True, codes[:-1] == 32)
+        start[cuts] = True
+        return start
+
+    monkeypatch.setattr(units, "CHUNK", 4)
+    memo = units.IdMemo(compute, lambda: None)
+
+    def back(texts):
+        return [np.frombuffer(x, "<u4").tobytes().decode("utf-32-le") for x in units.joined(texts, words, memo, 4)]
+
+    texts = ["ab ", "", "cd ", "ab ", "ef ", "ab ", "x" * 300, "cd "]
+    assert back(texts) == texts and sorted(asked) == ["ab ", "cd ", "ef ", "x" * 300]
+    assert back(texts) == texts and asked.count("x" * 300) == 2 and asked.count("ab ") == 1
+    memo.limit = 1  # what the old generation holds is not computed again
+    assert back(texts[:6]) == texts[:6] and asked.count("ab ") == 1
+    monkeypatch.setattr(units, "hashes", lambda codes, starts, skip=None: np.full(len(starts), 3, np.uint64))
+    memo.clear()
+    for some in (texts, texts[::-1], ["ab cd ef ", "gh ", "ab "]):
+        assert back(some) == some
+    assert back([""]) == [""] and back([]) == []

@@ -170,10 +170,15 @@ def checked_agenda(new: list[str], vocab: Vocabulary) -> list[bytes]:
 
 
 @lru_cache(maxsize=2)
-def _loaded(path: str, check: bool) -> tuple[Vocabulary, units.Memo]:
+def _loaded(path: str, check: bool) -> tuple[Vocabulary, units.IdMemo]:
     vocab = Vocabulary(path)
     make = checked_agenda if check else agenda
-    return vocab, units.Memo(lambda new: make(new, vocab), _loaded.cache_clear)
+
+    def compute(new: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = make(new, vocab)
+        return np.frombuffer(b"".join(found), "<u4"), np.array([len(x) // 4 for x in found], np.int64)
+
+    return vocab, units.IdMemo(compute, _loaded.cache_clear)
 
 
 def encode_texts(texts: list[str], path: str, check: bool = True):

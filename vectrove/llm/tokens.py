@@ -153,7 +153,7 @@ def count_tokens(docs: DataFrame, limit: int = 1024, path: str | None = None) ->
 
 
 @lru_cache(maxsize=4)
-def _encoder(path: str) -> tuple[units.Memo, list[str]]:
+def _encoder(path: str) -> tuple[units.IdMemo, list[str]]:
     import os
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -162,21 +162,16 @@ def _encoder(path: str) -> tuple[units.Memo, list[str]]:
     library = Tokenizer.from_file(path)
     special = [t.content for t in library.get_added_tokens_decoder().values()]
 
-    def some(new: list[str]) -> list[bytes]:
-        encoded = library.encode(new, is_pretokenized=True, add_special_tokens=False)
-        ids = np.array(encoded.ids, "<u4")
-        word = np.array(encoded.word_ids, np.int64)
-        ends = np.searchsorted(word, np.arange(len(new)), side="right").tolist()
-        data, at, out = ids.tobytes(), 0, []
-        for end in ends:
-            out.append(data[4 * at : 4 * end])
-            at = end
-        return out
-
-    def compute(new: list[str]) -> list[bytes]:
-        return [x for i in range(0, len(new), 20_000) for x in some(new[i : i + 20_000])]
-
-    return units.Memo(compute, _encoder.cache_clear), special
+    def compute(new: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        ids, counts = [], []
+        for i in range(0, len(new), 2_000):
+            some = new[i : i + 2_000]
+            encoded = library.encode(some, is_pretokenized=True, add_special_tokens=False)
+            ids.append(np.array(encoded.ids, "<u4"))
+            counts.append(np.bincount(np.array(encoded.word_ids, np.int64), minlength=len(some)))
+        return np.concatenate(ids), np.concatenate(counts)
+
+    return units.IdMemo(compute, _encoder.cache_clear), special
 
 
 def token_ids(texts: list[str], path: str):

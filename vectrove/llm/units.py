@@ -222,7 +222,7 @@ class Memo:
     """
 
     LONG = 256
-    _live: Memo | None = None
+    _live: Memo | IdMemo | None = None
 
     def __init__(self, compute: Callable[[list[str]], list], forget: Callable[[], None], limit: int = 200_000, room: int = 16 << 20):
         self.compute, self.forget, self.limit, self.room = compute, forget, limit, room
@@ -235,16 +235,15 @@ class Memo:
 
     def fill(self, parts: list[Chunk]) -> list[list]:
         """The values of each chunk's units; all new ones of the batch are computed at once."""
-        if Memo._live is not self:
-            release()
-            Memo._live = self
+        hold(self)
         if len(self.young) > self.limit or self.held > self.room:
             self.old, self.young, self.held = self.young, {}, 0
-        out = [list(map(self.young.get, part.units)) for part in parts]
+        names = [part.units for part in parts]
+        out = [list(map(self.young.get, some)) for some in names]
         missed: dict[str, object] = {}
-        for part, values in zip(parts, out, strict=True):
+        for some, values in zip(names, out, strict=True):
             if None in values:
-                missed.update(dict.fromkeys([u for u, v in zip(part.units, values, strict=True) if v is None]))
+                missed.update(dict.fromkeys([u for u, v in zip(some, values, strict=True) if v is None]))
         if missed:
             found = dict(zip(missed, map(self.old.get, missed), strict=True)) if self.old else missed
             new = [u for u, v in found.items() if v is None]
@@ -253,13 +252,139 @@ class Memo:
             kept = found if max(map(len, found)) <= self.LONG else {u: v for u, v in found.items() if len(u) <= self.LONG}
             self.young.update(kept)
             if kept is found:  # all units are young now
-                out = [list(map(self.young.__getitem__, part.units)) if None in values else values for part, values in zip(parts, out, strict=True)]
+                out = [list(map(self.young.__getitem__, some)) if None in values else values for some, values in zip(names, out, strict=True)]
             else:
-                out = [[found[u] if v is None else v for u, v in zip(part.units, values, strict=True)] for part, values in zip(parts, out, strict=True)]
-            self.held += sum(map(len, kept)) + (sum(map(len, kept.values())) if isinstance(next(iter(found.values())), bytes) else 8 * len(kept))
+                out = [[found[u] if v is None else v for u, v in zip(some, values, strict=True)] for some, values in zip(names, out, strict=True)]
+            self.held += sum(map(len, kept)) + 8 * len(kept)
         return out
 
 
+def equal_runs(a: np.ndarray, of_a: np.ndarray, b: np.ndarray, of_b: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Whether the runs of ``lengths`` (none 0) that start at ``of_a`` in ``a`` and at ``of_b`` in ``b`` are equal."""
+    same = runs(a, of_a, lengths) == runs(b, of_b, lengths)
+    if same.all():
+        return np.ones(len(lengths), bool)
+    return np.logical_and.reduceat(same, np.cumsum(lengths) - lengths)
+
+
+def runs(values: np.ndarray, begins: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The runs of ``values`` that start at ``begins``, one after another."""
+    at = np.repeat(begins - (np.cumsum(lengths) - lengths), lengths)
+    at += np.arange(len(at))
+    return values[at]
+
+
+class Held:
+    """Units as flat arrays: hash, signs and ids of each, and the order of the hashes."""
+
+    def __init__(self):
+        self.sorted, self.order = np.zeros(0, np.uint64), np.zeros(0, np.int32)
+        self.codes, self.ids = np.zeros(0, np.uint32), np.zeros(0, np.uint32)
+        self.begins, self.lengths, self.firsts, self.counts = (np.zeros(0, np.int32) for _ in range(4))
+
+    def __len__(self) -> int:
+        return len(self.order)
+
+    def find(self, hashes: np.ndarray, codes: np.ndarray, begins: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """The number here of each unit, -1 where it is not held; signs are compared, not hashes alone."""
+        found = np.full(len(hashes), -1, np.int64)
+        if len(self) and len(hashes):
+            at = np.minimum(np.searchsorted(self.sorted, hashes), len(self) - 1)
+            here = self.order[at].astype(np.int64)
+            hit = np.flatnonzero((self.sorted[at] == hashes) & (self.lengths[here] == lengths))
+            mine = here[hit]
+            same = equal_runs(codes, begins[hit], self.codes, self.begins[mine], lengths[hit])
+            found[hit[same]] = mine[same]
+        return found
+
+    def add(self, hashes: np.ndarray, codes: np.ndarray, lengths: np.ndarray, ids: np.ndarray, counts: np.ndarray) -> None:
+        """Units of different hashes; one whose hash another unit has here is left out by later searches."""
+        order = np.argsort(hashes, kind="stable")
+        at = np.searchsorted(self.sorted, hashes[order], side="right")
+        self.sorted = np.insert(self.sorted, at, hashes[order])
+        self.order = np.insert(self.order, at, (len(self.order) + order).astype(np.int32))
+        self.begins = np.append(self.begins, (len(self.codes) + np.cumsum(lengths) - lengths).astype(np.int32))
+        self.firsts = np.append(self.firsts, (len(self.ids) + np.cumsum(counts) - counts).astype(np.int32))
+        self.lengths, self.counts = np.append(self.lengths, lengths.astype(np.int32)), np.append(self.counts, counts.astype(np.int32))
+        self.codes, self.ids = np.append(self.codes, codes), np.append(self.ids, ids)
+
+
+class IdMemo:
+    """Token ids of units, kept in a worker between batches in arrays that are searched together.
+
+    ``compute(list of new units) -> (ids, how many each has)``. Generations, bounds and the
+    worker's one memo are as in :class:`Memo`; ``room`` is in signs and ids.
+    """
+
+    LONG = 256
+
+    def __init__(self, compute: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], forget: Callable[[], None], limit: int = 300_000, room: int = 4 << 20):
+        self.compute, self.forget, self.limit, self.room = compute, forget, limit, room
+        self.clear()
+
+    def clear(self) -> None:
+        self.young, self.old = Held(), Held()
+
+    def fill(self, parts: list[Chunk]) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
+        """Ids, and for each chunk where those of its units start there, and how many there are."""
+        hold(self)
+        if len(self.young) > self.limit or len(self.young.codes) + len(self.young.ids) > self.room:
+            self.old, self.young = self.young, Held()
+        sizes = [len(p.begins) for p in parts]
+        shift = np.cumsum([0, *(len(p.codes) for p in parts)])
+        codes = np.concatenate([p.codes for p in parts])
+        begins = np.concatenate([p.begins + a for p, a in zip(parts, shift.tolist(), strict=False)])
+        lengths = np.concatenate([p.lengths for p in parts])
+        # Where units of a chunk share a hash, none of them is looked up or kept.
+        clear = np.repeat([p.hashes is not None for p in parts], sizes)
+        hashes = np.concatenate([np.zeros(n, np.uint64) if p.hashes is None else p.hashes for p, n in zip(parts, sizes, strict=True)])
+        at = np.full(len(begins), -1, np.int64)
+        at[clear] = self.young.find(hashes[clear], codes, begins[clear], lengths[clear])
+        firsts, counts = np.zeros(len(begins), np.int64), np.zeros(len(begins), np.int64)
+        hit, miss = np.flatnonzero(at >= 0), np.flatnonzero((at < 0) & clear)
+        firsts[hit], counts[hit] = self.young.firsts[at[hit]], self.young.counts[at[hit]]
+        pool, end = [self.young.ids], len(self.young.ids)
+        # One of each missed unit; those whose hash another missed one has are on their own.
+        keys, lead, number = np.unique(hashes[miss], return_index=True, return_inverse=True)
+        lead = miss[lead]
+        alike = lengths[miss] == lengths[lead[number]]
+        alike[alike] = equal_runs(codes, begins[miss[alike]], codes, begins[lead[number[alike]]], lengths[miss[alike]])
+        before = self.old.find(keys, codes, begins[lead], lengths[lead])
+        again, new = np.flatnonzero(before >= 0), lead[before < 0]
+        alone = np.concatenate([new, miss[~alike], np.flatnonzero(~clear)])
+        kept_ids = runs(self.old.ids, self.old.firsts[before[again]].astype(np.int64), self.old.counts[before[again]])
+        counts[lead[again]] = self.old.counts[before[again]]
+        fresh = np.zeros(0, np.uint32)
+        if len(alone):
+            owner = np.searchsorted(np.cumsum(sizes), alone, side="right")
+            names = [""] * len(alone)
+            base = np.cumsum([0, *sizes])
+            for k in np.unique(owner).tolist():
+                mine = np.flatnonzero(owner == k)
+                for i, name in zip(mine.tolist(), parts[k].named(alone[mine] - base[k]), strict=True):
+                    names[i] = name
+            fresh, counts[alone] = self.compute(names)
+        pool += [kept_ids, fresh]
+        both = np.concatenate([lead[again], alone])
+        firsts[both] = end + np.cumsum(counts[both]) - counts[both]
+        follow = miss[alike]
+        firsts[follow], counts[follow] = firsts[lead[number[alike]]], counts[lead[number[alike]]]
+        pool = np.concatenate(pool)
+        keep = np.concatenate([lead[again], new])
+        keep = keep[lengths[keep] <= self.LONG]
+        if len(keep):
+            self.young.add(hashes[keep], runs(codes, begins[keep], lengths[keep]), lengths[keep], runs(pool, firsts[keep], counts[keep]), counts[keep])
+        cuts = np.cumsum(sizes)[:-1]
+        return pool, list(zip(np.split(firsts, cuts), np.split(counts, cuts), strict=True))
+
+
+def hold(memo: Memo | IdMemo) -> None:
+    """Make ``memo`` the one that this worker keeps."""
+    if Memo._live is not memo:
+        release()
+        Memo._live = memo
+
+
 def release() -> None:
     """Give up what this worker's memo holds. Operators that keep no memo call it before they allocate."""
     memo, Memo._live = Memo._live, None
@@ -277,66 +402,86 @@ def give_back() -> None:
 
 
 class Chunk:
-    """Some texts cut into units: ``places`` has the unit of each place, an index into ``units``."""
+    """Some texts cut into units: ``places`` has the unit of each place, an index into the units.
+
+    ``hashes`` are those of the units, which differ; None where two units share one.
+    """
 
     def __init__(self, texts: Sequence[str], starts_of: Callable[[np.ndarray, str, np.ndarray], np.ndarray]):
-        text = "".join(texts)
+        self.text = text = "".join(texts)
         lengths = np.array([len(t) for t in texts], np.int64)
-        self.per_text, self.places, self.units = np.zeros(len(texts), np.int64), np.zeros(0, np.int64), []
+        none = np.zeros(0, np.int64)
+        self.per_text, self.places, self.begins, self.lengths = np.zeros(len(texts), np.int64), none, none, none
+        self.codes, self.hashes = np.zeros(0, np.uint32), np.zeros(0, np.uint64)
         if text:
             ends = np.cumsum(lengths)
-            codes = code_points(text)
+            self.codes = codes = code_points(text)
             starts = np.flatnonzero(starts_of(codes, text, (ends - lengths)[lengths > 0]))
-            bounds = np.append(starts, len(codes))
-            self.places, firsts = _grouped(codes, starts)
+            sizes = np.diff(np.append(starts, len(codes)))
+            self.places, firsts, self.hashes = _grouped(codes, starts)
             if firsts is None:  # two units share a hash
                 known: dict[str, int] = {}
-                spans = zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)
-                self.places = np.array([known.setdefault(text[a:b], len(known)) for a, b in spans], np.int64)
-                self.units = list(known)
-            else:
-                self.units = [text[a:b] for a, b in zip(bounds[firsts].tolist(), bounds[firsts + 1].tolist(), strict=True)]
+                found: list[int] = []
+                self.hashes = None
+                for i, (a, n) in enumerate(zip(starts.tolist(), sizes.tolist(), strict=True)):
+                    if known.setdefault(text[a : a + n], len(known)) == len(found):
+                        found.append(i)
+                self.places = np.array([known[text[a : a + n]] for a, n in zip(starts.tolist(), sizes.tolist(), strict=True)], np.int64)
+                firsts = np.array(found, np.int64)
+            self.begins, self.lengths = starts[firsts], sizes[firsts]
             self.per_text = np.diff(np.searchsorted(starts, np.concatenate([[0], ends])))
 
+    @property
+    def units(self) -> list[str]:
+        return self.named(np.arange(len(self.begins)))
+
+    def named(self, which: np.ndarray) -> list[str]:
+        """The units of these numbers as strings."""
+        begins = self.begins[which]
+        return [self.text[a:b] for a, b in zip(begins.tolist(), (begins + self.lengths[which]).tolist(), strict=True)]
+
 
-def _grouped(codes: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray | None]:
-    """The group of each run of ``codes``, and the first run of each group; None if a group's runs are not all equal."""
+def _grouped(codes: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray | None, np.ndarray]:
+    """The group of each run of ``codes``, and the first run and the hash of each group; no first runs if a group's runs are not all equal."""
     places, keys = pd.factorize(hashes(codes, starts))
     firsts = np.empty(len(keys), np.int64)
     firsts[places[::-1]] = np.arange(len(places) - 1, -1, -1)
     lengths = np.diff(np.append(starts, len(codes)))
     first = firsts[places]
     if not np.array_equal(lengths, lengths[first]):
-        return places, None
+        return places, None, keys
     same = np.repeat(starts[first] - starts, lengths)
     same += np.arange(len(codes))
-    return places, firsts if np.array_equal(codes[same], codes) else None
+    return places, firsts if np.array_equal(codes[same], codes) else None, keys
 
 
-def cut_texts(texts: Sequence[str], starts_of, memo: Memo, together: int) -> Iterator[tuple[Chunk, list]]:
-    """Chunks of the texts with the values of their units, ``together`` chunks at a time."""
+def cut_texts(texts: Sequence[str], starts_of, together: int) -> Iterator[list[Chunk]]:
+    """Chunks of the texts, ``together`` at a time."""
     ranges = list(chunks(texts))
     for i in range(0, len(ranges), together):
-        parts = [Chunk(texts[a:b], starts_of) for a, b in ranges[i : i + together]]
-        yield from zip(parts, memo.fill(parts), strict=True)
+        yield [Chunk(texts[a:b], starts_of) for a, b in ranges[i : i + together]]
 
 
 def counted(texts: Sequence[str], starts_of, memo: Memo) -> np.ndarray:
     """Sum of the memo's values over the units of each text."""
     out = [np.zeros(0, np.int64)]
-    for part, values in cut_texts(texts, starts_of, memo, TOGETHER):
-        each = np.array(values, np.int64)[part.places]
-        total = np.concatenate([[0], np.cumsum(each)])
-        ends = np.cumsum(part.per_text)
-        out.append(total[ends] - total[ends - part.per_text])
+    for parts in cut_texts(texts, starts_of, TOGETHER):
+        for part, values in zip(parts, memo.fill(parts), strict=True):
+            each = np.array(values, np.int64)[part.places]
+            total = np.concatenate([[0], np.cumsum(each)])
+            ends = np.cumsum(part.per_text)
+            out.append(total[ends] - total[ends - part.per_text])
     return np.concatenate(out)
 
 
-def joined(texts: Sequence[str], starts_of, memo: Memo, together: int = TOGETHER) -> Iterator[bytes]:
-    """The memo's values (bytes) of the units of each text, in order, as one string of bytes."""
-    for part, each in cut_texts(texts, starts_of, memo, together):
-        order = part.places.tolist()
-        at = 0
-        for n in part.per_text.tolist():
-            yield b"".join(map(each.__getitem__, order[at : at + n]))
-            at += n
+def joined(texts: Sequence[str], starts_of, memo: IdMemo, together: int = TOGETHER) -> Iterator[bytes]:
+    """The memo's ids of the units of each text, in order, as bytes."""
+    for parts in cut_texts(texts, starts_of, together):
+        pool, found = memo.fill(parts)
+        for part, (firsts, counts) in zip(parts, found, strict=True):
+            each = counts[part.places]
+            ids = runs(pool, firsts[part.places], each)
+            total = np.concatenate([[0], np.cumsum(each)])
+            ends = total[np.concatenate([[0], np.cumsum(part.per_text)])].tolist()
+            for a, b in zip(ends, ends[1:], strict=False):
+                yield ids[a:b].tobytes()
