@@ -129,3 +129,20 @@ def test_pipeline_of_odd_and_of_no_rows(spark, docs, no_docs, sf):
         assert stage(spark, no_docs, sf).count() == 0
         if name != "packing":
             assert out.columns == docs.columns
+
+
+def test_a_block_of_queries_visits_a_leaf_twice_at_most(monkeypatch):
+    draw = np.random.default_rng(4)
+    x = draw.normal(size=(2000, 16))
+    x /= np.sqrt((x**2).sum(1, keepdims=True))
+    ids = np.arange(2000)
+    tree = nearest.VantageTree(ids, x, 1.0 + 1e-12)
+    leaves = sum(node[2] is None for node in tree.nodes)
+    calls, one_by_one = [], nearest.inner
+    monkeypatch.setattr(nearest, "inner", lambda a, b: calls.append(len(a)) or one_by_one(a, b))
+    scores, found = tree.search(ids[:300], x[:300], 20, 1.0)
+    assert len(calls) <= 2 * leaves
+    every = np.einsum("ij,kj->ik", x[:300], x)
+    every[ids[:300], ids[:300]] = -np.inf
+    want = np.lexsort((np.broadcast_to(ids, every.shape), -every), axis=1)[:, :20]
+    assert (found == want).all() and (scores == np.take_along_axis(every, want, 1)).all()

@@ -4,7 +4,8 @@ Largest inner products become smallest distances once every indexed vector gets
 component that brings all to one length. In a tree each inner node splits its rows by their
 distance to a vantage point; a query leaves out the far side when the triangle inequality
 rules it out, taken as if its nearest so far were ``factor`` times as near. With factor
-one, the search is exact. Batches of queries go down a tree together.
+one, the search is exact. Batches of queries go down a tree together: each query to the leaf
+on its own side, for a first bound, then all of them once over the nodes that are left open.
 """
 
 from __future__ import annotations
@@ -62,33 +63,71 @@ class VantageTree:
         length = (queries**2).sum(1)
         lifted = np.concatenate([queries, np.zeros((n, 1))], 1)
         longest = (self.space[0] ** 2).sum() if len(self.space) else 0.0
+        # Twice what either way of summing may be off, for every row of this length.
+        slack = 4 * d * np.finfo(float).eps * np.sqrt(length * longest) + 4 * d * np.finfo(float).tiny
 
         def reach(at: np.ndarray) -> np.ndarray:
             """Distance of the last of the best so far, in the lifted space."""
             return np.sqrt(np.maximum(length[at] + longest - 2 * scores[at, -1], 0))
 
+        home = np.full(n, -1)
+
+        def side(node: int, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            """Distances from a node's vantage point, and whether they are inside."""
+            away = np.sqrt(np.maximum(((lifted[at] - self.nodes[node][2]) ** 2).sum(1), 0))
+            return away, away < self.nodes[node][3]
+
+        def settle(node: int, at: np.ndarray) -> None:
+            """Each query down to the leaf on its own side, which gives it a first reach."""
+            if not len(at):
+                return
+            if self.nodes[node][2] is None:
+                measure(node, at)
+                home[at] = node
+                return
+            near_in = side(node, at)[1]
+            settle(self.nodes[node][4], at[near_in])
+            settle(self.nodes[node][5], at[~near_in])
+
         def visit(node: int, at: np.ndarray) -> None:
-            first, end, vantage, radius, inside, outside = self.nodes[node]
+            """Every node at most once, for all queries that have not ruled it out when it is reached."""
+            if not len(at):
+                return
+            vantage, radius, inside, outside = self.nodes[node][2:]
             if vantage is None:
-                found = inner(queries[at], self.rows[first:end])
-                names = np.broadcast_to(self.ids[first:end], found.shape)
-                found = np.where(names == own[at, None], -np.inf, found)
-                names = np.where(found == -np.inf, np.iinfo(np.int64).max, names)
-                every, who = np.concatenate([scores[at], found], 1), np.concatenate([ids[at], names], 1)
-                best = np.lexsort((who, -every), axis=1)[:, :k]
-                scores[at], ids[at] = np.take_along_axis(every, best, 1), np.take_along_axis(who, best, 1)
+                measure(node, at[home[at] != node])
+                return
+            away, near_in = side(node, at)
+            for child, mine in ((inside, near_in), (outside, ~near_in)):
+                # A little slack keeps rounding from ruling out an equal distance.
+                open_ = np.abs(away - radius) <= factor * reach(at) * (1 + 1e-9) + 1e-9
+                visit(child, at[mine | open_])
+
+        def measure(node: int, at: np.ndarray) -> None:
+            if not len(at):
+                return
+            first, end = self.nodes[node][:2]
+            # A matrix product rules out rows by more than its rounding error; the others are measured.
+            rough = queries[at] @ self.rows[first:end].T
+            row, column = np.nonzero(~(rough < (scores[at, -1] - slack[at])[:, None]))
+            keep = self.ids[first + column] != own[at[row]]
+            row, column = row[keep], first + column[keep]
+            if not len(row):
                 return
-            away = np.sqrt(np.maximum(((lifted[at] - vantage) ** 2).sum(1), 0))
-            near_in = away < radius
-            for side, other, mine in ((inside, outside, near_in), (outside, inside, ~near_in)):
-                if mine.any():
-                    visit(side, at[mine])
-                    # A little slack keeps rounding from ruling out an equal distance.
-                    open_ = np.abs(away[mine] - radius) <= factor * reach(at[mine]) * (1 + 1e-9) + 1e-9
-                    if open_.any():
-                        visit(other, at[mine][open_])
+            counts = np.bincount(row, minlength=len(at))
+            some = np.flatnonzero(counts)
+            place = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
+            line = (np.cumsum(counts > 0) - 1)[row]
+            at, width = at[some], k + int(counts.max())
+            every, who = np.full((len(at), width), -np.inf), np.full((len(at), width), np.iinfo(np.int64).max)
+            every[:, :k], who[:, :k] = scores[at], ids[at]
+            every[line, k + place] = inner(queries[at[line]], self.rows[column])
+            who[line, k + place] = self.ids[column]
+            best = np.lexsort((who, -every), axis=1)[:, :k]
+            scores[at], ids[at] = np.take_along_axis(every, best, 1), np.take_along_axis(who, best, 1)
 
         if n and len(self.ids) and d:
+            settle(self.root, np.arange(n))
             visit(self.root, np.arange(n))
         return scores, ids
 

@@ -28,8 +28,8 @@ def block(column) -> np.ndarray:
 
 
 def inner(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """All inner products of two blocks; each depends on its two rows only, so equal rows tie."""
-    return np.einsum("ij,kj->ik", a, b)
+    """Inner products of two blocks, row by row; each depends on its two rows only, so equal rows tie."""
+    return np.einsum("ij,ij->i", a, b)
 
 
 def whole(column, length: int, scale: float, bound: int) -> tuple[np.ndarray, np.ndarray]:
