@@ -73,21 +73,38 @@ def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def map_arrow(
-    df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str
+    df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str, keep: bool = False
 ) -> DataFrame:
-    """``fn`` over every Arrow batch, ``SLICE`` rows at a time; None gives no rows.
-
-    A worker that earlier tasks ran in first gives back what they have freed.
-    """
+    """``fn`` over every Arrow batch, ``SLICE`` rows at a time; None gives no rows. ``keep`` as in :func:`tidy`."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        units.give_back()
         for batch in slices(batches):
             out = fn(batch)
             if out is not None:
                 yield out
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(tidy(run, keep), schema)
+
+
+def tidy(
+    run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], keep: bool = False
+) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run`` for a worker that is left small when its task ends.
+
+    Spark deals tasks to its idle workers in turn, and a stage with several maps in a row has
+    several workers a core, so what each kept until its next task would add up. ``keep`` leaves
+    the worker its memo of units, which the next task then need not work out again.
+    """
+
+    def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            if not keep:
+                units.drop()
+            units.give_back()
+
+    return tidied
 
 
 def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[str]:
@@ -145,7 +162,7 @@ class IdFilter:
                 bits[spot(batch.column(0).to_numpy())] = True
             yield block_rows(np.packbits(bits), 1 << 19)
 
-        rows = ids.select(F.col(column).cast("long")).dropna().mapInArrow(mark, "block int, part int, data binary")
+        rows = ids.select(F.col(column).cast("long")).dropna().mapInArrow(tidy(mark), "block int, part int, data binary")
         blocks = summed_blocks(rows, np.bitwise_or.reduce, "u1")
         bits = np.concatenate([blocks[i] for i in sorted(blocks)]) if blocks else np.zeros(self.BITS // 8, np.uint8)
         self.shared = ids.sparkSession.sparkContext.broadcast(bits)

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vectrove.llm import units
-from vectrove.llm.common import IdFilter, block_rows, discard, keep_repeated, parted, plain_texts, slices, stored, summed_blocks, texts_of
+from vectrove.llm.common import IdFilter, block_rows, discard, keep_repeated, parted, plain_texts, slices, stored, summed_blocks, texts_of, tidy
 from vectrove.llm.graph import stored_components
 
 #: Cells of the frequency sketch, and words of a folded bitmap.
@@ -162,7 +162,7 @@ def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     one = sets.select(F.col("e").alias("a"), F.col("data").alias("x"))
     two = sets.select(F.col("e").alias("b"), F.col("data").alias("y"))
-    return pairs.join(one, "a").join(two, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+    return pairs.join(one, "a").join(two, "b").select("a", "b", "x", "y").mapInArrow(tidy(run), "a long, b long")
 
 
 def similar_documents(docs: DataFrame, size: int = 5, percent: int = 75, rounds: int = 3) -> DataFrame:
@@ -211,7 +211,7 @@ def similar_documents(docs: DataFrame, size: int = 5, percent: int = 75, rounds:
     folds = [f"f{i}" for i in range(FOLDS)]
     names = ["doc_id", "n", "e", "check", "bits", *folds, "block", "part", "data"]
     schema = f"doc_id long, n long, e long, check long, bits binary, {' long, '.join(folds)} long, block int, part int, data binary"
-    seen = stored(docs.mapInArrow(survey, schema), "survey")
+    seen = stored(docs.mapInArrow(tidy(survey), schema), "survey")
     ids = seen.where("block is null")
     blocks = summed_blocks(seen.where("block is not null").select("block", "part", "data"), lambda x: np.sum(x, 0), "<i8")
     counts = np.concatenate([blocks[i] for i in sorted(blocks)]) if blocks else np.zeros(CELLS, np.int64)
@@ -243,10 +243,10 @@ def similar_documents(docs: DataFrame, size: int = 5, percent: int = 75, rounds:
             if rows:
                 yield _rows(columns)
 
-    postings = docs.mapInArrow(index, "sig long, e long, n int, p int, g int").repartition("sig").sortWithinPartitions("sig", "e")
+    postings = docs.mapInArrow(tidy(index), "sig long, e long, n int, p int, g int").repartition("sig").sortWithinPartitions("sig", "e")
     first = {"e2": "e", "n2": "n", "p2": "p"}  # of each posting list, its smallest member
     shared = stored(
-        postings.mapInArrow(keep_repeated(["sig"], ["e"], first), "sig long, e long, n int, p int, g int, e2 long, n2 int, p2 int"), "shared"
+        postings.mapInArrow(tidy(keep_repeated(["sig"], ["e"], first)), "sig long, e long, n int, p int, g int, e2 long, n2 int, p2 int"), "shared"
     )
     # One document for each set, the smallest; its digest's second half tells sets from collisions.
     clash = F.when(F.min("check") != F.max("check"), F.raise_error(F.lit("two sets have one digest")))
@@ -290,7 +290,7 @@ def similar_documents(docs: DataFrame, size: int = 5, percent: int = 75, rounds:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         one = wanted.select(F.col("e").alias("a"), F.col("bits").alias("x"))
         two = wanted.select(F.col("e").alias("b"), F.col("bits").alias("y"))
-        pairs = pairs.join(one, "a").join(two, "b").select("a", "b", "both", "x", "y").mapInArrow(_may_link(percent), "a long, b long")
+        pairs = pairs.join(one, "a").join(two, "b").select("a", "b", "both", "x", "y").mapInArrow(tidy(_may_link(percent)), "a long, b long")
         if turn < rounds:  # one partner for each set is enough for now
             pairs = pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
         pairs = stored(pairs, "pairs")
@@ -361,5 +361,5 @@ def _fetch(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
                     e.append(_digest(shingles)[0])
                 yield pa.RecordBatch.from_arrays([pa.array(e, pa.int64()), pa.array(data, pa.binary())], ["e", "data"])
 
-    sets = docs.mapInArrow(run, "e long, data binary")
+    sets = docs.mapInArrow(tidy(run), "e long, data binary")
     return sets.join(wanted.select("e"), "e").groupBy("e").agg(F.first("data").alias("data"))

@@ -31,11 +31,14 @@ def cut_lengths(total: int, window: int, piece: int) -> list[int]:
     return [window] * whole + [rest // parts + (i < rest % parts) for i in range(parts)]
 
 
-def document_pieces(docs: DataFrame, window: int = 2048, piece: int = 512, end_id: int = 1, path: str | None = None) -> DataFrame:
+def document_pieces(
+    docs: DataFrame, window: int = 2048, piece: int = 512, end_id: int = 1, path: str | None = None, keep: bool = True
+) -> DataFrame:
     """``doc_id, start, length, ids_crc32, doc_tokens`` of every piece of every document.
 
     A null text is empty: its one piece holds the end id. A null doc_id stays null. Rows are
-    treated one by one, repeated ones too. Other columns are ignored. One map.
+    treated one by one, repeated ones too. Other columns are ignored. One map. Workers have the
+    units they know from one task to the next if ``keep``.
     """
     path = path or tokenizer_file(BYTE_LEVEL)
     tail = np.array([end_id], "<u4").tobytes()
@@ -59,7 +62,7 @@ def document_pieces(docs: DataFrame, window: int = 2048, piece: int = 512, end_i
         )
 
     schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
-    return map_arrow(plain_texts(docs), run, schema)
+    return map_arrow(plain_texts(docs), run, schema, keep)
 
 
 def differenced(weights: list[int], ways: int) -> list[list[int]]:
@@ -132,11 +135,13 @@ def pack_pieces(pieces: DataFrame, window: int = 2048, lot: int = LOT) -> DataFr
     return dealt.groupBy("_lot").applyInPandas(run, schema).unionByName(whole)
 
 
-def pack_documents(docs: DataFrame, window: int = 2048, piece: int = 512, end_id: int = 1, path: str | None = None) -> DataFrame:
+def pack_documents(
+    docs: DataFrame, window: int = 2048, piece: int = 512, end_id: int = 1, path: str | None = None, keep: bool = True
+) -> DataFrame:
     """All documents as pieces of sequences of at most ``window`` tokens.
 
     ``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset``: offsets are
     gapless from 0 in each sequence, and every id is in one piece. See
-    :func:`document_pieces` for nulls, empty and repeated rows; an empty table gives no rows.
+    :func:`document_pieces` for nulls, empty and repeated rows and for ``keep``; an empty table gives no rows.
     """
-    return pack_pieces(document_pieces(docs, window, piece, end_id, path), window)
+    return pack_pieces(document_pieces(docs, window, piece, end_id, path, keep), window)

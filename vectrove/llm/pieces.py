@@ -231,4 +231,4 @@ def piece_tokens(docs: DataFrame, path: str | None = None, check: bool = True, w
             names += ["ids", "decoded"]
         return pa.RecordBatch.from_arrays(columns, names)
 
-    return map_arrow(plain_texts(docs), run, schema)
+    return map_arrow(plain_texts(docs), run, schema, keep=True)

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vectrove.llm import units
-from vectrove.llm.common import map_arrow, plain_texts, slices, texts_of
+from vectrove.llm.common import map_arrow, plain_texts, slices, texts_of, tidy
 
 #: Words are held in this many classes by their hash; a class is one row of the vectors.
 WORDS = 1 << 14
@@ -111,7 +111,7 @@ def context_sums(docs: DataFrame) -> np.ndarray:
 
         return lambda df: df.groupBy(*keys).applyInPandas(total, "block int, part int, sums binary")
 
-    sent = docs.select("text").mapInArrow(run, "block int, part int, sums binary")
+    sent = docs.select("text").mapInArrow(tidy(run), "block int, part int, sums binary")
     rows = add(["block"])(add(["block", "part"])(sent)).collect()
     out = np.zeros((WORDS // BLOCK, BLOCK, DIMENSIONS + 1))
     for row in rows:

@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from vectrove.llm.common import plain_texts, slices, texts_of, tokenizer_file
+from vectrove.llm.common import plain_texts, slices, texts_of, tidy, tokenizer_file
 from vectrove.llm.tokens import BYTE_LEVEL, token_ids
 from vectrove.sources.storage import locate
 
@@ -111,7 +111,7 @@ def write_token_records(
 
     written = pa.schema([("part", pa.int64()), ("file", pa.string()), ("n_records", pa.int64()), ("n_ids", pa.int64())])
     ordered = ready.repartitionByRange("doc_id", "t").sortWithinPartitions("doc_id", "t", "text")
-    parts = ordered.mapInArrow(run, "part long, file string, n_records long, n_ids long")
+    parts = ordered.mapInArrow(tidy(run, keep=True), "part long, file string, n_records long, n_ids long")
     parts.write.parquet(f"{root}/manifest")
     return manifest(docs.sparkSession, root)
 
@@ -210,4 +210,4 @@ def read_token_records(index: DataFrame, root: str, id_bytes: int = 2, with_ids:
             yield pa.RecordBatch.from_arrays(columns, names)
 
     wanted = index.select("doc_id", "file", "offset", "length", "start")
-    return wanted.mapInArrow(run, schema + (", ids array<int>" if with_ids else ""))
+    return wanted.mapInArrow(tidy(run), schema + (", ids array<int>" if with_ids else ""))

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vectrove.llm import units
-from vectrove.llm.common import IdFilter, discard, keep_repeated, parted, plain_texts, stored
+from vectrove.llm.common import IdFilter, discard, keep_repeated, parted, plain_texts, stored, tidy
 
 #: Bytes of an anchor's gram; bytes scanned at a time; suffixes of a run and of a shard.
 GRAM, SEGMENT, RUN, SHARD = 64, 1 << 19, 100_000, 100_000
@@ -273,7 +273,7 @@ def _hashed_spans(sent: DataFrame, length: int) -> tuple[DataFrame, list[DataFra
         if rows:
             yield out()
 
-    strings = stored(sent.select("e", "data", "places").mapInArrow(hashed, "e long, first long, lo long, hi long"), "strings")
+    strings = stored(sent.select("e", "data", "places").mapInArrow(tidy(hashed), "e long, first long, lo long, hi long"), "strings")
     place = F.struct("e", "first")
     # A row a hash and task is exchanged. It is stored, so that in the join Spark splits the rows of a common hash.
     again = strings.groupBy("lo", "hi").agg(F.min(place).alias("a"), F.max(place).alias("b")).where("a < b")
@@ -308,9 +308,9 @@ def repeated_spans(texts: DataFrame, length: int = 200) -> DataFrame:
             for which, at, gram in anchors(fresh, length):
                 yield pa.RecordBatch.from_arrays([pa.array(gram), pa.array(owner[which]), pa.array(at)], ["gram", "e", "at"])
 
-    found = texts.mapInArrow(survey, "gram long, e long, at long")
+    found = texts.mapInArrow(tidy(survey), "gram long, e long, at long")
     found = found.repartition("gram").sortWithinPartitions("gram", "e", "at")
-    twice = stored(found.mapInArrow(keep_repeated(["gram"], ["e", "at"]), "gram long, e long, at long"), "anchors")
+    twice = stored(found.mapInArrow(tidy(keep_repeated(["gram"], ["e", "at"])), "gram long, e long, at long"), "anchors")
     # One of every GROUP rows at most; broadcast where they are few, else Spark joins and splits them.
     common = stored(twice.groupBy("gram").count().where(F.col("count") > GROUP).select("gram"), "common")
     few = F.broadcast(common) if common.count() <= COMMON else common
@@ -339,7 +339,7 @@ def repeated_spans(texts: DataFrame, length: int = 200) -> DataFrame:
 
         places = anchored.groupBy("e").agg(F.collect_list("at").alias("places"))  # of one text: no longer than it
         # A text that several tasks sent is taken once.
-        sent = texts.mapInArrow(fetch, "e long, data binary").groupBy("e").agg(F.first("data").alias("data"))
+        sent = texts.mapInArrow(tidy(fetch), "e long, data binary").groupBy("e").agg(F.first("data").alias("data"))
         return sent.join(places, "e").select("e", "data", "places")
 
     def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -367,7 +367,7 @@ def repeated_spans(texts: DataFrame, length: int = 200) -> DataFrame:
         if held:
             yield flush()
 
-    runs = bodies(sorted_).mapInArrow(sort, "shard long, run binary")
+    runs = bodies(sorted_).mapInArrow(tidy(sort), "shard long, run binary")
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, blobs = None, []
@@ -381,7 +381,7 @@ def repeated_spans(texts: DataFrame, length: int = 200) -> DataFrame:
         if blobs:
             yield from _merge_shard(blobs, length)
 
-    spans = runs.repartition("shard").sortWithinPartitions("shard").mapInArrow(merge, "e long, first long, last long")
+    spans = runs.repartition("shard").sortWithinPartitions("shard").mapInArrow(tidy(merge), "e long, first long, last long")
     read: list[DataFrame] = []
     if not common.isEmpty():
         more, read = _hashed_spans(bodies(hashed), length)
@@ -403,7 +403,7 @@ def repeated_spans(texts: DataFrame, length: int = 200) -> DataFrame:
         if now is not None:
             yield _span_rows([now])
 
-    whole = spans.repartition("e").sortWithinPartitions("e", "first", "last").mapInArrow(unite, "e long, first long, last long")
+    whole = spans.repartition("e").sortWithinPartitions("e", "first", "last").mapInArrow(tidy(unite), "e long, first long, last long")
     out = stored(whole.groupBy("e").agg(F.sort_array(F.collect_list(F.struct("first", "last"))).alias("spans")), "spans")
     discard(twice, common, *read)
     return out
@@ -431,7 +431,7 @@ def remove_repeats(docs: DataFrame, length: int = 200, keep_columns: bool = Fals
 
     texts = docs.select(F.coalesce(F.col("text"), F.lit("")).alias("text"))
     spans = repeated_spans(texts, length)
-    copies = texts.mapInArrow(split, "e long, check long").groupBy("e").agg(
+    copies = texts.mapInArrow(tidy(split), "e long, check long").groupBy("e").agg(
         F.count("e").alias("n"), F.min("check").alias("lo"), F.max("check").alias("hi")
     )
     copies = copies.where("n > 1").select(
@@ -507,6 +507,6 @@ def remove_repeats(docs: DataFrame, length: int = 200, keep_columns: bool = Fals
                 ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
             )
 
-    rows = plain_texts(docs).mapInArrow(first, "doc_id long, e long, n_bytes long, sha string, data binary")
+    rows = plain_texts(docs).mapInArrow(tidy(first), "doc_id long, e long, n_bytes long, sha string, data binary")
     joined = rows.join(verdict, "e", "left").select("doc_id", "n_bytes", "sha", "data", "spans", "copied")
-    return joined.mapInArrow(second, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return joined.mapInArrow(tidy(second), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")

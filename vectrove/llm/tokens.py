@@ -149,7 +149,7 @@ def count_tokens(docs: DataFrame, limit: int = 1024, path: str | None = None) ->
             ["doc_id", "n_bytes", "n_tokens", "over_limit"],
         )
 
-    return map_arrow(plain_texts(docs), run, "doc_id long, n_bytes long, n_tokens long, over_limit boolean")
+    return map_arrow(plain_texts(docs), run, "doc_id long, n_bytes long, n_tokens long, over_limit boolean", keep=True)
 
 
 @lru_cache(maxsize=4)

@@ -387,11 +387,17 @@ def hold(memo: Memo | IdMemo) -> None:
 
 def release() -> None:
     """Give up what this worker's memo holds. Operators that keep no memo call it before they allocate."""
+    if drop():
+        give_back()
+
+
+def drop() -> bool:
+    """Empty this worker's memo and what was loaded with it; whether there was one."""
     memo, Memo._live = Memo._live, None
     if memo is not None:
         memo.clear()
         memo.forget()
-        give_back()
+    return memo is not None
 
 
 def give_back() -> None:
