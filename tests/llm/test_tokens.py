@@ -271,3 +271,38 @@ def test_array_memo_tells_units_of_one_hash_apart_and_computes_each_once(monkeyp
     for some in (texts, texts[::-1], ["ab cd ef ", "gh ", "ab "]):
         assert back(some) == some
     assert back([""]) == [""] and back([]) == []
+
+
+def test_a_task_leaves_its_worker_small(spark, monkeypatch):
+    from vectrove.llm import common
+
+    docs = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
+    run, given = [], []
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, fn, *rest, **kw: run.append(fn))
+    batches = docs.toArrow().to_batches()
+
+    def encode(batch):
+        list(tokens.token_ids(common.texts_of(batch), BYTE))
+        assert not given  # only when the task is done
+        return batch
+
+    for keep in (False, True):
+        monkeypatch.setattr(units, "give_back", lambda: None)
+        units.release()
+        monkeypatch.setattr(units, "give_back", lambda: given.append(1))
+        common.map_arrow(docs, encode, "doc_id long, text string", keep)
+        assert [b.num_rows for b in run.pop()(iter(batches))] == [1] and given == [1]
+        assert (units.Memo._live is not None) == keep
+        given.clear()
+
+
+def test_arrow_batches_are_bounded_unless_the_session_says_so(spark):
+    from vectrove import session
+
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    new = spark.newSession()
+    session.attach(new)
+    assert int(new.conf.get(name)) == session.BATCH_BYTES
+    new.conf.set(name, "1000000")
+    session.attach(new)
+    assert new.conf.get(name) == "1000000"
