@@ -6,6 +6,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 from llm_helpers import as_set, partition
 from pyspark.sql import functions as F
 
@@ -60,6 +61,40 @@ def test_all_shingles_frequent_gives_the_same_links(docs, rows, monkeypatch):
     assert as_set(jaccard.similar_documents(docs)) == similar(rows)
 
 
+def test_a_pair_in_many_lists_is_a_row_in_few(spark):
+    draw = random.Random(3)
+    for carried, most in ((4, 2.0), (30, 1.0)):
+        rows = []
+        for pair in range(40):
+            both = draw.sample(range(1000), 20)
+            one, two = (sorted(both + draw.sample(range(1000, 2000), 5)) for _ in "ab")
+            rows += [(pair, sig, one[:carried], two[:carried]) for sig in sorted(set(one) & set(two))]
+        table = spark.createDataFrame(rows, "pair int, sig long, own array<long>, own2 array<long>")
+        got = table.where(jaccard.once("sig", "own", "own2")).groupBy("pair").agg(F.min("sig").alias("least"), F.count("sig").alias("k")).collect()
+        least = {}
+        for pair, sig, *_ in rows:
+            least[pair] = min(sig, least.get(pair, sig))
+        assert {r.pair: r.least for r in got} == least  # no pair is lost
+        assert sum(r.k for r in got) <= most * len(got)
+        assert len(rows) >= 20 * len(got)
+
+
+def test_pairs_in_many_lists_link_whatever_rows_carry(docs, rows, monkeypatch):
+    for carried in (1, 3):
+        monkeypatch.setattr(jaccard, "CARRIED", carried)
+        assert as_set(jaccard.similar_documents(docs, rounds=1)) == similar(rows)
+
+
+def test_the_partner_tried_first_is_the_nearest():
+    sets = [np.sort(np.random.default_rng(1).integers(0, 1 << 63, 200).astype(np.uint64))]
+    sets += [np.unique(np.append(sets[0][k:], np.random.default_rng(k).integers(0, 1 << 63, k).astype(np.uint64))) for k in (2, 12)]
+    maps = [jaccard._bitmap(s) for s in sets]
+    batch = pa.RecordBatch.from_pydict({"a": [1, 2], "b": [0, 0], "both": [400, 400], "x": maps[1:], "y": [maps[0]] * 2})
+    (out,) = jaccard._may_link(75)(iter([batch]))
+    near, far = out.column("far").to_pylist()
+    assert out.column("a").to_pylist() == [1, 2] and 0 < near < far < 0.15
+
+
 def test_links_through_a_row_without_an_id_hold(make):
     words = [f"w{i}" for i in range(400)]
     one, two, three = (" ".join(words[:i] + ["x%d" % k for k in range(16)] + words[i + 16 :]) for i in (0, 200, 380))

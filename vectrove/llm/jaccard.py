@@ -13,8 +13,10 @@ pairs, and every posting list of a frequent pair is short.
 
 Candidates are verified on the sets themselves, after a bitmap of each set has shown that
 they may differ little enough. A posting list is worked off from its smallest member first,
-and only what this leaves in different components is compared pair by pair, so a large group
-of copies costs its size, not its square, and no link between components is lost.
+then from others, and only what this leaves in different components is compared pair by pair, so
+a large group of copies costs its size, not its square, and no link between components is lost.
+Two documents may share many lists; a pair becomes a row in the first of them, as far as the
+smallest signatures of both, which rows carry, tell which that is.
 """
 
 from __future__ import annotations
@@ -33,6 +35,8 @@ from vectrove.llm.graph import stored_components
 
 #: Cells of the frequency sketch, and words of a folded bitmap.
 CELLS, FOLDS = 1 << 20, 16
+#: Signatures of a document that its rows carry where lists are compared pair by pair.
+CARRIED = 8
 _CELL_SHIFT, _BLOCK = np.uint64(44), 1 << 14
 _STEP = [np.uint64(pow(0xD6E8FEB86659FD93, i, 1 << 64)) for i in range(64)]
 
@@ -127,18 +131,22 @@ def _bitmap(shingles: np.ndarray) -> bytes:
 
 
 def _may_link(percent: int):
-    """Of pairs ``a, b, both, x, y`` (sizes together, bitmaps) those whose bitmaps let them link."""
+    """Of pairs ``a, b, both, x, y`` (sizes together, bitmaps) those whose bitmaps let them link, as ``a, b, far``.
+
+    ``far`` is the share of their shingles in which they differ, as the bitmaps have it.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            good = []
+            good, far = [], []
             for n, x, y in zip(batch.column("both").to_pylist(), batch.column("x"), batch.column("y"), strict=True):
                 x, y = (np.frombuffer(v.as_buffer(), np.uint8) for v in (x, y))
                 if len(x) < len(y):
                     x, y = y, x
                 apart = np.bitwise_count(np.bitwise_xor.reduce(x.reshape(-1, len(y)), axis=0) ^ y).sum()
                 good.append((100 - percent) * n >= (100 + percent) * int(apart))
-            out = batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
+                far.append(int(apart) / n)
+            out = batch.select(["a", "b"]).append_column("far", pa.array(far, pa.float64())).filter(pa.array(good, pa.bool_()))
             if out.num_rows:
                 yield out
 
@@ -165,6 +173,15 @@ def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(one, "a").join(two, "b").select("a", "b", "x", "y").mapInArrow(tidy(run), "a long, b long")
 
 
+def once(sig: str, own: str, own2: str) -> F.Column:
+    """False where two documents that share the signature share a smaller one for certain.
+
+    ``own`` and ``own2`` are the smallest signatures of both, some or all. The least signature
+    that two documents share always passes, so no pair is lost.
+    """
+    return F.coalesce(F.array_min(F.array_intersect(own, own2)) >= F.col(sig), F.lit(True))
+
+
 def similar_documents(docs: DataFrame, size: int = 5, percent: int = 75, rounds: int = 3) -> DataFrame:
     """``doc_id, n_shingles, component_id``: documents linked when 100 * shared >= percent * all shingles.
 
@@ -215,7 +232,8 @@ def similar_documents(docs: DataFrame, size: int = 5, percent: int = 75, rounds:
     ids = seen.where("block is null")
     blocks = summed_blocks(seen.where("block is not null").select("block", "part", "data"), lambda x: np.sum(x, 0), "<i8")
     counts = np.concatenate([blocks[i] for i in sorted(blocks)]) if blocks else np.zeros(CELLS, np.int64)
-    frequent = 4 * counts.mean() + 8
+    # What other shingles add to a cell varies by the root of its mean, however many there are.
+    frequent = counts.mean() + 6 * counts.mean() ** 0.5 + 8
     levels = np.clip(np.floor(np.log2(np.maximum(counts, 1) / frequent)) + 1, 0, 60).astype(np.uint8)
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -272,17 +290,18 @@ def similar_documents(docs: DataFrame, size: int = 5, percent: int = 75, rounds:
             reach = F.least("p", "p2", "g") + F.least(F.col("n") - F.col("p"), F.col("n2") - F.col("p2"))
             fits &= reach * (100 + percent) >= percent * (F.col("n") + F.col("n2"))
             joined = open_.withColumns({"c": F.col("e"), "c2": F.col("e2")})
-        elif turn < rounds - 1:  # against the first in another order
+        elif turn < rounds:  # against the first in another order
             other = F.struct(F.xxhash64("e", F.lit(turn)).alias("r"), "e", "n", "c")
             first_of = open_.groupBy("sig").agg(F.min(other).alias("o"))
             joined = open_.join(first_of.select("sig", *(F.col(f"o.{x}").alias(f"{x}2") for x in "enc")), "sig")
         else:
             # Folded bitmaps turn most pairs away before they become rows.
-            marked = open_.join(wanted.select("e", *folds), "e")
-            others = marked.select(*(F.col(x).alias(f"{x}2") for x in ["sig", "e", "n", "c"]), *(F.col(f).alias(f"other_{f}") for f in folds))
+            own = open_.groupBy("e").agg(F.slice(F.sort_array(F.collect_set("sig")), 1, CARRIED).alias("own"))
+            marked = open_.join(wanted.select("e", *folds).join(own, "e"), "e")
+            others = marked.select(*(F.col(x).alias(f"{x}2") for x in ["sig", "e", "n", "c", "own"]), *(F.col(f).alias(f"other_{f}") for f in folds))
             apart = sum((F.bit_count(F.col(f).bitwiseXOR(F.col(f"other_{f}"))) for f in folds), F.lit(0))
             near = (100 - percent) * (F.col("n") + F.col("n2")) >= (100 + percent) * apart
-            on = (F.col("sig") == F.col("sig2")) & (F.col("e") < F.col("e2")) & (F.col("c") != F.col("c2")) & fits & near
+            on = (F.col("sig") == F.col("sig2")) & (F.col("e") < F.col("e2")) & (F.col("c") != F.col("c2")) & fits & near & once("sig", "own", "own2")
             joined = marked.join(others, on)
         pairs = joined.where((F.col("c") != F.col("c2")) & fits)
         pairs = pairs.select(F.least("e", "e2").alias("a"), F.greatest("e", "e2").alias("b"), (F.col("n") + F.col("n2")).alias("both")).distinct()
@@ -290,10 +309,10 @@ def similar_documents(docs: DataFrame, size: int = 5, percent: int = 75, rounds:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         one = wanted.select(F.col("e").alias("a"), F.col("bits").alias("x"))
         two = wanted.select(F.col("e").alias("b"), F.col("bits").alias("y"))
-        pairs = pairs.join(one, "a").join(two, "b").select("a", "b", "both", "x", "y").mapInArrow(tidy(_may_link(percent)), "a long, b long")
-        if turn < rounds:  # one partner for each set is enough for now
-            pairs = pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
-        pairs = stored(pairs, "pairs")
+        pairs = pairs.join(one, "a").join(two, "b").select("a", "b", "both", "x", "y").mapInArrow(tidy(_may_link(percent)), "a long, b long, far double")
+        if turn < rounds:  # one partner for each set is enough for now, the one that seems nearest
+            pairs = pairs.groupBy("b").agg(F.min(F.struct("far", "a")).alias("o")).select(F.col("o.a").alias("a"), "b")
+        pairs = stored(pairs.select("a", "b"), "pairs")
         done.append(pairs)
         if pairs.isEmpty():
             continue
