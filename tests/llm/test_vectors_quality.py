@@ -8,7 +8,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from vectrove.llm import nearest, quality
+from vectrove.llm import nearest, quality, units
 from vectrove.llm.common import table
 
 
@@ -29,6 +29,17 @@ def test_held_out_accuracy(scored, sf):
     assert both[both.quality == 1].score.mean() > both[both.quality == 0].score.mean() + 0.5
 
 
+def test_scoring_a_column_leaves_its_worker_small(monkeypatch):
+    calls = []
+    monkeypatch.setattr(units, "drop", lambda: calls.append("drop"))
+    monkeypatch.setattr(units, "give_back", lambda: calls.append("give_back"))
+    run = quality.column_scores(lambda texts: np.array([len(t) for t in texts], float))
+    batches = run(iter([pd.Series(["ab", None]), pd.Series([], dtype=object), pd.Series(["abc"])]))
+    assert next(batches).tolist() == [2, 0] and calls == []
+    assert [x.tolist() for x in batches] == [[], [3]]
+    assert calls == ["drop", "give_back"]
+
+
 def test_a_repeated_id_is_learnt_from_once(spark, make, monkeypatch):
     ids = [i for i in range(40) if zlib.crc32(b"%d" % i) % 5]
     labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")

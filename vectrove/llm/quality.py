@@ -10,7 +10,7 @@ is good, sharpened or softened by one temperature that is fitted on rows kept fr
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -266,6 +266,16 @@ def fit_quality(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, label:
     return QualityModel(vectors, fit_network(x, np.array([float(r.y) for r in rows]), keep))
 
 
+def column_scores(scores: Callable[[list[str]], np.ndarray]) -> Callable[[Iterator[pd.Series]], Iterator[pd.Series]]:
+    """``scores`` over columns of texts, in a worker that is left small: see :func:`tidy`."""
+
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            yield pd.Series(scores([t or "" for t in texts]))
+
+    return tidy(run)
+
+
 def score_quality(docs: DataFrame, model: QualityModel, threshold: float = 0.3, keep_columns: bool = False) -> DataFrame:
     """``doc_id, held_out, score, predicted`` of every document; one map over the table.
 
@@ -284,8 +294,8 @@ def score_quality(docs: DataFrame, model: QualityModel, threshold: float = 0.3,
     if keep_columns:
 
         @F.pandas_udf("double")
-        def score(texts: pd.Series) -> pd.Series:
-            return pd.Series(scores([t or "" for t in texts]))
+        def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            yield from column_scores(scores)(batches)
 
         scored = docs.withColumn("_score", score(F.coalesce(F.col("text"), F.lit(""))))
         return scored.withColumn("_predicted", (F.col("_score") >= threshold).cast("int"))
