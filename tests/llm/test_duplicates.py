@@ -22,6 +22,33 @@ def test_components(spark):
     assert graph.components(spark.createDataFrame([], "a long, b long")).collect() == []
 
 
+def test_rounds_of_few_edges_have_few_tasks(spark, monkeypatch):
+    files = []
+
+    def stored(df, name):
+        out = common.stored(df, name)
+        files.append(len(out.inputFiles()))
+        return out
+
+    monkeypatch.setattr(graph, "stored", stored)
+    held = {"spark.sql.shuffle.partitions": "12", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in held}
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        path = spark.createDataFrame([(i, i + 1) for i in range(60)], "a long, b long")
+        assert set(graph.components(path).collect()) == {(i, 0) for i in range(61)}
+        assert len(files) > 1 and max(files[1:]) <= graph.TASKS
+        files.clear()
+        stars = spark.createDataFrame([(7 * (i // 20), 1000 + i) for i in range(200)], "a long, b long")
+        want = {(1000 + i, 7 * (i // 20)) for i in range(200)} | {(7 * i, 7 * i) for i in range(10)}
+        assert set(graph.components(stars).collect()) == want
+        assert len(files) == 1  # what is stars already needs no round
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def words(text):
     return re.findall(r"[^\x20\x09-\x0D]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
 

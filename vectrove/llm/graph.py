@@ -4,7 +4,8 @@ Alternating star operations: every node sends its larger neighbours to the small
 knows, then its smaller ones, until the edges are stars around the smallest node of each
 component. A round is grouped minima (combined before the shuffle) and a join that Spark
 may split where one node has most edges; its result is stored, so no lineage builds up and
-a lost executor costs one round at most.
+a lost executor costs one round at most. A round of few edges has few tasks, as each leaves
+files behind in every shuffle.
 """
 
 from __future__ import annotations
@@ -14,6 +15,9 @@ from pyspark.sql import functions as F
 
 from vectrove.llm.common import discard, stored
 
+#: A round has a task for so many edges, and so many tasks at least (fewer where Spark makes fewer).
+EDGES, TASKS = 50_000, 8
+
 
 def components(edges: DataFrame) -> DataFrame:
     """``node, component`` for every node of ``edges(a, b)``: the smallest node it can reach.
@@ -36,23 +40,33 @@ def stored_components(edges: DataFrame, node: str, component: str) -> DataFrame:
 def _settled(edges: DataFrame) -> DataFrame:
     clean = edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
     now = stored(clean.distinct(), "edges")
-    before = None
+    tasks = None
     while True:
-        seen = tuple(now.agg(F.count("u"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first())
-        if seen == before or not seen[0]:
+        # Stars: every larger end has one edge, and is no smaller end.
+        ends = now.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down"))
+        ends = ends.union(now.select(F.col("v").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+        nodes = _few(ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down")), tasks)
+        count, still = nodes.agg(F.sum("up"), F.max((F.col("up") > 1) | (F.col("up") > 0) & (F.col("down") > 0))).first()
+        if not still:
             break
-        before = seen
+        tasks = max(TASKS, -(-count // EDGES))
         both = now.select("u", "v").union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.join(least, "u").where("v > u and v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.distinct()
+        large = _few(_few(large, tasks).distinct(), tasks)
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        old, now = now, stored(small.union(least.select("u", F.col("m").alias("v"))).distinct(), "edges")
+        both = _few(small.union(least.select("u", F.col("m").alias("v"))), tasks).distinct()
+        old, now = now, stored(_few(both, tasks), "edges")
         discard(old)
     return now
 
 
+def _few(rows: DataFrame, tasks: int | None) -> DataFrame:
+    """``rows`` in ``tasks`` tasks at most."""
+    return rows if tasks is None else rows.coalesce(tasks)
+
+
 def _stars(now: DataFrame) -> DataFrame:
     own = now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).union(own)

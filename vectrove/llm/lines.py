@@ -145,7 +145,7 @@ def linked_lines(shared: DataFrame, texts: DataFrame, size: int = SHINGLE, perce
     alone become rows.
     """
     marks = stored(line_marks(texts, size), "marks")
-    open_, links, comps, done = shared.select("band", "h"), None, None, []
+    open_, comps = shared.select("band", "h"), None
     for turn in range(rounds + 1):
         labelled = open_.select("band", "h").withColumn("c", F.col("h"))
         if comps is not None:
@@ -172,13 +172,13 @@ def linked_lines(shared: DataFrame, texts: DataFrame, size: int = SHINGLE, perce
             on = (F.col("band") == F.col("other")) & (F.col("a") < F.col("b")) & (F.col("c") != F.col("d")) & _may_link("x", "y", percent)
             pairs = left.join(right, on & (F.array_intersect("xown", "yown")[0] == F.col("band"))).select("a", "b")
         good = stored(_verified(pairs, texts, size, percent), "good")
-        done.append(good)
-        if good.isEmpty():
-            continue
-        links = good if links is None else links.union(good)
-        old, comps = comps, stored_components(links, "h", "c")
-        discard(old)
-    discard(open_, marks, *done)
+        if not good.isEmpty():
+            # Links of earlier rounds are stars by now.
+            links = good if comps is None else good.union(comps.select(F.col("h").alias("a"), F.col("c").alias("b")))
+            old, comps = comps, stored_components(links, "h", "c")
+            discard(old)
+        discard(good)
+    discard(open_, marks)
     return comps
 
 
