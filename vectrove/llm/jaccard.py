@@ -319,12 +319,12 @@ def similar_documents(docs: DataFrame, size: int = 5, percent: int = 75, rounds:
         nodes = pairs.select(F.col("a").alias("e")).union(pairs.select(F.col("b").alias("e"))).distinct()
         nodes = stored(wanted.select("e", "doc_id").join(nodes, "e"), "nodes")
         good = stored(_verify(pairs, _fetch(docs, nodes, size), percent), "good")
-        done.append(good)
         discard(nodes)
         tested = pairs if tested is None else tested.union(pairs)
-        links = good if links is None else links.union(good)
+        # Links of earlier rounds are stars by now.
+        links = good if comps is None else good.union(comps.select(F.col("e").alias("a"), F.col("c").alias("b")))
         old, comps = comps, stored_components(links, "e", "c")
-        discard(old)
+        discard(old, good)
 
     discard(open_, wanted, *done)
     named = ids.select("doc_id", "n", "e")
