@@ -251,3 +251,73 @@ def test_grid_sends_rows_a_bounded_number_of_times(vectors, monkeypatch):
     monkeypatch.setattr(neighbours, "TILE_NUMBERS", 120)  # tiles of 30 rows, searched in blocks of 10
     got = lists_of(knn_lists(vectors(t, partitions=4), vectors(q, partitions=3), 4, strategy="grid", block_numbers=40))
     assert [[n for n, _ in got[i]] for i in range(90)] == order.tolist()
+
+
+def test_cells_send_a_row_once_for_a_region(vectors, monkeypatch):
+    """Where no cell can be ruled out, what is sent grows with the regions and not with the cells."""
+    from pyspark.sql.pandas.group_ops import PandasCogroupedOps
+
+    rng = np.random.default_rng(11)
+    t, q = rng.normal(size=(1200, 12)), rng.normal(size=(200, 12))
+    order, _ = brute(t, q, 4)
+    sent, real = [], PandasCogroupedOps.applyInArrow
+    monkeypatch.setattr(PandasCogroupedOps, "applyInArrow", lambda self, *a: (sent.append((self._gd1._df.count(), self._gd2._df.count())), real(self, *a))[1])
+    got = lists_of(knn_lists(vectors(t, partitions=4), vectors(q, partitions=3), 4, strategy="cells", block_numbers=120))
+    assert [[n for n, _ in got[i]] for i in range(200)] == order.tolist()
+    assert sum(n for n, _ in sent) <= 4 * 1200 and sum(n for _, n in sent) <= 4 * 200
+
+
+@pytest.mark.parametrize("region_rows", [7, 60, 250])
+def test_regions_and_lots_of_any_size(vectors, monkeypatch, region_rows):
+    """Copies that fill many regions, regions of fewer rows than k, and several lots for each."""
+    rng = np.random.default_rng(12)
+    t = np.vstack([rng.normal(size=(300, 4)), np.ones((150, 4)), rng.normal(size=(100, 4)) + 40])
+    q = np.vstack([rng.normal(size=(60, 4)), np.ones((30, 4)), rng.normal(size=(20, 4)) + 40])
+    order, d = brute(t, q, 9)
+    monkeypatch.setattr(cells, "REGION_NUMBERS", 4 * region_rows)
+    monkeypatch.setattr(cells, "LEAST_NUMBERS", 1)
+    monkeypatch.setattr(cells, "RUN_ROWS", 12)
+    got = lists_of(knn_lists(vectors(t, partitions=4), vectors(q, partitions=3), 9, strategy="cells", block_numbers=20))
+    assert [[n for n, _ in got[i]] for i in range(110)] == order.tolist()
+    np.testing.assert_allclose([[x for _, x in got[i]] for i in range(110)], d, rtol=1e-12)
+
+
+def test_regions_are_bounded_and_hold_every_cell(vectors):
+    rng = np.random.default_rng(13)
+    train = vectors(np.vstack([rng.normal(size=(500, 3)), np.zeros((300, 3))])).withColumn("label", F.lit(None).cast("int"))
+    dealt = cells.deal_cells(train, cells.draw_pivots(train, 20), 10)
+    region = cells.deal_regions(dealt, 100)
+    assert dealt.held.sum() == 800 and len(region) == len(dealt.count)
+    assert set(np.diff(region)) <= {0, 1} and region[0] == 0 and 7 <= region[-1] <= 9
+    assert np.bincount(region, weights=dealt.held).max() <= 110
+
+
+def test_kernel_within_a_distance_and_for_some_queries():
+    rng = np.random.default_rng(14)
+    t, q = rng.normal(size=(300, 3)), rng.normal(size=(20, 3))
+    order, d = brute(t, q, 5)
+    best = kernels.ClosestK(q, 5, d[:, 2])
+    best.add(t, np.arange(300), np.zeros(300, int), np.arange(10))
+    assert not np.isfinite(best.square[10:]).any()
+    np.testing.assert_allclose(best.reach()[:10], d[:10, 2])
+    best.add(t, np.arange(300), np.zeros(300, int), np.arange(10, 20))
+    lengths, distance, _, _ = best.found()
+    assert np.array_equal(best.ids[:, :3], order[:, :3])
+    assert all(3 <= n <= 5 for n in lengths) and len(distance) == lengths.sum()
+
+
+def test_regions_of_odd_vectors_and_none_to_go_on_to(vectors, monkeypatch):
+    nan, inf, huge = float("nan"), float("inf"), 1e200
+    t = [[0, 0], [nan, 1], [inf, 1], [huge, 0], [huge, 1], [3, 4], [0, 0], [5, 5]]
+    q = [[0, 1], [nan, 0], [huge, 0], [inf, 0], [3, 3]]
+    want = lists_of(knn_lists(vectors(t), vectors(q), 3, strategy="scan_queries"))
+    monkeypatch.setattr(cells, "REGION_NUMBERS", 4)
+    monkeypatch.setattr(cells, "LEAST_NUMBERS", 1)
+    assert lists_of(knn_lists(vectors(t), vectors(q), 3, strategy="cells", block_numbers=2)) == want
+    apart = np.arange(40.0)[:, None] % 20 * [0.01, 0.02] + np.repeat([0, 1000], 20)[:, None]
+    order, _ = brute(apart, apart, 3)
+    monkeypatch.setattr(cells, "REGION_NUMBERS", 40)
+    gone, real = [], cells.further_visits
+    monkeypatch.setattr(cells, "further_visits", lambda *a: (gone.append(real(*a)), gone[0])[1])
+    got = lists_of(knn_lists(vectors(apart), vectors(apart), 3, strategy="cells", block_numbers=40))
+    assert [[n for n, _ in got[i]] for i in range(40)] == order.tolist() and gone[0].count() == 0

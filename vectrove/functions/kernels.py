@@ -143,21 +143,29 @@ class ClosestK:
     """Exact ``k`` nearest train rows of some queries, ties by train id, fed block by block.
 
     Holds ``queries x k`` numbers. A block is compared with the ``k``-th distance held so
-    far, so later blocks only measure the few rows that can still enter a list.
+    far, so later blocks only measure the few rows that can still enter a list. ``within`` is
+    a distance for each query beyond which no row is asked for.
     """
 
     _QUERIES = 256
     _TRAIN = 2048
 
-    def __init__(self, queries: np.ndarray, k: int):
+    def __init__(self, queries: np.ndarray, k: int, within: np.ndarray | None = None):
         self.queries = queries.astype(np.float64, copy=False)
         self.norms = _square_sums(self.queries)
         self.k = k
         self.square = np.full((len(queries), k), np.inf)
         self.ids = np.full((len(queries), k), np.iinfo(np.int64).max)
         self.labels = np.full((len(queries), k), NO_LABEL)
+        self.limit = np.full(len(queries), np.inf) if within is None else np.square(within)
 
-    def add(self, train: np.ndarray, ids: np.ndarray, labels: np.ndarray) -> None:
+    def reach(self, at=slice(None)) -> np.ndarray:
+        """The distance within which a row must lie to enter the list of each query."""
+        return np.sqrt(np.minimum(self.square[at, -1], self.limit[at]))
+
+    def add(self, train: np.ndarray, ids: np.ndarray, labels: np.ndarray, only: np.ndarray | None = None) -> None:
+        """Compare a block with all queries, or with those at the positions ``only``."""
+        lines = np.arange(len(self.queries)) if only is None else only
         for start in range(0, len(train), self._TRAIN):
             part = slice(start, start + self._TRAIN)
             block = train[part].astype(np.float64, copy=False)
@@ -168,16 +176,16 @@ class ClosestK:
             if not len(block):
                 continue
             block_ids, block_labels = ids[part][usable], labels[part][usable]
-            for first in range(0, len(self.queries), self._QUERIES):
-                self._add_block(slice(first, first + self._QUERIES), block, norms, block_ids, block_labels)
+            for first in range(0, len(lines), self._QUERIES):
+                self._add_block(lines[first : first + self._QUERIES], block, norms, block_ids, block_labels)
 
-    def _add_block(self, at: slice, block, norms, ids, labels) -> None:
+    def _add_block(self, at: np.ndarray, block, norms, ids, labels) -> None:
         queries = self.queries[at]
         rough = queries @ (-2.0 * block.T)
         rough += norms
-        rough += self.norms[at, None]
+        rough += self.norms[at][:, None]
         slack = _slack(queries.shape[1], self.norms[at] + norms.max())
-        bound = self.square[at, -1].copy()
+        bound = np.minimum(self.square[at, -1], self.limit[at])
         fresh = np.isinf(bound)
         if fresh.any() and len(block) > self.k:
             bound[fresh] = np.partition(rough[fresh], self.k - 1, axis=1)[:, self.k - 1]
@@ -190,7 +198,7 @@ class ClosestK:
         # Merge with the lists held by the queries concerned.
         touched = np.unique(row)
         held = np.repeat(touched, self.k)
-        lines = at.start + touched
+        lines = at[touched]
         row = np.concatenate([held, row])
         square = np.concatenate([self.square[lines].ravel(), exact])
         near = np.concatenate([self.ids[lines].ravel(), ids[pos]])
@@ -200,7 +208,7 @@ class ClosestK:
         starts = np.flatnonzero(np.r_[True, row[1:] != row[:-1]])
         rank = np.arange(len(row)) - np.repeat(starts, np.diff(np.r_[starts, len(row)]))
         keep = rank < self.k
-        line, place, order = at.start + row[keep], rank[keep], order[keep]
+        line, place, order = at[row[keep]], rank[keep], order[keep]
         self.square[line, place] = square[order]
         self.ids[line, place] = near[order]
         self.labels[line, place] = tags[order]

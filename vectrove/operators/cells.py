@@ -3,17 +3,22 @@
 Pivots are drawn from the train side and every train row is dealt to its nearest one. A cell
 keeps how many rows it has and the range of their distances to its pivot; a crowded cell is cut
 into rings of distance and, where a ring is still crowded (copies), by a hash of the row id,
-so no cell exceeds its bound. A query first searches the cell that promises the nearest rows.
-The distance of the k-th row it found there, with the triangle inequality, rules out every
-cell whose range it cannot meet; only the others are searched, each as bounded groups.
+so no cell exceeds its bound. Cells follow each other in space, and a number of them make a
+region. A query goes first to the region of the cell that promises the nearest rows. The
+distance of the k-th row it found there, with the triangle inequality, rules out every cell
+whose range it cannot meet; it goes on to the regions that have others, once to each, and
+searches only those cells there. So where nothing can be ruled out, a row is sent as often as
+there are regions, however many the cells.
 """
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType
@@ -29,6 +34,14 @@ SLACK = 1e-9
 _FAR = -1
 #: Tables of a number for each row and cell that are alive at a time; they share the scratch.
 _TABLES = 8
+#: Numbers of a region's vectors, and of the queries that search it as one group (32 MiB as float64).
+REGION_NUMBERS = 4_000_000
+#: Regions for each core, if they still have so many numbers.
+REGIONS, LEAST_NUMBERS = 2, 131_072
+#: Rows of the cells of a region that are searched together, if a cell has fewer: a product of few rows is mostly overhead.
+RUN_ROWS = 512
+#: Partitions for each group of a search, as a hash may put some into one.
+_SPREAD = 3
 
 
 @dataclass
@@ -37,6 +50,7 @@ class Cells:
 
     Cell ``c`` lies around ``pivots[pivot[c]]``, its ``count[c]`` rows between ``low[c]`` and
     ``high[c]`` from it. Rows too far for a finite distance are in cells of infinite reach.
+    ``held[c]`` is about the number of its rows, for what is no bound.
     """
 
     rows: DataFrame
@@ -45,6 +59,12 @@ class Cells:
     count: np.ndarray
     low: np.ndarray
     high: np.ndarray
+    held: np.ndarray
+
+    def part(self, at: slice) -> Cells:
+        """Some cells by themselves, without their rows."""
+        used, pivot = np.unique(self.pivot[at], return_inverse=True)
+        return Cells(None, self.pivots[used], pivot, self.count[at], self.low[at], self.high[at], self.held[at])
 
     def between(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Least and largest distance that rows of each cell can have to each query."""
@@ -74,7 +94,18 @@ def draw_pivots(train: DataFrame, n: int) -> np.ndarray:
     drawn = train.where(finite).orderBy(F.xxhash64("row_id", F.lit("pivot")), "row_id").limit(n).select("features").toArrow()
     if not drawn.num_rows:
         return np.zeros((0, 0))
-    return np.unique(matrix(drawn.combine_chunks().column("features")), axis=0)
+    found = np.unique(matrix(drawn.combine_chunks().column("features")), axis=0)
+    return found[_along(found, np.arange(len(found)))]
+
+
+def _along(points: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Positions in an order that has near points close: halves across the axis of widest spread, again and again."""
+    if len(at) <= 2:
+        return at
+    with np.errstate(invalid="ignore", over="ignore"):
+        axis = points[at].astype(np.float64).var(axis=0).argmax()
+    sides = np.array_split(at[np.argsort(points[at, axis], kind="stable")], 2)
+    return np.concatenate([_along(points, side) for side in sides])
 
 
 def deal_cells(train: DataFrame, pivots: np.ndarray, most: int) -> Cells:
@@ -102,7 +133,7 @@ def deal_cells(train: DataFrame, pivots: np.ndarray, most: int) -> Cells:
 
     ranges = rows.groupBy("pivot").agg(F.count("row_id").alias("n"), F.min("away").alias("low"), F.max("away").alias("high")).toArrow().to_pylist()
     if not ranges:
-        return Cells(rows.withColumn("cell", F.lit(0)), pivots, *(np.zeros(0, t) for t in (np.int64, np.int64, float, float)))
+        return Cells(rows.withColumn("cell", F.lit(0)), pivots, *(np.zeros(0, t) for t in (np.int64, np.int64, float, float, float)))
     rings = spark.createDataFrame([(r["pivot"], *_rings(r, most)) for r in ranges], "pivot int, start double, wide double, rings int")
     cut = F.least(F.floor((F.col("away") - F.col("start")) / F.col("wide")).cast("int"), F.col("rings") - 1)
     ring = F.when(F.col("rings") > 1, F.greatest(cut, F.lit(0))).otherwise(F.lit(0))
@@ -127,6 +158,7 @@ def deal_cells(train: DataFrame, pivots: np.ndarray, most: int) -> Cells:
         np.array([0 if r["pivot"] == _FAR or p else r["n"] for r, p in every], np.int64),
         np.where(far_cells, 0.0, [r["low"] * (1 - SLACK) if r["pivot"] != _FAR else 0.0 for r, _ in every]),
         np.where(far_cells, np.inf, [r["high"] * (1 + SLACK) if r["pivot"] != _FAR else 0.0 for r, _ in every]),
+        np.array([r["n"] / pieces for r, (_, _, _, pieces) in zip(parts, table, strict=True) for _ in range(pieces)]),
     )
 
 
@@ -138,23 +170,75 @@ def _rings(found: dict, most: int) -> tuple[float, float, int]:
     return float(low), float((high - low) / n), int(n)
 
 
-def _searched(cells: Cells, visits: DataFrame, k: int, most: int, packed, schema: str) -> DataFrame:
-    """Partial lists of ``visits(row_id, features, cell)``: groups of one cell's rows and at most about ``most`` queries."""
-    load = visits.groupBy("cell").agg(F.count("row_id").alias("n")).withColumn("lots", F.ceil(F.col("n") / most).cast("int")).select("cell", "lots")
-    load = F.broadcast(load)  # no more rows than there are cells
-    left = cells.rows.join(load, "cell").withColumn("lot", F.explode(F.sequence(F.lit(0), F.col("lots") - 1)))
-    right = visits.join(load, "cell").withColumn("lot", F.pmod(F.xxhash64("row_id"), F.col("lots")).cast("int"))
+def deal_regions(cells: Cells, rows: int) -> np.ndarray:
+    """The region of each cell: cells that follow each other, of about ``rows`` rows together."""
+    before = np.cumsum(cells.held) - cells.held
+    return np.unique(before // rows, return_inverse=True)[1].astype(np.int32)
 
-    def search(train: pa.Table, queries: pa.Table) -> pa.Table:
-        ids = queries.column("row_id").to_numpy()
-        best = kernels.ClosestK(matrix(queries.column("features")), k)
-        if len(train) and len(ids):
-            label = train.column("label").cast(pa.int64()).fill_null(int(kernels.NO_LABEL)).to_numpy()
-            best.add(matrix(train.column("features")), train.column("row_id").to_numpy(), label)
-        return pa.Table.from_batches([packed(ids, best)])
 
-    left, right = left.select("row_id", "features", "label", "cell", "lot"), right.select("row_id", "features", "cell", "lot")
-    return left.groupBy("cell", "lot").cogroup(right.groupBy("cell", "lot")).applyInArrow(search, schema)
+def _region_rows(cells: Cells, width: int, most: int, cores: int) -> int:
+    """Rows of a region: as many as are bounded, or fewer if cores would be idle."""
+    rows, least = max(1, REGION_NUMBERS // width), max(most, LEAST_NUMBERS // width)
+    return min(rows, max(least, math.ceil(cells.held.sum() / (REGIONS * cores))))
+
+
+def _searched(cells: Cells, region: np.ndarray, visits: DataFrame, k: int, lot: int, packed, schema: str, first: bool) -> DataFrame:
+    """Partial lists of ``visits(row_id, features, cell, reach, region)``: groups of one region's rows and at most about ``lot`` queries.
+
+    Of a region, a query searches the cells that can meet its ``reach`` or, with more and more rows
+    found, its k-th distance: on its first visit, with a list for every query, from ``cell`` on.
+    """
+    spark = visits.sparkSession
+    load = {r["region"]: -(-r["n"] // lot) for r in visits.groupBy("region").agg(F.count(F.lit(1)).alias("n")).collect()}  # a row for each region
+    lots = F.broadcast(spark.createDataFrame([*load.items()], "region int, lots int"))
+    table = [(c, int(r), load[r]) for c, r in enumerate(region) if r in load]
+    searched = F.broadcast(spark.createDataFrame(table, "cell int, region int, lots int"))  # a row for each cell
+    left = cells.rows.join(searched, "cell").withColumn("lot", F.explode(F.sequence(F.lit(0), F.col("lots") - 1)))
+    right = visits.join(lots, "region").withColumn("lot", F.pmod(F.xxhash64("row_id"), F.col("lots")).cast("int"))
+    shared = spark.sparkContext.broadcast((_light(cells), region))
+
+    def search(key, train: pa.Table, queries: pa.Table) -> pa.Table:
+        ids, x = queries.column("row_id").to_numpy(), matrix(queries.column("features"))
+        best = kernels.ClosestK(x, k, queries.column("reach").to_numpy() * (1 + SLACK))
+        if len(train) and len(ids):
+            here, regions = shared.value
+            own = slice(*np.searchsorted(regions, [key[0].as_py(), key[0].as_py() + 1]))
+            _search_region(best, x, here.part(own), _by_cell(train, own), queries.column("cell").to_numpy() - own.start if first else None)
+        found = pa.Table.from_batches([packed(ids, best)])
+        return found if first else found.filter(pc.greater(pc.list_value_length(found.column("neighbours")), 0))
+
+    left, right = left.select("row_id", "features", "label", "cell", "region", "lot"), right.select("row_id", "features", "cell", "reach", "region", "lot")
+    tasks = _SPREAD * max(1, sum(load.values()))
+    left, right = (side.repartition(tasks, "region", "lot").groupBy("region", "lot") for side in (left, right))
+    return left.cogroup(right).applyInArrow(search, schema)
+
+
+def _by_cell(train: pa.Table, own: slice) -> tuple:
+    """Vectors, ids and labels of a region in the order of its cells, and where each of these begins."""
+    cell = train.column("cell").to_numpy()
+    order = np.argsort(cell, kind="stable")
+    label = train.column("label").cast(pa.int64()).fill_null(int(kernels.NO_LABEL)).to_numpy()
+    starts = np.searchsorted(cell[order], np.arange(own.start, own.stop + 1))
+    return matrix(train.column("features"))[order], train.column("row_id").to_numpy()[order], label[order], starts
+
+
+def _search_region(best: kernels.ClosestK, x: np.ndarray, cells: Cells, rows: tuple, home: np.ndarray | None) -> None:
+    """Search the cells of a region, small ones in runs; ``home`` is the cell to begin with."""
+    *sides, starts = rows
+    firsts, run = np.unique(starts[:-1] // RUN_ROWS, return_index=True, return_inverse=True)[1:]
+    ends = np.append(starts[firsts[1:]], starts[-1])
+    blocks = [[side[a:b] for side in sides] for a, b in zip(starts[firsts], ends, strict=True)]
+    if home is not None:
+        own = run[home]
+        for r in np.unique(own):
+            best.add(*blocks[r], np.flatnonzero(own == r))
+    for at in row_slices(len(x), _TABLES * len(cells.count)):
+        near = np.fmin.reduceat(cells.between(x[at])[0], firsts, axis=1).T.copy()
+        if home is not None:
+            near[own[at], np.arange(at.stop - at.start)] = np.nan  # searched
+        for r, block in enumerate(blocks):
+            if len(block[0]) and len(only := np.flatnonzero(near[r] <= best.reach(at) * (1 + SLACK))):
+                best.add(*block, at.start + only)
 
 
 def first_visits(cells: Cells, queries: DataFrame, k: int) -> DataFrame:
@@ -175,34 +259,37 @@ def first_visits(cells: Cells, queries: DataFrame, k: int) -> DataFrame:
     return queries.withColumn("_to", visit("features")).select("row_id", "features", "_to.cell", "_to.reach")
 
 
-def further_visits(cells: Cells, queries: DataFrame) -> DataFrame:
-    """``row_id, features, cell`` for every other cell that may hold a row within ``reach`` of a query.
+def further_visits(cells: Cells, queries: DataFrame, region: np.ndarray | None = None) -> DataFrame:
+    """``row_id, features, cell, reach`` for every other cell that may hold a row within ``reach`` of a query.
 
-    Lists of cells leave a task some rows at a time, as a list may hold every cell.
+    With ``region`` (of each cell, ascending) there is a row with a ``region`` for every other one that
+    has such a cell. Lists leave a task some rows at a time, as a list may hold every cell.
     """
-    shared = queries.sparkSession.sparkContext.broadcast(_light(cells))
+    name, region = ("cell", np.arange(len(cells.count))) if region is None else ("region", region)
+    shared = queries.sparkSession.sparkContext.broadcast((_light(cells), region))
     queries = queries.select("row_id", "features", "cell", "reach")
 
     def visit(batches):
-        here = shared.value
+        here, of = shared.value
+        starts = np.flatnonzero(np.diff(of, prepend=-1))
         for batch in batches:
             x, near = matrix(batch.column("features"), here.pivots.shape[1]), batch.column("reach").to_numpy(zero_copy_only=False)
-            first = batch.column("cell").to_numpy()
+            first = of[batch.column("cell").to_numpy()]
             for at in row_slices(len(x), _TABLES * max(1, len(here.count))):
                 least, _ = here.between(x[at])
-                meets = least <= near[at][:, None] * (1 + SLACK)
+                meets = np.logical_or.reduceat(least <= near[at][:, None] * (1 + SLACK), starts, axis=1)
                 meets[np.arange(len(meets)), first[at]] = False
                 offsets = np.concatenate([[0], np.cumsum(meets.sum(1))]).astype(np.int32)
                 found = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.nonzero(meets)[1], pa.int32()))
                 part = batch.slice(at.start, at.stop - at.start)
-                yield pa.RecordBatch.from_arrays([part.column("row_id"), part.column("features"), found], ["row_id", "features", "cells"])
+                yield pa.RecordBatch.from_arrays([part.column("row_id"), part.column("features"), found, part.column("reach")], ["row_id", "features", "to", "reach"])
 
-    schema = queries.select("row_id", "features").schema.add("cells", ArrayType(IntegerType()))
-    return queries.mapInArrow(visit, schema).select("row_id", "features", F.explode("cells").alias("cell"))
+    schema = queries.select("row_id", "features").schema.add("to", ArrayType(IntegerType())).add("reach", "double")
+    return queries.mapInArrow(visit, schema).select("row_id", "features", "reach", F.explode("to").alias(name))
 
 
 def _light(cells: Cells) -> Cells:
-    return Cells(None, cells.pivots, cells.pivot, cells.count, cells.low, cells.high)
+    return Cells(None, cells.pivots, cells.pivot, cells.count, cells.low, cells.high, cells.held)
 
 
 def nearest_by_cells(train: DataFrame, queries: DataFrame, k: int, most: int, packed, schema: str, n_pivots: int | None = None, rows: int | None = None):
@@ -212,13 +299,19 @@ def nearest_by_cells(train: DataFrame, queries: DataFrame, k: int, most: int, pa
     pivots = draw_pivots(train, wanted)
     if not len(pivots):
         return None
-    spark = train.sparkSession
+    spark, width = train.sparkSession, max(1, pivots.shape[1])
     cells = deal_cells(train, pivots, most)
     if not len(cells.count):
         return None
+    region = deal_regions(cells, _region_rows(cells, width, most, spark.sparkContext.defaultParallelism))
+    lot = max(1, REGION_NUMBERS // max(width, 3 * k))  # a list has three numbers for each neighbour
+    path = scratch(spark, "cells")
     homes = first_visits(cells, queries, k)
+    homes.write.parquet(path)
+    homes = spark.read.schema(homes.schema).parquet(path)
+    regions = F.broadcast(spark.createDataFrame([(c, int(r)) for c, r in enumerate(region)], "cell int, region int"))  # a row for each cell
     path = scratch(spark, "cells")
-    _searched(cells, homes, k, most, packed, schema).write.parquet(path)
+    _searched(cells, region, homes.join(regions, "cell"), k, lot, packed, schema, True).write.parquet(path)
     first = spark.read.schema(schema).parquet(path)
     kth = first.select(F.col("row_id").alias("_id"), F.get("neighbours", F.lit(k - 1))["distance"].alias("_kth"))
     # Ids may repeat among queries: the wider of their bounds holds for each.
@@ -226,4 +319,7 @@ def nearest_by_cells(train: DataFrame, queries: DataFrame, k: int, most: int, pa
     bounded = homes.join(kth, homes["row_id"] == kth["_id"], "left")
     reach = F.when(F.isnan("reach"), F.lit(None).cast("double")).otherwise(F.least("reach", "_kth"))
     bounded = bounded.select("row_id", "features", "cell", F.coalesce(reach, F.lit(-1.0)).alias("reach"))
-    return first.unionByName(_searched(cells, further_visits(cells, bounded), k, most, packed, schema))
+    if not region[-1]:
+        return first
+    further = further_visits(cells, bounded, region).withColumn("cell", F.lit(None).cast("int"))
+    return first.unionByName(_searched(cells, region, further, k, lot, packed, schema, False))
